@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import simhash
+from scarmap.llm import bpe, chat, mixing, simhash, topk
 from scarmap.llm.tables import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return simhash.simhash_components(docs).select(
@@ -16,8 +22,53 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    added = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(probe).alias("text")) for i, r in enumerate(("user", "assistant"))])).alias("t"),
+    ).select("conv_id", "t.*")
+    chats = chat.format_chats(turns.unionByName(added))
+    read = chats.select(
+        "conv_id", F.length("formatted").cast("long").alias("formatted_chars"), chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss")
+    )
+    spelled = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(spelled, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where("id % 50 = 0"), vectors)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_words(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_near_dedup,)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_simhash_near_dedup,
+            op3_chat_formatting,
+            op5_exact_top_k,
+            op6_mixing,
+            op7_bpe,
+        )
+    }
 
 
 def oracle_sql() -> dict:
