@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, chat, mixing, simhash, topk
+from scarmap.llm import bpe, chat, langid, mixing, simhash, topk
 from scarmap.llm.tables import table
 
 
@@ -58,6 +58,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -67,6 +71,7 @@ def queries() -> dict:
             op5_exact_top_k,
             op6_mixing,
             op7_bpe,
+            op9_language_id,
         )
     }
 
