@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, chat, langid, mixing, simhash, topk
+from scarmap.llm import bpe, chat, html, langid, mixing, simhash, topk
 from scarmap.llm.tables import table
 
 
@@ -22,6 +22,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = r"\### Assistant: </turn> ok"
@@ -67,6 +71,7 @@ def queries() -> dict:
         f.__name__: f
         for f in (
             op1_simhash_near_dedup,
+            op2_html_extraction,
             op3_chat_formatting,
             op5_exact_top_k,
             op6_mixing,
