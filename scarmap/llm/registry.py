@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, chat, html, langid, mixing, simhash, topk
+from scarmap.llm import bpe, chat, html, langid, mixing, order_minhash, simhash, topk
 from scarmap.llm.tables import table
 
 
@@ -48,6 +48,19 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = order_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return marked.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        order_minhash.spelled(F.col("signature")).alias("fingerprint"),
+        order_minhash.spelled(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors.where("id % 50 = 0"), vectors)
@@ -73,6 +86,7 @@ def queries() -> dict:
             op1_simhash_near_dedup,
             op2_html_extraction,
             op3_chat_formatting,
+            op4_order_minhash,
             op5_exact_top_k,
             op6_mixing,
             op7_bpe,
