@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, chat, html, langid, mixing, order_minhash, simhash, topk
+from scarmap.llm import bpe, chat, html, langid, licenses, mixing, order_minhash, simhash, topk
+from scarmap.llm.license_texts import TEMPLATES
 from scarmap.llm.tables import table
 
 
@@ -79,6 +80,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), TEMPLATES)
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -91,6 +96,7 @@ def queries() -> dict:
             op6_mixing,
             op7_bpe,
             op9_language_id,
+            op10_license_scan,
         )
     }
 
