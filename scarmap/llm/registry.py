@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, chat, html, langid, licenses, mixing, order_minhash, simhash, topk
+from scarmap.llm import bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, simhash, topk
 from scarmap.llm.license_texts import TEMPLATES
 from scarmap.llm.tables import table
 
@@ -76,6 +76,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ def queries() -> dict:
             op5_exact_top_k,
             op6_mixing,
             op7_bpe,
+            op8_line_dedup,
             op9_language_id,
             op10_license_scan,
         )
