@@ -7,7 +7,9 @@ FLAGSHIP = "k1_top_fires"
 
 
 def _modules() -> list:
-    return []
+    from scarmap.jobs import fire_queries, record_queries
+
+    return [fire_queries, record_queries]
 
 
 def queries() -> dict:

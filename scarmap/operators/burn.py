@@ -163,6 +163,8 @@ def attach_components(labels: DataFrame, zone: DataFrame, most_m: float = NEAR_M
     around = edge.select("*", F.explode(steps).alias("i")).select("fire", "comp_id", "row", "col", (F.col("br") + F.col("i")).alias("br"), "bc", F.explode(steps).alias("j")).withColumn("bc", F.col("bc") + F.col("j"))
     hot = zone.select("fire", F.col("row").alias("zr"), F.col("col").alias("zc"), F.floor(F.col("row") / reach).alias("br"), F.floor(F.col("col") / reach).alias("bc")).distinct()
     met = around.join(hot, ["fire", "br", "bc"]).withColumn("d", gap_m(F.col("row") - F.col("zr"), F.col("col") - F.col("zc")))
+    inside = labels.join(zone.select("fire", "row", "col"), ["fire", "row", "col"], "left_semi").select("fire", "comp_id", F.lit(0.0).alias("d"))
+    met = met.select("fire", "comp_id", "d").unionByName(inside.distinct())
     return met.groupBy("fire", "comp_id").agg(F.min("d").alias("distance_m")).where(F.col("distance_m") <= most_m)
 
 

@@ -117,18 +117,23 @@ def disambiguate(features: DataFrame) -> DataFrame:
 
 
 def reserves(f: DataFrame) -> Column:
-    """OP-F6: the ordered list of what limits a feature's figures."""
-    return F.array_compact(
-        F.array(
-            F.when(F.col("statut") == "en_attente", F.concat(F.lit("Contour satellite non disponible : "), F.coalesce("motif_attente", F.lit("")))),
-            F.when(F.col("statut") == "en_attente", F.lit("Emprise des points chauds, pas un contour de surface brûlée")),
-            F.when(F.col("part_masquee") > 0.05, F.format_string("%.0f %% de la zone masquée par les nuages ou la fumée", F.col("part_masquee") * 100)),
-            F.when(F.col("fin") > F.col("image_apres"), F.concat(F.lit("points chauds après l'image (jusqu'au "), day_month(F.col("fin").cast("string")), F.lit(")"))),
-            F.when(F.col("n_isoles") > 0, F.concat(F.col("n_isoles").cast("string"), F.lit(" détection(s) isolée(s) à part"))),
-            F.when(F.size(F.coalesce("fusionnes", F.array().cast("array<string>"))) > 0, F.concat(F.lit("regroupe aussi : "), F.array_join("fusionnes", ", "))),
-            F.when(F.col("alerte").isNotNull(), F.col("alerte")),
-        )
+    """OP-F6: the ordered list of what limits a feature's figures, of the columns statut,
+    motif_attente, part_masquee, fin and image_apres (ISO dates), n_isoles, fusionnes, alertes."""
+    pending, none = F.col("statut") == "en_attente", F.array().cast("array<string>")
+    merged = F.coalesce(F.col("fusionnes"), none)
+    after = F.concat(
+        F.lit("chaleur encore détectée le "), day_month(F.col("fin")), F.lit(", après l'image du "), day_month(F.col("image_apres")),
+        F.lit(" — le périmètre s'arrête à cette image et sous-estime probablement la surface finale"),
     )
+    ordered = F.array(
+        F.when(pending, F.coalesce("motif_attente", F.lit("aucune image exploitable"))),
+        F.when(pending, F.lit("emprise des points chauds, pas un périmètre brûlé mesuré")),
+        F.when(F.col("part_masquee") > 0.05, F.format_string("%.0f%% de la zone masquée par les nuages ou la fumée", F.col("part_masquee") * 100)),
+        F.when((F.col("image_apres") != "") & (F.col("fin") > F.col("image_apres")), after),
+        F.when(F.col("n_isoles") > 0, F.concat(F.col("n_isoles").cast("string"), F.lit(" détections isolées écartées du périmètre"))),
+        F.when(F.size(merged) > 0, F.concat(F.lit("détection fusionnée avec : "), F.array_join(merged, ", "))),
+    )
+    return F.concat(F.array_compact(ordered), F.coalesce(F.col("alertes"), none))
 
 
 def to_features(records: DataFrame) -> DataFrame:

@@ -29,22 +29,24 @@ def _pick(ranked: DataFrame, coverage: DataFrame, least: float) -> DataFrame:
     )
 
 
-def pick_post(fires: DataFrame, scenes: DataFrame, coverage: DataFrame, least: float = COVERAGE, tried: int = AFTER_TRIED) -> DataFrame:
+def _binned(boxes: DataFrame, bin_m: int) -> DataFrame:
+    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / bin_m), F.floor(F.col(hi) / bin_m)))
+    return boxes.withColumn("_bx", span("xmin", "xmax")).withColumn("_by", span("ymin", "ymax"))
+
+
+def pick_post(fires: DataFrame, scenes: DataFrame, coverage: DataFrame, least: float = COVERAGE, tried: int = AFTER_TRIED, bin_m: int = 20_000) -> DataFrame:
     """OP-J4, OP-W4: ``(fire, n_tried, scene_id, tile)``: of the newest ``tried`` scenes whose box
     meets the fire's, from its start to the day after ``now``, the first that is clear; null where
     none is. The rank is taken before the coverage is looked at. Fires without scenes have no row.
 
     ``fires(fire, start, now, xmin, ymin, xmax, ymax)``, ``scenes(scene_id, tile, datetime, …)``.
-    The boxes are matched on the degree or metre grid of their ``bin`` columns where both have one.
+    Boxes meet by an equi-join on the ``bin_m`` squares that they touch, then exactly.
     """
-    keys = ["bin"] if "bin" in fires.columns and "bin" in scenes.columns else []
-    f, s = fires.alias("f"), scenes.alias("s")
+    f, s = _binned(fires, bin_m).alias("f"), _binned(scenes, bin_m).alias("s")
+    same = (F.col("f._bx") == F.col("s._bx")) & (F.col("f._by") == F.col("s._by"))
     meets = (F.col("f.xmin") <= F.col("s.xmax")) & (F.col("s.xmin") <= F.col("f.xmax")) & (F.col("f.ymin") <= F.col("s.ymax")) & (F.col("s.ymin") <= F.col("f.ymax"))
-    when = (F.col("s.datetime") >= F.col("f.start")) & (F.col("s.datetime") <= F.date_add(F.col("f.now").cast("date"), 1))
-    condition = meets & when
-    for k in keys:
-        condition = condition & (F.col(f"f.{k}") == F.col(f"s.{k}"))
-    found = f.join(s, condition).select("f.fire", "s.scene_id", "s.tile", "s.datetime").distinct()
+    when = (F.col("s.datetime") >= F.col("f.start")) & (F.col("s.datetime").cast("date") <= F.date_add(F.col("f.now").cast("date"), 1))
+    found = f.join(s, same & meets & when).select("f.fire", "s.scene_id", "s.tile", "s.datetime").distinct()
     order = W.partitionBy("fire").orderBy(F.desc("datetime"), "scene_id")
     return _pick(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= tried), coverage, least)
 
