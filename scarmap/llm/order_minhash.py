@@ -101,7 +101,7 @@ def _next_documents(keys: DataFrame) -> DataFrame:
     by_part = W.partitionBy(F.lit(0)).orderBy("part")
     after = firsts.select("part", F.coalesce(F.lead("first").over(by_part), F.first("first").over(by_part)).alias("after"))
     joined = ahead.join(after, "part").withColumn("next", F.coalesce("ahead", "after"))
-    return written(joined.select("kid", "th", "n", F.col("next.kid").alias("next_kid"), F.col("next.th").alias("next_th")), "next")
+    return written(joined.select("doc_id", "kid", "th", "n", F.col("next.kid").alias("next_kid"), F.col("next.th").alias("next_th")), "next")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -119,13 +119,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     are ignored.
     """
     text = F.coalesce(docs["text"], F.lit(""))
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).cast("long").alias("kid"), F.xxhash64(text, docs["doc_id"].isNull()).alias("th"), text.alias("text"))
-    chain = _next_documents(keyed.select("doc_id", "kid", "th", F.length("text").alias("n")).distinct())
+    kid, th = F.coalesce(docs["doc_id"], F.lit(0)).cast("long").alias("kid"), F.xxhash64(text, docs["doc_id"].isNull()).alias("th")
+    chain = _next_documents(docs.select("doc_id", kid, th, F.length(text).alias("n")).distinct())
+    keyed = docs.select(kid, th, text.alias("text"))  # the same columns for both joins, so that one exchange serves them
     wanted = chain.select(
-        F.col("next_kid").alias("kid"), F.col("next_th").alias("th"), F.col("kid").alias("to_kid"), F.col("th").alias("to_th"), F.floor(F.col("n") / 4).cast("int").alias("q")
+        F.col("next_kid").alias("kid"), F.col("next_th").alias("th"), F.col("kid").alias("to_kid"), F.col("th").alias("to_th"), "doc_id", F.floor(F.col("n") / 4).cast("int").alias("q")
     )
-    pieces = keyed.join(wanted, ["kid", "th"]).select(F.col("to_kid").alias("kid"), F.col("to_th").alias("th"), "q", F.expr("left(text, q)").alias("piece"))
-    pieces = pieces.groupBy("kid", "th").agg(F.min("q").alias("q"), F.min("piece").alias("piece"))
+    pieces = keyed.join(wanted, ["kid", "th"]).select(F.col("to_kid").alias("kid"), F.col("to_th").alias("th"), "doc_id", "q", F.expr("left(text, q)").alias("piece"))
+    pieces = pieces.groupBy("kid", "th").agg(F.min("doc_id").alias("doc_id"), F.min("q").alias("q"), F.min("piece").alias("piece"))
     edited = keyed.join(pieces, ["kid", "th"]).select(
         "doc_id", "kid", "th", "text", F.length("text").cast("long").alias("n_chars"), F.expr("concat(left(text, length(text) - q), piece)").alias("edited")
     )
