@@ -129,3 +129,24 @@ def test_files(spark, tmp_path):
     (tmp_path / "g.geojson").write_text('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"surface_ha": 1.5}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}}]}')
     g = files.read_geojson(spark, str(tmp_path / "g.geojson")).first()
     assert g.multi == [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0]]]] and g.properties["surface_ha"] == "1.5"
+
+
+def test_entry_and_oracles_name_the_same_queries():
+    import __spark_entry__ as e
+
+    assert set(e.oracle_sql()) <= set(e.queries()) and len(e.oracle_sql()) > 50
+
+
+def test_status_merge(spark):
+    schema = "id string, statut string, premier date, dernier date, surface_ha double, surface_estimee_ha double, motif string, prochain_passage date"
+    a = [("a", "mesure", d("2024-01-01"), d("2024-01-02"), 5.0, None, None, None), ("b", "en_attente", d("2024-01-01"), d("2024-01-02"), None, 7.0, "m", d("2024-02-01"))]
+    t = [("a", "en_attente", d("2024-01-03"), d("2024-01-09"), None, 9.0, "x", None), ("b", "ecarte", d("2024-01-03"), d("2024-01-09"), None, None, "y", None), ("c", "ecarte", d("2024-01-03"), d("2024-01-09"), None, None, "y", None)]
+    got = {r.id: r for r in records.merge_status(spark.createDataFrame(a, schema), spark.createDataFrame(t, schema)).collect()}
+    assert set(got) == {"a", "b"} and (got["a"].statut, got["a"].surface_ha) == ("mesure", 5.0)
+    assert (got["b"].statut, got["b"].motif, got["b"].premier, got["b"].dernier, got["b"].prochain_passage) == ("ecarte", "y", d("2024-01-01"), d("2024-01-09"), None)
+
+
+def test_next_pass_takes_the_longest_recent_gap(spark):
+    days = ["2024-01-01", "2024-01-06", "2024-01-11", "2024-01-14"]
+    df = spark.createDataFrame([("p", d(x)) for x in days] + [("q", d(days[0]))], "place string, datetime date")
+    assert {r.place: r.next_pass for r in scenes.next_pass(df, "2024-01-20").collect()} == {"p": d("2024-01-24"), "q": None}
