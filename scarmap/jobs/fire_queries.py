@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scarmap.functions import geo
 from scarmap.jobs.inputs import cte, view
-from scarmap.operators import burn, hotspots, publish, scenes, validate
+from scarmap.operators import burn, hotspots, outlines, publish, scenes, validate
 from scarmap.shared import written
 
 QUERIES, ORACLE = {}, {}
@@ -375,3 +375,23 @@ def a12_assemble_products(spark, sf_dir):
     z = view(spark, sf_dir, "zones")
     parts = z.select((F.col("geom_id") % 50).alias("produit"), F.col("geom_id").alias("part_id"), (F.col("p_size") % 4).cast("string").alias("dmg_src_id")).distinct()
     return validate.assemble_products(parts, z.select(F.col("geom_id").alias("part_id"), "cx", "cy"))
+
+
+@query(_COMPONENTS + "s AS (SELECT 1) SELECT fire, comp_id, count(*) AS n_pixels FROM labels GROUP BY fire, comp_id")
+def u4_outlines(spark, sf_dir):
+    """The area that a component's rings enclose, holes taken off, is that of its pixels."""
+    labels = written(burn.burn_components(burn.burn_mask(_pairs(spark, sf_dir)), block=16), "labels")
+    rings = outlines.outlines(labels, tolerance_m=0.0)
+    turns = F.transform(F.sequence(F.lit(0), F.size("xy") - 2), lambda i: F.get("xy", i)[0] * F.get("xy", i + 1)[1] - F.get("xy", i + 1)[0] * F.get("xy", i)[1])
+    area = rings.select("fire", "comp_id", F.aggregate(turns, F.lit(0.0), lambda t, x: t + x).alias("a2"))
+    return area.groupBy("fire", "comp_id").agg(F.round(F.abs(F.sum("a2")) / 800).cast("long").alias("n_pixels"))
+
+
+@query("SELECT p_partkey AS geom_id, (p_size % 9 + 1) * (p_partkey % 5 + 2) - 1 AS n_cells FROM part")
+def u3_rasterise(spark, sf_dir):
+    """Rectangles of whole cells, each with a hole of one cell."""
+    k = F.col("p_partkey")
+    x, y, w, h = (k * 7 % 400) * 20, (k * 13 % 300) * 20, (F.col("p_size") % 9 + 1) * 20, (k % 5 + 2) * 20
+    box = lambda x0, y0, x1, y1: F.array(*[F.array(a.cast("double"), b.cast("double")) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))])
+    rings = spark.read.parquet(f"{sf_dir}/part.parquet").select(k.alias("geom_id"), F.explode(F.array(box(x, y, x + w, y + h), box(x, y, x + 20, y + 20))).alias("ring"))
+    return burn.rasterise(rings).groupBy("geom_id").agg(F.count("*").alias("n_cells"))

@@ -150,3 +150,13 @@ def test_next_pass_takes_the_longest_recent_gap(spark):
     days = ["2024-01-01", "2024-01-06", "2024-01-11", "2024-01-14"]
     df = spark.createDataFrame([("p", d(x)) for x in days] + [("q", d(days[0]))], "place string, datetime date")
     assert {r.place: r.next_pass for r in scenes.next_pass(df, "2024-01-20").collect()} == {"p": d("2024-01-24"), "q": None}
+
+
+def test_outlines_of_a_square_with_a_hole_and_corner_contact(spark):
+    from scarmap.operators import outlines
+
+    cells = [(1, r, c) for r in range(6) for c in range(6) if (r, c) not in {(2, 2), (3, 3)}]
+    labels_ = burn.burn_components(spark.createDataFrame(cells, "fire long, row long, col long"))
+    rings = [r.xy for r in outlines.outlines(labels_).collect()]
+    area = sum(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(x, x[1:], strict=False)) / 2 for x in rings)
+    assert len(rings) in (2, 3) and abs(area) == 34 * 400 and sorted(len(x) for x in rings)[-1] >= 5
