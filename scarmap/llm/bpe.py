@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 # The pattern that the vocabulary's pre-tokenizer splits by.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pieces and token pairs a worker remembers before it starts anew.
-REMEMBERED = 1 << 18
+#: Pieces (about 200 bytes each) and token pairs a worker remembers before it starts anew.
+REMEMBERED_PIECES, REMEMBERED = 1 << 19, 1 << 17
 #: Tokens decoded at a time.
 DECODED_AT_ONCE = 1 << 16
 
@@ -52,6 +53,7 @@ class Vocabulary:
         self.text_of: list[str | None] = [None] * size
         for t, i in self.id_of.items():
             self.text_of[i] = t
+        self.lengths = [len(t or "") for t in self.text_of]
         self.born = [-1] * size  # the rank of the merge that makes a token
         self.parts: list[tuple[int, int] | None] = [None] * size
         self.merged: dict[tuple[int, int], int] = {}
@@ -106,32 +108,38 @@ class Vocabulary:
     def merge(self, piece: str) -> list[int]:
         """Tokens of one pre-token, given as a string of bytes."""
         whole = self.id_of.get(piece)
-        if whole is not None and len(piece) == 1:
+        if whole is not None:  # the first try, with nothing before it to disagree
             return [whole]
-        longest: list[int] = [0] * len(piece)
+        size, lengths, shorter, known = len(piece), self.lengths, self.shorter, self._goes
+        longest: list[int] = [0] * size
         for end, (n, token) in self.automaton.iter(piece):
             longest[end - n + 1] = token  # ends ascend, so the last one is the longest
         dead, taken, at, token = set(), [], 0, longest[0]
-        while at < len(piece):
-            end = at + len(self.text_of[token])
-            if end not in dead and (not taken or self.compatible(taken[-1], token)):
+        while at < size:
+            end = at + lengths[token]
+            fits = end not in dead
+            if fits and taken:
+                fits = known.get((taken[-1], token))
+                if fits is None:
+                    fits = self.compatible(taken[-1], token)
+            if fits:
                 taken.append(token)
                 at = end
-                if at < len(piece):
+                if at < size:
                     token = longest[at]
-            elif self.shorter[token] is not None:
-                token = self.shorter[token]
+            elif (less := shorter[token]) is not None:
+                token = less
             else:
                 dead.add(at)
                 token = taken.pop()
-                at -= len(self.text_of[token])
+                at -= lengths[token]
         return taken
 
     def _packed(self, piece: str) -> bytes:
-        if len(self._known) >= REMEMBERED:
+        if len(self._known) >= REMEMBERED_PIECES:
             self._known.clear()
         ids = self.merge(piece.encode("utf-8").decode("latin-1"))
-        packed = self._known[piece] = np.array(ids, "<u4").tobytes()
+        packed = self._known[piece] = pack(f"<{len(ids)}I", *ids)
         return packed
 
     def encode(self, text: str | None) -> bytes:
@@ -212,6 +220,21 @@ def decoder(spark, path: str):
     return decoded
 
 
+def round_trip(spark, path: str):
+    """A function from a text column to ``struct<ids, decoded>``: both ways in one worker, which
+    holds one copy of the vocabulary."""
+    content = _Shared(spark, path)
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocabulary = _vocabulary(content)
+        for texts in batches:
+            ids = [vocabulary.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([vocabulary.decode(x) for x in ids], dtype=object)})
+
+    return both
+
+
 def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded)`` for every row of ``docs(doc_id, text, …)``.
 
@@ -219,7 +242,6 @@ def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
     empty text; very long texts are encoded whole; repeated rows and null doc_ids stay as they are;
     an empty table gives no rows; other columns, whatever their names, are ignored.
     """
-    spark = docs.sparkSession
-    ids: Column = encoder(spark, path)(docs["text"])
-    out = docs.select("doc_id", ids.alias("ids"))
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", decoder(spark, path)(out["ids"]).alias("decoded"))
+    both: Column = round_trip(docs.sparkSession, path)(docs["text"])
+    out = docs.select("doc_id", both.alias("t"))
+    return out.select("doc_id", (F.octet_length("t.ids") / 4).cast("long").alias("n_tokens"), "t.ids", "t.decoded")
