@@ -14,13 +14,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scarmap.shared import written
+
 DIMS = 1024
 #: Symbols: 0 is any run of other characters, then Latin letters by themselves, others in slots.
 LATIN, SLOTS = 0x250, 64
-#: Training texts of a language at most, those of the smallest hash of doc_id.
+#: Training texts of a language, about; those of the smallest hashes of doc_id.
 TRAINED_ON = 1500
 #: Label where there is nothing to go by.
 UNDETERMINED = "und"
@@ -113,15 +114,17 @@ class Bound:
 
 
 def training_sample(docs: DataFrame, label: str, most: int) -> DataFrame:
-    """Rows of at most ``most`` documents of each label, those of the smallest hash of doc_id.
+    """About ``most`` rows of each label (all, where there are fewer): those whose hash of doc_id
+    is within that share of the hash range.
 
-    Only ids and labels are ranked, and each map task passes on ``most`` of a label at most, so a
-    label with a third of all rows is no large group.
+    Labels are counted first, one row each; the share is then a filter where the texts are read,
+    so a label with a third of all rows is no large group and no text is shuffled.
     """
-    ids = docs.where(F.col(label).isNotNull()).select("doc_id", label)
-    ranked = ids.withColumn("_n", F.row_number().over(W.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")))
-    chosen = ranked.where(F.col("_n") <= most).select("doc_id").distinct()
-    return docs.where(F.col(label).isNotNull()).select("doc_id", "text", label).join(chosen, "doc_id", "left_semi")
+    labelled = docs.where(F.col(label).isNotNull()).select("doc_id", "text", label)
+    shares = labelled.groupBy(label).agg(F.count("*").alias("_n")).select(F.col(label).alias("_label"), (F.lit(float(most)) / F.col("_n")).alias("_share"))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    joined = labelled.join(written(shares, "labels"), F.col(label) == F.col("_label"))
+    return joined.where(at < F.col("_share")).select("doc_id", "text", label)
 
 
 def train_profiles(docs: DataFrame, label: str = "lang", most: int = TRAINED_ON, dims: int = DIMS) -> tuple[list[str], np.ndarray]:
