@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pieces (about 200 bytes each) and token pairs a worker remembers before it starts anew.
-REMEMBERED_PIECES, REMEMBERED = 1 << 19, 1 << 17
+REMEMBERED_PIECES, REMEMBERED = 1 << 18, 1 << 17
 #: Tokens decoded at a time.
 DECODED_AT_ONCE = 1 << 16
 
@@ -135,6 +135,11 @@ class Vocabulary:
                 at -= lengths[token]
         return taken
 
+    def forget(self) -> None:
+        """Give back what was remembered; a Python worker lives on after its task."""
+        self._known.clear()
+        self._goes.clear()
+
     def _packed(self, piece: str) -> bytes:
         if len(self._known) >= REMEMBERED_PIECES:
             self._known.clear()
@@ -231,6 +236,7 @@ def round_trip(spark, path: str):
         for texts in batches:
             ids = [vocabulary.encode(t) for t in texts]
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([vocabulary.decode(x) for x in ids], dtype=object)})
+        _vocabulary(content).forget()
 
     return both
 
