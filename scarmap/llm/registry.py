@@ -107,5 +107,26 @@ def queries() -> dict:
     }
 
 
+_ESCAPED = "length(replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g'))"
+
+ORACLE = {
+    "op3_chat_formatting": f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+        r AS (SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS starts FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum({_ESCAPED.format("text")} + CASE WHEN starts THEN 6 + {_ESCAPED.format("role")} ELSE 3 END) AS BIGINT) AS formatted_chars
+        FROM r GROUP BY conv_id""",
+    "op5_exact_top_k": """
+        WITH e AS (SELECT vec_id AS id, list_transform(embedding, lambda v: floor(CAST(v AS DOUBLE) * 256)) AS x FROM embeddings
+                   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+        p AS (SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score FROM e q JOIN e c ON q.id <> c.id WHERE q.id % 50 = 0),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
+
+
 def oracle_sql() -> dict:
-    return {}
+    return dict(ORACLE)
