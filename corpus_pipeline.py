@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, langid, line_dedup, mixing, simhash
+from scarmap.llm import bpe, langid, line_dedup, mixing, near_copies
 from scarmap.llm.registry import tokenizer_path
 from scarmap.llm.tables import table
 from scarmap.shared import written
@@ -29,8 +29,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near copies."""
-    return simhash.simhash_dedup(docs, shingle=5)
+    """One document, that of the smallest doc_id, of each group linked by a five-word Jaccard likeness of 0.8 or more."""
+    return near_copies.near_dedup(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
