@@ -16,10 +16,9 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scarmap.operators.components import connected_components
+from scarmap.llm.similar_sets import crowds, similar_components
 from scarmap.shared import written
 
 #: Shorter lines (code points, normalised) say too little to be copies of each other and stay.
@@ -28,8 +27,6 @@ SHINGLE, SIMILAR = 10, 0.8
 #: Two lines at SIMILAR agree in a band with probability 0.8 ** ROWS = 0.41, and in one or more of
 #: the bands with 1 - 0.59 ** BANDS = 0.985; at 0.9 it is 0.9999.
 BANDS, ROWS = 8, 4
-#: In a bucket of more lines than this each is compared with its neighbours in a few hash orders.
-PAIR_BUCKET, ORDERS = 16, 6
 #: Code points hashed at a time, but for a longer line.
 AT_ONCE = 1 << 20
 _SEEDS = np.random.default_rng(97).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -156,29 +153,27 @@ def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
     return pairs.join(a, "src").join(b, "dst").where(likeness("a", "b") >= similar).select("src", "dst")
 
 
+def _grams(texts: DataFrame) -> DataFrame:
+    """``(id, grams)`` of ``texts(line_id, line)``: the hashes of each line's different shingles."""
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            grams = [np.array(sorted({line_key(x) for x in _shingles(line)}), np.int64) for line in batch["line"]]
+            yield pd.DataFrame({"id": batch["line_id"], "grams": pd.Series(grams, dtype=object)})
+
+    return texts.mapInPandas(hashed, "id long, grams array<long>")
+
+
 def similar_lines(docs: DataFrame, keyed: DataFrame, similar: float = SIMILAR, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``(node, component)`` of the lines linked to another, from ``keyed(line_id, keys)``.
+    """``(node, component)`` of the lines linked to another, from ``keyed(line_id, keys)``: the
+    components of all pairs that meet in a band, however large its bucket."""
+    members = crowds(keyed.where("keys is not null").select(F.col("line_id").alias("id"), "keys"))
+    texts = written(lines_of(docs, members.select(F.col("id").alias("line_id")).distinct(), least_chars), "lines")
 
-    In a bucket of up to PAIR_BUCKET lines all are compared. In a larger one, each is compared with
-    the smallest and with its neighbours in ORDERS hash orders: in proportion to the bucket. Lines
-    that are alike share most bands and meet so in each of them; links between lines that never
-    meet are lost (README has figures).
-    """
-    banded = keyed.where("keys is not null").select("line_id", F.explode("keys").alias("key"))
-    dealt = banded.repartition("key").distinct()
-    buckets = dealt.groupBy("key").agg(F.min("line_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    members = written(dealt.join(buckets, "key"), "buckets")
-    texts = written(lines_of(docs, members.select("line_id").distinct(), least_chars), "lines")
-
-    def pairs(x: DataFrame, other: str) -> DataFrame:
-        return x.where(F.col("line_id") != F.col(other)).select(F.greatest("line_id", other).alias("src"), F.least("line_id", other).alias("dst"))
-
-    small, large = members.where(F.col("n") <= PAIR_BUCKET), members.where(F.col("n") > PAIR_BUCKET)
-    first = pairs(small.join(small.select("key", F.col("line_id").alias("other")), "key"), "other").unionByName(pairs(large, "first"))
-    for order in range(ORDERS):
-        near = W.partitionBy("key").orderBy(F.xxhash64("line_id", F.lit(order)), "line_id")
-        first = first.unionByName(pairs(large.withColumn("other", F.lead("line_id").over(near)).where("other is not null"), "other"))
-    return connected_components(_verified(first.distinct(), texts, similar))
+    def sets(ids: DataFrame) -> DataFrame:
+        return _grams(texts.join(ids, texts["line_id"] == ids["id"], "left_semi"))
+
+    return similar_components(members, sets, lambda pairs: _verified(pairs, texts, similar), similar)
 
 
 def _dropped(docs: DataFrame, similar: float, least_chars: int) -> DataFrame:
