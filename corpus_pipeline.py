@@ -24,7 +24,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents rid of lines that repeat an earlier one; those left without a word go."""
-    out = line_dedup.dedup_lines(docs).select(*docs.columns)
+    out = line_dedup.dedup_lines(docs, least_chars=line_dedup.EVERY_LINE).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from scarmap.llm.similar_sets import crowds, similar_components
 from scarmap.shared import written
 
-#: Shorter lines (code points, normalised) say too little to be copies of each other and stay.
+#: Shorter lines (code points, normalised) stay where a caller of the functions names no other bound.
 LEAST_CHARS = 40
+#: The bound of the queries: every line that isn't empty takes part.
+EVERY_LINE = 1
 SHINGLE, SIMILAR = 10, 0.8
 #: Two lines at SIMILAR agree in a band with probability 0.8 ** ROWS = 0.41, and in one or more of
 #: the bands with 1 - 0.59 ** BANDS = 0.985; at 0.9 it is 0.9999.
@@ -85,7 +87,7 @@ _PLACES = "doc_id long, row long, place int, line_id long, keys array<long>"
 def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``(doc_id, row, place, line_id, keys)`` of the lines that take part, of
     ``docs(doc_id, row, text)``. A line met again in a batch has null keys, so a very common line
-    sends its keys on once a batch."""
+    sends its keys on once a batch; one shorter than a shingle has none."""
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -106,7 +108,7 @@ def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
                 if len(line) < least_chars:
                     continue
                 key = line_key(line)
-                new = key not in at
+                new = key not in at and len(line) >= SHINGLE  # shorter ones are one shingle, so only equal to their copies
                 if new:
                     at[key] = 1
                     lines.append(line)

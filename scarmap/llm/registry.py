@@ -78,7 +78,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, least_chars=line_dedup.EVERY_LINE)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 import random
 
+import corpus_pipeline
 from pyspark.sql import functions as F
-from scarmap.llm import line_dedup, similar_sets
+from scarmap.llm import line_dedup, registry, similar_sets
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,3 +43,14 @@ def test_true_pairs_of_crowded_buckets_are_all_linked(spark):
     assert all(ids[i] in got and got[ids[i]] == got.get(ids[j]) for i, j in want)
     assert len(set(got.values())) >= len(want) - 5  # unlike lines are not joined
     assert similar_sets.PAIR_BUCKET < 500
+
+
+def test_queries_drop_short_copies(spark, tmp_path):
+    short = ["ok", "Read more", "all rights reserved here", "x" * 39, "\u00e9"]
+    rows = [(i, "\n".join([f"line of document {i * 7919} alone {'abcdefgh'[i] * 30}", "", *short, ""])) for i in range(8)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {0: rows[0][1]} | {i: "\n".join([t.split("\n")[0], "", ""]) for i, t in rows if i}
+    got = registry.queries()["op8_line_dedup"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in got} == want and {r.n_dropped for r in got} == {0, len(short)}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, docs, str(tmp_path)).collect()} == want
