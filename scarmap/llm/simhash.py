@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scarmap.llm.near_copies import first_rows, row_keys
 from scarmap.operators.components import connected_components
 from scarmap.shared import written
 
@@ -121,6 +122,13 @@ def fingerprint_links(distinct: DataFrame, radius: int = 3, pair_bucket: int = P
     return pairs.unionByName(stars)
 
 
+def _placed(marked: DataFrame, radius: int, pair_bucket: int) -> DataFrame:
+    """``(fp, least, component)`` of each fingerprint of ``marked(doc_id, fp, …)``."""
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    links = connected_components(fingerprint_links(nodes.select("fp"), radius, pair_bucket))
+    return written(nodes.join(links, nodes["fp"] == links["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "components")
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, pair_bucket: int = PAIR_BUCKET) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs(doc_id, text, …)``.
 
@@ -134,18 +142,16 @@ def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, pair_
     gives no rows; other columns are ignored.
     """
     marked = written(docs.select("doc_id", fingerprints(docs, shingle).alias("fp")), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links = connected_components(fingerprint_links(nodes.select("fp"), radius, pair_bucket))
-    placed = written(nodes.join(links, nodes["fp"] == links["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "components")
+    placed = _placed(marked, radius, pair_bucket)
     named = placed.join(placed.groupBy("component").agg(F.min("least").alias("component_id")), "component")
     return marked.join(named.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The documents whose doc_id is their component's smallest; of rows repeating that doc_id, all
-    columns being equal or not, the one of the smallest text stays. Rows of a null doc_id stay only
-    where their component has no doc_id at all."""
-    kept = simhash_components(docs.select("doc_id", "text"), shingle, radius)
-    keepers = kept.where("doc_id <=> component_id").select("doc_id").distinct()
-    stay = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["doc_id"]), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    """One row, the first by doc_id (nulls last) and then hashes of text and row, of each component
+    of ``docs(doc_id, text, …)``, all columns. Rows of one doc_id, or of none, whose texts are in
+    different components all stay."""
+    keyed = row_keys(docs)
+    marked = written(keyed.select("doc_id", "_t", "_r", fingerprints(keyed, shingle).alias("fp")), "fingerprints")
+    placed = _placed(marked, radius, PAIR_BUCKET).select("fp", "component")
+    return first_rows(docs, marked.join(placed, "fp"))
