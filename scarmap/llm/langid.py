@@ -53,9 +53,10 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     of, n = _symbols()
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     parts = []
-    carried = np.zeros(1, np.int64)  # a text begins after a gap
+    carried = np.zeros(1, np.int64)  # a text begins after a gap, and ends with one
     for at in range(0, len(points), COUNTED_AT_ONCE):
-        s = np.concatenate([carried, of[points[at : at + COUNTED_AT_ONCE]]])
+        end = np.zeros(int(at + COUNTED_AT_ONCE >= len(points)), np.int64)
+        s = np.concatenate([carried, of[points[at : at + COUNTED_AT_ONCE]], end])
         keep = np.ones(len(s), bool)
         keep[1:] = (s[1:] != 0) | (s[:-1] != 0)
         s = s[keep]
