@@ -2,23 +2,38 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in local tests.
-LOCAL_FOLDER = "/tmp/checkpoints/scarmap"
+#: Paths of :func:`written` that are still there, for :func:`discard_all`.
+_ALIVE: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; set to a local one where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, a folder of this machine serves a local session; a cluster has none that its
+    executors share, so there the setting is asked for.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = LOCAL_FOLDER
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and every executor share")
+        folder = tempfile.mkdtemp(prefix="scarmap-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses, to be deleted by :func:`discard_all`."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _ALIVE.add(path)
+    return path
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
@@ -26,18 +41,28 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     columns and statistics rather than from the whole lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scarmap_path = path
     return out
 
 
-def discard(df: DataFrame | None) -> None:
-    """Delete a table of :func:`written` that nothing reads any more."""
-    path = getattr(df, "_scarmap_path", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+    _ALIVE.discard(path)
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for df in frames:
+        if (path := getattr(df, "_scarmap_path", None)) is not None:
+            _delete(df.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every table that this process has written to the shared folder and that is still
+    there. Results of queries are lazy and read such tables: call this once they are stored."""
+    for path in list(_ALIVE):
+        _delete(spark, path)
