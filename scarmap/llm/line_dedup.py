@@ -9,7 +9,6 @@ connected component of lines one place, the first, is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,8 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.llm.similar_sets import crowds, similar_components
-from scarmap.shared import written
+from scarmap.llm.similar_sets import BLOCK, BLOCK_ELEMENTS, crowds, similar_components
+from scarmap.shared import discard, written
 
 #: Shorter lines (code points, normalised) stay where a caller of the functions names no other bound.
 LEAST_CHARS = 40
@@ -29,8 +28,8 @@ SHINGLE, SIMILAR = 10, 0.8
 #: Two lines at SIMILAR agree in a band with probability 0.8 ** ROWS = 0.41, and in one or more of
 #: the bands with 1 - 0.59 ** BANDS = 0.985; at 0.9 it is 0.9999.
 BANDS, ROWS = 8, 4
-#: Code points hashed at a time, but for a longer line.
-AT_ONCE = 1 << 20
+#: Code points hashed at a time.
+AT_ONCE = 1 << 18
 _SEEDS = np.random.default_rng(97).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
@@ -47,76 +46,102 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """Keys (lines, BANDS) of normalised lines of SHINGLE code points or more.
+def _run_hashes(points: np.ndarray) -> np.ndarray:
+    """A hash of each run of SHINGLE (ten) code points: the polynomial of the run, built by doubling."""
+    p = points.astype(np.uint64) + np.uint64(1)
+    c, c2, c4 = (np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 4))
+    h2 = p[:-1] * c + p[1:]
+    h4 = h2[:-2] * c2 + h2[2:]
+    h8 = h4[:-4] * c4 + h4[4:]
+    return _mixed(h8[:-2] * c2 + h2[8:])
 
-    The lines are hashed as one array: each run of SHINGLE code points has a hash, a hash order is
-    its product with an odd number, and a line's smallest is taken over the runs within it.
-    """
-    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    n = len(points) - SHINGLE + 1
-    h = np.zeros(n, np.uint64)
-    for j in range(SHINGLE):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + (points[j : j + n] + np.uint32(1))
-    low = (_mixed(h) >> np.uint64(16)).astype(np.uint32)
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _minima(lines: list[str]) -> np.ndarray:
+    """(lines, BANDS * ROWS): the smallest value in each hash order over a line's runs. The lines are
+    hashed as one array; an order is the product with an odd number."""
+    low = (_run_hashes(_points("".join(lines))) >> np.uint64(16)).astype(np.uint32)
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(lengths) - lengths
     bounds = np.stack([starts, starts + lengths - SHINGLE + 1], axis=1).ravel()[:-1]  # runs over an end are left out
-    key = np.tile(np.arange(BANDS, dtype=np.uint64), (len(lines), 1))
-    for band in range(BANDS):
-        for row in range(ROWS):
-            least = np.minimum.reduceat(low * _SEEDS[band * ROWS + row], bounds)[::2]
-            key[:, band] = _mixed(key[:, band] * np.uint64(0x9E3779B97F4A7C15) + least)
-    return key.view(np.int64)
+    out, values = np.empty((len(lines), BANDS * ROWS), np.uint32), np.empty_like(low)
+    for order in range(BANDS * ROWS):
+        out[:, order] = np.minimum.reduceat(np.multiply(low, _SEEDS[order], out=values), bounds)[::2]
+    return out
 
 
-@lru_cache(2048)
-def _shingles(line: str) -> frozenset[str]:
-    return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+def band_keys(lines: list[str]) -> np.ndarray:
+    """Keys (lines, BANDS) of normalised lines of SHINGLE code points or more. A line of over
+    AT_ONCE code points is hashed in overlapping pieces."""
+    pieces, of = [], []
+    for i, line in enumerate(lines):
+        for at in range(0, max(1, len(line) - SHINGLE + 1), AT_ONCE):
+            pieces.append(line[at : at + AT_ONCE + SHINGLE - 1])
+            of.append(i)
+    least, lo, held = [], 0, 0
+    for i, piece in enumerate(pieces):
+        held += len(piece)
+        if held >= AT_ONCE or i == len(pieces) - 1:
+            least.append(_minima(pieces[lo : i + 1]))
+            lo, held = i + 1, 0
+    minima = np.concatenate(least) if least else np.zeros((0, BANDS * ROWS), np.uint32)
+    if len(pieces) > len(lines):
+        minima = np.minimum.reduceat(minima, np.flatnonzero(np.diff(of, prepend=-1)), axis=0)
+    key = np.tile(np.arange(BANDS, dtype=np.uint64), (len(lines), 1))
+    for row in range(ROWS):
+        key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + minima[:, row::ROWS])
+    return key.view(np.int64)
 
 
-def jaccard(a: str, b: str) -> float:
-    x, y = _shingles(a), _shingles(b)
-    both = len(x & y)
-    return both / (len(x) + len(y) - both)
+def shingle_sets(lines: list[str]) -> list[np.ndarray]:
+    """Sorted hashes of each line's different shingles; a line shorter than a shingle is one."""
+    return [np.unique(_run_hashes(_points(x))) if len(x) >= SHINGLE else np.array([line_key(x)]).view(np.uint64) for x in lines]
 
 
-_PLACES = "doc_id long, row long, place int, line_id long, keys array<long>"
+_PLACES = "doc_id long, row long, place int, line_id long, size int, keys array<long>"
 
 
 def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``(doc_id, row, place, line_id, keys)`` of the lines that take part, of
+    """``(doc_id, row, place, line_id, size, keys)`` of the lines that take part, of
     ``docs(doc_id, row, text)``. A line met again in a batch has null keys, so a very common line
     sends its keys on once a batch; one shorter than a shingle has none."""
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        at: list[list[int]] = [[] for _ in range(5)]
+        counts: list[int] = []
         lines: list[str] = []
-        at: dict[int, int] = {}
+        known: set[int] = set()
         held = 0
 
         def flush() -> pa.RecordBatch:
-            keys = band_keys(lines) if lines else np.zeros((0, BANDS), np.int64)
-            offsets = np.concatenate([[0], np.cumsum([BANDS if r[4] else 0 for r in out])])
-            columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64()))]
-            columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel())))
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "place", "line_id", "keys"])
+            keys = band_keys(lines)
+            offsets = np.concatenate([[0], np.cumsum(counts, dtype=np.int64) * BANDS])
+            nulls = np.array(counts, bool) == 0
+            columns = [pa.array(c, t) for c, t in zip(at, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)]
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel()), mask=pa.array(nulls)))
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "place", "line_id", "size", "keys"])
 
         for doc_id, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
-            for place, line in enumerate((text or "").split("\n")):
-                line = normalised(line)
-                if len(line) < least_chars:
+            for place, line in enumerate((text or "").lower().split("\n")):
+                line = " ".join(line.split())
+                size = len(line)
+                if size < least_chars:
                     continue
                 key = line_key(line)
-                new = key not in at and len(line) >= SHINGLE  # shorter ones are one shingle, so only equal to their copies
+                new = size >= SHINGLE and key not in known  # shorter ones are one shingle, so only equal to their copies
                 if new:
-                    at[key] = 1
+                    known.add(key)
                     lines.append(line)
-                    held += len(line)
-                out.append((doc_id, row, place, key, new))
-                if held >= AT_ONCE:
+                    held += size
+                for c, v in zip(at, (doc_id, row, place, key, size), strict=True):
+                    c.append(v)
+                counts.append(new)
+                if held >= 4 * AT_ONCE:
                     yield flush()
-                    out, lines, held = [], [], 0
+                    at, counts, lines, held = [[] for _ in range(5)], [], [], 0
         yield flush()
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,66 +154,46 @@ def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 def lines_of(docs: DataFrame, wanted: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``(line_id, line)``: the normalised text of each line in ``wanted(line_id)``, once."""
 
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {}
-            for text in batch["text"]:
-                for line in (text or "").split("\n"):
-                    line = normalised(line)
+            for text in batch.column("text").to_pylist():
+                for line in (text or "").lower().split("\n"):
+                    line = " ".join(line.split())
                     if len(line) >= least_chars:
                         out[line_key(line)] = line
-            yield pd.DataFrame({"line_id": pd.Series(list(out), dtype="int64"), "line": pd.Series(list(out.values()), dtype=object)})
+            yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.string())], ["line_id", "line"])
 
-    found = docs.select("text").mapInPandas(texts, "line_id long, line string")
+    found = docs.select("text").mapInArrow(texts, "line_id long, line string")
     return found.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.min("line").alias("line"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
-    """The pairs ``(src, dst)`` whose exact Jaccard likeness is ``similar`` or more."""
-
-    @F.pandas_udf("double")
-    def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
-
-    a = texts.select(F.col("line_id").alias("src"), F.col("line").alias("a"))
-    b = texts.select(F.col("line_id").alias("dst"), F.col("line").alias("b"))
-    return pairs.join(a, "src").join(b, "dst").where(likeness("a", "b") >= similar).select("src", "dst")
-
-
-def _grams(texts: DataFrame) -> DataFrame:
-    """``(id, grams)`` of ``texts(line_id, line)``: the hashes of each line's different shingles."""
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            grams = [np.array(sorted({line_key(x) for x in _shingles(line)}), np.int64) for line in batch["line"]]
-            yield pd.DataFrame({"id": batch["line_id"], "grams": pd.Series(grams, dtype=object)})
-
-    return texts.mapInPandas(hashed, "id long, grams array<long>")
-
-
-def similar_lines(docs: DataFrame, keyed: DataFrame, similar: float = SIMILAR, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``(node, component)`` of the lines linked to another, from ``keyed(line_id, keys)``: the
+def similar_lines(
+    docs: DataFrame, places: DataFrame, similar: float = SIMILAR, least_chars: int = LEAST_CHARS, block: int = BLOCK, elements: int = BLOCK_ELEMENTS
+) -> DataFrame:
+    """``(node, component)`` of the lines linked to another, from the ``places`` of their keys: the
     components of all pairs that meet in a band, however large its bucket."""
-    members = crowds(keyed.where("keys is not null").select(F.col("line_id").alias("id"), "keys"))
+    members = crowds(places.where("keys is not null").select(F.col("line_id").alias("id"), "size", "keys"))
     texts = written(lines_of(docs, members.select(F.col("id").alias("line_id")).distinct(), least_chars), "lines")
-
-    def sets(ids: DataFrame) -> DataFrame:
-        return _grams(texts.join(ids, texts["line_id"] == ids["id"], "left_semi"))
-
-    return similar_components(members, sets, lambda pairs: _verified(pairs, texts, similar), similar)
+    out = similar_components(members, texts.select(F.col("line_id").alias("id"), F.col("line").alias("load")), shingle_sets, similar, block, elements)
+    out = written(out, "components")
+    discard(members, texts)
+    return out
 
 
 def _dropped(docs: DataFrame, similar: float, least_chars: int) -> DataFrame:
     """``(doc_id, row, places)``: the places of lines that repeat an earlier one."""
     places = written(line_places(docs, least_chars), "places")
-    components = written(similar_lines(docs, places, similar, least_chars), "components")
+    components = similar_lines(docs, places, similar, least_chars)
     marked = places.join(components, places["line_id"] == components["node"], "left").select(
         "doc_id", "row", "place", F.coalesce("component", "line_id").alias("component")
     )
     spot = F.struct("doc_id", "row", "place")
     firsts = marked.groupBy("component").agg(F.min(spot).alias("kept"), F.count("*").alias("n")).where("n > 1")
     again = marked.join(firsts.select("component", "kept"), "component").where(~spot.eqNullSafe(F.col("kept")))
-    return written(again.groupBy("doc_id", "row").agg(F.collect_set("place").alias("places")), "dropped")
+    out = written(again.groupBy("doc_id", "row").agg(F.collect_set("place").alias("places")), "dropped")
+    discard(places, components)
+    return out
 
 
 def dedup_lines(docs: DataFrame, similar: float = SIMILAR, least_chars: int = LEAST_CHARS) -> DataFrame:

@@ -1,21 +1,9 @@
-"""Near copies of documents: exact Jaccard likeness of their sets of word shingles.
-
-Documents of equal sets are one node. Nodes meet where a band of their MinHash signatures agrees;
-all that meet are settled by exact likeness (:mod:`scarmap.llm.similar_sets`).
-"""
+"""Sets of word shingles, and the bands that retrieve near copies out of a fingerprint's reach."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from scarmap.llm.similar_sets import array_likeness, crowds, similar_components
-from scarmap.shared import written
 
 SHINGLE, SIMILAR = 5, 0.8
 #: Two sets at SIMILAR agree in a band with probability 0.8 ** ROWS = 0.33, and in none of the
@@ -30,7 +18,8 @@ _FACTORS = _RNG.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64) | np.ui
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the different shingles; a text of fewer words is one shingle, one without
-    words has none. Words are as in :func:`scarmap.llm.simhash.fingerprint`."""
+    words has none. Words are as in
+    :func:`scarmap.llm.simhash.fingerprint`."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
@@ -53,68 +42,3 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
         key = (key ^ least[row::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
     return key.view(np.int64)
-
-
-def _signed(text: str) -> Column:
-    @F.pandas_udf("node long, keys array<long>")
-    def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            nodes, keys = [], []
-            for t in texts:
-                hashes = shingle_set(t)
-                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
-                keys.append(band_keys(hashes) if len(hashes) else np.zeros(0, np.int64))
-            yield pd.DataFrame({"node": pd.Series(nodes, dtype="int64"), "keys": pd.Series(keys, dtype=object)})
-
-    return of_texts(F.col(text))
-
-
-def _grams(text: str) -> Column:
-    @F.pandas_udf("array<long>")
-    def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([shingle_set(t).view(np.int64) for t in texts], dtype=object)
-
-    return of_texts(F.col(text))
-
-
-def row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with columns _t and _r, hashes of the text and of the whole row."""
-    return docs.withColumns({"_t": F.xxhash64(docs["text"]), "_r": F.xxhash64(*[docs[c] for c in docs.columns])})
-
-
-def first_rows(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The first row of ``docs`` of each component of ``placed(doc_id, _t, _r, component)``, by
-    doc_id (nulls last), then hash of the text and of the row. Equal rows count as one."""
-    spot = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_t", "_r")
-    firsts = placed.groupBy("component").agg(F.min(spot).alias("k")).select(F.col("k.doc_id").alias("_d"), F.col("k._t").alias("_kt"), F.col("k._r").alias("_kr"))
-    keyed = row_keys(docs)
-    same = keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["_t"] == F.col("_kt")) & (keyed["_r"] == F.col("_kr"))
-    return keyed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", "_t", "_r"]).select(*docs.columns)
-
-
-def near_components(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """``(doc_id, _t, _r, component)`` for every row of ``docs(doc_id, text, …)``; components are
-    those of the pairs of likeness ``similar`` or more. Texts without words are one component."""
-    marked = written(row_keys(docs).select("doc_id", "_t", "_r", _signed("text").alias("s")), "signed")
-    nodes = marked.groupBy(F.col("s.node").alias("id")).agg(F.min("_t").alias("_t"), F.first("s.keys").alias("keys"))
-    members = crowds(nodes.select("id", "keys"))
-    wanted = nodes.select("id", "_t").join(members, "id", "left_semi")
-    texts = docs.select(F.xxhash64("text").alias("_t"), "text").join(wanted, "_t").groupBy("id").agg(F.min("text").alias("text"))
-    sets = written(texts.select("id", _grams("text").alias("grams")), "sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("id").alias("src"), F.col("grams").alias("a"))
-        b = sets.select(F.col("id").alias("dst"), F.col("grams").alias("b"))
-        return pairs.join(a, "src").join(b, "dst").where(array_likeness("a", "b") >= similar).select("src", "dst")
-
-    joined = similar_components(members, lambda ids: sets.join(ids, "id", "left_semi"), verified, similar)
-    flat = marked.select("doc_id", "_t", "_r", "s.node").withColumnRenamed("node", "id")
-    return flat.join(joined, flat["id"] == joined["node"], "left").select("doc_id", "_t", "_r", F.coalesce("component", "id").alias("component"))
-
-
-def near_dedup(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """One row, the first by doc_id (nulls last) and then hashes of text and row, of each component
-    of near copies of ``docs(doc_id, text, …)``, all columns. Rows of one doc_id whose texts are no
-    near copies all stay, as do rows of a null doc_id. An empty table gives no rows."""
-    return first_rows(docs, near_components(docs, similar))

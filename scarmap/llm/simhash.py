@@ -5,6 +5,10 @@ code m(i), a nonzero vector of radius + 1 bits, and table v (every nonzero vecto
 keeps the bits with an odd <m(i), v>. Up to ``radius`` differing bits have at most ``radius``
 codes, so some v is orthogonal to all of them: in that table the two agree on every kept bit.
 Radius 3 takes 15 tables of about 32 bits, and no pair is ever missed.
+
+Where near copies are meant by the likeness of their word shingles (:func:`near_dedup`), the same
+tables retrieve, bands of MinHash values add the pairs whose fingerprints are farther apart (at a
+likeness of 0.8 about ten bits), and the exact likeness decides.
 """
 
 from __future__ import annotations
@@ -17,9 +21,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scarmap.llm.near_copies import first_rows, row_keys
+from scarmap.llm.near_copies import SIMILAR, band_keys, shingle_set
+from scarmap.llm.similar_sets import BLOCK, BLOCK_ELEMENTS, crowds, similar_components
+from scarmap.llm.tables import first_rows, row_keys
 from scarmap.operators.components import connected_components
-from scarmap.shared import written
+from scarmap.shared import discard, written
 
 BITS = 64
 #: Buckets of up to so many different fingerprints are joined with themselves; larger ones are
@@ -155,3 +161,75 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
     marked = written(keyed.select("doc_id", "_t", "_r", fingerprints(keyed, shingle).alias("fp")), "fingerprints")
     placed = _placed(marked, radius, PAIR_BUCKET).select("fp", "component")
     return first_rows(docs, marked.join(placed, "fp"))
+
+
+def _table_keys(fp: int, masks: np.ndarray) -> np.ndarray:
+    """The bucket of a fingerprint in each covering table."""
+    kept = (np.uint64(fp) & masks) + np.arange(len(masks), dtype=np.uint64)
+    kept = (kept ^ (kept >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (kept ^ (kept >> np.uint64(32)) ^ np.arange(1, len(masks) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of shingle hashes; 0 for none."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), COUNT_AT_ONCE):
+        counts += _bit_counts(hashes[at : at + COUNT_AT_ONCE])
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+
+
+def _signed_sets(text: str, radius: int) -> Column:
+    masks = np.array(covering_masks(radius), np.int64).view(np.uint64)
+
+    @F.pandas_udf("node long, size int, keys array<long>")
+    def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            nodes, sizes, keys = [], [], []
+            for t in texts:
+                hashes = shingle_set(t)
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63))
+                sizes.append(len(hashes))
+                keys.append(np.concatenate([_table_keys(set_fingerprint(hashes), masks), band_keys(hashes)]) if len(hashes) else np.zeros(0, np.int64))
+            yield pd.DataFrame({"node": np.array(nodes, np.int64), "size": np.array(sizes, np.int32), "keys": pd.Series(keys, dtype=object)})
+
+    return of_texts(F.col(text))
+
+
+def _set_of(text: str) -> Column:
+    @F.pandas_udf("array<long>")
+    def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shingle_set(t).view(np.int64) for t in texts], dtype=object)
+
+    return of_texts(F.col(text))
+
+
+def _arrays(loads: list) -> list[np.ndarray]:
+    return [np.asarray(x, np.int64).view(np.uint64) for x in loads]
+
+
+def near_components(docs: DataFrame, similar: float = SIMILAR, radius: int = 3, block: int = BLOCK, elements: int = BLOCK_ELEMENTS) -> DataFrame:
+    """``(doc_id, _t, _r, component)`` for every row of ``docs(doc_id, text, …)``; components are
+    those of the pairs whose sets of five-word shingles have a Jaccard likeness of ``similar`` or
+    more. Texts of equal sets are one node; texts without words are one component.
+
+    Nodes meet in a covering table of their fingerprints or in a band; all that meet are settled
+    exactly, however large a bucket is.
+    """
+    marked = written(row_keys(docs).select("doc_id", "_t", "_r", _signed_sets("text", radius).alias("s")), "signed")
+    nodes = marked.groupBy(F.col("s.node").alias("id")).agg(F.min("_t").alias("_t"), F.first("s.size").alias("size"), F.first("s.keys").alias("keys"))
+    members = crowds(nodes.select("id", "size", "keys"))
+    wanted = nodes.select("id", "_t").join(members.select("id").distinct(), "id", "left_semi")
+    texts = docs.select(F.xxhash64("text").alias("_t"), "text").join(wanted, "_t").groupBy("id").agg(F.min("text").alias("text"))
+    sets = written(texts.select("id", _set_of("text").alias("load")), "sets")
+    joined = written(similar_components(members, sets, _arrays, similar, block, elements), "near")
+    discard(members, sets)
+    flat = marked.select("doc_id", "_t", "_r", F.col("s.node").alias("id"))
+    return flat.join(joined, flat["id"] == joined["node"], "left").select("doc_id", "_t", "_r", F.coalesce("component", "id").alias("component"))
+
+
+def near_dedup(docs: DataFrame, similar: float = SIMILAR, radius: int = 3) -> DataFrame:
+    """One row, the first by doc_id (nulls last) and then hashes of text and row, of each component
+    of :func:`near_components`, all columns. Rows of one doc_id whose texts are no near copies all
+    stay, as do rows of a null doc_id. An empty table gives no rows."""
+    return first_rows(docs, near_components(docs, similar, radius))

@@ -1,35 +1,144 @@
 """Components of sets whose exact Jaccard likeness reaches a bound, among sets that meet in a bucket.
 
-In a bucket of up to PAIR_BUCKET sets all pairs are verified. In a larger one each set is first
-verified against the smallest and its neighbours in ORDERS hash orders, which joins large groups
-in proportion to their size. What these leave apart is then settled exactly: of the sets in a
-large bucket that isn't one component yet, two can reach the bound only if they share one of their
-rarest elements (prefix filter), and each such pair of different components is verified.
+The buckets of a banding are cut into blocks of bounded size. In a block all pairs are settled at
+once: the product of its incidence matrix with itself counts what each two sets share, and only the
+components that this gives leave the task. A bucket of one block is thereby exact. Of a larger one,
+every block also holds the bucket's smallest set, which mostly joins the blocks' components; what is
+still apart is then settled by a prefix join: two sets can reach the bound only if they share one of
+their rarest elements, and each such pair of different components is verified.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.operators.components import connected_components
-from scarmap.shared import written
+from scarmap.shared import discard, written
 
-PAIR_BUCKET, ORDERS = 16, 6
+#: Sets, and elements of sets, in a block: about so many at most, for sets are dealt by hash.
+BLOCK, BLOCK_ELEMENTS = 512, 1 << 20
+#: Elements hashed, and entries of an incidence matrix, that are held at a time.
+HELD, MATRIX = 1 << 22, 1 << 21
 #: Sets of one element that are joined in a task; more are dealt over several.
 DEALT = 512
 #: Keeps rounding from making a bound too tight.
 _EPS = 1e-9
 
+#: From what a set is made of (texts, arrays) to its elements: sorted 64-bit hashes without repeats.
+Hashed = Callable[[list], list[np.ndarray]]
+
 
 def crowds(keyed: DataFrame) -> DataFrame:
-    """``(key, id, first, n)`` of the keys that two or more ids of ``keyed(id, keys)`` have."""
-    dealt = keyed.select("id", F.explode("keys").alias("key")).repartition("key").distinct()
-    buckets = dealt.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return written(dealt.join(buckets, "key"), "buckets")
+    """``(key, id, size, first, n, total)`` of the buckets with two ids or more, of ``keyed(id,
+    size, keys)``; total is the sum of the sizes. Of buckets with the same ids one is kept."""
+    dealt = keyed.select("id", "size", F.explode("keys").alias("key")).repartition("key")
+    shared = dealt.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    met = written(dealt.join(shared.hint("shuffle_hash"), "key").distinct(), "met")
+    ids = F.xxhash64("id")
+    buckets = met.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(ids).alias("x"), F.sum(F.shiftright(ids, 20)).alias("s"))
+    kept = buckets.groupBy("first", "n", "total", "x", "s").agg(F.min("key").alias("key")).select("key", "first", "n", "total")
+    out = written(met.join(kept, "key"), "buckets")
+    discard(met)
+    return out
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two sets have in common, as a matrix."""
+    n = len(sets)
+    if n == 2:
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return np.array([[len(sets[0]), both], [both, len(sets[1])]], float)
+    elements, of = np.unique(np.concatenate(sets), return_inverse=True)
+    rows = np.repeat(np.arange(n), [len(s) for s in sets])
+    if n * len(elements) <= MATRIX:
+        a = np.zeros((n, len(elements)), np.float32)
+        a[rows, of] = 1
+        return (a @ a.T).astype(float)
+    order = np.argsort(of, kind="stable")
+    rows, of, out, width = rows[order], of[order], np.zeros((n, n)), max(1, MATRIX // n)
+    for lo in range(0, len(elements), width):
+        part = slice(*np.searchsorted(of, [lo, lo + width]))
+        a = np.zeros((n, width), np.float32)
+        a[rows[part], of[part] - lo] = 1
+        out += a @ a.T
+    return out
+
+
+def block_components(sets: list[np.ndarray], similar: float) -> np.ndarray:
+    """The component of each set, as the index of its first one, over pairs that reach the bound.
+    Empty sets are like each other."""
+    both, n = shared_counts(sets), np.array([len(s) for s in sets], float)
+    either = n[:, None] + n[None, :] - both
+    linked = both >= similar * either - _EPS
+    label = np.arange(len(sets))
+    while True:
+        after = np.where(linked, label[None, :], len(sets)).min(axis=1)
+        after = np.minimum(after, after[after])
+        if np.array_equal(after, label):
+            return label
+        label = after
+
+
+def _linker(hashed: Hashed, similar: float):
+    """For mapInPandas over rows ``(key, block, id, load)`` that are sorted by key and block."""
+
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        ids = rows["id"].to_numpy()
+        firsts, at = np.unique(ids, return_index=True)
+        sets = dict(zip(firsts.tolist(), hashed([rows["load"].iloc[i] for i in at]), strict=True))
+        changes = (rows["key"].to_numpy()[1:] != rows["key"].to_numpy()[:-1]) | (rows["block"].to_numpy()[1:] != rows["block"].to_numpy()[:-1])
+        bounds = np.concatenate([[0], np.flatnonzero(changes) + 1, [len(rows)]])
+        src, dst = [], []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            if b - a < 2:
+                continue
+            own = np.sort(ids[a:b])
+            label = block_components([sets[i] for i in own.tolist()], similar)
+            joined = np.flatnonzero(label != np.arange(len(own)))
+            src.append(own[joined])
+            dst.append(own[label[joined]])
+        return pd.DataFrame({"src": np.concatenate(src) if src else np.zeros(0, np.int64), "dst": np.concatenate(dst) if dst else np.zeros(0, np.int64)})
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        elements = 0
+        for batch in batches:
+            while len(batch):
+                # whole blocks up to HELD elements; the last block of a batch may go on in the next
+                size = batch["size"].to_numpy().cumsum()
+                take = max(1, int(np.searchsorted(size, HELD - elements, "right")))
+                part, batch = batch.iloc[:take], batch.iloc[take:]
+                held.append(part)
+                elements += int(part["size"].sum())
+                if elements >= HELD or len(batch):
+                    rows = pd.concat(held, ignore_index=True)
+                    same = (rows["key"].to_numpy() == rows["key"].iloc[-1]) & (rows["block"].to_numpy() == rows["block"].iloc[-1])
+                    first = int(np.argmax(same))
+                    if first:
+                        yield settle(rows.iloc[:first].reset_index(drop=True))
+                    held = [rows.iloc[first:]]
+                    elements = int(held[0]["size"].sum())
+        if held:
+            yield settle(pd.concat(held, ignore_index=True))
+
+    return links
+
+
+def block_links(members: DataFrame, loads: DataFrame, hashed: Hashed, similar: float, block: int, elements: int) -> DataFrame:
+    """Links ``(src, dst)``, as many as it takes, of the components of each block of ``members``
+    of :func:`crowds`, with ``loads(id, load)``."""
+    deals = F.greatest(F.lit(1), F.ceil(F.col("n") / block), F.ceil(F.col("total") / elements)).cast("int")
+    dealt = members.withColumn("deals", deals)
+    own = F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")
+    blocks = F.when(F.col("id") == F.col("first"), F.sequence(F.lit(0), F.col("deals") - 1)).otherwise(F.array(own))
+    placed = dealt.select("key", "id", "size", F.explode(blocks).alias("block"))
+    rows = placed.join(loads, "id").select("key", "block", "id", "size", "load").repartition("key", "block").sortWithinPartitions("key", "block")
+    return rows.mapInPandas(_linker(hashed, similar), "src long, dst long")
 
 
 def prefix_pairs(sets: DataFrame, similar: float) -> DataFrame:
@@ -58,35 +167,41 @@ def prefix_pairs(sets: DataFrame, similar: float) -> DataFrame:
     return pairs.select(F.col("a_id").alias("src"), F.col("b_id").alias("dst")).distinct()
 
 
-def similar_components(
-    members: DataFrame, sets: Callable[[DataFrame], DataFrame], verified: Callable[[DataFrame], DataFrame], similar: float
-) -> DataFrame:
+def _verified(pairs: DataFrame, loads: DataFrame, hashed: Hashed, similar: float) -> DataFrame:
+    """The pairs ``(src, dst)`` whose exact Jaccard likeness is ``similar`` or more."""
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for lo in range(0, len(a), 64):
+            x, y = hashed(a.iloc[lo : lo + 64].tolist()), hashed(b.iloc[lo : lo + 64].tolist())
+            out += [int(block_components([p, q], similar)[1]) == 0 for p, q in zip(x, y, strict=True)]
+        return pd.Series(out, dtype=bool)
+
+    a, b = loads.select(F.col("id").alias("src"), F.col("load").alias("a")), loads.select(F.col("id").alias("dst"), F.col("load").alias("b"))
+    return pairs.join(a, "src").join(b, "dst").where(alike("a", "b")).select("src", "dst")
+
+
+def similar_components(members: DataFrame, loads: DataFrame, hashed: Hashed, similar: float, block: int = BLOCK, elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """``(node, component)`` of the ids linked to another: the components of all pairs of
     likeness ``similar`` or more that meet in a bucket of :func:`crowds`.
 
-    ``sets(ids)`` gives ``(id, grams array<long>)`` of the wanted ``ids(id)``, ``verified(pairs)``
-    those of the pairs ``(src, dst)`` that reach ``similar`` exactly.
+    ``loads(id, load)`` has what the sets are made of, once for each id, and ``hashed`` makes them.
     """
-
-    def pairs(x: DataFrame, other: str) -> DataFrame:
-        return x.where(F.col("id") != F.col(other)).select(F.greatest("id", other).alias("src"), F.least("id", other).alias("dst"))
-
-    small, large = members.where(F.col("n") <= PAIR_BUCKET), members.where(F.col("n") > PAIR_BUCKET)
-    first = pairs(small.join(small.select("key", F.col("id").alias("other")), "key"), "other").unionByName(pairs(large, "first"))
-    for order in range(ORDERS):
-        near = W.partitionBy("key").orderBy(F.xxhash64("id", F.lit(order)), "id")
-        first = first.unionByName(pairs(large.withColumn("other", F.lead("id").over(near)).where("other is not null"), "other"))
-    joined = written(connected_components(verified(first.distinct())), "joined")
+    joined = written(connected_components(block_links(members, loads, hashed, similar, block, elements)), "joined")
+    large = members.where((F.col("n") > block) | (F.col("total") > elements))
     placed = large.join(joined, large["id"] == joined["node"], "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = written(placed.join(apart, "key", "left_semi").select("id", "component").distinct(), "apart")
+    open_ = written(placed.join(apart.select("key").hint("shuffle_hash"), "key").select("id", "component").distinct(), "apart")
     if open_.isEmpty():
         return joined
-    more = verified(prefix_pairs(sets(open_.select("id")).join(open_, "id"), similar))
-    return connected_components(joined.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
 
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo in range(0, len(batch), 64):
+                part = batch.iloc[lo : lo + 64]
+                yield pd.DataFrame({"id": part["id"], "component": part["component"], "grams": pd.Series([x.view(np.int64) for x in hashed(part["load"].tolist())], index=part.index, dtype=object)})
 
-def array_likeness(a: str, b: str) -> Column:
-    """Jaccard likeness of two array columns without repeats."""
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
+    sets = open_.join(loads, "id").mapInPandas(grams, "id long, component long, grams array<long>")
+    more = _verified(prefix_pairs(sets, similar), loads, hashed, similar)
+    return connected_components(joined.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))

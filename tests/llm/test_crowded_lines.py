@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from pyspark.sql import functions as F
 from scarmap.llm import line_dedup, registry, similar_sets
 
@@ -26,8 +27,7 @@ def templated(n=1200, seed=4):
 def test_true_pairs_of_crowded_buckets_are_all_linked(spark):
     lines = templated()
     keys = line_dedup.band_keys(lines)
-    shingles = [line_dedup._shingles(x) for x in lines]
-    want = []
+    shingles = [{x[i : i + 10] for i in range(len(x) - 9)} for x in lines]
     by_band = {}
     for i, row in enumerate(keys.tolist()):
         for k in row:
@@ -39,10 +39,31 @@ def test_true_pairs_of_crowded_buckets_are_all_linked(spark):
     ids = [line_dedup.line_key(x) for x in lines]
     docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").withColumn("row", F.xxhash64("text"))
     keyed = line_dedup.line_places(docs)
-    got = {r.node: r.component for r in line_dedup.similar_lines(docs, keyed).collect()}
-    assert all(ids[i] in got and got[ids[i]] == got.get(ids[j]) for i, j in want)
-    assert len(set(got.values())) >= len(want) - 5  # unlike lines are not joined
-    assert similar_sets.PAIR_BUCKET < 500
+    found = []
+    for block, elements in ((4096, 1 << 22), (64, 1 << 20), (4096, 3000)):  # a block each, several by count, several by size
+        got = {r.node: r.component for r in line_dedup.similar_lines(docs, keyed, block=block, elements=elements).collect()}
+        assert all(ids[i] in got and got[ids[i]] == got.get(ids[j]) for i, j in want)
+        assert len(set(got.values())) >= len(want) - 5  # unlike lines are not joined
+        found.append(got)
+    assert found[0] == found[1] == found[2]
+
+
+def test_shared_counts_in_parts_of_the_matrix(monkeypatch):
+    rng = random.Random(2)
+    sets = [np.array(sorted(rng.sample(range(300), rng.randint(1, 80))), np.uint64) for _ in range(40)]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    assert similar_sets.shared_counts(sets).tolist() == want
+    monkeypatch.setattr(similar_sets, "MATRIX", 40 * 7)
+    assert similar_sets.shared_counts(sets).tolist() == want
+    assert similar_sets.shared_counts(sets[:2]).tolist() == [r[:2] for r in want[:2]]
+
+
+def test_a_long_line_is_hashed_in_pieces(monkeypatch):
+    rng = random.Random(8)
+    lines = ["".join(rng.choice(LETTERS) for _ in range(n)) for n in (5000, 10, 400, 1009, 12)]
+    whole = line_dedup.band_keys(lines)
+    monkeypatch.setattr(line_dedup, "AT_ONCE", 100)
+    assert (line_dedup.band_keys(lines) == whole).all()
 
 
 def test_queries_drop_short_copies(spark, tmp_path):

@@ -175,6 +175,11 @@ def test_mixing_budgets(spark):
     assert mixed.columns == df.columns and mixed.count() > 0 and mixing.mix_documents(df.limit(0)).count() == 0
 
 
+def jaccard(a, b, k=10):
+    x, y = ({t[i : i + k] for i in range(max(1, len(t) - k + 1))} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
 def test_line_dedup_against_all_pairs(spark):
     rng = random.Random(8)
     lines = [words(rng, 12) for _ in range(40)]
@@ -187,7 +192,7 @@ def test_line_dedup_against_all_pairs(spark):
     comp = {t: t for t in texts}
     for i, a in enumerate(texts):
         for b in texts[:i]:
-            if line_dedup.jaccard(a, b) >= 0.8 and comp[a] != comp[b]:
+            if jaccard(a, b) >= 0.8 and comp[a] != comp[b]:
                 old, new = comp[a], comp[b]
                 comp = {k: new if c == old else c for k, c in comp.items()}
     dropped = len(places) - len({comp[p[3]] for p in places})
