@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, langid, line_dedup, mixing, near_copies
+from scarmap.llm import bpe, langid, line_dedup, mixing, simhash
 from scarmap.llm.registry import tokenizer_path
 from scarmap.llm.tables import table
-from scarmap.shared import written
+from scarmap.shared import discard, written
 
 #: Texts less like every language than this (cosine) are none.
 LEAST_SCORE = 0.05
@@ -30,7 +30,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group linked by a five-word Jaccard likeness of 0.8 or more."""
-    return near_copies.near_dedup(docs)
+    return simhash.near_dedup(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,5 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
