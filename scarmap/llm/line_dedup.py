@@ -96,9 +96,21 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return key.view(np.int64)
 
 
-def shingle_sets(lines: list[str]) -> list[np.ndarray]:
-    """Sorted hashes of each line's different shingles; a line shorter than a shingle is one."""
-    return [np.unique(_run_hashes(_points(x))) if len(x) >= SHINGLE else np.array([line_key(x)]).view(np.uint64) for x in lines]
+def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lines' shingles in one array, and how many each line has; a line shorter than
+    a shingle is one."""
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    # a short line is stretched to one shingle that no line of its own length has
+    whole = lines if not len(lines) or lengths.min() >= SHINGLE else [x if len(x) >= SHINGLE else x + "\0" * (SHINGLE - len(x)) for x in lines]
+    sizes = np.maximum(lengths, SHINGLE)
+    points = _points("".join(whole))
+    if len(points) < SHINGLE:
+        return np.zeros(0, np.uint64), np.zeros(len(lines), np.int64)
+    ends = np.cumsum(sizes)
+    inside = np.ones(len(points) - SHINGLE + 1, bool)  # runs over an end are left out
+    for back in range(1, SHINGLE):
+        inside[ends[:-1] - back] = False
+    return _run_hashes(points)[inside], sizes - SHINGLE + 1
 
 
 _PLACES = "doc_id long, row long, place int, line_id long, size int, keys array<long>"

@@ -204,8 +204,9 @@ def _set_of(text: str) -> Column:
     return of_texts(F.col(text))
 
 
-def _arrays(loads: list) -> list[np.ndarray]:
-    return [np.asarray(x, np.int64).view(np.uint64) for x in loads]
+def _arrays(loads: list) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, loads), np.int64, len(loads))
+    return np.concatenate([np.zeros(0, np.int64), *loads]).astype(np.int64, copy=False).view(np.uint64), lengths
 
 
 def near_components(docs: DataFrame, similar: float = SIMILAR, radius: int = 3, block: int = BLOCK, elements: int = BLOCK_ELEMENTS) -> DataFrame:

@@ -29,15 +29,20 @@ DEALT = 512
 #: Keeps rounding from making a bound too tight.
 _EPS = 1e-9
 
-#: From what a set is made of (texts, arrays) to its elements: sorted 64-bit hashes without repeats.
-Hashed = Callable[[list], list[np.ndarray]]
+#: Blocks of up to so many sets are compared pair by pair, all pairs of many blocks in one sort.
+FEW = 6
+
+#: From what sets are made of (texts, arrays) to their elements: all 64-bit hashes in one array, in
+#: the order of the sets and maybe with repeats, and how many each set has.
+Hashed = Callable[[list], tuple[np.ndarray, np.ndarray]]
 
 
 def crowds(keyed: DataFrame) -> DataFrame:
     """``(key, id, size, first, n, total)`` of the buckets with two ids or more, of ``keyed(id,
     size, keys)``; total is the sum of the sizes. Of buckets with the same ids one is kept."""
     dealt = keyed.select("id", "size", F.explode("keys").alias("key")).repartition("key")
-    shared = dealt.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    # the condition on the size keeps the columns of both readings the same, so that they share one shuffle
+    shared = dealt.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("size").alias("most")).where("lo < hi and most >= 0").select("key")
     met = written(dealt.join(shared.hint("shuffle_hash"), "key").distinct(), "met")
     ids = F.xxhash64("id")
     buckets = met.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(ids).alias("x"), F.sum(F.shiftright(ids, 20)).alias("s"))
@@ -47,37 +52,60 @@ def crowds(keyed: DataFrame) -> DataFrame:
     return out
 
 
-def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """How many elements each two sets have in common, as a matrix."""
-    n = len(sets)
-    if n == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return np.array([[len(sets[0]), both], [both, len(sets[1])]], float)
-    elements, of = np.unique(np.concatenate(sets), return_inverse=True)
-    rows = np.repeat(np.arange(n), [len(s) for s in sets])
-    if n * len(elements) <= MATRIX:
-        a = np.zeros((n, len(elements)), np.float32)
-        a[rows, of] = 1
-        return (a @ a.T).astype(float)
-    order = np.argsort(of, kind="stable")
-    rows, of, out, width = rows[order], of[order], np.zeros((n, n)), max(1, MATRIX // n)
-    for lo in range(0, len(elements), width):
+def _spans(starts: np.ndarray, lengths: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the elements of the sets ``of`` are in the flat array, and the place in ``of`` of each."""
+    n = lengths[of]
+    ends = np.cumsum(n)
+    owner = np.repeat(np.arange(len(of)), n)
+    return np.arange(int(n.sum())) + (starts[of] - (ends - n))[owner], owner
+
+
+def likenesses(values: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The Jaccard likeness of the sets a[i] and b[i], by one sort for all pairs: a pair's number is
+    put above an element's hash, and below it which of the two has it. Two empty sets are alike."""
+    starts, out = np.cumsum(lengths) - lengths, []
+    held = np.cumsum(lengths[a] + lengths[b]) // HELD
+    for part in np.split(np.arange(len(a)), np.flatnonzero(np.diff(held)) + 1) if len(a) else []:
+        bits = np.uint64(int(len(part)).bit_length() + 1)
+        keys = []
+        for side, of in enumerate((a[part], b[part])):
+            at, owner = _spans(starts, lengths, of)
+            keys.append((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (values[at] >> bits) & ~np.uint64(1) | np.uint64(side))
+        k = np.sort(np.concatenate(keys))
+        k = k[np.r_[True, k[1:] != k[:-1]]] if len(k) else k
+        pair = (k >> (np.uint64(64) - bits)).astype(np.int64)
+        each = np.bincount(pair, minlength=len(part))
+        both = np.bincount(pair[1:][(k[1:] ^ k[:-1]) == 1], minlength=len(part))
+        out.append(np.where(each > 0, both / np.maximum(each - both, 1), 1.0))
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+def shared_counts(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How many elements each two of the sets have in common, as a matrix."""
+    n = len(lengths)
+    bits = np.uint64(n.bit_length())
+    k = np.sort((values >> bits << bits) | np.repeat(np.arange(n, dtype=np.uint64), lengths))
+    rows = (k & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    k >>= bits
+    of = np.cumsum(np.r_[False, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
+    out, width = np.zeros((n, n)), max(1, MATRIX // max(1, n))
+    for lo in range(0, int(of[-1]) + 1 if len(of) else 0, width):
         part = slice(*np.searchsorted(of, [lo, lo + width]))
-        a = np.zeros((n, width), np.float32)
+        a = np.zeros((n, min(width, int(of[-1]) + 1 - lo)), np.float32)
         a[rows[part], of[part] - lo] = 1
         out += a @ a.T
     return out
 
 
-def block_components(sets: list[np.ndarray], similar: float) -> np.ndarray:
+def block_components(values: np.ndarray, lengths: np.ndarray, similar: float) -> np.ndarray:
     """The component of each set, as the index of its first one, over pairs that reach the bound.
     Empty sets are like each other."""
-    both, n = shared_counts(sets), np.array([len(s) for s in sets], float)
-    either = n[:, None] + n[None, :] - both
-    linked = both >= similar * either - _EPS
-    label = np.arange(len(sets))
+    both = shared_counts(values, lengths)
+    n = both.diagonal()
+    linked = both >= similar * (n[:, None] + n[None, :] - both) - _EPS
+    label = np.arange(len(lengths))
     while True:
-        after = np.where(linked, label[None, :], len(sets)).min(axis=1)
+        after = np.where(linked, label[None, :], len(lengths)).min(axis=1)
         after = np.minimum(after, after[after])
         if np.array_equal(after, label):
             return label
@@ -85,24 +113,33 @@ def block_components(sets: list[np.ndarray], similar: float) -> np.ndarray:
 
 
 def _linker(hashed: Hashed, similar: float):
-    """For mapInPandas over rows ``(key, block, id, load)`` that are sorted by key and block."""
+    """For mapInPandas over rows ``(key, block, id, size, load)`` sorted by key, block and id."""
 
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         ids = rows["id"].to_numpy()
-        firsts, at = np.unique(ids, return_index=True)
-        sets = dict(zip(firsts.tolist(), hashed([rows["load"].iloc[i] for i in at]), strict=True))
-        changes = (rows["key"].to_numpy()[1:] != rows["key"].to_numpy()[:-1]) | (rows["block"].to_numpy()[1:] != rows["block"].to_numpy()[:-1])
-        bounds = np.concatenate([[0], np.flatnonzero(changes) + 1, [len(rows)]])
-        src, dst = [], []
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if b - a < 2:
-                continue
-            own = np.sort(ids[a:b])
-            label = block_components([sets[i] for i in own.tolist()], similar)
-            joined = np.flatnonzero(label != np.arange(len(own)))
-            src.append(own[joined])
-            dst.append(own[label[joined]])
-        return pd.DataFrame({"src": np.concatenate(src) if src else np.zeros(0, np.int64), "dst": np.concatenate(dst) if dst else np.zeros(0, np.int64)})
+        known, at, of = np.unique(ids, return_index=True, return_inverse=True)
+        values, lengths = hashed(rows["load"].to_numpy()[at].tolist())
+        starts = np.cumsum(lengths) - lengths
+        key, block = rows["key"].to_numpy(), rows["block"].to_numpy()
+        bounds = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (block[1:] != block[:-1])])
+        counts = np.diff(np.r_[bounds, len(rows)])
+        a, b = [], []
+        for n in range(2, FEW + 1):
+            first = bounds[counts == n]
+            for i in range(n):
+                for j in range(i):
+                    a.append(of[first + i])
+                    b.append(of[first + j])
+        a, b = np.concatenate(a), np.concatenate(b)
+        alike = likenesses(values, lengths, a, b) >= similar - _EPS
+        src, dst = [known[a[alike]]], [known[b[alike]]]
+        for first, n in zip(bounds[counts > FEW].tolist(), counts[counts > FEW].tolist(), strict=True):
+            own = of[first : first + n]
+            label = block_components(values[_spans(starts, lengths, own)[0]], lengths[own], similar)
+            joined = np.flatnonzero(label != np.arange(n))
+            src.append(known[own[joined]])
+            dst.append(known[own[label[joined]]])
+        return pd.DataFrame({"src": np.concatenate(src), "dst": np.concatenate(dst)})
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -120,7 +157,7 @@ def _linker(hashed: Hashed, similar: float):
                     same = (rows["key"].to_numpy() == rows["key"].iloc[-1]) & (rows["block"].to_numpy() == rows["block"].iloc[-1])
                     first = int(np.argmax(same))
                     if first:
-                        yield settle(rows.iloc[:first].reset_index(drop=True))
+                        yield settle(rows.iloc[:first])
                     held = [rows.iloc[first:]]
                     elements = int(held[0]["size"].sum())
         if held:
@@ -137,7 +174,7 @@ def block_links(members: DataFrame, loads: DataFrame, hashed: Hashed, similar: f
     own = F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")
     blocks = F.when(F.col("id") == F.col("first"), F.sequence(F.lit(0), F.col("deals") - 1)).otherwise(F.array(own))
     placed = dealt.select("key", "id", "size", F.explode(blocks).alias("block"))
-    rows = placed.join(loads, "id").select("key", "block", "id", "size", "load").repartition("key", "block").sortWithinPartitions("key", "block")
+    rows = placed.join(loads, "id").select("key", "block", "id", "size", "load").repartition("key", "block").sortWithinPartitions("key", "block", "id")
     return rows.mapInPandas(_linker(hashed, similar), "src long, dst long")
 
 
@@ -172,11 +209,12 @@ def _verified(pairs: DataFrame, loads: DataFrame, hashed: Hashed, similar: float
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for lo in range(0, len(a), 64):
-            x, y = hashed(a.iloc[lo : lo + 64].tolist()), hashed(b.iloc[lo : lo + 64].tolist())
-            out += [int(block_components([p, q], similar)[1]) == 0 for p, q in zip(x, y, strict=True)]
-        return pd.Series(out, dtype=bool)
+        out = [np.zeros(0, bool)]
+        for lo in range(0, len(a), 256):
+            n = len(a.iloc[lo : lo + 256])
+            values, lengths = hashed([*a.iloc[lo : lo + 256], *b.iloc[lo : lo + 256]])
+            out.append(likenesses(values, lengths, np.arange(n), np.arange(n) + n) >= similar - _EPS)
+        return pd.Series(np.concatenate(out))
 
     a, b = loads.select(F.col("id").alias("src"), F.col("load").alias("a")), loads.select(F.col("id").alias("dst"), F.col("load").alias("b"))
     return pairs.join(a, "src").join(b, "dst").where(alike("a", "b")).select("src", "dst")
@@ -200,7 +238,9 @@ def similar_components(members: DataFrame, loads: DataFrame, hashed: Hashed, sim
         for batch in batches:
             for lo in range(0, len(batch), 64):
                 part = batch.iloc[lo : lo + 64]
-                yield pd.DataFrame({"id": part["id"], "component": part["component"], "grams": pd.Series([x.view(np.int64) for x in hashed(part["load"].tolist())], index=part.index, dtype=object)})
+                values, lengths = hashed(part["load"].tolist())
+                each = [np.unique(x).view(np.int64) for x in np.split(values, np.cumsum(lengths)[:-1])]
+                yield pd.DataFrame({"id": part["id"], "component": part["component"], "grams": pd.Series(each, index=part.index, dtype=object)})
 
     sets = open_.join(loads, "id").mapInPandas(grams, "id long, component long, grams array<long>")
     more = _verified(prefix_pairs(sets, similar), loads, hashed, similar)

@@ -48,14 +48,28 @@ def test_true_pairs_of_crowded_buckets_are_all_linked(spark):
     assert found[0] == found[1] == found[2]
 
 
-def test_shared_counts_in_parts_of_the_matrix(monkeypatch):
+def test_shared_counts_and_likenesses(monkeypatch):
     rng = random.Random(2)
-    sets = [np.array(sorted(rng.sample(range(300), rng.randint(1, 80))), np.uint64) for _ in range(40)]
-    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
-    assert similar_sets.shared_counts(sets).tolist() == want
+    sets = [[rng.randrange(300) for _ in range(rng.randint(0, 80))] for _ in range(40)]
+    values = np.array([(x * 0x9E3779B97F4A7C15) % (1 << 64) for s in sets for x in s], np.uint64)
+    lengths = np.array([len(s) for s in sets])
+    want = [[len(set(a) & set(b)) for b in sets] for a in sets]
+    assert similar_sets.shared_counts(values, lengths).tolist() == want
     monkeypatch.setattr(similar_sets, "MATRIX", 40 * 7)
-    assert similar_sets.shared_counts(sets).tolist() == want
-    assert similar_sets.shared_counts(sets[:2]).tolist() == [r[:2] for r in want[:2]]
+    assert similar_sets.shared_counts(values, lengths).tolist() == want
+    a, b = np.array([(i, j) for i in range(40) for j in range(40)]).T
+    like = [len(set(sets[i]) & set(sets[j])) / max(1, len(set(sets[i]) | set(sets[j]))) if sets[i] or sets[j] else 1.0 for i, j in zip(a, b, strict=True)]
+    assert similar_sets.likenesses(values, lengths, a, b).tolist() == like
+    monkeypatch.setattr(similar_sets, "HELD", 100)
+    assert similar_sets.likenesses(values, lengths, a, b).tolist() == like
+
+
+def test_shingle_sets_of_lines():
+    lines = ["short", "", "exactly te", "a longer line, with a longer line", "x" * 30]
+    values, lengths = line_dedup.shingle_sets(lines)
+    assert lengths.tolist() == [1, 1, 1, 24, 21] and len(values) == 48
+    assert values[2] == line_dedup.shingle_sets(["exactly te"])[0][0] and len(set(values[-21:].tolist())) == 1
+    assert line_dedup.shingle_sets([])[1].tolist() == []
 
 
 def test_a_long_line_is_hashed_in_pieces(monkeypatch):
