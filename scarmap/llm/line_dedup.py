@@ -30,6 +30,8 @@ SHINGLE, SIMILAR = 10, 0.8
 BANDS, ROWS = 8, 4
 #: Code points hashed at a time.
 AT_ONCE = 1 << 18
+#: A component of over one in so many lines is hot.
+HOT = 2000
 _SEEDS = np.random.default_rng(97).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 
 
@@ -201,9 +203,17 @@ def _dropped(docs: DataFrame, similar: float, least_chars: int) -> DataFrame:
         "doc_id", "row", "place", F.coalesce("component", "line_id").alias("component")
     )
     spot = F.struct("doc_id", "row", "place")
-    firsts = marked.groupBy("component").agg(F.min(spot).alias("kept"), F.count("*").alias("n")).where("n > 1")
-    again = marked.join(firsts.select("component", "kept"), "component").where(~spot.eqNullSafe(F.col("kept")))
+    firsts = written(marked.groupBy("component").agg(F.min(spot).alias("kept"), F.count("*").alias("n")).where("n > 1"), "firsts")
+    # No more than HOT components can hold over a HOT-th of the lines: these are broadcast, and their
+    # lines, spread by a hash, meet no other component.
+    hot = firsts.where(F.col("n") * HOT > places.count()).select(F.col("component").alias("_h"), F.col("kept").alias("_hot"))
+    joined = marked.join(F.broadcast(hot), F.col("component") == F.col("_h"), "left")
+    at = F.when(F.col("_h").isNotNull(), F.xxhash64("doc_id", "row", "place")).otherwise(F.col("component"))
+    joined = joined.withColumn("_at", at).join(firsts.select(F.col("component").alias("_f"), "kept"), F.col("_at") == F.col("_f"), "left")
+    first = F.coalesce("_hot", "kept")
+    again = joined.where(first.isNotNull() & ~spot.eqNullSafe(first))
     out = written(again.groupBy("doc_id", "row").agg(F.collect_set("place").alias("places")), "dropped")
+    discard(firsts)
     discard(places, components)
     return out
 
