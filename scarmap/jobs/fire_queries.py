@@ -69,10 +69,10 @@ def k1_top_fires(spark, sf_dir):
     return hotspots.top_fires(hotspots.summarize_clusters(kept, members)).withColumn("frp_total", F.col("frp_total").cast("long"))
 
 
-@query(_CLUSTERS + "SELECT l.cluster_id, k.point_id FROM kept k JOIN pos p ON k.x_m = p.x_m AND k.y_m = p.y_m JOIN lab l ON l.a = p.pid JOIN clusters c ON c.cluster_id = l.cluster_id WHERE c.n_points >= 40")
+@query(_CLUSTERS + "SELECT l.cluster_id, k.point_id FROM kept k JOIN pos p ON k.x_m = p.x_m AND k.y_m = p.y_m JOIN lab l ON l.a = p.pid JOIN clusters c ON c.cluster_id = l.cluster_id WHERE c.n_points >= 5")
 def j2_p8_retained_points(spark, sf_dir):
     kept, members = hotspots.clustered(_points(spark, sf_dir))
-    retained = hotspots.min_points(hotspots.summarize_clusters(kept, members), 40)
+    retained = hotspots.min_points(hotspots.summarize_clusters(kept, members))
     return hotspots.zone_points(retained, kept, members).select("cluster_id", "point_id")
 
 
@@ -104,32 +104,43 @@ def a10_hot_footprint(spark, sf_dir):
 def _fires(spark, sf_dir):
     f = view(spark, sf_dir, "fires").select("fire", F.col("start_day").alias("start"), F.col("now_day").alias("now"), "xmin", "xmax")
     s = view(spark, sf_dir, "scenes")
-    c = view(spark, sf_dir, "coverage").select("fire", "scene_id", (F.col("percent") / 100).alias("coverage"))
-    return f.withColumns({"ymin": F.lit(0), "ymax": F.lit(10)}), s.withColumns({"ymin": F.lit(0), "ymax": F.lit(10)}), c
+    return f.withColumns({"ymin": F.lit(0), "ymax": F.lit(10)}), s.withColumns({"ymin": F.lit(0), "ymax": F.lit(10)})
+
+
+_PERCENT = "(fire * 31 + tile * 17 + year(datetime) * 5 + month(datetime) * 29 + day(datetime) * 7) % 100"
+
+
+def _coverage(candidates):
+    """What a reading of the scenes would give, for the candidates only; some can't be read."""
+    return candidates.where("(fire + tile) % 9 <> 0").select("fire", "scene_id", (F.expr(_PERCENT) / 100).alias("coverage"))
+
+
+_TRIED = (
+    f"tried AS (SELECT c.*, CASE WHEN (fire + tile) % 9 = 0 THEN 0 ELSE {_PERCENT} END AS p FROM cand c WHERE rk <= {{0}}) "
+    "SELECT fire, count(*) AS n_tried, min_by(scene_id, rk) FILTER (WHERE p >= 55) AS scene_id, min_by(tile, rk) FILTER (WHERE p >= 55) AS tile FROM tried GROUP BY fire"
+)
 
 
 @query(
-    cte("scenes", "fires", "coverage")
-    + """, cand AS (SELECT f.fire, s.scene_id, s.tile, row_number() OVER (PARTITION BY f.fire ORDER BY s.datetime DESC, s.scene_id) AS rk
-      FROM fires f JOIN scenes s ON f.xmin <= s.xmax AND s.xmin <= f.xmax AND s.datetime >= f.start_day AND s.datetime <= f.now_day + INTERVAL '1' DAY),
-    tried AS (SELECT c.*, coalesce(v.percent, 0) AS p FROM cand c LEFT JOIN coverage v ON v.fire = c.fire AND v.scene_id = c.scene_id WHERE rk <= 6)
-    SELECT fire, count(*) AS n_tried, min_by(scene_id, rk) FILTER (WHERE p >= 55) AS scene_id, min_by(tile, rk) FILTER (WHERE p >= 55) AS tile FROM tried GROUP BY fire"""
+    cte("scenes", "fires")
+    + """, cand AS (SELECT f.fire, s.scene_id, s.tile, s.datetime, row_number() OVER (PARTITION BY f.fire ORDER BY s.datetime DESC, s.scene_id) AS rk
+      FROM fires f JOIN scenes s ON f.xmin <= s.xmax AND s.xmin <= f.xmax AND s.datetime >= f.start_day AND s.datetime <= f.now_day + INTERVAL '1' DAY), """
+    + _TRIED.format(6)
 )
 def j4_w4_pick_post(spark, sf_dir):
-    f, s, c = _fires(spark, sf_dir)
-    return scenes.pick_post(f, s, c, bin_m=1000)
+    f, s = _fires(spark, sf_dir)
+    return scenes.pick_post(f, s, _coverage, bin_m=1000)
 
 
 @query(
-    cte("scenes", "fires", "coverage")
-    + """, cand AS (SELECT f.fire, s.scene_id, s.tile, row_number() OVER (PARTITION BY f.fire ORDER BY s.datetime DESC, s.scene_id) AS rk
-      FROM fires f JOIN scenes s ON s.tile = CAST(floor(f.xmin / 1000) AS BIGINT) AND s.datetime <= f.start_day AND s.datetime >= f.start_day - INTERVAL '60' DAY),
-    tried AS (SELECT c.*, coalesce(v.percent, 0) AS p FROM cand c LEFT JOIN coverage v ON v.fire = c.fire AND v.scene_id = c.scene_id WHERE rk <= 8)
-    SELECT fire, count(*) AS n_tried, min_by(scene_id, rk) FILTER (WHERE p >= 55) AS scene_id, min_by(tile, rk) FILTER (WHERE p >= 55) AS tile FROM tried GROUP BY fire"""
+    cte("scenes", "fires")
+    + """, cand AS (SELECT f.fire, s.scene_id, s.tile, s.datetime, row_number() OVER (PARTITION BY f.fire ORDER BY s.datetime DESC, s.scene_id) AS rk
+      FROM fires f JOIN scenes s ON s.tile = CAST(floor(f.xmin / 1000) AS BIGINT) AND s.datetime <= f.start_day AND s.datetime >= f.start_day - INTERVAL '60' DAY), """
+    + _TRIED.format(8)
 )
 def j5_pick_pre(spark, sf_dir):
-    f, s, c = _fires(spark, sf_dir)
-    return scenes.pick_pre(f.withColumn("tile", F.floor(F.col("xmin") / 1000)), s, c)
+    f, s = _fires(spark, sf_dir)
+    return scenes.pick_pre(f.withColumn("tile", F.floor(F.col("xmin") / 1000)), s, _coverage)
 
 
 @query(
@@ -180,12 +191,14 @@ def _pairs(spark, sf_dir):
     return burn.pixel_pairs(*_images(spark, sf_dir))
 
 
-@query(cte("pixels") + f" SELECT fire, CAST(round(avg(CASE WHEN s1 NOT IN {_BAD} THEN 1.0 ELSE 0.0 END) * 1000000) AS BIGINT) AS coverage_ppm FROM pixels GROUP BY fire")
+@query(cte("pixels") + f" SELECT z.fire, p.fire AS scene_id, CAST(round(avg(CASE WHEN p.s1 NOT IN {_BAD} THEN 1.0 ELSE 0.0 END) * 1000000) AS BIGINT) AS coverage_ppm FROM pixels z JOIN pixels p ON p.r = z.r AND p.c = z.c GROUP BY z.fire, p.fire")
 def a2_scene_coverage(spark, sf_dir):
+    """Each fire's zone in each scene: all are candidates of all."""
     pre, _ = _images(spark, sf_dir)
-    zone = pre.select("fire", "tile", "row", "col")
-    found = scenes.scene_coverage(zone, pre.select(F.col("fire").alias("scene_id"), "tile", "row", "col", "scl")).where("fire = scene_id")
-    return found.select("fire", F.round(F.col("coverage") * 1_000_000).cast("long").alias("coverage_ppm"))
+    zone, scl = pre.select("fire", "tile", "row", "col"), pre.select(F.col("fire").alias("scene_id"), "tile", "row", "col", "scl")
+    names = zone.select("fire").distinct()
+    found = scenes.scene_coverage(zone, scl, names.crossJoin(names.withColumnRenamed("fire", "scene_id")))
+    return found.select("fire", "scene_id", F.round(F.col("coverage") * 1_000_000).cast("long").alias("coverage_ppm"))
 
 
 @query(_PAIRS + "s AS (SELECT 1) SELECT fire, r, c, CAST(round(dnbr * 10000) AS BIGINT) AS dnbr_e4 FROM pairs")
@@ -360,11 +373,44 @@ def j7_w5_match_archive(spark, sf_dir):
     return found.select("cluster_id", "id", F.round(F.col("ratio") * 1_000_000).cast("long").alias("ratio_e6"))
 
 
-@query()
+_MERGED = cte("firesites") + """,
+    c AS (SELECT DISTINCT id, site, cx, cy FROM firesites),
+    f AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n DESC, id) AS k FROM (SELECT id, site, feu, coalesce(statut, 'mesure') = 'mesure' AS m, n_points, premier, count(*) AS n FROM firesites GROUP BY ALL)),
+    ck AS (SELECT c.*, f.k FROM c JOIN f ON f.id = c.id),
+    shared AS (SELECT a.site, a.k AS ka, b.k AS kb, count(*) AS n FROM ck a JOIN ck b ON a.site = b.site AND a.cx = b.cx AND a.cy = b.cy AND a.k < b.k GROUP BY ALL),
+    s2 AS (SELECT a.site, a.id AS id1, a.m AS m1, a.n AS n1, b.id AS id2, b.m AS m2, b.n AS n2,
+                  CASE WHEN coalesce(s.n, 0) > 0.3 * least(a.n, b.n) THEN CASE WHEN a.m = b.m THEN 'fused' WHEN a.m THEN 'dropped' ELSE 'replaced' END ELSE 'kept' END AS fate2
+           FROM f a JOIN f b ON b.site = a.site AND a.k = 1 AND b.k = 2 LEFT JOIN shared s ON s.site = a.site AND s.ka = 1 AND s.kb = 2),
+    za AS (SELECT DISTINCT ck.site, cx, cy FROM ck JOIN s2 ON s2.site = ck.site WHERE (k = 1 AND fate2 <> 'replaced') OR (k = 2 AND fate2 IN ('fused', 'replaced'))),
+    na AS (SELECT site, count(*) AS n FROM za GROUP BY site),
+    i3 AS (SELECT ck.site, count(*) AS n FROM ck JOIN za ON za.site = ck.site AND za.cx = ck.cx AND za.cy = ck.cy WHERE k = 3 GROUP BY ck.site),
+    s3 AS (SELECT s2.*, g.id AS id3, g.m AS m3, g.n AS n3, na.n AS na, CASE WHEN fate2 = 'replaced' THEN id2 ELSE id1 END AS ha, fate2 = 'replaced' OR m1 AS ma,
+                  CASE WHEN coalesce(i3.n, 0) > 0.3 * least(g.n, na.n) THEN 'A' WHEN fate2 = 'kept' AND coalesce(s.n, 0) > 0.3 * least(g.n, n2) THEN 'B' ELSE 'C' END AS home
+           FROM s2 JOIN na ON na.site = s2.site JOIN f g ON g.site = s2.site AND g.k = 3 LEFT JOIN i3 ON i3.site = s2.site LEFT JOIN shared s ON s.site = s2.site AND s.ka = 2 AND s.kb = 3),
+    h3 AS (SELECT *, CASE home WHEN 'A' THEN ha ELSE id2 END AS hh, CASE home WHEN 'A' THEN ma ELSE m2 END AS hm, CASE home WHEN 'A' THEN na ELSE n2 END AS hn FROM s3),
+    d AS (SELECT site, id1 AS id, 1 AS k, 'A' AS slot, 'kept' AS fate, id1 AS under, NULL AS signal FROM s2
+          UNION ALL SELECT site, id2, 2, CASE WHEN fate2 = 'kept' THEN 'B' ELSE 'A' END, fate2, CASE WHEN fate2 IN ('kept', 'replaced') THEN id2 ELSE id1 END,
+                           CASE WHEN fate2 = 'dropped' AND n2 > 1.3 * n1 THEN n2 WHEN fate2 = 'replaced' AND n1 > 1.3 * n2 THEN n1 END FROM s2
+          UNION ALL SELECT site, id3, 3, home, CASE WHEN home = 'C' THEN 'kept' WHEN hm = m3 THEN 'fused' WHEN hm THEN 'dropped' ELSE 'replaced' END, CASE WHEN home = 'C' OR (NOT hm AND m3) THEN id3 ELSE hh END,
+                           CASE WHEN home <> 'C' AND hm AND NOT m3 AND n3 > 1.3 * hn THEN n3 WHEN home <> 'C' AND NOT hm AND m3 AND hn > 1.3 * n3 THEN hn END FROM h3),
+    e AS (SELECT d.*, h.holder FROM d JOIN (SELECT site, slot, arg_max(under, k) AS holder FROM d GROUP BY site, slot) h ON h.site = d.site AND h.slot = d.slot),
+    mine AS (SELECT * FROM e WHERE under = holder AND (fate <> 'dropped' OR signal IS NOT NULL)),
+    area AS (SELECT holder, count(DISTINCT (cx, cy)) AS n FROM mine JOIN c ON c.id = mine.id WHERE fate <> 'dropped' GROUP BY holder)
+    SELECT m.holder AS id, max(f.feu) FILTER (WHERE f.id = m.holder) AS feu, CASE WHEN bool_or(f.m) FILTER (WHERE f.id = m.holder) THEN 'mesure' ELSE 'en_attente' END AS statut,
+           CAST(sum(f.n_points) FILTER (WHERE fate <> 'dropped') AS BIGINT) AS n_points_chauds, min(f.premier) FILTER (WHERE fate <> 'dropped') AS premier,
+           CAST(max(f.premier + 5) FILTER (WHERE fate <> 'dropped') AS DATE) AS dernier, any_value(area.n) * 400 / 10000.0 AS area_ha,
+           coalesce(string_agg(f.feu, ', ' ORDER BY m.k) FILTER (WHERE fate = 'fused'), '') AS fusionnes,
+           coalesce(string_agg(concat('chaleur détectée sur ~', printf('%.0f', signal * 0.04), ' ha, au-delà du périmètre mesuré — le feu déborde probablement de l''image'), ', ' ORDER BY m.k) FILTER (WHERE signal IS NOT NULL), '') AS alertes
+    FROM mine m JOIN f ON f.id = m.id JOIN area ON area.holder = m.holder GROUP BY m.holder"""
+
+
+@query(_MERGED)
 def g4_merge_duplicates(spark, sf_dir):
-    z = view(spark, sf_dir, "zones")
-    fires = z.groupBy(F.col("geom_id").alias("id"), "statut").agg(F.count("*").cast("double").alias("area"))
-    return publish.merge_duplicates(fires, z.withColumnRenamed("geom_id", "id"))
+    """Groups of three fires, so that SQL can follow the order step by step."""
+    z = written(view(spark, sf_dir, "firesites"), "firesites")
+    fires = z.groupBy("id", "feu", "statut", F.col("n_points").alias("n_points_chauds"), "premier").agg(F.count("*").cast("double").alias("area")).withColumn("dernier", F.date_add("premier", 5))
+    out = publish.merge_duplicates(fires, z.select("id", "cx", "cy"))
+    return out.withColumns({"n_points_chauds": F.col("n_points_chauds").cast("long"), "fusionnes": F.array_join("fusionnes", ", "), "alertes": F.array_join("alertes", ", ")})
 
 
 @query(

@@ -31,10 +31,6 @@ INPUTS = {
         SELECT o_orderkey AS fire, CAST(o_orderdate AS DATE) AS start_day, CAST(o_orderdate + INTERVAL '12' DAY AS DATE) AS now_day,
                CAST((o_orderkey * 37) % 10000 AS BIGINT) AS xmin, CAST((o_orderkey * 37) % 10000 + 150 AS BIGINT) AS xmax
         FROM orders""",
-    "coverage": """
-        SELECT f.fire AS fire, s.scene_id AS scene_id, (f.fire * 31 + s.tile * 17 + year(s.datetime) * 5 + month(s.datetime) * 29 + day(s.datetime) * 7) % 100 AS percent
-        FROM fires f JOIN scenes s ON s.datetime >= f.start_day - INTERVAL '60' DAY AND s.datetime <= f.now_day + INTERVAL '1' DAY
-         AND CAST(floor(f.xmin / 1000) AS BIGINT) IN (s.tile - 1, s.tile, s.tile + 1)""",
     # a grid 40 pixels wide; burnt patches of 6 x 8, some touching
     "pixels": """
         SELECT event_id % 3 AS fire, 0 AS tile, CAST(floor(event_id / 120) AS BIGINT) AS r, CAST(floor(event_id / 3) AS BIGINT) % 40 AS c,
@@ -50,6 +46,15 @@ INPUTS = {
         SELECT z.p_partkey AS geom_id, (z.p_partkey * 7) % 97 + dx.i AS cx, (z.p_partkey * 13) % 89 + dy.i AS cy, z.p_size AS p_size, CASE WHEN z.p_partkey % 3 = 0 THEN 'en_attente' ELSE 'mesure' END AS statut
         FROM part z JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 9) dx ON dx.i < z.p_size % 9 + 1
                     JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 9) dy ON dy.i < z.p_partkey % 5 + 2""",
+    # groups of three rectangles, on a lattice that grows with the table; some overlap, some only touch
+    "firesites": """
+        SELECT z.p_partkey AS id, CAST(floor(z.p_partkey / 3) AS BIGINT) AS site, CONCAT('F', CAST(z.p_partkey AS STRING)) AS feu,
+               CASE WHEN z.p_partkey % 11 = 0 THEN NULL WHEN z.p_partkey % 3 = 0 OR z.p_partkey % 7 = 1 THEN 'en_attente' ELSE 'mesure' END AS statut,
+               z.p_size AS n_points, CAST(DATE '2024-01-01' + INTERVAL '1' DAY * (z.p_partkey % 20) AS DATE) AS premier,
+               CAST(floor(z.p_partkey / 3) AS BIGINT) % 1000 * 40 + z.p_size % 7 + dx.i AS cx,
+               CAST(floor(z.p_partkey / 3000) AS BIGINT) * 40 + z.p_partkey * 5 % 6 + dy.i AS cy
+        FROM part z JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 12) dx ON dx.i < z.p_size % 9 + 3
+                    JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 12) dy ON dy.i < z.p_partkey % 5 + 3""",
     # documents with what an audit looks for
     "audited": """
         SELECT CONCAT('doc/', CAST(doc_id AS STRING)) AS path, length(text) AS bytes,

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from scarmap.functions import labels
 from scarmap.jobs.inputs import cte, view
 from scarmap.operators import publish, records, textjobs, validate
-from scarmap.shared import shared_folder
+from scarmap.operators.ranking import with_place
+from scarmap.shared import fresh_path
 from scarmap.streaming import fires as streams
 
 QUERIES, ORACLE = {}, {}
@@ -64,10 +63,26 @@ def w1_chains(spark, sf_dir):
 @query(
     _CHAIN + """, b AS (SELECT *, row_number() OVER (PARTITION BY lieu, chain ORDER BY (statut = 'mesure') DESC, calcule_le DESC, id DESC) AS best, row_number() OVER (PARTITION BY lieu, chain ORDER BY premier, id) AS fst FROM c)
     SELECT lieu, CAST(chain AS BIGINT) AS chain, max(id) FILTER (WHERE fst = 1) AS id, max(id) FILTER (WHERE best = 1) AS authority, max(statut) FILTER (WHERE best = 1) AS statut, max(surface) FILTER (WHERE best = 1) AS surface_ha, min(premier) AS premier, max(dernier) AS dernier, max(image_apres) FILTER (WHERE best = 1) AS image_apres, count(*) AS n_records,
-    date_diff('day', min(premier), max(image_apres) FILTER (WHERE best = 1)) AS latence_jours FROM b GROUP BY lieu, chain"""
+    date_diff('day', min(premier), max(image_apres) FILTER (WHERE best = 1)) AS latence_jours, NOT bool_or(has_emprise) FILTER (WHERE best = 1) AS ignored FROM b GROUP BY lieu, chain"""
 )
 def w2_f4_consolidate(spark, sf_dir):
-    return records.consolidate(records.chain_records(view(spark, sf_dir, "records").withColumnRenamed("surface", "surface_ha")))
+    return records.consolidate(_chains(spark, sf_dir))
+
+
+def _chains(spark, sf_dir):
+    return records.chain_records(view(spark, sf_dir, "records").withColumnsRenamed({"surface": "surface_ha", "has_emprise": "has_geometry"}))
+
+
+@query(
+    _CHAIN + """, b AS (SELECT *, row_number() OVER (PARTITION BY lieu, chain ORDER BY (statut = 'mesure') DESC, calcule_le DESC, id DESC) AS best, row_number() OVER (PARTITION BY lieu, chain ORDER BY premier, id) AS fst FROM c),
+    g AS (SELECT lieu, chain, bool_or(has_emprise) FILTER (WHERE best = 1) AS whole, max(id) FILTER (WHERE fst = 1) AS survivor FROM b GROUP BY lieu, chain)
+    SELECT 'record' AS kind, survivor AS id, survivor AS other FROM g WHERE whole UNION ALL SELECT 'record', b.id, b.id FROM b JOIN g ON g.lieu = b.lieu AND g.chain = b.chain WHERE NOT whole
+    UNION ALL SELECT 'renamed', b.id, survivor FROM b JOIN g ON g.lieu = b.lieu AND g.chain = b.chain WHERE whole AND b.id <> survivor"""
+)
+def w2_after_consolidation(spark, sf_dir):
+    chains = _chains(spark, sf_dir)
+    archive, renamed = records.after_consolidation(chains, records.consolidate(chains))
+    return archive.select(F.lit("record").alias("kind"), "id", F.col("id").alias("other")).unionByName(renamed.select(F.lit("renamed").alias("kind"), F.col("absorbed").alias("id"), F.col("survivor").alias("other")))
 
 
 _PENDING = cte("records") + ", p AS (SELECT id, surface AS frp_total FROM records WHERE statut = 'en_attente' AND has_emprise AND date_diff('day', dernier, DATE '1999-06-01') <= 21 AND id NOT IN (SELECT id FROM records WHERE lieu % 10 = 0)) "
@@ -101,68 +116,78 @@ def l2_outcomes(spark, sf_dir):
     return records.decide_outcome(f).select("fire", "statut", "motif")
 
 
-@query(
-    cte("records") + """, a AS (SELECT id, statut, premier, dernier, CASE WHEN statut = 'mesure' THEN surface END AS s, CASE WHEN statut <> 'mesure' THEN surface * 2 END AS e, DATE '2030-01-01' AS np FROM records WHERE id % 3 < 2),
-    t AS (SELECT id, CASE statut WHEN 'mesure' THEN 'ecarte' WHEN 'ecarte' THEN 'mesure' ELSE statut END AS statut, premier + 1 AS premier, dernier + 5 AS dernier, surface AS s, surface * 3 AS e, DATE '2031-01-01' AS np FROM records WHERE id % 3 > 0 AND lieu % 2 = 0
-          UNION ALL SELECT id, 'ecarte', premier, dernier + 4, NULL, NULL, NULL FROM records WHERE id % 3 = 0 AND lieu % 2 = 0),
+# Of four records one is in the archive only, one is met again with another outcome, one is discarded today, one is new.
+MERGED = (
+    cte("records") + """, a AS (SELECT id, statut, premier, dernier, CASE WHEN statut = 'mesure' THEN surface END AS s, CASE WHEN statut <> 'mesure' THEN surface * 2 END AS e, DATE '2030-01-01' AS np FROM records WHERE id % 4 < 3),
+    t AS (SELECT id, CASE statut WHEN 'mesure' THEN 'ecarte' WHEN 'ecarte' THEN 'mesure' ELSE statut END AS statut, premier + 1 AS premier, dernier + 5 AS dernier, surface AS s, surface * 3 AS e, DATE '2031-01-01' AS np FROM records WHERE id % 4 IN (1, 3)
+          UNION ALL SELECT id, 'ecarte', premier, dernier + 4, NULL, NULL, NULL FROM records WHERE id % 4 = 2),
     j AS (SELECT a.id AS aid, t.id AS tid, a.statut AS o, t.statut AS n, a.premier AS ap, t.premier AS tp, a.dernier AS ad, t.dernier AS td, a.s AS asf, t.s AS ts, a.e AS ae, t.e AS te, a.np AS anp, t.np AS tnp FROM a FULL JOIN t ON a.id = t.id),
     k AS (SELECT *, CASE WHEN n IS NULL THEN FALSE WHEN n = 'mesure' THEN TRUE WHEN n = 'en_attente' THEN coalesce(o <> 'mesure', TRUE) ELSE o IS NOT NULL AND o <> 'mesure' END AS take FROM j)
     SELECT coalesce(aid, tid) AS id, CASE WHEN take THEN n ELSE o END AS statut, coalesce(ap, tp) AS premier, CASE WHEN take THEN greatest(coalesce(ad, td), td) ELSE ad END AS dernier,
     CASE WHEN take AND n = 'ecarte' THEN asf WHEN take THEN ts ELSE asf END AS surface_ha, CASE WHEN take AND n = 'mesure' THEN NULL WHEN take AND n = 'ecarte' THEN ae WHEN take THEN te ELSE ae END AS surface_estimee_ha,
     CASE WHEN take AND n IN ('mesure', 'ecarte') THEN NULL WHEN take THEN tnp ELSE anp END AS prochain_passage FROM k WHERE o IS NOT NULL OR take"""
 )
-def l1_merge_status(spark, sf_dir):
+
+
+def archive_and_today(spark, sf_dir):
     r = view(spark, sf_dir, "records")
     m = F.col("statut") == "mesure"
     none = F.lit(None).cast("string").alias("motif")
     s = F.col("surface")
-    a = r.where("id % 3 < 2").select("id", "statut", "premier", "dernier", F.when(m, s).alias("surface_ha"), F.when(~m, s * 2).alias("surface_estimee_ha"), none, F.lit("2030-01-01").cast("date").alias("prochain_passage"))
+    a = r.where("id % 4 < 3").select("id", "statut", "premier", "dernier", F.when(m, s).alias("surface_ha"), F.when(~m, s * 2).alias("surface_estimee_ha"), none, F.lit("2030-01-01").cast("date").alias("prochain_passage"))
     swapped = F.when(m, "ecarte").when(F.col("statut") == "ecarte", "mesure").otherwise(F.col("statut")).alias("statut")
-    t = r.where("id % 3 > 0 and lieu % 2 = 0").select("id", swapped, F.date_add("premier", 1).alias("premier"), F.date_add("dernier", 5).alias("dernier"), s.alias("surface_ha"), (s * 3).alias("surface_estimee_ha"), none, F.lit("2031-01-01").cast("date").alias("prochain_passage"))
+    t = r.where("id % 4 in (1, 3)").select("id", swapped, F.date_add("premier", 1).alias("premier"), F.date_add("dernier", 5).alias("dernier"), s.alias("surface_ha"), (s * 3).alias("surface_estimee_ha"), none, F.lit("2031-01-01").cast("date").alias("prochain_passage"))
     empty = F.lit(None).cast("bigint")
-    t2 = r.where("id % 3 = 0 and lieu % 2 = 0").select("id", F.lit("ecarte").alias("statut"), "premier", F.date_add("dernier", 4).alias("dernier"), empty.alias("surface_ha"), empty.alias("surface_estimee_ha"), none, F.lit(None).cast("date").alias("prochain_passage"))
-    return records.merge_status(a, t.unionByName(t2)).drop("motif")
+    t2 = r.where("id % 4 = 2").select("id", F.lit("ecarte").alias("statut"), "premier", F.date_add("dernier", 4).alias("dernier"), empty.alias("surface_ha"), empty.alias("surface_estimee_ha"), none, F.lit(None).cast("date").alias("prochain_passage"))
+    return a, t.unionByName(t2)
+
+
+@query(MERGED)
+def l1_merge_status(spark, sf_dir):
+    return records.merge_status(*archive_and_today(spark, sf_dir)).drop("motif")
 
 
-_JOURNAL = (
+# Published is what wasn't discarded; the state knows the records of before 1999, the events those of before 1998.
+JOURNAL = (
     cte("records")
-    + """, p AS (SELECT id, CAST(surface AS DOUBLE) AS s, CAST(image_apres AS VARCHAR) AS image FROM records WHERE id % 4 <> 0), st AS (SELECT id, CASE WHEN id % 11 = 0 THEN 0.0 ELSE surface * (0.90 + (id % 21) / 100.0) END AS prev FROM records WHERE id % 5 < 4),
-    old AS (SELECT premier AS d, 'nouveau' AS type, id, CAST(surface AS DOUBLE) AS s, CAST(NULL AS DOUBLE) AS prev, 1 AS o FROM records WHERE id % 2 = 0 AND id % 4 <> 0),
-    n AS (SELECT DATE '2001-06-01' AS d, CASE WHEN st.id IS NULL THEN 'nouveau' WHEN prev > 0 AND abs((s - prev) / prev) >= 0.05 THEN CASE WHEN s > prev THEN 'agrandi' ELSE 'revise' END END AS type, p.id, s, prev, 0 AS o FROM p LEFT JOIN st ON st.id = p.id),
+    + """, p AS (SELECT id, CAST(surface AS DOUBLE) AS s, CAST(image_apres AS VARCHAR) AS image FROM records WHERE statut <> 'ecarte'), st AS (SELECT id, CASE WHEN id % 11 = 0 THEN 0.0 ELSE surface * (0.90 + (id % 21) / 100.0) END AS prev FROM records WHERE premier < DATE '1999-01-01'),
+    old AS (SELECT premier AS d, 'nouveau' AS type, id, CAST(surface AS DOUBLE) AS s, CAST(NULL AS DOUBLE) AS prev, 1 AS o FROM records WHERE premier < DATE '1998-01-01' AND statut <> 'ecarte'),
+    n AS (SELECT DATE '2001-12-01' AS d, CASE WHEN st.id IS NULL THEN 'nouveau' WHEN prev > 0 AND abs((s - prev) / prev) >= 0.05 THEN CASE WHEN s > prev THEN 'agrandi' ELSE 'revise' END END AS type, p.id, s, prev, 0 AS o FROM p LEFT JOIN st ON st.id = p.id),
     u AS (SELECT * FROM n WHERE type IS NOT NULL UNION ALL SELECT * FROM old) """
 )
+NOW = "2001-12-01 00:00:00"
 
 
-def _journal(spark, sf_dir):
+def journal_inputs(spark, sf_dir):
     r = view(spark, sf_dir, "records")
     s = F.col("surface").cast("double")
-    p = r.where("id % 4 <> 0").select("id", s.alias("surface_ha"), F.col("image_apres").cast("string").alias("image"))
-    state = r.where("id % 5 < 4").select("id", F.when(F.col("id") % 11 == 0, 0.0).otherwise(F.col("surface") * (0.90 + (F.col("id") % 21) / 100.0)).alias("surface_ha"), F.lit("").alias("image"))
-    events = r.where("id % 2 = 0").select(F.col("premier").cast("timestamp").alias("date"), F.lit("nouveau").alias("type"), "id", s.alias("surface_ha"), F.lit(None).cast("double").alias("surface_precedente"), F.lit("").alias("image"))
+    p = r.where("statut <> 'ecarte'").select("id", s.alias("surface_ha"), F.col("image_apres").cast("string").alias("image"))
+    state = r.where("premier < '1999-01-01'").select("id", F.when(F.col("id") % 11 == 0, 0.0).otherwise(F.col("surface") * (0.90 + (F.col("id") % 21) / 100.0)).alias("surface_ha"), F.lit("").alias("image"))
+    events = r.where("premier < '1998-01-01'").select(F.col("premier").cast("timestamp").alias("date"), F.lit("nouveau").alias("type"), "id", s.alias("surface_ha"), F.lit(None).cast("double").alias("surface_precedente"), F.lit("").alias("image"))
     return p, state, events
 
 
-@query(_JOURNAL + "SELECT type, id, CAST(floor(s) AS BIGINT) AS surface_ha FROM u ORDER BY d DESC, o, id, type LIMIT 200")
-def l3_k4_journal(spark, sf_dir):
-    events, _ = records.journal_diff(*_journal(spark, sf_dir), now="2001-06-01 00:00:00")
+@query(JOURNAL + "SELECT type, id, CAST(floor(s) AS BIGINT) AS surface_ha FROM u ORDER BY d DESC, o, id, type LIMIT 200")
+def l3_k4journal_inputs(spark, sf_dir):
+    events, _ = records.journal_diff(*journal_inputs(spark, sf_dir), now=NOW)
     return events.select("type", "id", F.floor("surface_ha").alias("surface_ha"))
 
 
-@query(_JOURNAL + "SELECT type, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM n WHERE type IS NOT NULL GROUP BY type")
+@query(JOURNAL + "SELECT type, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM n WHERE type IS NOT NULL GROUP BY type")
 def l3_changes(spark, sf_dir):
-    p, state, events = _journal(spark, sf_dir)
-    events, _ = records.journal_diff(p, state, events.where("false"), now="2001-06-01 00:00:00", most=1 << 30)
+    p, state, events = journal_inputs(spark, sf_dir)
+    events, _ = records.journal_diff(p, state, events.where("false"), now=NOW, most=1 << 30)
     return events.groupBy("type").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
 @query(
-    _JOURNAL + """, rn AS (SELECT id AS absorbed, id - 2 AS survivor FROM records WHERE id % 10 = 2) SELECT 'event' AS kind, coalesce(rn.survivor, old.id) AS id, CAST(floor(s) AS BIGINT) AS surface_ha FROM old LEFT JOIN rn ON old.id = rn.absorbed
+    JOURNAL + """, rn AS (SELECT id AS absorbed, id - 1 AS survivor FROM records WHERE statut = 'en_attente' AND lieu % 2 = 0) SELECT 'event' AS kind, coalesce(rn.survivor, old.id) AS id, CAST(floor(s) AS BIGINT) AS surface_ha FROM old LEFT JOIN rn ON old.id = rn.absorbed
     UNION ALL SELECT 'state', id, CAST(floor(CASE WHEN id IN (SELECT survivor FROM rn) THEN 0 ELSE s END) AS BIGINT) FROM p WHERE id NOT IN (SELECT absorbed FROM rn)"""
 )
-def l4_carry_journal(spark, sf_dir):
-    p, _, events = _journal(spark, sf_dir)
-    renamed = view(spark, sf_dir, "records").where("id % 10 = 2").select(F.col("id").alias("absorbed"), (F.col("id") - 2).alias("survivor"))
-    e, s = records.carry_journal(events.where("id % 4 <> 0"), p, renamed)
+def l4_carryjournal_inputs(spark, sf_dir):
+    p, _, events = journal_inputs(spark, sf_dir)
+    renamed = view(spark, sf_dir, "records").where("statut = 'en_attente' and lieu % 2 = 0").select(F.col("id").alias("absorbed"), (F.col("id") - 1).alias("survivor"))
+    e, s = records.carry_journal(events.join(p.select("id"), "id", "left_semi"), p, renamed)
     out = lambda df, kind: df.select(F.lit(kind).alias("kind"), "id", F.floor("surface_ha").alias("surface_ha"))
     return out(e, "event").unionByName(out(s, "state"))
 
@@ -195,27 +220,49 @@ def f6_reserves(spark, sf_dir):
     return f.select("id", F.array_join(publish.reserves(f), " | ").alias("reserves"))
 
 
-def _features(spark, sf_dir):
+def raw_features(spark, sf_dir):
     r = view(spark, sf_dir, "records")
-    return r.select("id", F.when(F.col("statut") != "mesure", F.col("statut")).alias("statut"), F.when(F.col("id") % 4 > 0, F.concat(F.lit("Feu "), F.col("lieu").cast("string"))).alias("feu"), F.col("surface").alias("surface_ha"), F.col("premier").alias("debut"))
+    i, m = F.col("id"), F.col("statut") == "mesure"
+    image = lambda days: F.struct(F.concat(F.lit("S2_"), i.cast("string")).alias("id"), F.date_add("premier", days).cast("string").alias("date"), F.lit(1.5).alias("nuages_pct"))
+    return r.select(
+        "id", F.when(F.col("statut") != "mesure", F.col("statut")).alias("statut"), F.when(i % 4 > 0, F.concat(F.lit("Feu "), F.col("lieu").cast("string"))).alias("feu"), (i % 96).cast("string").alias("departement"),
+        (F.col("surface") / 10 + 0.04).alias("surface_ha"), F.when(~m, F.col("surface") * 0.65).alias("surface_min_ha"), F.when(~m, F.col("surface") * 1.35).alias("surface_max_ha"),
+        F.col("premier").cast("string").alias("debut"), F.col("dernier").cast("string").alias("fin"), (i % 300).alias("n_points_chauds"),
+        F.when(m, image(-3)).alias("image_avant"), F.when(m, image(3)).alias("image_apres"), F.when(m, F.lit(3)).alias("latence_jours"), F.when(m, F.lit(0.15)).alias("seuil_dnbr"), F.when(m, (i % 40) / 100.0).alias("part_masquee"),
+        F.when(~m, F.date_add("dernier", 5)).cast("string").alias("prochain_passage"), F.when(~m, F.concat(F.lit("motif "), (i % 3).cast("string"))).alias("motif_attente"), F.when(i % 5 == 0, F.array(F.lit("x"))).alias("fusionnes"),
+    )
+
+
+def published(spark, sf_dir):
+    return publish.to_features(raw_features(spark, sf_dir))
+
 
+_FEATURES = cte("records") + """, f AS (SELECT id, statut, CASE WHEN id % 4 > 0 THEN concat('Feu ', lieu) ELSE '' END AS feu, '' AS commune, CAST(id % 96 AS VARCHAR) AS departement, round(CAST(surface AS DOUBLE) / 10 + 0.04, 1) AS surface_ha,
+    CASE WHEN statut <> 'mesure' THEN CAST(surface AS DOUBLE) * CAST(0.65 AS DOUBLE) END AS surface_min_ha, CASE WHEN statut <> 'mesure' THEN CAST(surface AS DOUBLE) * CAST(1.35 AS DOUBLE) END AS surface_max_ha, CAST(premier AS VARCHAR) AS debut, CAST(dernier AS VARCHAR) AS fin, id % 300 AS n_points_chauds,
+    CASE WHEN statut = 'mesure' THEN CAST(premier - 3 AS VARCHAR) ELSE '' END AS image_avant, CASE WHEN statut = 'mesure' THEN CAST(premier + 3 AS VARCHAR) ELSE '' END AS image_apres, CASE WHEN statut = 'mesure' THEN 3 END AS latence_jours,
+    CASE WHEN statut = 'mesure' THEN CAST(0.15 AS DOUBLE) END AS seuil_dnbr, CASE WHEN statut = 'mesure' THEN CAST(id % 40 AS DOUBLE) / 100 END AS part_masquee, CASE WHEN statut <> 'mesure' THEN CAST(dernier + 5 AS VARCHAR) END AS prochain_passage, '' AS calcule_le,
+    CASE WHEN statut <> 'mesure' THEN concat('motif ', id % 3) END AS motif_attente,
+    array_to_string(list_filter([CASE WHEN statut = 'en_attente' THEN concat('motif ', id % 3) END, CASE WHEN statut = 'en_attente' THEN 'emprise des points chauds, pas un périmètre brûlé mesuré' END,
+      CASE WHEN statut = 'mesure' AND id % 40 > 5 THEN concat(id % 40, '% de la zone masquée par les nuages ou la fumée') END,
+      CASE WHEN statut = 'mesure' AND dernier > premier + 3 THEN concat('chaleur encore détectée le ', strftime(dernier, '%d/%m'), ', après l''image du ', strftime(premier + 3, '%d/%m'), ' — le périmètre s''arrête à cette image et sous-estime probablement la surface finale') END,
+      CASE WHEN id % 5 = 0 THEN 'détection fusionnée avec : x' END], lambda x: x IS NOT NULL), ' | ') AS reserves FROM records) """
 
-@query(cte("records") + " SELECT id, statut, CASE WHEN id % 4 > 0 THEN concat('Feu ', lieu) ELSE '' END AS feu, '' AS commune, surface AS surface_ha, premier AS debut FROM records")
+
+@query(_FEATURES + "SELECT * FROM f")
 def f7_features(spark, sf_dir):
-    return publish.to_features(_features(spark, sf_dir)).select("id", "statut", "feu", "commune", "surface_ha", "debut")
+    return published(spark, sf_dir).withColumn("reserves", F.array_join("reserves", " | "))
 
 
-@query(cte("records") + " SELECT id, statut, surface AS surface_ha, row_number() OVER (ORDER BY statut <> 'en_attente', surface DESC NULLS LAST, id) AS place FROM records QUALIFY place <= 50")
+@query(_FEATURES + "SELECT id, statut, surface_ha, row_number() OVER (ORDER BY statut <> 'en_attente', surface_ha DESC NULLS LAST, id) AS place FROM f")
 def k3_publication_order(spark, sf_dir):
-    top = publish.publication_order(publish.to_features(_features(spark, sf_dir))).limit(50).select("id", "statut", "surface_ha")
-    from pyspark.sql import Window as W
-
-    return top.withColumn("place", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(F.col("statut") != "en_attente", F.desc("surface_ha"), "id")))
+    return with_place(published(spark, sf_dir).select("id", "statut", "surface_ha"), *publish.publication_keys())
 
 
-@query(cte("records") + " SELECT statut, count(*) AS n, CAST(sum(surface) AS BIGINT) AS total_ha FROM records GROUP BY statut")
+@query(_FEATURES + "SELECT statut, count(*) AS n, CAST(round(sum(surface_ha) * 10) AS BIGINT) AS total FROM f GROUP BY statut UNION ALL SELECT 'isole', count(*), CAST(round(sum(p_size) * 10) AS BIGINT) FROM part UNION ALL SELECT 'point_chaud', count(*), NULL FROM events")
 def a13_totals(spark, sf_dir):
-    return publish.publication_totals(publish.to_features(_features(spark, sf_dir))).withColumn("total_ha", F.col("total_ha").cast("long"))
+    isolated, points = _table(spark, sf_dir, "part").select(F.col("p_size").alias("surface_ha")), _table(spark, sf_dir, "events")
+    totals = publish.publication_totals(published(spark, sf_dir), isolated, points)
+    return totals.select("statut", "n", F.round(F.col("total_ha") * 10).cast("long").alias("total"))
 
 
 _PRODUCTS = """WITH p AS (SELECT p_partkey AS pid, concat('E', p_size, '_A', p_partkey % 9, '_', CASE WHEN p_partkey % 2 = 0 THEN 'RTP01_v2' ELSE 'VECTORS_v1' END) AS produit, concat('E', p_size) AS activation, concat('A', p_partkey % 9) AS aoi FROM part) """
@@ -240,13 +287,19 @@ def j11_pick_aoi(spark, sf_dir):
     return validate.pick_aoi(p.drop("pid").distinct(), p.where("pid % 5 = 0").withColumnRenamed("pid", "aoi_id"))
 
 
-@query("SELECT p_partkey AS id, p_brand AS feu, row_number() OVER (ORDER BY p_brand, p_retailprice, p_type, p_partkey) AS place FROM part QUALIFY place <= 30")
+@query("SELECT p_partkey AS id, p_brand AS feu, row_number() OVER (ORDER BY p_brand, p_retailprice, p_type, p_partkey) AS place FROM part")
 def k5_reference_order(spark, sf_dir):
-    from pyspark.sql import Window as W
-
     p = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("feu"), F.col("p_retailprice").alias("date_situation"), F.col("p_type").alias("type_produit"))
-    top = validate.reference_order(p).limit(30)
-    return top.select("id", "feu", F.row_number().over(W.partitionBy(F.lit(1)).orderBy("feu", "date_situation", "type_produit", "id")).cast("long").alias("place"))
+    return with_place(p, *validate.reference_keys(p)).select("id", "feu", "place")
+
+
+@query(
+    "WITH r AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS alerte, concat('Ville ', o_orderkey) AS commune, CAST(1000 + 100 + o_orderkey % 900 AS DOUBLE) AS surface_ha FROM orders) "
+    "SELECT commune, surface_ha, row_number() OVER (ORDER BY surface_ha DESC, alerte, commune) AS place FROM r"
+)
+def k5_declared_order(spark, sf_dir):
+    rows = textjobs.table_rows(view(spark, sf_dir, "htmltables")).select("alerte", "commune", "surface_ha")
+    return with_place(rows, *validate.declared_keys(rows)).select("commune", "surface_ha", "place")
 
 
 @query(
@@ -312,14 +365,18 @@ def t7_third_party_loads(spark, sf_dir):
     return textjobs.scan_loads(p.select(F.concat(F.lit("p/"), F.col("page_id").cast("string")).alias("path"), content.alias("content"))).drop("rule")
 
 
-@query(cte("audited") + " SELECT count(*) AS n_files, CAST(sum(bytes) AS BIGINT) AS bytes, (SELECT count(*) FROM part) AS n_features, sum(bytes) > 25000000 AS too_large, FALSE AS empty, FALSE AS passes FROM audited")
+@query(
+    cte("audited") + """, f AS (SELECT CASE path WHEN 'doc/0' THEN 'index.html' WHEN 'doc/1' THEN 'data/feux.geojson' ELSE path END AS path, bytes FROM audited), n AS (SELECT count(*) AS n FROM part)
+    SELECT count(*) AS n_files, CAST(sum(bytes) AS BIGINT) AS bytes, any_value(n) AS n_features, sum(bytes) > 25000000 AS too_large, any_value(n) = 0 AS empty, count(*) > 0 AND bool_or(path = 'index.html') AND bool_or(path = 'data/feux.geojson') AS passes FROM f, n"""
+)
 def t8_completeness(spark, sf_dir):
-    return textjobs.completeness(_audited(spark, sf_dir), _table(spark, sf_dir, "part").select(F.lit(1).alias("n")))
+    path = F.when(F.col("path") == "doc/0", "index.html").when(F.col("path") == "doc/1", "data/feux.geojson").otherwise(F.col("path"))
+    return textjobs.completeness(_audited(spark, sf_dir).withColumn("path", path), _table(spark, sf_dir, "part").select(F.lit(1).alias("n")))
 
 
 def _drained(stream, spark, name: str):
     """All that the stream gives of what there is now, written to the shared folder and read back."""
-    at = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    at = fresh_path(spark, name)
     stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
 
@@ -330,10 +387,10 @@ def _event_stream(spark, sf_dir):
     return raw.select(F.col("ts").cast("timestamp").alias("ts"), "event_id", (F.col("user_id") % 20).alias("cx"), (F.col("user_id") % 7).alias("cy"), F.round(F.col("value") * 100).cast("long").alias("frp"), F.col("event_type").alias("capteur"), F.col("user_id").alias("lieu"))
 
 
-@query("SELECT count(*) AS n FROM (SELECT DISTINCT ts, event_type, user_id % 20, user_id % 7 FROM events)")
+@query("SELECT DISTINCT epoch_us(ts) AS micros, event_type AS capteur, user_id % 20 AS latitude, user_id % 7 AS longitude FROM events")
 def x1_stream_distinct(spark, sf_dir):
     twice = _event_stream(spark, sf_dir).withColumn("_again", F.explode(F.array(F.lit(0), F.lit(1)))).withColumnsRenamed({"cx": "latitude", "cy": "longitude"})
-    return _drained(streams.distinct_hotspots(twice), spark, "x1").agg(F.count("*").alias("n"))
+    return _drained(streams.distinct_hotspots(twice), spark, "x1").select(F.unix_micros("ts").alias("micros"), "capteur", "latitude", "longitude")
 
 
 @query(
@@ -346,11 +403,13 @@ def x2_stream_windows(spark, sf_dir):
 
 
 @query(
-    """WITH e AS (SELECT user_id AS lieu, date_trunc('day', ts) AS d, CAST(round(value * 100) AS BIGINT) AS frp FROM events WHERE user_id % 3 > 0 OR day(ts) < 9), g AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER w, d) <= 10 THEN 0 ELSE 1 END AS nw FROM e WINDOW w AS (PARTITION BY lieu ORDER BY d)),
-    s AS (SELECT *, sum(nw) OVER (PARTITION BY lieu ORDER BY d ROWS UNBOUNDED PRECEDING) AS k FROM g)
-    SELECT lieu, CAST(min(d) AS DATE) AS debut, CAST(max(d) AS DATE) AS fin, count(*) AS n_points, CAST(sum(frp) AS BIGINT) AS frp_total FROM s GROUP BY lieu, k HAVING max(d) + INTERVAL '10' DAY < (SELECT max(date_trunc('day', ts)) - INTERVAL '1' DAY FROM events)"""
+    """WITH e AS (SELECT user_id AS lieu, CASE WHEN user_id % 3 = 0 THEN DATE '2024-01-01' + CAST(12 * (day(ts) - 1) AS INTEGER) ELSE CAST(ts AS DATE) END AS d, CAST(round(value * 100) AS BIGINT) AS frp FROM events), g AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER w, d) <= 10 THEN 0 ELSE 1 END AS nw FROM e WINDOW w AS (PARTITION BY lieu ORDER BY d)),
+    s AS (SELECT *, sum(nw) OVER (PARTITION BY lieu ORDER BY d RANGE UNBOUNDED PRECEDING) AS k FROM g)
+    SELECT lieu, min(d) AS debut, max(d) AS fin, count(*) AS n_points, CAST(sum(frp) AS BIGINT) AS frp_total FROM s GROUP BY lieu, k HAVING max(d) + 10 < (SELECT max(d) - 1 FROM e)"""
 )
 def x3_stream_sessions(spark, sf_dir):
-    some = _event_stream(spark, sf_dir).where("lieu % 3 > 0 or day(ts) < 9")
-    out = _drained(streams.fire_sessions(some), spark, "x3")
+    """A third of the places burn every twelfth day of a year, so that their sessions end."""
+    stream = _event_stream(spark, sf_dir)
+    spread = F.timestamp_seconds(F.lit(1704067200) + 12 * 86400 * (F.dayofmonth("ts") - 1))
+    out = _drained(streams.fire_sessions(stream.withColumn("ts", F.when(F.col("lieu") % 3 == 0, spread).otherwise(F.col("ts")))), spark, "x3")
     return out.withColumns({"debut": F.col("debut").cast("date"), "fin": F.col("fin").cast("date")})

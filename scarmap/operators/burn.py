@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scarmap.operators.components import connected_components
 from scarmap.operators.scenes import UNUSABLE_SCL
+from scarmap.shared import written
 
 THRESHOLD, LEAST_HA, LEAST_NBR, PIXEL_M, NEAR_M, MAIN_M = 0.15, 1.0, 0.20, 20, 3000, 2000
 BLOCK = 512
@@ -84,7 +85,10 @@ def label_block(rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
 def burn_components(mask: DataFrame, keys: tuple[str, ...] = ("fire",), block: int = BLOCK) -> DataFrame:
     """OP-A3 (labels): ``(*keys, row, col, comp_id)`` of ``mask(*keys, row, col)``; 4-neighbours
     only. Blocks are labelled by themselves; only the labels that meet at a block's edge make a
-    graph. comp_id is the hash-free number row * 2^32 + col of the component's first pixel."""
+    graph. comp_id is the number row * 2^32 + col of the component's first pixel.
+
+    The labels are written once, for the seams and the result both read them. A component's number
+    is its smallest label, which is what the seam graph gives, so nothing is gathered by component."""
     k = list(keys)
     dealt = mask.select(*k, "row", "col").distinct().withColumn("_br", F.floor(F.col("row") / block)).withColumn("_bc", F.floor(F.col("col") / block))
     schema = ", ".join(f"{n} {t}" for n, t in mask.select(*k).dtypes) + ", row long, col long, label long"
@@ -95,17 +99,14 @@ def burn_components(mask: DataFrame, keys: tuple[str, ...] = ("fire",), block: i
         number = pdf["row"].to_numpy(np.int64)[first] * (1 << 32) + pdf["col"].to_numpy(np.int64)[first]
         return pdf[k].assign(row=pdf["row"].astype("int64"), col=pdf["col"].astype("int64"), label=number)
 
-    labelled = dealt.groupBy(*k, "_br", "_bc").applyInPandas(label, schema)
+    labelled = written(dealt.groupBy(*k, "_br", "_bc").applyInPandas(label, schema), "labelled")
     edge = labelled.where((F.pmod(F.col("row"), F.lit(block)).isin(0, block - 1)) | (F.pmod(F.col("col"), F.lit(block)).isin(0, block - 1)))
     steps = F.array(F.struct(F.lit(1).alias("dr"), F.lit(0).alias("dc")), F.struct(F.lit(0).alias("dr"), F.lit(1).alias("dc")))
     ahead = edge.select(*k, "label", F.explode(steps).alias("s"), "row", "col").select(*k, F.col("label").alias("other"), (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"))
-    node = lambda c: F.to_json(F.struct(*k, F.col(c).alias("l")))
+    node = lambda c: F.struct(*k, F.col(c).alias("label"))
     seams = edge.join(ahead, [*k, "row", "col"]).where("label <> other").select(node("label").alias("src"), node("other").alias("dst"))
-    merged = connected_components(seams)
-    # a component's number is its smallest label, whatever order the text of the nodes has
-    joined = labelled.join(merged, node("label") == F.col("node"), "left").withColumn("_c", F.coalesce("component", node("label")))
-    number = joined.groupBy("_c").agg(F.min("label").alias("comp_id"))
-    return joined.join(number, "_c").select(*k, "row", "col", "comp_id")
+    merged = connected_components(seams).select(*[F.col("node")[n].alias(n) for n in (*k, "label")], F.col("component.label").alias("_c"))
+    return labelled.join(merged, [*k, "label"], "left").select(*k, "row", "col", F.coalesce("_c", "label").alias("comp_id"))
 
 
 def component_areas(labels: DataFrame, least_ha: float = LEAST_HA, keys: tuple[str, ...] = ("fire",), pixel_area_m2: float = 400.0) -> DataFrame:
@@ -154,18 +155,38 @@ def gap_m(dr: Column, dc: Column) -> Column:
     return F.sqrt(free(dr) ** 2 + free(dc) ** 2) * PIXEL_M
 
 
-def attach_components(labels: DataFrame, zone: DataFrame, most_m: float = NEAR_M) -> DataFrame:
+def attach_components(labels: DataFrame, zone: DataFrame, most_m: float = NEAR_M, tile: int = 16) -> DataFrame:
     """OP-J8: ``(fire, comp_id, distance_m)`` of the components within ``most_m`` of the fire's zone
-    ``(fire, row, col)``. Boundary pixels meet zone pixels of the neighbouring coarse cells."""
-    reach = int(most_m / PIXEL_M) + 1
+    ``(fire, row, col)``.
+
+    A component that has a pixel of the zone is at 0; of the others only boundary pixels matter, on
+    both sides. These are first boxed by squares of ``tile`` pixels. Boxes meet by an equi-join on
+    wider squares; the farthest that two boxes' pixels can be apart bounds a component's distance,
+    and only pairs of boxes that can beat it (and ``most_m``) are looked at pixel by pixel.
+    """
+    wide = tile * (int(most_m / PIXEL_M / tile) + 2)
+    at = lambda c, n: F.floor(F.col(c) / n)
+    area = zone.select("fire", "row", "col").distinct()
+    edge = boundary(labels).select("fire", "comp_id", "row", "col", at("row", tile).alias("tr"), at("col", tile).alias("tc"))
+    rim = boundary(area.withColumn("comp_id", F.lit(0))).select("fire", F.col("row").alias("zr"), F.col("col").alias("zc"), at("row", tile).alias("ur"), at("col", tile).alias("uc"))
+    edge, rim = written(edge, "edge"), written(rim, "rim")
+    box = lambda r, c: [F.min(r).alias(f"{r}0"), F.max(r).alias(f"{r}1"), F.min(c).alias(f"{c}0"), F.max(c).alias(f"{c}1")]
+    mine = edge.groupBy("fire", "comp_id", "tr", "tc").agg(*box("row", "col")).withColumns({"br": at("row0", wide), "bc": at("col0", wide)})
+    theirs = rim.groupBy("fire", "ur", "uc").agg(*box("zr", "zc")).withColumns({"br": at("zr0", wide), "bc": at("zc0", wide)})
     steps = F.sequence(F.lit(-1), F.lit(1))
-    edge = boundary(labels).select("fire", "comp_id", "row", "col", F.floor(F.col("row") / reach).alias("br"), F.floor(F.col("col") / reach).alias("bc"))
-    around = edge.select("*", F.explode(steps).alias("i")).select("fire", "comp_id", "row", "col", (F.col("br") + F.col("i")).alias("br"), "bc", F.explode(steps).alias("j")).withColumn("bc", F.col("bc") + F.col("j"))
-    hot = zone.select("fire", F.col("row").alias("zr"), F.col("col").alias("zc"), F.floor(F.col("row") / reach).alias("br"), F.floor(F.col("col") / reach).alias("bc")).distinct()
-    met = around.join(hot, ["fire", "br", "bc"]).withColumn("d", gap_m(F.col("row") - F.col("zr"), F.col("col") - F.col("zc")))
-    inside = labels.join(zone.select("fire", "row", "col"), ["fire", "row", "col"], "left_semi").select("fire", "comp_id", F.lit(0.0).alias("d"))
-    met = met.select("fire", "comp_id", "d").unionByName(inside.distinct())
-    return met.groupBy("fire", "comp_id").agg(F.min("d").alias("distance_m")).where(F.col("distance_m") <= most_m)
+    near = mine.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).withColumns({"br": F.col("br") + F.col("i"), "bc": F.col("bc") + F.col("j")}).drop("i", "j")
+    least = lambda a, z: F.greatest(F.col(f"{z}0") - F.col(f"{a}1"), F.col(f"{a}0") - F.col(f"{z}1"), F.lit(0))
+    most = lambda a, z: F.greatest(F.col(f"{z}1") - F.col(f"{a}0"), F.col(f"{a}1") - F.col(f"{z}0"))
+    met = near.join(theirs, ["fire", "br", "bc"]).select(
+        "fire", "comp_id", "tr", "tc", "ur", "uc", gap_m(least("row", "zr"), least("col", "zc")).alias("lower"), gap_m(most("row", "zr"), most("col", "zc")).alias("upper")
+    )
+    met = written(met.where(F.col("lower") <= most_m), "boxes")
+    bound = met.groupBy("fire", "comp_id").agg(F.min("upper").alias("bound"))
+    open_ = met.join(bound, ["fire", "comp_id"]).where(F.col("lower") <= F.col("bound")).select("fire", "comp_id", "tr", "tc", "ur", "uc")
+    pixels = edge.join(open_, ["fire", "comp_id", "tr", "tc"]).join(rim, ["fire", "ur", "uc"])
+    apart = pixels.select("fire", "comp_id", gap_m(F.col("row") - F.col("zr"), F.col("col") - F.col("zc")).alias("d"))
+    inside = labels.join(area, ["fire", "row", "col"], "left_semi").select("fire", "comp_id").distinct().withColumn("d", F.lit(0.0))
+    return apart.unionByName(inside).groupBy("fire", "comp_id").agg(F.min("d").alias("distance_m")).where(F.col("distance_m") <= most_m)
 
 
 def split_main(labels: DataFrame, near_m: float = MAIN_M) -> DataFrame:

@@ -21,27 +21,56 @@ def filter_confidence(df: DataFrame, drop_low: bool = True) -> DataFrame:
     return df.where(F.coalesce(F.lower(F.col("confidence").cast("string")) != "l", F.lit(True))) if drop_low else df
 
 
-def cluster_hotspots(points: DataFrame, distance_m: int = DISTANCE_M) -> DataFrame:
+def _boxes(spots: DataFrame, *keys: str) -> DataFrame:
+    return spots.groupBy(*keys).agg(F.min("x_m").alias("x0"), F.max("x_m").alias("x1"), F.min("y_m").alias("y0"), F.max("y_m").alias("y1"))
+
+
+def _pairs_apart(pairs: DataFrame, distance_m: int) -> DataFrame:
+    """``pairs`` of boxes (a_x0 … b_y1) that are not farther apart than the distance, with ``sure``:
+    whether all their points are within it."""
+    gap = lambda c: F.greatest(F.col(f"b_{c}0") - F.col(f"a_{c}1"), F.col(f"a_{c}0") - F.col(f"b_{c}1"), F.lit(0.0))
+    span = lambda c: F.greatest(F.col(f"b_{c}1") - F.col(f"a_{c}0"), F.col(f"a_{c}1") - F.col(f"b_{c}0"))
+    square, least, most = float(distance_m) ** 2, gap("x") ** 2 + gap("y") ** 2, span("x") ** 2 + span("y") ** 2
+    return pairs.where(least <= square).withColumn("sure", most <= square)
+
+
+def _side(df: DataFrame, side: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
+
+
+def cluster_hotspots(points: DataFrame, distance_m: int = DISTANCE_M, parts: int = 4) -> DataFrame:
     """OP-J1: ``(point_id, cluster_id)`` of ``points(point_id, x_m, y_m)``; two points within
     ``distance_m`` are of one cluster, transitively; the id is the cluster's smallest point_id.
 
     Cells are so small that all points in one are within the distance; each is one node, however
-    many points it holds. Neighbouring cells are linked where some of their different positions are
-    within the distance: an equi-join on the cells that a cell can reach. Points without a position
-    take no part.
+    many points it holds. Whether two neighbouring cells are linked is settled coarse to fine: by
+    the boxes of their points, then by those of ``parts`` x ``parts`` squares of each. Only squares
+    that this leaves open, of cells that are not in one cluster yet, are compared point by point, so
+    a dense front never becomes a square of positions. Points without a position take no part.
     """
     side = int(distance_m / math.sqrt(2))
     reach = math.ceil(distance_m / side)
     placed = points.where("x_m is not null and y_m is not null").select("point_id", "x_m", "y_m", F.floor(F.col("x_m") / side).alias("cx"), F.floor(F.col("y_m") / side).alias("cy"))
-    cells = placed.groupBy("cx", "cy").agg(F.min("point_id").alias("node"))
-    spots = placed.select("cx", "cy", "x_m", "y_m").distinct().join(cells, ["cx", "cy"])
+    cells = written(placed.groupBy("cx", "cy").agg(F.min("point_id").alias("node"), F.min("x_m").alias("x0"), F.max("x_m").alias("x1"), F.min("y_m").alias("y0"), F.max("y_m").alias("y1")), "cells")
     steps = F.sequence(F.lit(-reach), F.lit(reach))
-    moved = spots.select("node", "x_m", "y_m", "cx", "cy", F.explode(steps).alias("dx")).select("node", "x_m", "y_m", "cy", (F.col("cx") + F.col("dx")).alias("tx"), F.explode(steps).alias("dy"))
-    moved = moved.select("node", "x_m", "y_m", "tx", (F.col("cy") + F.col("dy")).alias("ty"))
-    other = spots.select(F.col("node").alias("other"), F.col("x_m").alias("ox"), F.col("y_m").alias("oy"), F.col("cx").alias("tx"), F.col("cy").alias("ty"))
-    near = (F.col("x_m") - F.col("ox")) ** 2 + (F.col("y_m") - F.col("oy")) ** 2 <= float(distance_m) ** 2
-    links = moved.join(other, ["tx", "ty"]).where(F.col("node") < F.col("other")).where(near).select(F.col("node").alias("src"), F.col("other").alias("dst")).distinct()
-    found = connected_components(links)
+    moved = _side(cells, "a").withColumn("dx", F.explode(steps)).withColumn("dy", F.explode(steps))
+    other = _side(cells, "b")
+    pairs = moved.join(other, (F.col("a_cx") + F.col("dx") == F.col("b_cx")) & (F.col("a_cy") + F.col("dy") == F.col("b_cy"))).where("a_node < b_node")
+    pairs = written(_pairs_apart(pairs, distance_m).select("a_node", "b_node", "sure"), "cell_pairs")
+    # Squares of the cells of open pairs, then their points.
+    square = lambda c: F.floor((F.col(f"{c}_m") - F.col(f"c{c}") * side) * parts / side)
+    open_ = pairs.where(~F.col("sure")).select("a_node", "b_node")
+    spots = placed.select("cx", "cy", "x_m", "y_m").distinct().join(cells.select("cx", "cy", "node"), ["cx", "cy"]).select("node", "x_m", "y_m", square("x").alias("sx"), square("y").alias("sy"))
+    squares = _boxes(spots, "node", "sx", "sy")
+    fine = written(_pairs_apart(open_.join(_side(squares, "a"), "a_node").join(_side(squares, "b"), "b_node"), distance_m).select("a_node", "b_node", "a_sx", "a_sy", "b_sx", "b_sy", "sure"), "square_pairs")
+    links = pairs.where("sure").select(F.col("a_node").alias("src"), F.col("b_node").alias("dst")).unionByName(fine.where("sure").select(F.col("a_node").alias("src"), F.col("b_node").alias("dst")).distinct())
+    known = connected_components(links)
+    of = lambda s: known.select(F.col("node").alias(f"{s}_node"), F.col("component").alias(f"{s}_of"))
+    rest = fine.join(of("a"), "a_node", "left").join(of("b"), "b_node", "left").where(F.coalesce("a_of", "a_node") != F.coalesce("b_of", "b_node"))
+    met = rest.join(_side(spots, "a"), ["a_node", "a_sx", "a_sy"]).join(_side(spots, "b"), ["b_node", "b_sx", "b_sy"])
+    met = met.where((F.col("a_x_m") - F.col("b_x_m")) ** 2 + (F.col("a_y_m") - F.col("b_y_m")) ** 2 <= float(distance_m) ** 2)
+    late = written(met.select(F.col("a_node").alias("src"), F.col("b_node").alias("dst")).distinct(), "late_links")
+    found = connected_components(late.unionByName(known.select(F.col("node").alias("src"), F.col("component").alias("dst")))) if not late.isEmpty() else known
     named = cells.join(found, cells["node"] == found["node"], "left").select("cx", "cy", F.coalesce("component", cells["node"]).alias("cluster_id"))
     return placed.join(named, ["cx", "cy"]).select("point_id", "cluster_id")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scarmap.functions.labels import day_month
 from scarmap.operators.components import connected_components
+from scarmap.shared import discard, written
 
 OVERLAP, MATCH_DAYS, ALERT_RATIO = 0.3, 10, 1.3
 # Columns of the published table, in order.
@@ -64,48 +66,147 @@ def union_area_ha(cells: DataFrame, key: str = "fire", cell_m: int = 20) -> Data
     return cells.select(key, "cx", "cy").distinct().groupBy(key).agg((F.count("*") * (cell_m * cell_m) / 10_000).alias("area_ha"))
 
 
-def merge_duplicates(fires: DataFrame, cells: DataFrame, over: float = OVERLAP) -> DataFrame:
-    """OP-G4, OP-U5: ``(kept_id, id, absorbed, alert)`` for every fire of ``fires(id, statut,
-    area)`` with cells ``(id, cx, cy)``: by falling area, each joins the first kept fire that shares
-    more than ``over`` of the smaller; between a measure and an estimate the measure survives and
-    the estimate adds nothing, with an alert if it is over 1.3 times as large.
+#: Cells up to which a component of overlapping fires is merged in one task; larger ones go in rounds.
+GROUP_CELLS = 1 << 18
+#: What becomes of a fire: it is kept, its figures join a kept one's, or a measure stands for it.
+KEPT, FUSED, DROPPED, REPLACED = "kept", "fused", "dropped", "replaced"
+_DECISION = "slot {0}, id {0}, place long, fate string, under {0}, signal long"
 
-    Fires that share no cell cannot meet, so components of the shared-cell graph are merged in
-    parallel; within one, the order matters and one task does it.
+
+def _decide(same: bool, home_measured: bool, n: int, n_home: int) -> tuple[str, int | None]:
+    """Fate of a fire of n cells that overlaps a home of n_home cells, and the size of the estimate
+    if it is over ALERT_RATIO times the measure."""
+    if same:
+        return FUSED, None
+    estimate, measure = (n, n_home) if home_measured else (n_home, n)
+    return DROPPED if home_measured else REPLACED, estimate if estimate > ALERT_RATIO * measure else None
+
+
+def _merge_group(pdf: pd.DataFrame, over: float) -> pd.DataFrame:
+    homes: list[dict] = []
+    out = []
+    for r in pdf.sort_values("place").itertuples():
+        own = np.asarray(r.cells, np.int64)
+        met = ((h, len(np.intersect1d(own, h["cells"], assume_unique=True))) for h in homes)
+        home = next((h for h, n in met if n > over * min(len(own), len(h["cells"]))), None)
+        if home is None:
+            homes.append({"slot": r.id, "under": r.id, "measured": r.measured, "cells": own})
+            out.append((r.id, r.id, r.place, KEPT, r.id, None))
+            continue
+        fate, signal = _decide(home["measured"] == r.measured, home["measured"], len(own), len(home["cells"]))
+        if fate == FUSED:
+            home["cells"] = np.union1d(home["cells"], own)
+        elif fate == REPLACED:
+            home |= {"under": r.id, "measured": True, "cells": own}
+        out.append((home["slot"], r.id, r.place, fate, home["under"], signal))
+    return pd.DataFrame(out, columns=["slot", "id", "place", "fate", "under", "signal"]).astype({"signal": "Int64"})
+
+
+def _merge_rounds(fires: DataFrame, cells: DataFrame, over: float, kind: str) -> DataFrame:
+    """Decisions on ``fires(id, place, measured)`` in rounds of joins, for components too large for
+    a task. In a round those are decided that no earlier open fire can bear upon: none is on one of
+    their cells, nor on a cell of a home that they touch. They bear upon different homes, so one
+    round of joins settles them as one after the other would. With sizes in no spatial order the
+    rounds grow with the logarithm of the component, not with its size."""
+    spark = fires.sparkSession
+    open_ = written(cells.join(fires.select("id", "place", "measured"), "id"), "open")
+    homes = spark.createDataFrame([], f"slot {kind}, slot_place long, under {kind}, home_measured boolean, cell long")
+    decided = None
+    while not open_.isEmpty():
+        first = open_.groupBy("cell").agg(F.min("place").alias("first"))
+        blocked = open_.join(first, "cell").where("first < place").select("id")
+        touch = written(open_.select("id", "place", "cell").join(homes.select("slot", "cell"), "cell").groupBy("id", "place", "slot").agg(F.count("*").alias("both")), "touch")
+        foremost = touch.groupBy("slot").agg(F.min("place").alias("first"))
+        blocked = blocked.unionByName(touch.join(foremost, "slot").where("first < place").select("id")).distinct()
+        ready = open_.join(blocked, "id", "left_anti").groupBy("id", "place", "measured").agg(F.count("*").alias("n"))
+        sizes = homes.groupBy("slot", "slot_place", "under", "home_measured").agg(F.count("*").alias("n_home"))
+        met = ready.join(touch.select("id", "slot", "both"), "id").join(sizes, "slot").where(F.col("both") > over * F.least("n", "n_home"))
+        best = met.groupBy("id").agg(F.min_by(F.struct("slot", "slot_place", "under", "home_measured", "n_home"), "slot_place").alias("h"))
+        joined = ready.join(best, "id", "left")
+        same, measured = F.col("h.home_measured") == F.col("measured"), F.col("h.home_measured")
+        fate = F.when(F.col("h").isNull(), KEPT).when(same, FUSED).when(measured, DROPPED).otherwise(REPLACED)
+        estimate, measure = F.when(measured, F.col("n")).otherwise(F.col("h.n_home")), F.when(measured, F.col("h.n_home")).otherwise(F.col("n"))
+        signal = F.when(~same & (estimate > ALERT_RATIO * measure), estimate)
+        own = F.col("fate").isin(KEPT, REPLACED)
+        now = joined.select(F.coalesce("h.slot", "id").alias("slot"), F.coalesce("h.slot_place", "place").alias("slot_place"), "id", "place", "measured", fate.alias("fate"), signal.alias("signal"), F.col("h.under").alias("was"))
+        now = written(now.withColumn("under", F.when(own, F.col("id")).otherwise(F.col("was"))).drop("was"), "decided")
+        gone = now.where(F.col("fate") == REPLACED).select("slot")
+        more = open_.select("id", "cell").join(now.where(F.col("fate") != DROPPED), "id").select("slot", "slot_place", "under", F.col("measured").alias("home_measured"), "cell")
+        homes_after = written(homes.join(gone, "slot", "left_anti").unionByName(more).distinct(), "homes")
+        open_after = written(open_.join(now.select("id"), "id", "left_anti"), "open")
+        discard(touch, homes, open_)
+        homes, open_ = homes_after, open_after
+        now = now.select("slot", "id", "place", "fate", "under", "signal")
+        decided = now if decided is None else decided.unionByName(now)
+    discard(homes, open_)
+    return decided if decided is not None else spark.createDataFrame([], _DECISION.format(kind))
+
+
+def merge_decisions(fires: DataFrame, cells: DataFrame, over: float = OVERLAP, group_cells: int = GROUP_CELLS) -> DataFrame:
+    """OP-G4, OP-U5: ``(slot, id, place, fate, under, signal)`` for every fire of ``fires(id, statut,
+    area)`` with cells ``(id, cx, cy)``.
+
+    In the order of falling ``area`` (the sum of a fire's polygons; ties by id), place is the fire's
+    number in it, each fire joins the first kept one whose zone so far shares more than ``over`` of
+    the smaller of the two. Of one status the zones unite and it is ``fused``. Between a measure
+    (no status is one) and an estimate the measure stays: a later estimate is ``dropped``, a later
+    measure has ``replaced`` the estimate and what had joined it. ``under`` is the fire that holds
+    the slot from then on, ``signal`` the cells of an estimate over 1.3 times the measure.
+
+    Fires that share no cell, directly or through others, cannot meet. Components of up to
+    ``group_cells`` cells are merged in a task each; larger ones in rounds of joins.
+    A fire without cells is kept. Null ids are left out.
     """
-    a = cells.select("id", "cx", "cy").distinct()
-    b = a.withColumnRenamed("id", "other")
-    touching = a.join(b, ["cx", "cy"]).where("id < other").select(F.col("other").alias("src"), F.col("id").alias("dst")).distinct()
+    kind = dict(fires.dtypes)["id"]
+    fires = fires.where("id is not null").select("id", "area", (F.coalesce("statut", F.lit("mesure")) == "mesure").alias("measured"))
+    own = written(cells.select("id", F.shiftleft(F.col("cx").cast("long"), 32).bitwiseOR(F.col("cy").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("cell")).distinct(), "fire_cells")
+    least = own.groupBy("cell").agg(F.min("id").alias("least"))
+    touching = own.join(least, "cell").where("id <> least").select(F.col("id").alias("src"), F.col("least").alias("dst")).distinct()
     comps = connected_components(touching)
-    placed = fires.join(comps, fires["id"] == comps["node"], "left").select("id", "statut", "area", F.coalesce("component", "id").alias("component"))
-    rows = placed.join(a, "id", "left").groupBy("component", "id", "statut", "area").agg(F.collect_list(F.concat_ws(",", "cx", "cy")).alias("cells"))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[dict] = []
-        out = []
-        for r in pdf.sort_values(["area", "id"], ascending=[False, True]).itertuples():
-            own = set(r.cells)
-            home = next((k for k in kept if len(own & k["cells"]) > over * min(len(own), len(k["cells"]))), None)
-            if home is None:
-                kept.append({"id": r.id, "statut": r.statut, "cells": own, "area": r.area})
-                out.append([r.id, r.id, False, False])
-                continue
-            if (home["statut"] == "mesure") == (r.statut == "mesure"):
-                home["cells"] |= own
-                home["area"] += r.area
-                out.append([home["id"], r.id, True, False])
-            elif home["statut"] == "mesure":
-                out.append([home["id"], r.id, False, r.area > ALERT_RATIO * home["area"]])
-            else:
-                for o in out:
-                    if o[0] == home["id"]:
-                        o[0], o[2], o[3] = r.id, False, home["area"] > ALERT_RATIO * r.area
-                home |= {"id": r.id, "statut": r.statut, "cells": own, "area": r.area}
-                out.append([r.id, r.id, False, False])
-        return pd.DataFrame(out, columns=["kept_id", "id", "absorbed", "alert"])
+    placed = fires.join(comps, fires["id"] == comps["node"], "left").select("id", "area", "measured", F.coalesce("component", "id").alias("component"))
+    sizes = own.groupBy("id").agg(F.count("*").alias("n"))
+    placed = written(placed.join(sizes, "id", "left"), "placed")
+    whole = placed.groupBy("component").agg(F.sum("n").alias("total"))
+    placed = placed.join(whole, "component").withColumn("place", F.row_number().over(W.partitionBy("component").orderBy(F.desc("area"), "id")).cast("long"))
+    placed = written(placed, "ordered")
+    small = placed.where(F.coalesce("total", F.lit(0)) <= group_cells)
+    rows = small.join(own, "id", "left").groupBy("component", "id", "place", "measured").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+    out = rows.groupBy("component").applyInPandas(lambda pdf: _merge_group(pdf, over), _DECISION.format(kind))
+    large = placed.where(F.col("total") > group_cells)
+    if large.isEmpty():
+        return out
+    bare = large.where("n is null").select(F.col("id").alias("slot"), "id", "place", F.lit(KEPT).alias("fate"), F.col("id").alias("under"), F.lit(None).cast("long").alias("signal"))
+    return out.unionByName(_merge_rounds(large, own.join(large.select("id"), "id", "left_semi"), over, kind)).unionByName(bare)
 
-    kind = dict(fires.dtypes)["id"]
-    return rows.groupBy("component").applyInPandas(merge, f"kept_id {kind}, id {kind}, absorbed boolean, alert boolean")
+
+def merge_duplicates(fires: DataFrame, cells: DataFrame, over: float = OVERLAP, cell_m: int = 20, group_cells: int = GROUP_CELLS) -> DataFrame:
+    """OP-G4: the fires that stay, ``(id, feu, statut, n_points_chauds, premier, dernier, area_ha,
+    fusionnes, alertes)``, of ``fires(id, feu, statut, area, n_points_chauds, premier, dernier)`` and
+    cells ``(id, cx, cy)``, after :func:`merge_decisions`.
+
+    A kept fire has its own points and those of the fires fused with it, the first and last of their
+    dates, the area of the union of their cells, and their names; a measure that stands for a much
+    larger estimate has an alert for it.
+    """
+    decisions = written(merge_decisions(fires, cells, over, group_cells), "decisions")
+    holder = decisions.groupBy("slot").agg(F.max_by("under", "place").alias("holder"))
+    mine = written(decisions.join(holder, "slot").where((F.col("under") == F.col("holder")) & (F.col("fate") != DROPPED) | F.col("signal").isNotNull() & (F.col("under") == F.col("holder"))), "parts")
+    counts = mine.where(F.col("fate") != DROPPED)
+    text = F.concat(F.lit("chaleur détectée sur ~"), F.format_string("%.0f", F.col("signal") * (cell_m * cell_m) / 10_000), F.lit(" ha, au-delà du périmètre mesuré — le feu déborde probablement de l'image"))
+    told = mine.where("signal is not null").groupBy("holder").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", text.alias("t")))), lambda x: x["t"]).alias("alertes"))
+    facts = counts.join(fires.drop("area"), "id")
+    own, named = F.col("id") == F.col("holder"), F.when(F.col("fate") == FUSED, F.struct("place", "feu"))
+    sums = facts.groupBy(F.col("holder").alias("id")).agg(
+        F.max(F.when(own, F.col("feu"))).alias("feu"),
+        F.max(F.when(own, F.coalesce("statut", F.lit("mesure")))).alias("statut"),
+        F.sum("n_points_chauds").alias("n_points_chauds"),
+        F.min("premier").alias("premier"),
+        F.max("dernier").alias("dernier"),
+        F.transform(F.sort_array(F.collect_list(named)), lambda x: x["feu"]).alias("fusionnes"),
+    )
+    area = counts.select("id", "holder").join(cells, "id").select("holder", "cx", "cy").distinct().groupBy("holder").agg((F.count("*") * (cell_m * cell_m) / 10_000).alias("area_ha"))
+    out = sums.join(area.withColumnRenamed("holder", "id"), "id", "left").join(told.withColumnRenamed("holder", "id"), "id", "left")
+    return out.select("id", "feu", "statut", "n_points_chauds", "premier", "dernier", F.coalesce("area_ha", F.lit(0.0)).alias("area_ha"), "fusionnes", F.coalesce("alertes", F.array().cast("array<string>")).alias("alertes"))
 
 
 def disambiguate(features: DataFrame) -> DataFrame:
@@ -137,18 +238,40 @@ def reserves(f: DataFrame) -> Column:
 
 
 def to_features(records: DataFrame) -> DataFrame:
-    """OP-F7: published properties of fire records, missing status being a measure and missing
-    names blank; images flattened to their dates."""
-    have = set(records.columns)
-    flat = records.withColumns({c: F.lit(None).cast("string") for c in CSV_COLUMNS if c not in have})
-    return flat.select(*[F.coalesce(c, F.lit("mesure" if c == "statut" else "")).alias(c) if c in ("statut", "feu", "commune", "departement") else F.col(c) for c in CSV_COLUMNS])
+    """OP-F7: the 20 published properties of fire records: the columns of the flat table, then
+    motif_attente and the list of reserves (OP-F6).
 
+    Missing status is a measure; missing names, image dates and calcule_le are blank; the surface
+    has one decimal. Images may be structs with a date, or dates. Columns that the records lack are
+    null; they may also have n_isoles, fusionnes and alertes, for the reserves.
+    """
+    kinds = dict(records.dtypes)
+    flat = records.withColumns({c: F.col(f"{c}.date") for c in ("image_avant", "image_apres") if kinds.get(c, "").startswith("struct")})
+    needed = {c: "string" for c in (*CSV_COLUMNS, "motif_attente")} | {"surface_ha": "double", "part_masquee": "double", "n_isoles": "bigint", "fusionnes": "array<string>", "alertes": "array<string>"}
+    flat = flat.withColumns({c: F.lit(None).cast(t) for c, t in needed.items() if c not in kinds})
+    blank = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("feu", "commune", "departement", "image_avant", "image_apres", "calcule_le")}
+    flat = flat.withColumns(blank | {"statut": F.coalesce("statut", F.lit("mesure")), "surface_ha": F.round(F.col("surface_ha").cast("double"), 1)})
+    noted = flat.withColumns({"fin": F.col("fin").cast("string")}) if kinds.get("fin") == "date" else flat
+    return noted.select(*CSV_COLUMNS, "motif_attente", reserves(noted).alias("reserves")) if noted is flat else noted.withColumn("reserves", reserves(noted)).withColumn("fin", F.col("fin").cast("date")).select(*CSV_COLUMNS, "motif_attente", "reserves")
 
-def publication_order(features: DataFrame) -> DataFrame:
+
+def publication_keys() -> list[Column]:
     """OP-K3: pending first, then by falling surface, then by id."""
-    return features.orderBy(F.col("statut") != "en_attente", F.desc_nulls_last("surface_ha"), "id")
+    return [F.col("statut") != "en_attente", F.desc_nulls_last("surface_ha"), F.col("id")]
+
 
+def publication_order(features: DataFrame) -> DataFrame:
+    """OP-K3: sorted by :func:`publication_keys`."""
+    return features.orderBy(*publication_keys())
 
-def publication_totals(features: DataFrame) -> DataFrame:
-    """OP-A13: number and hectares of each status."""
-    return features.groupBy("statut").agg(F.count("*").alias("n"), F.coalesce(F.sum("surface_ha"), F.lit(0.0)).alias("total_ha"))
+
+def publication_totals(features: DataFrame, isolated: DataFrame | None = None, hotspots: DataFrame | None = None) -> DataFrame:
+    """OP-A13: ``(statut, n, total_ha)``: number and hectares of each status, then of the isolated
+    detections ``(surface_ha, …)`` (``isole``) and the number of hot spots (``point_chaud``)."""
+    total = F.coalesce(F.sum("surface_ha"), F.lit(0.0)).cast("double").alias("total_ha")
+    out = features.groupBy("statut").agg(F.count("*").alias("n"), total)
+    if isolated is not None:
+        out = out.unionByName(isolated.agg(F.count("*").alias("n"), total).withColumn("statut", F.lit("isole")))
+    if hotspots is not None:
+        out = out.unionByName(hotspots.agg(F.count("*").alias("n")).select(F.lit("point_chaud").alias("statut"), "n", F.lit(None).cast("double").alias("total_ha")))
+    return out

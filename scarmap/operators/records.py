@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,9 +21,16 @@ def chain_records(archive: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
 
 def consolidate(chains: DataFrame) -> DataFrame:
     """OP-W2: one row a chain: the record of authority (measured before others, then the latest
-    computed, then the larger id), under the earliest record's id, over the chain's dates."""
+    computed, then the larger id), under the earliest record's id, over the chain's dates.
+
+    ``ignored`` says that the authority's geometry is missing (column has_geometry, where there is
+    one): such a chain is left intact, see :func:`after_consolidation`. Without an image the
+    authority's own latency stays (column latence_jours, where there is one)."""
+    have = set(chains.columns)
     best = F.struct((F.col("statut") == "mesure").alias("m"), F.col("calcule_le"), F.col("id"))
     first = F.struct("premier", "id")
+    geometry = F.col("has_geometry") if "has_geometry" in have else F.lit(True)
+    latency = F.col("latence_jours") if "latence_jours" in have else F.lit(None).cast("int")
     merged = chains.groupBy("lieu", "chain").agg(
         F.min_by("id", first).alias("id"),
         F.max_by("id", best).alias("authority"),
@@ -33,8 +40,21 @@ def consolidate(chains: DataFrame) -> DataFrame:
         F.max("dernier").alias("dernier"),
         F.max_by("image_apres", best).alias("image_apres"),
         F.count("*").alias("n_records"),
+        (~F.coalesce(F.max_by(geometry, best), F.lit(False))).alias("ignored"),
+        F.max_by(latency, best).alias("_own"),
     )
-    return merged.withColumn("latence_jours", F.datediff("image_apres", "premier"))
+    return merged.withColumn("latence_jours", F.coalesce(F.datediff("image_apres", "premier"), "_own")).drop("_own")
+
+
+def after_consolidation(chains: DataFrame, consolidated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """OP-W2: the archive ``(id, lieu, statut, surface_ha, premier, dernier, image_apres)`` and the
+    renames ``(absorbed, survivor)`` for the journal (OP-L4): consolidated chains are one record,
+    ignored ones keep all of theirs."""
+    columns = ["id", "lieu", "statut", "surface_ha", "premier", "dernier", "image_apres"]
+    fate = consolidated.select("lieu", "chain", F.col("id").alias("survivor"), "ignored")
+    each = chains.join(fate, ["lieu", "chain"])
+    archive = consolidated.where(~F.col("ignored")).select(*columns).unionByName(each.where("ignored").select(*columns))
+    return archive, each.where(~F.col("ignored") & (F.col("id") != F.col("survivor"))).select(F.col("id").alias("absorbed"), "survivor")
 
 
 def pending_fires(archive: DataFrame, done: DataFrame, today, days: int = PENDING_DAYS) -> DataFrame:
@@ -107,7 +127,7 @@ def journal_diff(published: DataFrame, state: DataFrame, events: DataFrame, now,
     An unknown id is ``nouveau``; a change of ``change`` or more of a surface above 0 is
     ``agrandi`` or ``revise``. Ids no longer published lose their events and state; the newest
     ``most`` events are kept, new ones ahead of old ones of the same date."""
-    now = F.lit(now).cast("timestamp")
+    now = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     before = state.select("id", F.col("surface_ha").alias("previous"))
     compared = published.join(before.withColumn("known", F.lit(True)), "id", "left")
     share = (F.col("surface_ha") - F.col("previous")) / F.col("previous")

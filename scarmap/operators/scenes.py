@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,16 +13,26 @@ COVERAGE, AFTER_TRIED, BEFORE_TRIED, BEFORE_DAYS, PASSES = 0.55, 6, 8, 60, 6
 UNUSABLE_SCL = (0, 1, 3, 6, 8, 9, 10, 11)
 
 
-def scene_coverage(zones: DataFrame, scl: DataFrame) -> DataFrame:
+#: A coverage table ``(fire, scene_id, coverage)``, or a function that gives one for the ranked
+#: candidates ``(fire, scene_id, tile, datetime, rank)``, so that only these are looked at.
+Coverage = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def scene_coverage(zones: DataFrame, scl: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
     """OP-A2: ``(fire, scene_id, coverage)``: of the zone's pixels that the scene's tile has, the
     share of usable ones. ``zones(fire, tile, row, col)``, ``scl(scene_id, tile, row, col, scl)``.
-    A pair without common pixels has no row; pick_* count that as 0."""
-    seen = zones.join(scl, ["tile", "row", "col"])
+    A pair without common pixels has no row; pick_* count that as 0. With ``candidates(fire,
+    scene_id)`` only those pairs are read."""
+    if candidates is not None:
+        zones = zones.join(candidates.select("fire", "scene_id").distinct(), "fire")
+    keys = ["tile", "row", "col"] if candidates is None else ["scene_id", "tile", "row", "col"]
+    seen = zones.join(scl, keys)
     return seen.groupBy("fire", "scene_id").agg(F.avg((~F.col("scl").isin(*UNUSABLE_SCL)).cast("double")).alias("coverage"))
 
 
-def _pick(ranked: DataFrame, coverage: DataFrame, least: float) -> DataFrame:
-    tried = ranked.join(coverage, ["fire", "scene_id"], "left")
+def _pick(ranked: DataFrame, coverage: Coverage, least: float) -> DataFrame:
+    seen = coverage(ranked) if callable(coverage) else coverage
+    tried = ranked.join(seen.select("fire", "scene_id", "coverage"), ["fire", "scene_id"], "left")
     clear = F.coalesce("coverage", F.lit(0.0)) >= least
     return tried.groupBy("fire").agg(
         F.count("*").alias("n_tried"),
@@ -29,37 +41,54 @@ def _pick(ranked: DataFrame, coverage: DataFrame, least: float) -> DataFrame:
     )
 
 
-def _binned(boxes: DataFrame, bin_m: int) -> DataFrame:
-    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / bin_m), F.floor(F.col(hi) / bin_m)))
-    return boxes.withColumn("_bx", span("xmin", "xmax")).withColumn("_by", span("ymin", "ymax"))
+def _ranked(found: DataFrame, tried: int) -> DataFrame:
+    """The newest scenes of each fire; the limit on the rank goes below the shuffle."""
+    order = W.partitionBy("fire").orderBy(F.desc("datetime"), "scene_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= tried)
+
+
+def _span(lo: Column, hi: Column, width: int) -> Column:
+    return F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width)))
 
 
-def pick_post(fires: DataFrame, scenes: DataFrame, coverage: DataFrame, least: float = COVERAGE, tried: int = AFTER_TRIED, bin_m: int = 20_000) -> DataFrame:
+def _day(c: str | Column) -> Column:
+    return F.unix_date((F.col(c) if isinstance(c, str) else c).cast("date"))
+
+
+def pick_post(fires: DataFrame, scenes: DataFrame, coverage: Coverage, least: float = COVERAGE, tried: int = AFTER_TRIED, bin_m: int = 20_000, bin_days: int = 15) -> DataFrame:
     """OP-J4, OP-W4: ``(fire, n_tried, scene_id, tile)``: of the newest ``tried`` scenes whose box
     meets the fire's, from its start to the day after ``now``, the first that is clear; null where
     none is. The rank is taken before the coverage is looked at. Fires without scenes have no row.
 
     ``fires(fire, start, now, xmin, ymin, xmax, ymax)``, ``scenes(scene_id, tile, datetime, …)``.
-    Boxes meet by an equi-join on the ``bin_m`` squares that they touch, then exactly.
+    They meet by an equi-join on squares of ``bin_m`` and spans of ``bin_days``, then exactly; a
+    pair that shares several squares is kept in the first one only.
     """
-    f, s = _binned(fires, bin_m).alias("f"), _binned(scenes, bin_m).alias("s")
-    same = (F.col("f._bx") == F.col("s._bx")) & (F.col("f._by") == F.col("s._by"))
+    cut = lambda df, days: df.withColumn("_bx", _span(F.col("xmin"), F.col("xmax"), bin_m)).withColumn("_by", _span(F.col("ymin"), F.col("ymax"), bin_m)).withColumn("_bt", days)
+    f = cut(fires, _span(_day("start"), _day("now") + 1, bin_days)).alias("f")
+    s = cut(scenes.dropDuplicates(["scene_id", "tile"]), F.floor(_day("datetime") / bin_days)).alias("s")
+    same = (F.col("f._bx") == F.col("s._bx")) & (F.col("f._by") == F.col("s._by")) & (F.col("f._bt") == F.col("s._bt"))
     meets = (F.col("f.xmin") <= F.col("s.xmax")) & (F.col("s.xmin") <= F.col("f.xmax")) & (F.col("f.ymin") <= F.col("s.ymax")) & (F.col("s.ymin") <= F.col("f.ymax"))
+    first = lambda c: F.floor(F.greatest(F.col(f"f.{c}min"), F.col(f"s.{c}min")) / bin_m)
+    once = (F.col("f._bx") == first("x")) & (F.col("f._by") == first("y"))
     when = (F.col("s.datetime") >= F.col("f.start")) & (F.col("s.datetime").cast("date") <= F.date_add(F.col("f.now").cast("date"), 1))
-    found = f.join(s, same & meets & when).select("f.fire", "s.scene_id", "s.tile", "s.datetime").distinct()
-    order = W.partitionBy("fire").orderBy(F.desc("datetime"), "scene_id")
-    return _pick(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= tried), coverage, least)
+    found = f.join(s, same & once & meets & when).select("f.fire", "s.scene_id", "s.tile", "s.datetime")
+    return _pick(_ranked(found, tried), coverage, least)
 
 
-def pick_pre(fires: DataFrame, scenes: DataFrame, coverage: DataFrame, least: float = COVERAGE, tried: int = BEFORE_TRIED, days: int = BEFORE_DAYS, strict_before: bool = False) -> DataFrame:
+def pick_pre(fires: DataFrame, scenes: DataFrame, coverage: Coverage, least: float = COVERAGE, tried: int = BEFORE_TRIED, days: int = BEFORE_DAYS, strict_before: bool = False) -> DataFrame:
     """OP-J5, OP-W4: as pick_post, of the scenes of the after image's tile in the ``days`` days up
-    to the start, that day included unless ``strict_before``. ``fires(fire, tile, start)``."""
-    f, s = fires.alias("f"), scenes.alias("s")
+    to the start, that day included unless ``strict_before``. ``fires(fire, tile, start)``.
+
+    They meet on the tile and a span of ``days`` days: a fire looks into two spans, whatever the
+    length of the archive.
+    """
+    f = fires.withColumn("_bt", _span(_day("start") - days, _day("start"), days)).alias("f")
+    s = scenes.dropDuplicates(["scene_id", "tile"]).withColumn("_bt", F.floor(_day("datetime") / days)).alias("s")
     end = F.col("s.datetime") < F.col("f.start") if strict_before else F.col("s.datetime").cast("date") <= F.col("f.start").cast("date")
-    within = (F.col("f.tile") == F.col("s.tile")) & end & (F.col("s.datetime").cast("date") >= F.date_sub(F.col("f.start").cast("date"), days))
-    found = f.join(s, within).select("f.fire", "s.scene_id", "s.tile", "s.datetime").distinct()
-    order = W.partitionBy("fire").orderBy(F.desc("datetime"), "scene_id")
-    return _pick(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= tried), coverage, least)
+    within = (F.col("f.tile") == F.col("s.tile")) & (F.col("f._bt") == F.col("s._bt")) & end & (F.col("s.datetime").cast("date") >= F.date_sub(F.col("f.start").cast("date"), days))
+    found = f.join(s, within).select("f.fire", "s.scene_id", "s.tile", "s.datetime")
+    return _pick(_ranked(found, tried), coverage, least)
 
 
 def attach_commune(clusters: DataFrame, communes: DataFrame) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.functions.labels import number_in
+from scarmap.shared import written
 
 # The patterns of the audit, the tables and the legends, and their labels.
 SECRETS = (
@@ -43,6 +48,10 @@ SENSOR = (
     r"(?i)(SPOT[-\s]?\d(?:/\d)?|Sentinel[-\s]?\d[AB]?|Pl[ée]iades(?:-1A/B)?|Landsat[-\s]?\d(?:/\d)?"
     r"|WorldView[-\s]?\d?|GeoEye[-\s]?\d?|PlanetScope|Kompsat[-\s]?\d?)"
 )
+# Rows and cells of the declared-fire tables.
+TABLE_ROW, TABLE_CELL = r"(?s)<tr[^>]*>(.*?)</tr>", r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
+#: Known secrets in one automaton.
+KNOWN_AT_ONCE = 100_000
 OUTPUTS, MOST_BYTES = ("index.html", "data/feux.geojson"), 25_000_000
 
 
@@ -54,8 +63,8 @@ def plain(html: Column) -> Column:
 def table_rows(pages: DataFrame) -> DataFrame:
     """OP-T1: the records of the tables in ``pages(page_id, html)``: rows of seven cells or more
     whose third is a number."""
-    rows = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"))).alias("n", "tr"))
-    cells = rows.select("page_id", "n", F.transform(F.regexp_extract_all("tr", F.lit(r"(?s)<t[dh][^>]*>(.*?)</t[dh]>")), plain).alias("c"))
+    rows = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(TABLE_ROW))).alias("n", "tr"))
+    cells = rows.select("page_id", "n", F.transform(F.regexp_extract_all("tr", F.lit(TABLE_CELL)), plain).alias("c"))
     cell = lambda i: F.get("c", F.lit(i))
     return cells.where((F.size("c") >= 7) & F.coalesce(cell(2).rlike(r"^\d+$"), F.lit(False))).select(
         "page_id",
@@ -122,13 +131,39 @@ def scan_identity(files: DataFrame, all_hits: bool = False) -> DataFrame:
     return _hits(files, [_rule(LOCAL_PATH, "chemin local absolu"), email])
 
 
-def scan_known(files: DataFrame, secrets: DataFrame, least: int = 8) -> DataFrame:
-    """OP-T6: ``(path, name)`` of files that hold a known secret of ``least`` characters or more.
-    The secrets are those of one machine's settings: they are counted before they are broadcast."""
-    known = secrets.where(F.length("value") >= least)
-    if known.count() > 10_000:
-        raise ValueError("too many secrets to broadcast")
-    return files.join(F.broadcast(known), F.contains("content", "value")).select("path", "name")
+def scan_known(files: DataFrame, secrets: DataFrame, least: int = 8, at_once: int = KNOWN_AT_ONCE) -> DataFrame:
+    """OP-T6: ``(path, name)`` of files ``(path, content)`` that hold a known secret ``(name,
+    value)`` of ``least`` characters or more.
+
+    Each file is read once by an Aho-Corasick automaton of all values, whatever their number. At
+    most ``at_once`` values go to the driver and into an automaton; more are dealt by their hash to
+    as many automata as it takes. Null contents and values match nothing; a value of several names
+    gives a row for each.
+    """
+    known = written(secrets.where(F.length("value") >= least).select("name", "value"), "known")
+    n = known.select("value").distinct().count()
+    dealt = known.select("value").distinct().withColumn("part", F.pmod(F.xxhash64("value"), F.lit(max(1, -(-2 * n // at_once) if n > at_once else 1))))
+
+    def matches(values: list[str]) -> DataFrame:
+        def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            automaton = ahocorasick.Automaton()
+            for v in values:
+                automaton.add_word(v, v)
+            automaton.make_automaton()
+            for batch in batches:
+                hits = [(p, v) for p, c in zip(batch["path"], batch["content"], strict=True) if c for v in {v for _, v in automaton.iter(c)}]
+                yield pd.DataFrame(hits, columns=["path", "value"])
+
+        return files.select("path", "content").mapInPandas(found, "path string, value string")
+
+    parts = [r["part"] for r in dealt.select("part").distinct().collect()] if n else []
+    out = None
+    for part in sorted(parts):
+        one = matches([r["value"] for r in dealt.where(F.col("part") == part).collect()])
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        return files.select("path", F.lit("").alias("name")).where("false")
+    return out.join(known, "value").select("path", "name")
 
 
 def scan_loads(pages: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.operators.burn import LEAST_HA, THRESHOLDS, burn_components, component_areas
@@ -111,11 +111,22 @@ def pick_aoi(products: DataFrame, aois: DataFrame) -> DataFrame:
     return products.join(own, "produit", "left").join(same, ["activation", "aoi"], "left").select("produit", F.coalesce("_own", "_same").alias("aoi_id"))
 
 
+def reference_keys(products: DataFrame) -> list[Column]:
+    """OP-K5: by fire, date and type; equal ones by product or id, where there is that column."""
+    return [F.col(c) for c in ("feu", "date_situation", "type_produit", *[c for c in ("produit", "id") if c in products.columns])]
+
+
 def reference_order(products: DataFrame) -> DataFrame:
-    """OP-K5: by fire, date and type."""
-    return products.orderBy("feu", "date_situation", "type_produit")
+    """OP-K5: sorted by :func:`reference_keys`."""
+    return products.orderBy(*reference_keys(products))
+
+
+def declared_keys(fires: DataFrame) -> list[Column]:
+    """OP-K5: by falling surface, unknown as 0; equal ones by alert, commune and INSEE code, as far
+    as there are such columns."""
+    return [F.coalesce("surface_ha", F.lit(0.0)).desc(), *[F.col(c) for c in ("alerte", "commune", "insee", "id") if c in fires.columns]]
 
 
 def declared_order(fires: DataFrame) -> DataFrame:
-    """OP-K5: declared fires by falling surface, unknown as 0."""
-    return fires.orderBy(F.coalesce("surface_ha", F.lit(0.0)).desc())
+    """OP-K5: declared fires, sorted by :func:`declared_keys`."""
+    return fires.orderBy(*declared_keys(fires))

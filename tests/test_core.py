@@ -90,10 +90,11 @@ def test_merge_duplicates_strict_and_status(spark):
 
     cells = spark.createDataFrame(strip(1, 0, 20) + strip(2, 17, 27) + strip(3, 100, 110) + strip(4, 106, 114) + strip(5, 200, 230) + strip(6, 205, 215), "id long, cx long, cy long")
     fires = spark.createDataFrame([(1, "mesure", 20.0), (2, "mesure", 10.0), (3, "mesure", 10.0), (4, "mesure", 8.0), (5, "en_attente", 30.0), (6, "mesure", 10.0)], "id long, statut string, area double")
-    got = {r.id: (r.kept_id, r.absorbed, r.alert) for r in publish.merge_duplicates(fires, cells).collect()}
-    assert got[2] == (2, False, False)  # exactly 30 % is not more than 30 %
-    assert got[4] == (3, True, False)
-    assert got[5] == (6, False, True) and got[6] == (6, False, False)
+    for group_cells in (1 << 18, 0):
+        got = {r.id: (r.under, r.fate, r.signal) for r in publish.merge_decisions(fires, cells, group_cells=group_cells).collect()}
+        assert got[2] == (2, "kept", None)  # exactly 30 % is not more than 30 %
+        assert got[4] == (3, "fused", None)
+        assert got[5] == (5, "kept", None) and got[6] == (6, "replaced", 30)
 
 
 def test_rasterise_square_with_hole(spark):
@@ -160,3 +161,54 @@ def test_outlines_of_a_square_with_a_hole_and_corner_contact(spark):
     rings = [r.xy for r in outlines.outlines(labels_).collect()]
     area = sum(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(x, x[1:], strict=False)) / 2 for x in rings)
     assert len(rings) in (2, 3) and abs(area) == 34 * 400 and sorted(len(x) for x in rings)[-1] >= 5
+
+
+def test_versions_survive_a_dead_job(spark, tmp_path):
+    at = str(tmp_path / "table")
+    assert files.read_version(spark, at) is None
+    files.write_version(spark.range(3), at)
+    (tmp_path / "table" / "version-000000002").mkdir()  # begun, never ended
+    assert files.read_version(spark, at).count() == 3
+    files.write_version(files.read_version(spark, at).where("id > 0"), at)
+    assert files.read_version(spark, at).count() == 2
+
+
+def test_journal_batches_are_applied_once(spark, tmp_path):
+    from scarmap.streaming import fires as streams
+
+    at = str(tmp_path / "journal")
+    apply = streams.journal_upsert(at, "2024-05-01 00:00:00")
+    batch = lambda *rows: spark.createDataFrame(list(rows), "id long, surface_ha double, image string")
+    apply(batch((1, 10.0, "a"), (2, 5.0, "a")), 0)
+    apply(batch((1, 11.0, "b"), (3, 7.0, "b")), 1)
+    once = sorted(map(str, streams.journal(spark, at).collect()))
+    apply(batch((1, 11.0, "b"), (3, 7.0, "b")), 1)
+    assert sorted(map(str, streams.journal(spark, at).collect())) == once
+    events = sorted((r.id, r.type) for r in streams.parts(streams.journal(spark, at))[1].collect())
+    assert events == [(1, "agrandi"), (1, "nouveau"), (3, "nouveau")]
+
+
+def test_chains_without_their_geometry_stay(spark):
+    rows = [("a", "p", "en_attente", 1.0, d("2024-01-01"), d("2024-01-02"), None, 1, True), ("b", "p", "mesure", 2.0, d("2024-01-05"), d("2024-01-06"), d("2024-01-08"), 2, False), ("c", "q", "mesure", 3.0, d("2024-01-01"), d("2024-01-02"), None, 1, True), ("e", "q", "en_attente", 4.0, d("2024-01-03"), d("2024-01-09"), None, 9, False)]
+    chains = records.chain_records(spark.createDataFrame(rows, "id string, lieu string, statut string, surface_ha double, premier date, dernier date, image_apres date, calcule_le long, has_geometry boolean"))
+    out = records.consolidate(chains)
+    assert {r.lieu: r.ignored for r in out.collect()} == {"p": True, "q": False}
+    archive, renamed = records.after_consolidation(chains, out)
+    assert sorted(r.id for r in archive.collect()) == ["a", "b", "c"] and [tuple(r) for r in renamed.collect()] == [("e", "c")]
+
+
+def test_archive_and_geometry_files(spark, tmp_path):
+    shape = [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0]]]]
+    geo_schema = "id string, multi array<array<array<array<double>>>>"
+    best = files.best_geometry(spark.createDataFrame([("a", shape), ("b", None)], geo_schema), spark.createDataFrame([("a", None), ("b", shape), ("c", shape)], geo_schema))
+    assert {r.id: r.multi for r in best.collect()} == {"a": shape, "b": shape, "c": shape}
+    raw = spark.createDataFrame([("a", 12.34, d("2024-01-01"), d("2024-01-03")), ("b", None, None, None)], "id string, surface_ha double, debut date, fin date")
+    features = publish.to_features(raw)
+    assert features.columns == [*publish.CSV_COLUMNS, "motif_attente", "reserves"] and len(features.columns) == 20
+    points = spark.createDataFrame([(2.0, 45.0, d("2024-01-01"))], "longitude double, latitude double, acq_date date")
+    out = str(tmp_path / "site")
+    files.write_publication(features, best, features.limit(0), best, points, out)
+    table = {r.id: r for r in spark.read.csv(f"{out}/feux.csv", header=True).collect()}
+    assert (table["a"].surface_ha, table["a"].statut, table["b"].surface_ha) == ("12.3", "mesure", None)
+    back = {r.properties["id"]: r for r in files.read_geojson(spark, f"{out}/feux.geojsonl/*", lines=True).collect()}
+    assert back["a"].multi == shape and set(back["a"].properties) == set(features.columns)
