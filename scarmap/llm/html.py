@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -35,11 +36,17 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 SIBLINGS = {t: g for g in ({"li"}, {"dt", "dd"}, {"tr"}, {"td", "th"}, {"option", "optgroup"}) for t in g}
 ENCLOSING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "optgroup": {"select"}}
 
+_TAG = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|svg|iframe|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b{_TAG}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_TAG})>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+# Elements whose content isn't the page's own text. One that is never closed is an element like any
+# other, so it takes nothing away.
+SKIPPED = re.compile(r"</(noscript|template|svg|iframe|object)\s*>", re.I)
+#: Open elements beyond which the innermost one is left for the next.
+MOST_DEPTH = 512
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+")
 
@@ -49,21 +56,34 @@ def _slot(token: str, slots: int) -> int:
     return zlib.crc32(token.encode("utf-8", "surrogatepass")) % slots
 
 
+class Element:
+    """An open element: its tag, and the slots of its own path and names and of all around it, as
+    the bits of a number, so that depth costs nothing."""
+
+    __slots__ = ("tag", "slots")
+
+    def __init__(self, tag: str, names: str, around: int) -> None:
+        self.tag, self.slots = tag, around | 1 << _slot(tag, PATH_SLOTS)
+        for n in _NAME_PARTS.findall(names):
+            self.slots |= 1 << _slot(f".{n}", PATH_SLOTS)
+
+
 class Block:
-    __slots__ = ("text", "path", "tag", "linked")
+    __slots__ = ("text", "slots", "tag", "linked")
 
-    def __init__(self, text: str, path: tuple[str, ...], tag: str, linked: int) -> None:
-        self.text, self.path, self.tag, self.linked = text, path, tag, linked
+    def __init__(self, text: str, slots: int, tag: str, linked: int) -> None:
+        self.text, self.slots, self.tag, self.linked = text, slots, tag, linked
 
 
 def blocks(html: str | None) -> list[Block]:
     """The blocks of a page that hold text, in page order; white space inside is one space.
 
     Unclosed and wrongly nested elements are read leniently; scripts, styles, comments and a tag
-    cut off by the end of the page are skipped.
+    cut off by the end of the page are skipped, as is what stands in closed elements of SKIPPED.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # block elements: tag, path tokens
+    stack: list[Element] = []  # block elements
+    open_tags: Counter[str] = Counter()
     text: list[str] = []
     linked = in_link = 0
 
@@ -71,7 +91,7 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal linked
         joined = " ".join(unescape("".join(text)).split())
         if joined:
-            out.append(Block(joined, stack[-1][1] if stack else (), stack[-1][0] if stack else "", linked))
+            out.append(Block(joined, stack[-1].slots if stack else 0, stack[-1].tag if stack else "", linked))
         text.clear()
         linked = 0
 
@@ -81,8 +101,18 @@ def blocks(html: str | None) -> list[Block]:
         if in_link:
             linked += len(s)
 
+    def cut(to: int) -> None:
+        for e in stack[to:]:
+            open_tags[e.tag] -= 1
+        del stack[to:]
+
     at, html = 0, html or ""
-    for m in _MARK.finditer(html):
+    ends: dict[str, list[int]] = {}  # where skipped elements are closed, last first
+    for m in SKIPPED.finditer(html):
+        ends.setdefault(m[1].lower(), []).append(m.end())
+    for places in ends.values():
+        places.reverse()
+    while m := _MARK.search(html, at):
         if m.start() > at:
             add(html[at : m.start()])
         at = m.end()
@@ -95,48 +125,57 @@ def blocks(html: str | None) -> list[Block]:
             elif tag == "a":
                 in_link = 0 if m["end"] else 1
             continue
+        if tag == "svg" and m["attrs"].endswith("/"):
+            continue
+        if not m["end"] and tag in ends:
+            places = ends[tag]
+            while places and places[-1] <= at:
+                places.pop()
+            if places:
+                at = places.pop()
+                continue
         close_block()
+        in_link = 0
         if m["end"]:
-            in_link = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if open_tags[tag]:
+                cut(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
-        in_link = 0
-        if stack and stack[-1][0] == "p":
-            stack.pop()
-        if tag in SIBLINGS:
+        if stack and stack[-1].tag == "p":
+            cut(len(stack) - 1)
+        if tag in SIBLINGS and any(open_tags[t] for t in SIBLINGS[tag]):
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SIBLINGS[tag]:
-                    del stack[i:]
+                if stack[i].tag in SIBLINGS[tag]:
+                    cut(i)
                     break
-                if stack[i][0] in ENCLOSING[tag]:
+                if stack[i].tag in ENCLOSING[tag]:
                     break
         elif tag == "body":
-            stack = [x for x in stack if x[0] == "html"]
+            cut(1 if stack and stack[0].tag == "html" else 0)
         if tag in VOID:
             continue
+        if len(stack) >= MOST_DEPTH:
+            cut(len(stack) - 1)
         names = " ".join(next(filter(None, n), "") for n in _NAMES.findall(m["attrs"])).lower() if m["attrs"] else ""
-        tokens = (*(stack[-1][1] if stack else ()), tag, *(f".{n}" for n in _NAME_PARTS.findall(names)))
-        stack.append((tag, tokens))
+        stack.append(Element(tag, names, stack[-1].slots if stack else 0))
+        open_tags[tag] += 1
     if at < len(html):
         add(html[at:])
     close_block()
     return out
 
 
-def features(found: list[Block]) -> np.ndarray:
+def features(found: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
+    """The inputs of blocks, of which the page has ``total`` and ``first`` before these."""
     x = np.zeros((len(found), INPUTS), np.float32)
-    words_at = PATH_SLOTS + TAG_SLOTS
+    words_at, total = PATH_SLOTS + TAG_SLOTS, total or len(found)
+    octets = np.frombuffer(b"".join(b.slots.to_bytes(PATH_SLOTS // 8, "little") for b in found), np.uint8).reshape(len(found), -1)
+    x[:, :PATH_SLOTS] = np.unpackbits(octets, axis=1, bitorder="little")
     for i, b in enumerate(found):
-        for t in b.path:
-            x[i, _slot(t, PATH_SLOTS)] = 1
         x[i, PATH_SLOTS + _slot(b.tag, TAG_SLOTS)] = 1
         words = b.text.lower().split(" ")
         counts = np.bincount([_slot(w, WORD_SLOTS) for w in words], minlength=WORD_SLOTS)
         x[i, words_at : words_at + WORD_SLOTS] = np.sqrt(counts / len(words))
-        x[i, -MEASURES:] = np.log1p(len(words)) / 4, np.log1p(len(b.text)) / 6, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?", i / len(found)
+        x[i, -MEASURES:] = np.log1p(len(words)) / 4, np.log1p(len(b.text)) / 6, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?", (first + i) / total
     return x
 
 
@@ -155,12 +194,15 @@ class Labeller:
             wx[: PATH_SLOTS] = 0  # an element never met says nothing
             self.p |= {f"x{d}": wx.astype(np.float32), f"h{d}": rng.normal(0, 0.2, (h, 4 * h)).astype(np.float32), f"b{d}": np.repeat([0.0, 1.0, 0.0, 0.0], h).astype(np.float32)}
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None) -> np.ndarray:
-        """States (pages, blocks, hidden); a page's states pass unchanged over its padding."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None, state: np.ndarray | None = None, cell: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """States (pages, blocks, hidden), and the last state and cell; a page's states pass
+        unchanged over its padding. It begins with what came before, if that is given."""
         n, t, h = *mask.shape, HIDDEN
         z = x.reshape(n * t, -1) @ self.p[f"x{d}"] + self.p[f"b{d}"]
         z = z.reshape(n, t, 4 * h)
-        out, state, cell = np.zeros((n, t, h), np.float32), np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
+        out = np.zeros((n, t, h), np.float32)
+        state = np.zeros((n, h), np.float32) if state is None else state
+        cell = np.zeros((n, h), np.float32) if cell is None else cell
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             gates = z[:, k] + state @ self.p[f"h{d}"]
             sig, g = _sigmoid(gates[:, : 3 * h]), np.tanh(gates[:, 3 * h :])
@@ -172,16 +214,30 @@ class Labeller:
                 keep.append((k, i, f, o, g, cell, squashed, state, m))
             cell, state = np.where(m, new, cell), np.where(m, o * squashed, state)
             out[:, k] = state
-        return out
+        return out, state, cell
 
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        states = np.concatenate([self._run(x, mask, "f", None), self._run(x, mask, "b", None)], axis=2)
+        states = np.concatenate([self._run(x, mask, "f", None)[0], self._run(x, mask, "b", None)[0]], axis=2)
         return states @ self.p["out"] + self.p["bias"]
 
+    def long_scores(self, found: list[Block], at_once: int) -> np.ndarray:
+        """The scores of one page, whose inputs are made ``at_once`` blocks at a time: each direction
+        hands its state on from part to part."""
+        n, h = len(found), HIDDEN
+        out = np.full(n, self.p["bias"][0], np.float32)
+        starts = list(range(0, n, at_once))
+        for j, (d, order) in enumerate((("f", starts), ("b", starts[::-1]))):
+            state = cell = None
+            for lo in order:
+                part = found[lo : lo + at_once]
+                states, state, cell = self._run(features(part, lo, n)[None], np.ones((1, len(part)), bool), d, None, state, cell)
+                out[lo : lo + len(part)] += states[0] @ self.p["out"][j * h : (j + 1) * h]
+        return out
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         kept: dict[str, list] = {"f": [], "b": []}
         h, (n, t) = HIDDEN, mask.shape
-        states = np.concatenate([self._run(x, mask, d, kept[d]) for d in "fb"], axis=2)
+        states = np.concatenate([self._run(x, mask, d, kept[d])[0] for d in "fb"], axis=2)
         off = (_sigmoid(states @ self.p["out"] + self.p["bias"]) - y) * mask / mask.sum()
         grads = {"out": np.einsum("nt,nth->h", off, states), "bias": np.array([off.sum()])}
         above = off[:, :, None] * self.p["out"]
@@ -242,15 +298,18 @@ def trained() -> Labeller:
     return model
 
 
-def extract(pages: list[str | None], model: Labeller) -> list[str]:
+def extract(pages: list[str | None], model: Labeller, at_once: int = BLOCKS_AT_ONCE) -> list[str]:
     """The main text of each page."""
     found = [blocks(html) for html in pages]
     out = [""] * len(pages)
-    order = sorted((i for i, b in enumerate(found) if b), key=lambda i: len(found[i]))
+    for i, b in enumerate(found):
+        if len(b) > at_once:
+            out[i] = "\n".join(b.text for b, s in zip(b, model.long_scores(b, at_once), strict=True) if s > 0)
+    order = sorted((i for i, b in enumerate(found) if 0 < len(b) <= at_once), key=lambda i: len(found[i]))
     while order:
         group = [order.pop()]
         longest = len(found[group[0]])
-        while order and (len(group) + 1) * longest <= BLOCKS_AT_ONCE:
+        while order and (len(group) + 1) * longest <= at_once:
             group.append(order.pop())
         x, mask = _padded([features(found[i]) for i in group])
         scores = model.scores(x, mask)
@@ -264,7 +323,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     A map over the rows: the model (under 1 MB) goes with the tasks. Null and empty pages, and
     pages without an article, have the empty text. Repeated rows and null ids and urls stay; an
-    empty table gives no rows; other columns are ignored. A page is read whole, whatever its length.
+    empty table gives no rows; other columns are ignored. A page is read whole, whatever its length
+    and depth; the inputs of a long one are made part by part.
     """
     model = pages.sparkSession.sparkContext.broadcast(trained())
 
@@ -273,8 +333,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
         for html in batches:
             rows = html.tolist()
             texts: list[str] = []
-            for at in range(0, len(rows), 512):
-                texts += extract(rows[at : at + 512], model.value)
+            lo = held = 0
+            for hi, page in enumerate(rows, 1):  # so many pages at a time, or so much markup
+                held += len(page or "")
+                if hi - lo == 512 or held > 1 << 24 or hi == len(rows):
+                    texts += extract(rows[lo:hi], model.value)
+                    lo, held = hi, 0
             yield pd.Series(texts, dtype=object)
 
     out = pages.select("page_id", "url", extracted(pages["html"]).alias("text"))

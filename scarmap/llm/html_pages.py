@@ -16,6 +16,8 @@ BOILER = (
     "site-header site-footer masthead topbar copyright legal cookie cookies consent notice alert popup modal newsletter subscribe signup login search "
     "share social sharing related recommended more-stories pagination pager tags meta-links comments comment reply respond disqus feedback skip-link"
 ).split()
+#: Names that stand on articles and on other things alike, so that they say nothing.
+NEUTRAL = "box block inner wrap wrapper container row col grid item list unit module section panel card area left right top bottom c1 c2 x main-wrap clearfix".split()
 CONTENT = "content post post-body entry entry-content article article-body story story-body main-text text body-text page-content".split()
 BOILER_WORDS = (
     "home about contact login subscribe newsletter privacy terms cookies copyright menu search share reply share next previous advertisement sponsored rights reserved "
@@ -60,8 +62,52 @@ class Page:
             self.block("li", f'<a href="/x">{self.boiler_text(2)}</a>', 0)
         self.html.append(f"</ul></{wrapper}>")
 
+    def neutral(self) -> str:
+        return f' {self.rng.choice(["class", "class", "id"])}="{self.rng.choice(NEUTRAL)}{self.rng.choice(["", "", "-1", " " + self.rng.choice(NEUTRAL)])}"' if self.rng.random() < 0.4 else ""
+
+    def unseen(self) -> None:
+        """Markup without text of its own, closed, open or odd."""
+        rng = self.rng
+        kind = rng.randrange(7)
+        body = rng.choice(["var t='</p>';", "if (a<b) { x(\"<div>\") }", "/* <nav> */", "p > a { color: red }"])
+        self.html.append(
+            [
+                f"<script>{body}</script>", f"<style type=\"text/css\">{body}</style>", f"<!-- {_words(rng, 5)} <p> -->", f"<noscript><img src=\"/p.gif\">{_words(rng, 3)}</noscript>",
+                f'<iframe src="/embed">{rng.choice(["", _words(rng, 2)])}</iframe>', f'<svg viewBox="0 0 1 1"><title>{_words(rng, 1)}</title><path d="M0 0"/></svg>', "<hr>",
+            ][kind]
+        )
+
+    def table(self, label: int, attrs: str = "") -> None:
+        rng = self.rng
+        rows, columns = rng.randint(1, 4), rng.randint(1, 4)
+        self.html.append(f"<table{attrs}>" + rng.choice(["", "<tbody>"]))
+        for r in range(rows):
+            self.html.append("<tr>")
+            for _ in range(columns):
+                tag = "th" if r == 0 and rng.random() < 0.5 else "td"
+                text = _words(rng, rng.choice([1, 1, 2, 4, 12])) if rng.random() < 0.7 else str(rng.randrange(10_000))
+                self.block(tag, text if label else rng.choice([text, f'<a href="/t">{text}</a>']), label, closed=rng.random() < 0.8)
+            self.html.append("</tr>" if rng.random() < 0.8 else "")
+        self.html.append("</table>")
+
+    def link_list(self) -> None:
+        """A heading and its links, as beside or below articles, under names that may say nothing."""
+        rng = self.rng
+        self.html.append(f"<{(tag := rng.choice(['div', 'section', 'aside', 'div']))}{self.neutral()}>")
+        self.block(rng.choice(["h2", "h3", "h4", "div"]), rng.choice(["Most read", "More stories", "Related", "Read next", "Latest", "Popular", "You may also like"]) if rng.random() < 0.5 else _words(rng, rng.randint(1, 3)), 0)
+        self.html.append(rng.choice(["<ul>", "<ol>"]))
+        for _ in range(rng.randint(2, 6)):
+            self.block("li", f'<a href="/s">{_words(rng, rng.randint(2, 9))}</a>', 0)
+        self.html.append(f"</{tag}>")
+
     def boiler(self, inside: bool) -> None:
         rng = self.rng
+        if rng.random() < 0.15:
+            self.unseen()
+        if not inside and rng.random() < 0.15:
+            return self.link_list()
+        if not inside and rng.random() < 0.05:
+            return self.table(0, f' class="{rng.choice(BOILER)}"')
         kind = rng.random()
         name = f' {rng.choice(["class", "class", "id"])}="{rng.choice(BOILER)}"'
         if kind < 0.3 and not inside:
@@ -92,7 +138,7 @@ class Page:
         wrappers = []
         for _ in range(rng.choice([0, 1, 1, 2])):
             tag = rng.choice(["article", "article", "main", "div", "div"])
-            name = f' {rng.choice(["class", "id"])}="{rng.choice(CONTENT)}"' if tag == "div" or rng.random() < 0.2 else ""
+            name = f' {rng.choice(["class", "id"])}="{rng.choice(CONTENT)}"' if tag == "div" or rng.random() < 0.2 else self.neutral()
             wrappers.append(tag)
             self.html.append(f"<{tag}{name}>")
         if not wrappers:
@@ -101,6 +147,19 @@ class Page:
         if rng.random() < 0.8:
             self.block("h1", _words(rng, rng.randint(1, 12)), 1)
         for _ in range(rng.choice([1, 2, 3, 5, 8, 14])):
+            if rng.random() < 0.08:
+                self.unseen()
+            if rng.random() < 0.06:
+                self.table(1, self.neutral())
+            if rng.random() < 0.05:
+                self.html.append("<figure><img src='/i.jpg'>")
+                self.block("figcaption", _words(rng, rng.randint(2, 14)), 1)
+                self.html.append("</figure>")
+            if rng.random() < 0.08:  # wrapped paragraphs
+                self.html.append(f"<div{self.neutral()}>")
+                for _ in range(rng.randint(1, 3)):
+                    self.block("p", _words(rng, rng.choice([3, 15, 40])), 1)
+                self.html.append("</div>")
             kind = rng.random()
             if kind < 0.72:
                 self.block("p", _words(rng, rng.choice([1, 2, 6, 15, 40, 90])), 1, closed=rng.random() < 0.8)

@@ -3,7 +3,8 @@
 Every letter has a random vector of +1 and -1. A trigram is bound by multiplying its letters'
 vectors, permuted by two, one and no steps; a text bundles (adds) the vectors of its trigrams, and
 a language the vectors of its training texts. A text is of the language of the highest cosine.
-Bundling is linear, so counts of trigrams are what is gathered; vectors are made from them.
+Bundling is linear and its sums are whole numbers, so tasks bundle what they read and their vectors
+are added up, in any order to the same result.
 """
 
 from __future__ import annotations
@@ -74,11 +75,11 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bundle(grams: np.ndarray, counts: np.ndarray, dims: int = DIMS) -> np.ndarray:
-    """The sum of the bound vectors, each as often as counted."""
+    """The sum of the bound vectors, each as often as counted; exact, for all are whole numbers."""
     n, v = _symbols()[1], _letter_vectors(dims)
     out = np.zeros(dims, np.float64)
     for at in range(0, len(grams), 4096):
-        g, c = grams[at : at + 4096], counts[at : at + 4096].astype(np.float32)
+        g, c = grams[at : at + 4096], counts[at : at + 4096].astype(np.float64)
         bound = np.roll(v[g // (n * n)], 2, axis=1) * np.roll(v[g // n % n], 1, axis=1) * v[g % n]
         out += c @ bound
     return out
@@ -131,28 +132,31 @@ def training_sample(docs: DataFrame, label: str, most: int) -> DataFrame:
 def train_profiles(docs: DataFrame, label: str = "lang", most: int = TRAINED_ON, dims: int = DIMS) -> tuple[list[str], np.ndarray]:
     """Labels and their unit vectors, learned from a bounded sample of ``docs(doc_id, text, label)``.
 
-    Trigrams are counted on the executors; what reaches the driver is one count for each trigram
-    of each label, however many documents there are. A text weighs by the letters it has.
+    Each task bundles the texts of a label into one vector; these are added up by label and
+    dimension. What reaches the driver is one vector a label, however many documents or different
+    trigrams there are. A text weighs by the letters it has.
     """
     sample = training_sample(docs, label, most)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, dict[int, int]] = {}
+    def bundled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[str, np.ndarray] = {}
         for batch in batches:
-            for text, name in zip(batch["text"], batch["label"], strict=True):
-                own = total.setdefault(name, {})
-                for g, c in zip(*(a.tolist() for a in trigrams(text)), strict=True):
-                    own[g] = own.get(g, 0) + c
-        for name, own in total.items():
-            yield pd.DataFrame({"label": name, "gram": list(own), "n": list(own.values())}).astype({"gram": "int64", "n": "int64"})
-
-    counted = sample.select("text", F.col(label).alias("label")).mapInPandas(count, "label string, gram long, n long")
-    rows = counted.groupBy("label", "gram").agg(F.sum("n").alias("n")).toPandas().sort_values(["label", "gram"])
+            for name, texts in batch.groupby("label")["text"]:
+                parts = [trigrams(t) for t in texts]
+                grams, back = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+                counts = np.bincount(back, np.concatenate([c for _, c in parts]), len(grams))
+                total[name] = total.get(name, 0) + bundle(grams, counts, dims)
+        names = list(total)
+        yield pd.DataFrame({"label": pd.Series(names, dtype=object), "vector": pd.Series([total[n].astype(np.int64) for n in names], dtype=object)})
+
+    vectors = sample.select("text", F.col(label).alias("label")).mapInPandas(bundled, "label string, vector array<long>")
+    sums = vectors.select("label", F.posexplode("vector").alias("at", "v")).groupBy("label", "at").agg(F.sum("v").alias("v"))
+    rows = sums.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("vector"))
     labels, profiles = [], []
-    for name, own in rows.groupby("label"):
-        vector = bundle(own["gram"].to_numpy(np.int64), own["n"].to_numpy(np.int64), dims)
+    for r in sorted(rows.collect(), key=lambda r: r["label"]):
+        vector = np.array(r["vector"], float)
         if norm := float(np.linalg.norm(vector)):
-            labels.append(name)
+            labels.append(r["label"])
             profiles.append(vector / norm)
     return labels, np.array(profiles, np.float32).reshape(len(labels), dims)
 

@@ -1,10 +1,12 @@
 """Document fingerprints by Order MinHash, with expressions only.
 
-The letters are words. A k-mer that occurs again gets the number of its occurrence, so a text is a
-set of numbered k-mers. One hash order serves all entries of a signature: it is cut into ranges,
-and in each range the ``least`` smallest numbered k-mers are selected, put back into the order in
-which they stand in the text, and hashed as a tuple. Two texts agree in a range where they share
-those k-mers *and* their order, which is what makes the likeness follow edit distance.
+A text is read as letters: words, or where there are few of them for its length (or at all) its
+characters. A k-mer that occurs again gets the number of its occurrence, so a text is a set of
+numbered k-mers. One hash order, a circle, serves all entries of a signature: each entry has a point
+of its own on it, and selects the ``LEAST`` numbered k-mers that follow that point first. They are
+put back into the order in which they stand in the text, and hashed as a tuple. Two texts agree in
+an entry where they share those k-mers *and* their order, which is what makes the likeness follow
+edit distance. A text of two numbered k-mers or more has an ordered tuple in each entry.
 """
 
 from __future__ import annotations
@@ -15,29 +17,39 @@ from pyspark.sql import functions as F
 
 from scarmap.shared import written
 
-#: Words in a k-mer, k-mers in a tuple, and ranges of the hash order (2 ** RANGE_BITS).
-KMER, LEAST, RANGE_BITS = 2, 2, 5
+#: Words, or else characters, in a k-mer; k-mers in a tuple; entries (2 ** RANGE_BITS).
+KMER, CHAR_KMER, LEAST, RANGE_BITS = 2, 8, 2, 5
+#: A text's letters are its characters if it has fewer words than this, or words longer than that
+#: on average: names, lines without white space, scripts that don't part words.
+FEW_WORDS, LONG_WORDS = 8, 24
 #: Low bits that hold a k-mer's place in the text; the others hold its hash.
 PLACE_BITS = 28
 _PLACE = (1 << PLACE_BITS) - 1
 
 
-def with_signature(df: DataFrame, text: str, name: str, kmer: int = KMER, least: int = LEAST) -> DataFrame:
-    """``df`` with column ``name``: the signature of column ``text``, an array of longs whose
-    RANGE_BITS top bits are a range and whose others hash its tuple; ranges without k-mers are
-    missing. Linear in the text but for two sorts of plain longs.
+def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with column ``name``: the signature of column ``text``, an array of 2 ** RANGE_BITS
+    longs. Linear in the text but for two sorts of plain longs.
 
-    A text of fewer words than a k-mer is one k-mer; one without words has an empty signature.
+    A text of fewer letters than a k-mer is one k-mer, and each of its entries a tuple of one; one
+    without words has an empty signature.
     """
     keep = [c for c in df.columns if c != name]
-    step = df.select(*keep, F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_w"))
-    grams = F.transform(
-        F.sequence(F.lit(0), F.size("_w") - kmer),
-        lambda i: F.shiftleft(F.xxhash64(*[F.get("_w", i + j) for j in range(kmer)]), PLACE_BITS).bitwiseOR(i.cast("long")),
-    )
+    given = F.coalesce(F.col(text), F.lit(""))
+    step = df.select(*keep, given.alias("_t"), F.filter(F.split(given, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_w"))
+    by_char = (F.size("_w") < FEW_WORDS) | (F.length("_t") > LONG_WORDS * F.size("_w"))
+    letters = F.when(F.size("_w") == 0, F.array().cast("array<string>")).when(by_char, F.filter(F.split("_t", ""), lambda c: c != "")).otherwise(F.col("_w"))
+    step = step.select(*keep, letters.alias("_w"), by_char.alias("_b"))
+
+    def grams_of(k: int) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size("_w") - k),
+            lambda i: F.shiftleft(F.xxhash64(*[F.get("_w", i + j) for j in range(k)]), PLACE_BITS).bitwiseOR(i.cast("long")),
+        )
+
     short = F.array(F.shiftleft(F.xxhash64(F.array_join("_w", " ")), PLACE_BITS))
     none = F.array().cast("array<long>")
-    grams = F.when(F.size("_w") >= kmer, grams).when(F.size("_w") > 0, short).otherwise(none)
+    grams = F.when(F.size("_w") == 0, none).when(F.col("_b") & (F.size("_w") >= CHAR_KMER), grams_of(CHAR_KMER)).when(F.col("_b"), short).otherwise(grams_of(KMER))
     step = step.select(*keep, F.sort_array(grams).alias("_s"))
 
     def changes(array: str, bits: int) -> Column:
@@ -61,25 +73,27 @@ def with_signature(df: DataFrame, text: str, name: str, kmer: int = KMER, least:
         )
     )
     step = step.select(*keep, F.sort_array(numbered).alias("_s"))
-    step = step.select(*keep, "_s", or_none("_s", changes("_s", 64 - RANGE_BITS)).alias("_c"))
-
-    def entry(b: Column, j: Column) -> Column:
-        chosen = F.slice("_s", b + 1, F.least(F.lit(least), F.coalesce(F.get("_c", j + 1), F.size("_s")) - b))
+    # the ranges of the circle that hold k-mers, with where each begins
+    begins = F.transform(or_none("_s", changes("_s", 64 - RANGE_BITS)), lambda b: F.struct(F.shiftright(F.get("_s", b), 64 - RANGE_BITS).alias("r"), b.alias("b")))
+    step = step.select(*keep, "_s", begins.alias("_c"))
+
+    def entry(j: Column) -> Column:
+        """The tuple that follows the beginning of range j; past the last range comes the first."""
+        first = F.coalesce(F.get(F.filter("_c", lambda c: c["r"] >= j), F.lit(0))["b"], F.lit(0))
+        chosen = F.transform(F.sequence(F.lit(0), F.least(F.lit(LEAST), F.size("_s")) - 1), lambda o: F.get("_s", (first + o) % F.size("_s")))
         # place above hash, so that sorting puts them back into text order
         placed = F.sort_array(F.transform(chosen, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - PLACE_BITS).bitwiseOR(F.shiftrightunsigned(x, PLACE_BITS))))
-        tuple_hash = F.xxhash64(F.transform(placed, lambda x: x.bitwiseAND(F.lit((1 << (64 - PLACE_BITS)) - 1))))
-        top = F.shiftleft(F.shiftrightunsigned(F.get("_s", b), 64 - RANGE_BITS), 64 - RANGE_BITS)
-        return top.bitwiseOR(F.shiftrightunsigned(tuple_hash, RANGE_BITS))
+        return F.xxhash64(F.transform(placed, lambda x: x.bitwiseAND(F.lit((1 << (64 - PLACE_BITS)) - 1))))
 
-    return step.select(*keep, F.transform("_c", entry).alias(name))
+    half = 1 << (RANGE_BITS - 1)
+    whole = F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), entry)
+    return step.select(*keep, F.when(F.size("_s") > 0, whole).otherwise(none).alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of the ranges in which either has k-mers, the share in which the two agree; 1 for two
-    signatures without any."""
-    in_range = lambda x: F.shiftrightunsigned(x, 64 - RANGE_BITS)
-    either = F.size(F.array_union(F.transform(a, in_range), F.transform(b, in_range)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
+    """The share of entries in which the two agree; 1 for two signatures without any, 0 for one."""
+    same = F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+    return F.when(F.greatest(F.size(a), F.size(b)) == 0, F.lit(1.0)).when(F.least(F.size(a), F.size(b)) == 0, F.lit(0.0)).otherwise(same / F.size(a))
 
 
 def spelled(signature: Column) -> Column:

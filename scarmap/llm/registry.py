@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scarmap.llm import bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, simhash, topk
-from scarmap.llm.license_texts import TEMPLATES
+from scarmap.llm.license_texts import license_table
 from scarmap.llm.tables import table
 
 
@@ -86,7 +86,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"), TEMPLATES)
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), license_table(spark))
 
 
 def queries() -> dict:

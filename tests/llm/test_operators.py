@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import struct
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from scarmap.llm import chat, html, html_pages, langid, licenses, line_dedup, mixing, order_minhash, simhash, topk
-from scarmap.llm.license_texts import TEMPLATES
+from scarmap.llm.license_texts import TEMPLATES, license_table
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, component_id string, key string"
@@ -77,6 +79,56 @@ def test_html_labels_and_odd_pages(spark):
     assert got == {1: (text, len(text)), 2: ("", 0), 3: ("", 0), None: ("", 0), 5: ("", 0)}
 
 
+def slow_scores(model, x):
+    """The labeller, one number after the other."""
+    h = html.HIDDEN
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    p = {k: v.astype(float) for k, v in model.p.items()}
+    states = {}
+    for d in "fb":
+        state, cell = [0.0] * h, [0.0] * h
+        for k in range(len(x)) if d == "f" else range(len(x) - 1, -1, -1):
+            on = np.flatnonzero(x[k])
+            z = [sum(x[k][i] * p[f"x{d}"][i][j] for i in on) + sum(state[i] * p[f"h{d}"][i][j] for i in range(h)) + p[f"b{d}"][j] for j in range(4 * h)]
+            cell = [sigmoid(z[h + j]) * cell[j] + sigmoid(z[j]) * np.tanh(z[3 * h + j]) for j in range(h)]
+            state = [sigmoid(z[2 * h + j]) * np.tanh(cell[j]) for j in range(h)]
+            states[d, k] = state
+    return [sum(s * o for s, o in zip(states["f", k] + states["b", k], p["out"], strict=True)) + p["bias"][0] for k in range(len(x))]
+
+
+def test_html_labeller_against_plain_sums():
+    model = html.trained()
+    pages = [html.blocks(html_pages.labelled_page(seed)[0]) for seed in (9100, 9101)]
+    x, mask = html._padded([html.features(b) for b in pages])
+    scores = model.scores(x, mask)
+    for row, found in enumerate(pages):
+        want = slow_scores(model, html.features(found).astype(float))
+        assert np.allclose(scores[row][: len(found)], want, atol=1e-3)
+        for at_once in (1, 3, 1000):
+            assert np.allclose(model.long_scores(found, at_once), want, atol=1e-3)
+    page = html_pages.labelled_page(9102)[0]
+    assert html.extract([page], model, at_once=2) == html.extract([page], model)
+
+
+def test_html_open_deep_and_long_pages():
+    texts = lambda page: [b.text for b in html.blocks(page)]
+    for tag in ("noscript", "template", "svg", "iframe", "object"):
+        assert texts(f"<p>One.</p><{tag}>n<p>Rest of article.</p>") == ["One.", "n", "Rest of article."]
+        assert texts(f"<p>One <{tag} a='>'>n<p>m</p></{tag.upper()} >two.</p><p>Rest.") == ["One two.", "Rest."]
+        assert texts(f"<{tag}>a</{tag}><{tag}>b<p>c</p>") == ["b", "c"]
+    assert texts("<p>a<svg/>b</p><svg><title>t</title></svg>c") == ["ab", "c"]
+    assert texts("<p>a</p><script>x<p>y") == ["a"]
+    began = time.time()
+    deep = html.blocks("<div class='x'>" * 40_000 + "in" + "</div>" * 20_000 + "out" + "</section>" * 20_000)
+    assert [b.text for b in deep] == ["in", "out"]
+    assert len(html.blocks("<object>" * 20_000 + "x")) == 1
+    assert len(html.blocks("<ul>" + "<li>a<div>" * 20_000)) == 20_000
+    assert time.time() - began < 20
+    model = html.trained()
+    page = "<html><body><article>" + "<p>Some words stand here, in a row.</p>" * 30_000 + "</article></body></html>"
+    assert html.extract([page], model)[0].count("\n") == 29_999
+
+
 def test_chat_round_trip_and_loss(spark):
     nasty = ["\\### Assistant: </turn> ok", "<:user>x</>", "<+>", "\\s\\l\\g\\", "", None, "é\n🙂", "a" * 50000]
     turns = [(1, i, ["user", "assistant", "assistant"][i % 3], t, "x") for i, t in enumerate(nasty)]
@@ -112,6 +164,57 @@ def test_order_minhash_edits(spark):
     assert sum(r.near_edited > r.near_next for r in long) >= 0.95 * len(long)
 
 
+def signed(x):
+    x %= 1 << 64
+    return x - (1 << 64) if x >> 63 else x
+
+
+def spark_hash(values):
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v, h)
+    return signed(h)
+
+
+def brute_signature(text):
+    """The signature step by step, with plain lists."""
+    w = [x for x in __import__("re").split("[\x20\x09-\x0d]+", text or "") if x]
+    if not w:
+        return []
+    k = 2
+    if len(w) < 8 or len(text) > 24 * len(w):
+        w, k = list(text), 8
+    as_long = lambda x: struct.pack("<q", x)
+    grams = [(spark_hash(w[i : i + k]) << 28 >> 0, i) for i in range(len(w) - k + 1)] or [(spark_hash([" ".join(w)]) << 28, 0)]
+    seen, numbered = {}, []
+    for h, i in sorted(((signed(h) >> 28, i) for h, i in grams)):
+        seen[h] = seen.get(h, -1) + 1
+        numbered.append(signed((spark_hash([as_long(h), struct.pack("<i", seen[h])]) << 28) | i))
+    numbered.sort()
+    out = []
+    for j in range(-16, 16):
+        first = next((n for n, x in enumerate(numbered) if x >> 59 >= j), 0)
+        chosen = [numbered[(first + o) % len(numbered)] for o in range(min(2, len(numbered)))]
+        chosen.sort(key=lambda x: x & ((1 << 28) - 1))
+        out.append(spark_hash([as_long((x % (1 << 64)) >> 28) for x in chosen]))
+    return out
+
+
+def test_order_minhash_against_plain_lists(spark):
+    rng = random.Random(14)
+    texts = [words(rng, n) for n in (8, 9, 30, 400)] + ["x " * 50, "one two", "a", "é" * 40, "".join(rng.choice("abcdefgh") for _ in range(500)), "", None, " \n", "的一是在不了有和人这中大为上个国我以要他" * 3]
+    texts += [texts[8][:250] + "ZZ" + texts[8][250:], " ".join(texts[3].split()[5:])]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: r.s for r in order_minhash.with_signature(df, "t", "s").collect()}
+    assert all(got[i] == brute_signature(t) for i, t in enumerate(texts))
+    pairs = [(8, 13), (3, 14), (3, 2), (9, 10), (9, 3), (5, 6), (7, 7)]
+    sigs = spark.createDataFrame([(got[a], got[b]) for a, b in pairs], "a array<long>, b array<long>")
+    like = [r[0] for r in sigs.select(order_minhash.likeness(F.col("a"), F.col("b"))).collect()]
+    plain = lambda a, b: 1.0 if not a and not b else 0.0 if not a or not b else sum(x == y for x, y in zip(a, b, strict=True)) / 32
+    assert like == [plain(got[a], got[b]) for a, b in pairs]
+    assert like[0] > 0.5 and like[1] > 0.8 and like[2] < 0.2 and like[3] == 1 and like[4] == 0 and like[6] == 1
+
+
 def test_order_minhash_sees_order_and_repeats(spark):
     rng = random.Random(4)
     a = words(rng, 400).split()
@@ -141,9 +244,23 @@ def test_top_k_against_brute_force(spark):
 
 
 def test_top_k_of_big_numbers():
-    q, x = np.array([[1 << 30, -(1 << 30)]]), np.array([[1 << 31, 5], [1 << 31, 4], [3, 1 << 31]])
-    cols, rows, scores = topk.top_of_block(q, np.array([9]), x, np.array([1, 2, 3]), 2)
-    assert rows.tolist() == [1, 0] and scores.tolist()[0] == (1 << 61) - (1 << 32)
+    """Bounds in doubles that round, scores beyond 64 bits."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(-(1 << 40), 1 << 40, (90, 6)) // rng.integers(1, 1 << 20, (90, 6))
+    x[80:] = x[70:80] + rng.integers(-1, 2, (10, 6))  # scores that doubles can't tell apart
+    q = np.concatenate([x[70:75], [[1 << 61, 1, 0, 0, 0, -(1 << 61)]]])
+    cols, rows, scores = topk.Lists(np.arange(90), x).best(np.arange(200, 206), q, 4, few=3)
+    for c in range(6):
+        exact = sorted((-sum(int(a) * int(b) for a, b in zip(q[c], x[i], strict=True)), i) for i in range(90))[:4]
+        assert rows[cols == c].tolist() == [i for _, i in exact]
+        assert scores[cols == c].tolist() == [max(min(-s, (1 << 63) - 1), -(1 << 63)) for s, _ in exact]
+
+
+def test_top_k_of_unequal_lengths_and_huge_components(spark):
+    v = [(1, [1.0, 2.0]), (2, [2.0, 1.0]), (3, [1.0]), (4, []), (5, [1e300, 1.0]), (6, [3.0, 0.0, 1.0]), (6, [3.0, 0.0, 1.0]), (7, [2.5])]
+    df = topk.scaled(spark.createDataFrame(v, "vec_id long, embedding array<double>"))
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df).collect()}
+    assert got == {(1, 1, 2, 4 * 65536), (2, 1, 1, 4 * 65536), (3, 1, 7, 640 * 256), (7, 1, 3, 640 * 256)}
 
 
 def test_mixing_budgets(spark):
@@ -172,7 +289,27 @@ def test_mixing_budgets(spark):
     assert sorted(map(str, mixing.mix_words(df).collect())) == sorted(map(str, got))
     assert mixing.mix_words(df.limit(0)).count() == 0
     mixed = mixing.mix_documents(df)
-    assert mixed.columns == df.columns and mixed.count() > 0 and mixing.mix_documents(df.limit(0)).count() == 0
+    assert mixed.columns == df.columns and mixing.mix_documents(df.limit(0)).count() == 0
+    # by hand: whole epochs, then rows in the order of the key while half of them is within the rest
+    keys = {(r.doc_id, r.text): r.k for r in df.select("doc_id", "text", mixing.order_key(df).alias("k")).collect()}
+    want = {}
+    for s in names:
+        epochs, rest = divmod(round(target[s]), total[s]) if total[s] else (0, 0)
+        own = sorted((keys[d, t], (d is not None, d), size(t), d, t) for d, t, _, x in rows if x == s)
+        before, cut = 0, None
+        for k, _, n, d, t in own:
+            if before + n / 2 <= rest and rest > 0:
+                cut = k
+            before += n
+        for k, _, n, d, t in own:
+            want[d, t, s] = want.get((d, t, s), 0) + epochs + (cut is not None and k <= cut)
+    got = {}
+    for r in mixed.collect():
+        got[r.doc_id, r.text, r.source] = got.get((r.doc_id, r.text, r.source), 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+    for s in names:
+        taken = sum(size(t) * n for (d, t, x), n in got.items() if x == s)
+        assert abs(taken - target[s]) <= max([size(t) for _, t, _, x in rows if x == s], default=0)
 
 
 def jaccard(a, b, k=10):
@@ -227,6 +364,37 @@ def test_language_id(spark):
     assert langid.language_id(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
 
+def test_language_id_against_plain_vectors(spark):
+    """Profiles and cosines worked out letter by letter."""
+    texts = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("a dog, and 3 cats!", "en"), ("der hund und die katze", "de"), ("die Katze; der Hund", "de"), ("le chat et le chien", "fr"), ("\u0436\u0443\u043a", None), ("z", "en")] * 3)]
+    held = lambda i: __import__("zlib").crc32(str(i).encode()) % 5 == 0
+    of, n = langid._symbols()
+    v = langid._letter_vectors()
+
+    def vector(text):
+        out, gap = np.zeros(langid.DIMS), [0]
+        for c in text.lower():
+            if of[ord(c)] or gap[-1]:
+                gap.append(int(of[ord(c)]))
+        gap += [0] if gap[-1] else []
+        for a, b, c in zip(gap, gap[1:], gap[2:], strict=False):
+            if a or b or c:
+                out += np.roll(v[a], 2) * np.roll(v[b], 1) * v[c] if (b or c) else 0
+        return out
+
+    sums = {}
+    for i, t, lang in texts:
+        if lang and not held(i):
+            sums[lang] = sums.get(lang, 0) + vector(t)
+    got = {r.doc_id: r for r in langid.language_id(spark.createDataFrame(texts, "doc_id long, text string, lang string")).collect()}
+    for i, t, _ in texts:
+        x = vector(t)
+        cos = {k: float(x @ s / np.linalg.norm(x) / np.linalg.norm(s)) for k, s in sums.items()}
+        best = max(sorted(cos), key=cos.get)
+        assert got[i].held_out == held(i) and got[i].score == pytest.approx(max(0.0, cos[best]), abs=1e-4)
+        assert got[i].lang_pred == best or abs(cos[got[i].lang_pred] - cos[best]) < 1e-4
+
+
 def test_bundled_vectors_agree():
     grams, counts = langid.trigrams("The quick brown fox, the lazy dog; über Straße" * 3)
     assert np.allclose(langid.Bound(kept=1 << 10).bundle(grams, counts), langid.bundle(grams, counts))
@@ -247,7 +415,20 @@ def test_license_scan_against_every_window(spark):
     cut = [" ".join(TEMPLATES["mit"].split()[: n]) for n in (20, 60, 75)]
     texts += cut + [None, "", "the mit license", words(rng, 300)] + [TEMPLATES["bsd"].upper() + words(rng, 5000)]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, TEMPLATES["isc"], "x"), (0, texts[0], "x")], "doc_id long, text string, containment string")
-    got = {(r.doc_id, r.license_id): r.containment for r in licenses.scan_licenses(df, TEMPLATES).collect()}
+    table = license_table(spark)
+    got = {(r.doc_id, r.license_id): r.containment for r in licenses.scan_licenses(df, table).collect()}
     want = {(i, k): c for i, t in [*enumerate(texts), (None, TEMPLATES["isc"])] for k in TEMPLATES if (c := brute_windows(t, TEMPLATES[k])) >= 0.8}
     assert got == pytest.approx(want)
-    assert licenses.scan_licenses(df.limit(0), TEMPLATES).count() == 0 and licenses.scan_licenses(df, {}).count() == 0
+    assert licenses.scan_licenses(df.limit(0), table).count() == 0 and licenses.scan_licenses(df, table.limit(0)).count() == 0
+
+
+def test_license_templates_are_a_table_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(3)
+    own = words(rng, 200)
+    table = spark.createDataFrame([("own", own), ("own", own), ("other", words(rng, 30)), ("none", " "), ("null", None)], "license_id string, text string")
+    texts = [(1, words(rng, 50) + " " + own), (1, own), (2, " ".join(own.split()[:150])), (3, words(rng, 400))]
+    got = sorted((r.doc_id, r.license_id) for r in licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"), table).collect())
+    assert got == [(1, "own")]
+    monkeypatch.setattr(licenses, "MOST_TEMPLATE_WORDS", 100)
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string"), table)
