@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scarmap.functions import geo
+from scarmap.jobs import detect
 from scarmap.jobs.inputs import cte, view
 from scarmap.operators import burn, hotspots, outlines, publish, scenes, validate
 from scarmap.shared import written
@@ -34,6 +35,10 @@ _CLUSTERS = (
 )
 
 
+_GON = ", ".join(f"abs(dx * cos(radians({11.25 + 22.5 * k})) + dy * sin(radians({11.25 + 22.5 * k})))" for k in range(8))
+_BAD = "(0, 1, 3, 6, 8, 9, 10, 11)"
+
+
 def _points(spark, sf_dir):
     return view(spark, sf_dir, "hotspots").withColumnRenamed("frp_centi", "frp")
 
@@ -76,6 +81,64 @@ def j2_p8_retained_points(spark, sf_dir):
     return hotspots.zone_points(retained, kept, members).select("cluster_id", "point_id")
 
 
+# Pixels of the images of "passes", from the image's day and the pixel's place: a third of the images is cloudy; ground burns in
+# patches of 6 x 8 on the 21st day.
+_CLOUDY = "(day + tile) % 3 = 0"
+_SCL = f"CASE WHEN {_CLOUDY} AND (r + c) % 10 < 7 THEN 9 WHEN (r * 7 + c * 3) % 29 = 0 THEN 3 ELSE 4 END"
+_BURNT = "(day >= 19732 AND CAST(floor(r / 6) AS BIGINT) % 2 = 0 AND CAST(floor(c / 8) AS BIGINT) % 2 = 0)"
+_B8A = f"CASE WHEN {_BURNT} THEN 1500 + (r * 7 + c * 11) % 400 ELSE 3000 + (r * 7 + c * 11) % 500 END"
+_B12 = f"CASE WHEN {_BURNT} THEN 1700 + (r * 5 + c) % 500 ELSE 900 + (r * 5 + c) % 300 END"
+_DETECTED = (
+    _CLUSTERS.replace(cte("hotspots"), cte("hotspots", "communes", "passes"))
+    + f""", top AS (SELECT * FROM clusters WHERE n_points >= 5 ORDER BY frp_total DESC, cluster_id LIMIT 10),
+    spot AS (SELECT DISTINCT t.cluster_id AS fire, k.x_m, k.y_m FROM kept k JOIN pos p ON k.x_m = p.x_m AND k.y_m = p.y_m JOIN lab l ON l.a = p.pid JOIN top t ON t.cluster_id = l.cluster_id),
+    steps AS (SELECT unnest(generate_series(-10, 10)) AS s), around AS (SELECT fire, x_m, y_m, CAST(floor(x_m / 20) AS BIGINT) + i.s AS c, CAST(floor(y_m / 20) AS BIGINT) + j.s AS r FROM spot, steps i, steps j),
+    off AS (SELECT *, (c + 0.5) * 20 - x_m AS dx, (r + 0.5) * 20 - y_m AS dy FROM around),
+    cell AS (SELECT DISTINCT fire, r, c FROM off WHERE greatest({_GON}) <= 187 * cos(radians(11.25))),
+    shape AS (SELECT fire, count(*) AS n, (avg(c) + 0.5) * 20 AS x, (avg(r) + 0.5) * 20 AS y, min(c) * 20 - 6000 AS x0, (max(c) + 1) * 20 + 6000 AS x1, min(c) AS c0, max(c) AS c1, min(r) AS r0, max(r) AS r1 FROM cell GROUP BY fire),
+    f AS (SELECT s.*, t.*, m.commune FROM shape s JOIN top t ON t.cluster_id = s.fire JOIN communes m ON m.cx = floor(s.x / 50000) AND m.cy = floor(s.y / 50000)),
+    ca AS (SELECT f.fire, p.*, row_number() OVER (PARTITION BY f.fire ORDER BY p.datetime DESC, p.scene_id) AS rk FROM f JOIN passes p ON f.x0 <= p.xmax AND p.xmin <= f.x1 AND p.datetime >= f.date_debut AND p.datetime <= DATE '2024-02-11'),
+    va AS (SELECT fire, scene_id, any_value(tile) AS tile, any_value(day) AS day, any_value(rk) AS rk, avg(CASE WHEN {_SCL} IN {_BAD} THEN 0.0 ELSE 1.0 END) AS p FROM ca JOIN cell USING (fire) WHERE rk <= 6 GROUP BY fire, scene_id),
+    post AS (SELECT fire, arg_min(scene_id, rk) AS scene_id, arg_min(tile, rk) AS tile, arg_min(day, rk) AS day FROM va WHERE p >= 0.55 GROUP BY fire),
+    cb AS (SELECT f.fire, p.*, row_number() OVER (PARTITION BY f.fire ORDER BY p.datetime DESC, p.scene_id) AS rk FROM f JOIN post USING (fire) JOIN passes p ON p.tile = post.tile AND p.datetime <= f.date_debut AND p.datetime >= f.date_debut - INTERVAL '60' DAY),
+    vb AS (SELECT fire, scene_id, any_value(tile) AS tile, any_value(day) AS day, any_value(rk) AS rk, avg(CASE WHEN {_SCL} IN {_BAD} THEN 0.0 ELSE 1.0 END) AS p FROM cb JOIN cell USING (fire) WHERE rk <= 8 GROUP BY fire, scene_id),
+    pre AS (SELECT fire, arg_min(scene_id, rk) AS scene_id, arg_min(tile, rk) AS tile, arg_min(day, rk) AS day FROM vb WHERE p >= 0.55 GROUP BY fire),
+    win AS (SELECT f.fire, r.r, c.c FROM f JOIN (SELECT DISTINCT r FROM (SELECT unnest(generate_series((SELECT min(r0) FROM shape), (SELECT max(r1) FROM shape))) AS r)) r ON r.r BETWEEN f.r0 AND f.r1
+            JOIN (SELECT unnest(generate_series((SELECT min(c0) FROM shape), (SELECT max(c1) FROM shape))) AS c) c ON c.c BETWEEN f.c0 AND f.c1),
+    one AS (SELECT fire, r, c, {_SCL} AS scl, {_B8A} AS a, {_B12} AS b FROM pre JOIN win USING (fire)), two AS (SELECT fire, r, c, {_SCL} AS scl, {_B8A} AS a, {_B12} AS b FROM post JOIN win USING (fire) WHERE fire IN (SELECT fire FROM pre)),
+    prs AS (SELECT one.fire, one.r, one.c, one.scl NOT IN {_BAD} AND two.scl NOT IN {_BAD} AS usable, (CAST(one.a AS REAL) - CAST(one.b AS REAL)) / (CAST(one.a AS REAL) + CAST(one.b AS REAL)) AS n1, (CAST(two.a AS REAL) - CAST(two.b AS REAL)) / (CAST(two.a AS REAL) + CAST(two.b AS REAL)) AS n2
+            FROM one JOIN two ON two.fire = one.fire AND two.r = one.r AND two.c = one.c),
+    hit AS (SELECT *, r * 4294967296 + c AS id, CAST(floor(r / 6) AS BIGINT) * 100000 + CAST(floor(c / 8) AS BIGINT) AS patch FROM prs WHERE usable AND n1 - n2 >= CAST(0.15 AS REAL)),
+    touch AS (SELECT a.fire, a.id AS a, b.id AS b FROM hit a JOIN hit b ON a.fire = b.fire AND a.patch = b.patch AND ((a.r = b.r AND b.c IN (a.c - 1, a.c + 1)) OR (a.c = b.c AND b.r IN (a.r - 1, a.r + 1)))),
+    far(fire, a, b) AS (SELECT fire, id, id FROM hit UNION SELECT x.fire, x.a, n.b FROM far x JOIN touch n ON n.fire = x.fire AND n.a = x.b),
+    part AS (SELECT fire, a, min(b) AS comp FROM far GROUP BY fire, a), big AS (SELECT fire, comp FROM part GROUP BY fire, comp HAVING count(*) >= 25),
+    px AS (SELECT h.fire, h.r, h.c, p.comp FROM hit h JOIN part p ON p.fire = h.fire AND p.a = h.id JOIN big ON big.fire = p.fire AND big.comp = p.comp),
+    nr AS (SELECT px.fire, px.comp FROM px JOIN cell z ON z.fire = px.fire AND abs(px.r - z.r) <= 151 AND abs(px.c - z.c) <= 151 AND pow(greatest(abs(px.r - z.r) - 1, 0), 2) + pow(greatest(abs(px.c - z.c) - 1, 0), 2) <= 22500 GROUP BY px.fire, px.comp),
+    total AS (SELECT px.fire, count(*) AS n_px, count(DISTINCT px.comp) AS n_polygones FROM px JOIN nr ON nr.fire = px.fire AND nr.comp = px.comp GROUP BY px.fire)
+    SELECT f.fire AS cluster_id, f.commune, f.n_points AS n_points_chauds, CASE WHEN post.fire IS NULL OR pre.fire IS NULL THEN 'en_attente' WHEN total.fire IS NULL THEN 'ecarte' ELSE 'mesure' END AS statut,
+           CASE WHEN pre.fire IS NOT NULL THEN round(n_px * 0.04, 1) END AS surface_ha, CASE WHEN pre.fire IS NOT NULL THEN n_polygones END AS n_polygones, CASE WHEN total.fire IS NOT NULL THEN post.scene_id END AS image_apres, CASE WHEN total.fire IS NOT NULL THEN pre.scene_id END AS image_avant,
+           CASE WHEN total.fire IS NULL THEN round(f.n * 0.04, 1) END AS surface_estimee_ha FROM f LEFT JOIN post USING (fire) LEFT JOIN pre USING (fire) LEFT JOIN total USING (fire)"""
+)
+
+
+def _drawn(windows, passes):
+    """The pixels of windows of the images of ``passes``, drawn rather than read."""
+    w = windows.select("scene_id", "tile", "row0", "row1", "col0", "col1").distinct()
+    days = passes.select("scene_id", "day")
+    px = w.join(days, "scene_id").withColumn("r", F.explode(F.sequence("row0", "row1"))).withColumn("c", F.explode(F.sequence("col0", "col1")))
+    bands = px.select("scene_id", "tile", F.col("r").alias("row"), F.col("c").alias("col"), F.expr(_B8A).alias("b8a"), F.expr(_B12).alias("b12"), F.expr(_SCL).alias("scl"))
+    return bands.dropDuplicates(["scene_id", "tile", "row", "col"])
+
+
+@query(_DETECTED)
+def wa_detect(spark, sf_dir):
+    """Hot spots to fire records, all steps."""
+    passes = view(spark, sf_dir, "passes")
+    wide = {"ymin": F.lit(0), "ymax": F.lit(10_000_000)}
+    out = detect.detect(_points(spark, sf_dir), view(spark, sf_dir, "communes"), passes.withColumns(wide), lambda w: _drawn(w, passes), "2024-02-10", commune_m=50_000)
+    return out.select("cluster_id", "commune", "n_points_chauds", "statut", "surface_ha", "n_polygones", "image_apres", "image_avant", "surface_estimee_ha")
+
+
 @query(
     cte("zones") + ", pts AS (SELECT event_id AS point_id, (event_id * 31) % 9000 AS x_m, (event_id * 17) % 7000 AS y_m FROM events) "
     "SELECT z.geom_id, count(*) AS n FROM pts p JOIN (SELECT DISTINCT geom_id, cx, cy FROM zones) z ON z.cx = floor(p.x_m / 20) AND z.cy = floor(p.y_m / 20) GROUP BY z.geom_id"
@@ -85,9 +148,6 @@ def j2_points_in_zones(spark, sf_dir):
     return hotspots.points_in_cells(pts, view(spark, sf_dir, "zones")).groupBy("geom_id").agg(F.count("*").alias("n"))
 
 
-_GON = ", ".join(f"abs(dx * cos(radians({11.25 + 22.5 * k})) + dy * sin(radians({11.25 + 22.5 * k})))" for k in range(8))
-
-
 @query(
     cte("hotspots")
     + f""", spot AS (SELECT DISTINCT lieu, x_m, y_m FROM hotspots), steps AS (SELECT unnest(generate_series(-10, 10)) AS s),
@@ -164,7 +224,6 @@ def j3_attach_commune(spark, sf_dir):
     return scenes.attach_commune(c, m).select("cluster_id", "commune")
 
 
-_BAD = "(0, 1, 3, 6, 8, 9, 10, 11)"
 _PAIRS = (
     cte("pixels")
     + f""", v AS (SELECT *, s1 NOT IN {_BAD} AND a1 > 0 AND b1 > 0 AND (a1 + b1) * 1e-4 >= 0.05 AS v1, s2 NOT IN {_BAD} AND a2 > 0 AND b2 > 0 AND (a2 + b2) * 1e-4 >= 0.05 AS v2 FROM pixels),

@@ -55,6 +55,16 @@ INPUTS = {
                CAST(floor(z.p_partkey / 3000) AS BIGINT) * 40 + z.p_partkey * 5 % 6 + dy.i AS cy
         FROM part z JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 12) dx ON dx.i < z.p_size % 9 + 3
                     JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 12) dy ON dy.i < z.p_partkey % 5 + 3""",
+    # the communes that hot spots are in, but for some abroad
+    "communes": """
+        SELECT DISTINCT CAST(floor(x_m / 50000) AS BIGINT) AS cx, CAST(floor(y_m / 50000) AS BIGINT) AS cy, CONCAT('Commune ', CAST(CAST(floor(x_m / 50000) AS BIGINT) * 100 + CAST(floor(y_m / 50000) AS BIGINT) AS STRING)) AS commune, '33' AS departement
+        FROM hotspots WHERE (CAST(floor(x_m / 50000) AS BIGINT) + CAST(floor(y_m / 50000) AS BIGINT)) % 5 <> 0""",
+    # an image of each of ten strips every five days
+    "passes": """
+        SELECT DISTINCT CONCAT('S', CAST(s_suppkey % 10 AS STRING), '_', CAST(CAST(floor(s_suppkey / 10) AS BIGINT) % 12 AS STRING)) AS scene_id, s_suppkey % 10 AS tile,
+               19711 + CAST(floor(s_suppkey / 10) AS BIGINT) % 12 * 5 + s_suppkey % 5 AS day, CAST(DATE '2023-12-20' + INTERVAL '1' DAY * (CAST(floor(s_suppkey / 10) AS BIGINT) % 12 * 5 + s_suppkey % 5) AS DATE) AS datetime,
+               590000 + (s_suppkey % 10) * 40000 AS xmin, 631000 + (s_suppkey % 10) * 40000 AS xmax
+        FROM supplier""",
     # documents with what an audit looks for
     "audited": """
         SELECT CONCAT('doc/', CAST(doc_id AS STRING)) AS path, length(text) AS bytes,
@@ -76,7 +86,7 @@ INPUTS = {
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derived input ``name``."""
-    for t in ("events", "orders", "lineitem", "part", "documents", "pages"):
+    for t in ("events", "orders", "lineitem", "part", "supplier", "documents", "pages"):
         if f"FROM {t}" in INPUTS[name]:
             spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     for t in INPUTS:
