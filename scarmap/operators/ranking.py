@@ -1,4 +1,4 @@
-"""Places in a total order, without one task that holds all rows."""
+"""Places and running sums in a total order, without one task that holds all rows."""
 
 from __future__ import annotations
 
@@ -9,14 +9,25 @@ from pyspark.sql import functions as F
 from scarmap.shared import written
 
 
-def with_place(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
-    """``df`` with the number, from 1, of each row in ``order``: rows are dealt by ranges of the
-    order and numbered within their range; what the ranges exchange is one count each. Rows that
-    the order doesn't tell apart are numbered as they come."""
+def with_running(df: DataFrame, order: list[Column], sums: dict[str, str], place: str | None = None) -> DataFrame:
+    """``df`` with running sums in ``order``: ``sums`` names, for each new column, the column that it
+    adds up, its own row included; ``place``, if given, is the row's number from 1.
+
+    Rows are dealt by ranges of the order and added up within their range; what the ranges exchange
+    is one row each. Rows that the order doesn't tell apart are taken as they come.
+    """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    given = df.columns
     dealt = written(df.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    of = {**{n: F.col(c) for n, c in sums.items()}, **({place: F.lit(1).cast("long")} if place else {})}
+    totals = dealt.groupBy("_part").agg(*[F.sum(e).alias(f"_t_{n}") for n, e in of.items()])
     before = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(W.partitionBy("_part").orderBy(*order))
-    return dealt.withColumn("_within", within).join(offsets, "_part").withColumn(name, (F.col("_before") + F.col("_within")).cast("long")).drop("_part", "_before", "_within")
+    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in of])
+    within = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    summed = dealt.withColumns({f"_w_{n}": F.sum(e).over(within) for n, e in of.items()}).join(offsets, "_part")
+    return summed.select(*given, *[(F.col(f"_b_{n}") + F.col(f"_w_{n}")).alias(n) for n in of])
+
+
+def with_place(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """``df`` with the number, from 1, of each row in ``order``; see :func:`with_running`."""
+    return with_running(df, list(order), {}, name)
