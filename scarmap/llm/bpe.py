@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 # The pattern that the vocabulary's pre-tokenizer splits by.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Pieces (about 200 bytes each) and token pairs a worker remembers before it starts anew.
-REMEMBERED_PIECES, REMEMBERED = 1 << 18, 1 << 17
+#: Pieces (of so many code points at most) and token pairs a worker remembers before it starts anew.
+REMEMBERED_PIECES, REMEMBERED_CHARS, REMEMBERED = 1 << 18, 64, 1 << 17
 #: Tokens decoded at a time.
 DECODED_AT_ONCE = 1 << 16
 
@@ -141,10 +141,12 @@ class Vocabulary:
         self._goes.clear()
 
     def _packed(self, piece: str) -> bytes:
-        if len(self._known) >= REMEMBERED_PIECES:
-            self._known.clear()
         ids = self.merge(piece.encode("utf-8").decode("latin-1"))
-        packed = self._known[piece] = pack(f"<{len(ids)}I", *ids)
+        packed = pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= REMEMBERED_CHARS:
+            if len(self._known) >= REMEMBERED_PIECES:
+                self._known.clear()
+            self._known[piece] = packed
         return packed
 
     def encode(self, text: str | None) -> bytes:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scarmap.operators.ranking import with_place, with_running
 from scarmap.shared import written
 
 #: Sources in order of their names weigh these, again and again.
@@ -31,20 +32,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     With sources ordered by cap / weight, those that reach their cap are the first ones; taking
     row i as the first that doesn't, the rest share what is left at the level
     (share - caps before) / (weights from i on). That level is right where it is within row i's
-    own cap, and the largest such level is the answer of resharing until none is above.
+    own cap, and the largest such level is the answer of resharing until none is above. The driver
+    sees three numbers.
     """
-    by_name = W.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
-    listed = sizes.withColumn("sid", F.row_number().over(by_name))
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("sid") - 1) % len(weights) + 1)
+    listed = with_place(sizes.select("source", "source_size"), F.col("source").asc_nulls_last(), name="sid")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("sid") - 1) % len(weights) + 1).cast("int"))
     listed = listed.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(most)))
-    by_ratio = W.partitionBy(F.lit(0)).orderBy(F.col("cap") / F.col("weight"), "sid").rowsBetween(W.unboundedPreceding, 0)
-    every = W.partitionBy(F.lit(0))
-    left = F.sum("source_size").over(every) * F.lit(float(share)) - (F.sum("cap").over(by_ratio) - F.col("cap"))
-    heavier = F.sum("weight").over(every) - (F.sum("weight").over(by_ratio) - F.col("weight"))
+    listed = with_running(listed, [F.col("cap") / F.col("weight"), F.col("sid")], {"caps": "cap", "weights": "weight"})
+    words, all_weights = listed.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    left = F.lit(float(words) * share) - (F.col("caps") - F.col("cap"))
+    heavier = F.lit(all_weights) - (F.col("weights") - F.col("weight"))
     listed = listed.withColumn("level", left / heavier)
-    level = F.max(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(every)
-    target = F.least("cap", F.coalesce(level * F.col("weight"), F.col("cap")))
-    return listed.select("source", "source_size", "sid", "weight", target.alias("target"))
+    best = listed.agg(F.max(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level")))).first()[0]
+    target = F.col("cap") if best is None else F.least("cap", F.lit(best) * F.col("weight"))
+    return listed.select("source", "source_size", F.col("sid").cast("int").alias("sid"), "weight", target.alias("target"))
 
 
 def _budgets(targets: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def mix_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     beginning of the order up to the exact rest, so that at most one document of a source is taken
     in part and the words taken are exactly the budget. Prefix sums are of ranges of the hash key,
     then of rows within a range; a hot source is many ranges. The sources themselves, one row each,
-    are ranked in one task.
+    are ranked by ranges as well.
 
     Null texts have size 0; a null source is a source, the last one; a source without words has
     target 0. Rows repeating a doc_id are rows of their own; no rows give no rows; other columns
