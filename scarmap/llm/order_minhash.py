@@ -77,17 +77,21 @@ def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
     begins = F.transform(or_none("_s", changes("_s", 64 - RANGE_BITS)), lambda b: F.struct(F.shiftright(F.get("_s", b), 64 - RANGE_BITS).alias("r"), b.alias("b")))
     step = step.select(*keep, "_s", begins.alias("_c"))
 
+    half = 1 << (RANGE_BITS - 1)
+
     def entry(j: Column) -> Column:
         """The tuple that follows the beginning of range j; past the last range comes the first."""
-        first = F.coalesce(F.get(F.filter("_c", lambda c: c["r"] >= j), F.lit(0))["b"], F.lit(0))
+        own = F.get("_c", j + half)  # range j itself, where no range is empty
+        first = F.when(own["r"] == j, own["b"]).otherwise(F.coalesce(F.get(F.filter("_c", lambda c: c["r"] >= j), F.lit(0))["b"], F.lit(0)))
         chosen = F.transform(F.sequence(F.lit(0), F.least(F.lit(LEAST), F.size("_s")) - 1), lambda o: F.get("_s", (first + o) % F.size("_s")))
         # place above hash, so that sorting puts them back into text order
         placed = F.sort_array(F.transform(chosen, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - PLACE_BITS).bitwiseOR(F.shiftrightunsigned(x, PLACE_BITS))))
         return F.xxhash64(F.transform(placed, lambda x: x.bitwiseAND(F.lit((1 << (64 - PLACE_BITS)) - 1))))
 
-    half = 1 << (RANGE_BITS - 1)
     whole = F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), entry)
-    return step.select(*keep, F.when(F.size("_s") > 0, whole).otherwise(none).alias(name))
+    # _c is asked for twice, for the optimizer would put a column that is used once where it is used:
+    # in the lambda, to be worked out anew for each entry
+    return step.select(*keep, F.when(F.size("_c") > 0, whole).otherwise(none).alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:
