@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.operators.components import connected_components
+from scarmap.operators.groups import map_groups
 from scarmap.operators.scenes import UNUSABLE_SCL
 from scarmap.shared import written
 
@@ -93,13 +94,15 @@ def burn_components(mask: DataFrame, keys: tuple[str, ...] = ("fire",), block: i
     dealt = mask.select(*k, "row", "col").distinct().withColumn("_br", F.floor(F.col("row") / block)).withColumn("_bc", F.floor(F.col("col") / block))
     schema = ", ".join(f"{n} {t}" for n, t in mask.select(*k).dtypes) + ", row long, col long, label long"
 
-    def label(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["row", "col"]).reset_index(drop=True)
-        first = label_block(pdf["row"].to_numpy(np.int64), pdf["col"].to_numpy(np.int64))
-        number = pdf["row"].to_numpy(np.int64)[first] * (1 << 32) + pdf["col"].to_numpy(np.int64)[first]
-        return pdf[k].assign(row=pdf["row"].astype("int64"), col=pdf["col"].astype("int64"), label=number)
+    def label(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        rows, cols = pdf["row"].to_numpy(np.int64), pdf["col"].to_numpy(np.int64)
+        number = np.empty(len(pdf), np.int64)
+        for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
+            first = label_block(rows[a:b], cols[a:b])
+            number[a:b] = rows[a:b][first] * (1 << 32) + cols[a:b][first]
+        return pdf[k].assign(row=rows, col=cols, label=number)
 
-    labelled = written(dealt.groupBy(*k, "_br", "_bc").applyInPandas(label, schema), "labelled")
+    labelled = written(map_groups(dealt, [*k, "_br", "_bc"], ["row", "col"], label, schema), "labelled")
     edge = labelled.where((F.pmod(F.col("row"), F.lit(block)).isin(0, block - 1)) | (F.pmod(F.col("col"), F.lit(block)).isin(0, block - 1)))
     steps = F.array(F.struct(F.lit(1).alias("dr"), F.lit(0).alias("dc")), F.struct(F.lit(0).alias("dr"), F.lit(1).alias("dc")))
     ahead = edge.select(*k, "label", F.explode(steps).alias("s"), "row", "col").select(*k, F.col("label").alias("other"), (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scarmap.functions.labels import day_month
 from scarmap.operators.components import connected_components
+from scarmap.operators.groups import map_groups
 from scarmap.shared import discard, written
 
 OVERLAP, MATCH_DAYS, ALERT_RATIO = 0.3, 10, 1.3
@@ -82,10 +83,17 @@ def _decide(same: bool, home_measured: bool, n: int, n_home: int) -> tuple[str,
     return DROPPED if home_measured else REPLACED, estimate if estimate > ALERT_RATIO * measure else None
 
 
-def _merge_group(pdf: pd.DataFrame, over: float) -> pd.DataFrame:
+def _merge_groups(pdf: pd.DataFrame, starts: np.ndarray, over: float) -> pd.DataFrame:
+    out: list[tuple] = []
+    for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
+        out += _merge_group(pdf.iloc[a:b], over)
+    return pd.DataFrame(out, columns=["slot", "id", "place", "fate", "under", "signal"]).astype({"signal": "Int64"})
+
+
+def _merge_group(pdf: pd.DataFrame, over: float) -> list[tuple]:
     homes: list[dict] = []
     out = []
-    for r in pdf.sort_values("place").itertuples():
+    for r in pdf.itertuples():
         own = np.asarray(r.cells, np.int64)
         met = ((h, len(np.intersect1d(own, h["cells"], assume_unique=True))) for h in homes)
         home = next((h for h, n in met if n > over * min(len(own), len(h["cells"]))), None)
@@ -99,7 +107,7 @@ def _merge_group(pdf: pd.DataFrame, over: float) -> pd.DataFrame:
         elif fate == REPLACED:
             home |= {"under": r.id, "measured": True, "cells": own}
         out.append((home["slot"], r.id, r.place, fate, home["under"], signal))
-    return pd.DataFrame(out, columns=["slot", "id", "place", "fate", "under", "signal"]).astype({"signal": "Int64"})
+    return out
 
 
 def _merge_rounds(fires: DataFrame, cells: DataFrame, over: float, kind: str) -> DataFrame:
@@ -171,7 +179,7 @@ def merge_decisions(fires: DataFrame, cells: DataFrame, over: float = OVERLAP, g
     placed = written(placed, "ordered")
     small = placed.where(F.coalesce("total", F.lit(0)) <= group_cells)
     rows = small.join(own, "id", "left").groupBy("component", "id", "place", "measured").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
-    out = rows.groupBy("component").applyInPandas(lambda pdf: _merge_group(pdf, over), _DECISION.format(kind))
+    out = map_groups(rows, ["component"], ["place"], lambda pdf, starts: _merge_groups(pdf, starts, over), _DECISION.format(kind))
     large = placed.where(F.col("total") > group_cells)
     if large.isEmpty():
         return out

@@ -146,3 +146,27 @@ def test_scenes_of_long_archives_and_several_squares(spark):
         b = [x for x in sc if x[1] == tile and start - dt.timedelta(days=60) <= x[2] <= start]
         assert post.get(i) == ((min(6, len(a)), best(a, 6)) if a else None)
         assert pre.get(i) == ((min(8, len(b)), best(b, 8)) if b else None)
+
+
+def test_groups_across_batches(spark):
+    from scarmap.operators.groups import map_groups
+
+    rng = random.Random(9)
+    rows = [(None if g == 3 else g, i) for g in range(40) for i in range(rng.choice([1, 1, 2, 30, 200]))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, i int").repartition(3)
+
+    def sums(pdf, starts):
+        ends = [*starts[1:], len(pdf)]
+        assert all(pdf["i"].iloc[a:b].is_monotonic_increasing for a, b in zip(starts, ends, strict=True))
+        return pdf[["g"]].iloc[starts].assign(n=np.array(ends) - starts, s=[int(pdf["i"].iloc[a:b].sum()) for a, b in zip(starts, ends, strict=True)])
+
+    want = {}
+    for g, i in rows:
+        want.setdefault(g, []).append(i)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("1", "7", "64", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got = [(r.g, r.n, r.s) for r in map_groups(df, ["g"], ["i"], sums, "g int, n long, s long").collect()]
+        assert sorted(got, key=str) == sorted(((g, len(x), sum(x)) for g, x in want.items()), key=str)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
