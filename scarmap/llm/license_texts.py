@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TEMPLATES = {
     "mit-line": "Released under the MIT License.",
@@ -67,4 +68,5 @@ TEMPLATES = {
 
 def license_table(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """The templates as a table ``(license_id, text)``; a caller may read one of its own instead."""
-    return spark.createDataFrame(list(templates.items()), "license_id string, text string")
+    rows = F.array(*[F.struct(F.lit(k).alias("license_id"), F.lit(v).alias("text")) for k, v in templates.items()])
+    return spark.range(1).select(F.explode(rows).alias("t")).select("t.*")
