@@ -158,7 +158,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
     of ``docs(doc_id, text, …)``, all columns. Rows of one doc_id, or of none, whose texts are in
     different components all stay."""
     keyed = row_keys(docs)
-    marked = written(keyed.select("doc_id", "_t", "_r", fingerprints(keyed, shingle).alias("fp")), "fingerprints")
+    marked = written(keyed.select("doc_id", "t", "r", fingerprints(keyed, shingle, "row.text").alias("fp")), "fingerprints")
     placed = _placed(marked, radius, PAIR_BUCKET).select("fp", "component")
     return first_rows(docs, marked.join(placed, "fp"))
 
@@ -210,23 +210,23 @@ def _arrays(loads: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near_components(docs: DataFrame, similar: float = SIMILAR, radius: int = 3, block: int = BLOCK, elements: int = BLOCK_ELEMENTS) -> DataFrame:
-    """``(doc_id, _t, _r, component)`` for every row of ``docs(doc_id, text, …)``; components are
+    """``(doc_id, t, r, component)`` for every row of ``docs(doc_id, text, …)``; components are
     those of the pairs whose sets of five-word shingles have a Jaccard likeness of ``similar`` or
     more. Texts of equal sets are one node; texts without words are one component.
 
     Nodes meet in a covering table of their fingerprints or in a band; all that meet are settled
     exactly, however large a bucket is.
     """
-    marked = written(row_keys(docs).select("doc_id", "_t", "_r", _signed_sets("text", radius).alias("s")), "signed")
-    nodes = marked.groupBy(F.col("s.node").alias("id")).agg(F.min("_t").alias("_t"), F.first("s.size").alias("size"), F.first("s.keys").alias("keys"))
+    marked = written(row_keys(docs).select("doc_id", "t", "r", _signed_sets("row.text", radius).alias("s")), "signed")
+    nodes = marked.groupBy(F.col("s.node").alias("id")).agg(F.min("t").alias("t"), F.first("s.size").alias("size"), F.first("s.keys").alias("keys"))
     members = crowds(nodes.select("id", "size", "keys"))
-    wanted = nodes.select("id", "_t").join(members.select("id").distinct(), "id", "left_semi")
-    texts = docs.select(F.xxhash64("text").alias("_t"), "text").join(wanted, "_t").groupBy("id").agg(F.min("text").alias("text"))
+    wanted = nodes.select("id", "t").join(members.select("id").distinct(), "id", "left_semi")
+    texts = docs.select(F.xxhash64("text").alias("t"), "text").join(wanted, "t").groupBy("id").agg(F.min("text").alias("text"))
     sets = written(texts.select("id", _set_of("text").alias("load")), "sets")
     joined = written(similar_components(members, sets, _arrays, similar, block, elements), "near")
     discard(members, sets)
-    flat = marked.select("doc_id", "_t", "_r", F.col("s.node").alias("id"))
-    return flat.join(joined, flat["id"] == joined["node"], "left").select("doc_id", "_t", "_r", F.coalesce("component", "id").alias("component"))
+    flat = marked.select("doc_id", "t", "r", F.col("s.node").alias("id"))
+    return flat.join(joined, flat["id"] == joined["node"], "left").select("doc_id", "t", "r", F.coalesce("component", "id").alias("component"))
 
 
 def near_dedup(docs: DataFrame, similar: float = SIMILAR, radius: int = 3) -> DataFrame:

@@ -11,15 +11,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with columns _t and _r, hashes of the text and of the whole row."""
-    return docs.withColumns({"_t": F.xxhash64(docs["text"]), "_r": F.xxhash64(*[docs[c] for c in docs.columns])})
+    """``(row, doc_id, t, r)`` for each row: the whole of it, its id, and hashes of its text and of
+    the whole. What the columns of ``docs`` are called doesn't matter."""
+    plain = [F.to_json(docs[c]) if "map<" in kind else docs[c] for c, kind in docs.dtypes]
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), F.xxhash64(*plain).alias("r"))
 
 
 def first_rows(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """The first row of ``docs`` of each component of ``placed(doc_id, _t, _r, component)``, by
+    """The first row of ``docs`` of each component of ``placed(doc_id, t, r, component)``, by
     doc_id (nulls last), then hash of the text and of the row. Equal rows count as one."""
-    spot = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_t", "_r")
-    firsts = placed.groupBy("component").agg(F.min(spot).alias("k")).select(F.col("k.doc_id").alias("_d"), F.col("k._t").alias("_kt"), F.col("k._r").alias("_kr"))
+    spot = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "r")
+    firsts = placed.groupBy("component").agg(F.min(spot).alias("k")).select(F.col("k.doc_id").alias("d1"), F.col("k.t").alias("t1"), F.col("k.r").alias("r1"))
     keyed = row_keys(docs)
-    same = keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["_t"] == F.col("_kt")) & (keyed["_r"] == F.col("_kr"))
-    return keyed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", "_t", "_r"]).select(*docs.columns)
+    same = keyed["doc_id"].eqNullSafe(F.col("d1")) & (keyed["t"] == F.col("t1")) & (keyed["r"] == F.col("r1"))
+    return keyed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", "t", "r"]).select("row.*")
