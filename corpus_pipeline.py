@@ -1,4 +1,10 @@
-"""The corpus pipeline: from raw documents to token ids, in five stages."""
+"""The corpus pipeline: from raw documents to token ids, in five stages.
+
+Every stage takes rows as they are: rows of one doc_id, or of none, are documents of their own (equal
+rows of one doc_id are one to the near-copy stage), null texts have no language and go first, an empty
+table gives an empty table, and other columns, whatever their names, are carried along to the last
+stage, which has columns of its own.
+"""
 
 from __future__ import annotations
 
@@ -17,9 +23,8 @@ LEAST_SCORE = 0.05
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without a letter, or like no language, go."""
     labels, profiles = langid.train_profiles(docs.where(~langid.held_out(docs["doc_id"])))
-    marked = docs.withColumn("_p", langid.predictor(labels, profiles)(docs["text"]))
-    fine = (F.col("_p.lang_pred") != langid.UNDETERMINED) & (F.col("_p.score") >= LEAST_SCORE)
-    return marked.where(fine).select(*docs.columns)
+    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), langid.predictor(labels, profiles)(docs["text"]).alias("p"))
+    return marked.where((F.col("p.lang_pred") != langid.UNDETERMINED) & (F.col("p.score") >= LEAST_SCORE)).select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
