@@ -22,8 +22,9 @@ from scarmap.shared import discard, written
 
 #: Sets, and elements of sets, in a block: about so many at most, for sets are dealt by hash.
 BLOCK, BLOCK_ELEMENTS = 512, 1 << 20
-#: Elements hashed, and entries of an incidence matrix, that are held at a time.
-HELD, MATRIX = 1 << 22, 1 << 21
+#: Elements hashed, and entries of an incidence matrix, that are held at a time: a worker takes about
+#: a hundred bytes for each element.
+HELD, MATRIX = 1 << 20, 1 << 21
 #: Sets of one element that are joined in a task; more are dealt over several.
 DEALT = 512
 #: Keeps rounding from making a bound too tight.
