@@ -252,11 +252,10 @@ def _pairs(spark, sf_dir):
 
 @query(cte("pixels") + f" SELECT z.fire, p.fire AS scene_id, CAST(round(avg(CASE WHEN p.s1 NOT IN {_BAD} THEN 1.0 ELSE 0.0 END) * 1000000) AS BIGINT) AS coverage_ppm FROM pixels z JOIN pixels p ON p.r = z.r AND p.c = z.c GROUP BY z.fire, p.fire")
 def a2_scene_coverage(spark, sf_dir):
-    """Each fire's zone in each scene: all are candidates of all."""
+    """Each fire's zone in each scene."""
     pre, _ = _images(spark, sf_dir)
     zone, scl = pre.select("fire", "tile", "row", "col"), pre.select(F.col("fire").alias("scene_id"), "tile", "row", "col", "scl")
-    names = zone.select("fire").distinct()
-    found = scenes.scene_coverage(zone, scl, names.crossJoin(names.withColumnRenamed("fire", "scene_id")))
+    found = scenes.scene_coverage(zone, scl)
     return found.select("fire", "scene_id", F.round(F.col("coverage") * 1_000_000).cast("long").alias("coverage_ppm"))
 
 
