@@ -29,7 +29,7 @@ REMEMBERED_PIECES, REMEMBERED_CHARS, REMEMBERED = 1 << 18, 64, 1 << 17
 DECODED_AT_ONCE = 1 << 16
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letter by which vocabulary files write each byte: printable ones stand for themselves,
     the others follow from code point 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -42,7 +42,7 @@ class Vocabulary:
 
     def __init__(self, content: str) -> None:
         spec = json.loads(content)
-        model, letters = spec["model"], _byte_letters()
+        model, letters = spec["model"], byte_letters()
         if model["type"] != "BPE" or spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec["pre_tokenizer"].get("add_prefix_space"):
             raise ValueError("not a plain byte-level BPE vocabulary")
         # Bytes are written as the 256 first code points, for the automaton's keys are strings.

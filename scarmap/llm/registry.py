@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, simhash, topk
+from scarmap.llm import alignment, bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, simhash, topk
 from scarmap.llm.license_texts import license_table
 from scarmap.llm.tables import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), license_table(spark))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -103,6 +107,7 @@ def queries() -> dict:
             op8_line_dedup,
             op9_language_id,
             op10_license_scan,
+            op11_alignment,
         )
     }
 
