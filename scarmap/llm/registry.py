@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import alignment, bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, simhash, topk
+from scarmap.llm import alignment, bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, periodic, simhash, topk
 from scarmap.llm.license_texts import license_table
 from scarmap.llm.tables import table
 
@@ -93,6 +93,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -108,6 +112,7 @@ def queries() -> dict:
             op9_language_id,
             op10_license_scan,
             op11_alignment,
+            op12_periodic_runs,
         )
     }
 
