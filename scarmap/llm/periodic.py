@@ -54,12 +54,15 @@ def _places(x: int) -> np.ndarray:
     return near[at] * 8 + bit
 
 
-def _lags(ids: np.ndarray) -> Iterator[int]:
-    """Ascending lags at which a run may repeat.
+def _lags(ids: np.ndarray, found: list[tuple[int, int, int]]) -> Iterator[int]:
+    """Ascending lags at which a run may repeat; found: the runs of smaller periods so far.
 
     A run of a period q in [Q, 2Q) is 4Q words long at least, so among its first 2Q words there is
     a whole block of Q words that begins at a multiple of Q, and q further on the block comes again
     in the run. Blocks are told apart by hashes of Q words: equal blocks have equal hashes.
+
+    Where a run of a period under Q holds both blocks, it overlaps any run of period q there by more
+    than the two periods, so that one would have the smaller period as well: nothing to find there.
     """
     n, most = len(ids), len(ids) // LEAST_PERIODS
     yield from range(1, min(DENSE, most + 1))
@@ -68,11 +71,14 @@ def _lags(ids: np.ndarray) -> Iterator[int]:
     while size <= most:
         if size >= DENSE:
             starts = np.arange(0, n - 2 * size + 1, size)
-            seen = np.zeros(size, bool)
+            seen, reach = np.zeros(size, bool), np.zeros(n, np.int64)
+            for start, length, _ in found:
+                reach[start] = max(reach[start], start + length)
+            reach = np.maximum.accumulate(reach)
             for lo in range(0, len(starts), max(1, (1 << 20) // size)):
                 part = starts[lo : lo + max(1, (1 << 20) // size)]
                 at = part[:, None] + np.arange(size, 2 * size)
-                there = at < len(hashes)
+                there = (at < len(hashes)) & (at + size > reach[part][:, None])
                 seen |= ((hashes[np.minimum(at, len(hashes) - 1)] == hashes[part][:, None]) & there).any(axis=0)
             yield from (size + np.flatnonzero(seen[: most + 1 - size])).tolist()
         hashes = hashes[:-size] * np.uint64(base) + hashes[size:] if len(hashes) > size else hashes[:0]
@@ -91,7 +97,7 @@ def find_runs(words: list[str]) -> list[tuple[int, int, int]]:
     numbers: dict[str, int] = {}
     ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, n)
     planes, out, ranges = _planes(ids), [], set()
-    for q in _lags(ids):
+    for q in _lags(ids, out):
         least = max(LEAST_WORDS, LEAST_PERIODS * q) - q
         same = (1 << (n - q)) - 1
         for lo, hi in ((0, FIRST_PLANES), (FIRST_PLANES, len(planes))):

@@ -93,3 +93,13 @@ def test_query_rows(spark):
             assert r.collapsed_sha256 == sha256(" ".join(collapsed_by_hand(words, runs)).encode()).hexdigest()
     assert any(zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in texts if d)
     assert periodic.run_digest(periodic.periodic_runs(docs.limit(0))).count() == 0
+
+
+def test_very_long_repetitive_texts():
+    for part in (["a"], ["a", "b", "c"], [str(i) for i in range(70)]):
+        words = part * (300_000 // len(part))
+        assert periodic.find_runs(words) == [(0, len(words), len(part))]
+    rng = random.Random(9)
+    part = [rng.choice("ab") for _ in range(90)]
+    nested = [w for _ in range(4) for w in (["a", "b"] * 200 + part * 5 + ["c"] * 7)]
+    assert periodic.find_runs(nested) == runs_all_lags(nested)
