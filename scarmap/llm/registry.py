@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scarmap.llm import alignment, bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, periodic, simhash, topk
+from scarmap.llm import alignment, bpe, chat, html, langid, licenses, line_dedup, mixing, order_minhash, periodic, simhash, topk, toxicity
 from scarmap.llm.license_texts import license_table
 from scarmap.llm.tables import table
 
@@ -97,6 +97,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digest(periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -113,6 +117,7 @@ def queries() -> dict:
             op10_license_scan,
             op11_alignment,
             op12_periodic_runs,
+            op13_toxicity,
         )
     }
 
