@@ -36,18 +36,18 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 SIBLINGS = {t: g for g in ({"li"}, {"dt", "dd"}, {"tr"}, {"td", "th"}, {"option", "optgroup"}) for t in g}
 ENCLOSING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "optgroup": {"select"}}
 
-_TAG = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
-_MARK = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b{_TAG}>.*?(?:</(?P=raw)\s*>|\Z)"
-    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_TAG})>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)",
-    re.S | re.I,
-)
-# Elements whose content isn't the page's own text. One that is never closed is an element like any
-# other, so it takes nothing away.
-SKIPPED = re.compile(r"</(noscript|template|svg|iframe|object)\s*>", re.I)
+# Markup is read from each "<" on, by the states of the HTML standard: a quote delimits a value only
+# right after "=", and nothing is tried twice (possessive repeats), so reading takes linear time.
+_ATTRIBUTE = r"""[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++|))?+"""
+_TAG = re.compile(rf"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[\s/]++|{_ATTRIBUTE}|=)*+)>")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?/][^>]*+(?:>|\Z)", re.S)
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+>", re.I) for t in ("script", "style")}
+# Elements whose content isn't the page's own text. One that isn't closed inside the element that it
+# stands in is an element like any other, so it takes nothing away.
+SKIPPED = {"noscript", "template", "svg", "iframe", "object"}
 #: Open elements beyond which the innermost one is left for the next.
 MOST_DEPTH = 512
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMES = re.compile(r"""(?:^|[\s/"'])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+")
 
 
@@ -58,12 +58,12 @@ def _slot(token: str, slots: int) -> int:
 
 class Element:
     """An open element: its tag, and the slots of its own path and names and of all around it, as
-    the bits of a number, so that depth costs nothing."""
+    the bits of a number, so that depth costs nothing. A skipped one knows what stood before it."""
 
-    __slots__ = ("tag", "slots")
+    __slots__ = ("tag", "slots", "before")
 
-    def __init__(self, tag: str, names: str, around: int) -> None:
-        self.tag, self.slots = tag, around | 1 << _slot(tag, PATH_SLOTS)
+    def __init__(self, tag: str, names: str, around: int, before: tuple | None = None) -> None:
+        self.tag, self.slots, self.before = tag, around | 1 << _slot(tag, PATH_SLOTS), before
         for n in _NAME_PARTS.findall(names):
             self.slots |= 1 << _slot(f".{n}", PATH_SLOTS)
 
@@ -81,18 +81,17 @@ def blocks(html: str | None) -> list[Block]:
     Unclosed and wrongly nested elements are read leniently; scripts, styles, comments and a tag
     cut off by the end of the page are skipped, as is what stands in closed elements of SKIPPED.
     """
-    out: list[Block] = []
+    out: list[tuple[list[str], int, str, int]] = []  # parts of the text, slots, tag, linked characters
     stack: list[Element] = []  # block elements
     open_tags: Counter[str] = Counter()
     text: list[str] = []
     linked = in_link = 0
 
     def close_block() -> None:
-        nonlocal linked
-        joined = " ".join(unescape("".join(text)).split())
-        if joined:
-            out.append(Block(joined, stack[-1].slots if stack else 0, stack[-1].tag if stack else "", linked))
-        text.clear()
+        nonlocal text, linked
+        if text:
+            out.append((text, stack[-1].slots if stack else 0, stack[-1].tag if stack else "", linked))
+            text = []
         linked = 0
 
     def add(s: str) -> None:
@@ -106,37 +105,57 @@ def blocks(html: str | None) -> list[Block]:
             open_tags[e.tag] -= 1
         del stack[to:]
 
+    def push(tag: str, attrs: str, before: tuple | None = None) -> None:
+        if len(stack) >= MOST_DEPTH:
+            cut(len(stack) - 1)
+        names = " ".join(next(filter(None, n), "") for n in _NAMES.findall(attrs)).lower() if attrs else ""
+        stack.append(Element(tag, names, stack[-1].slots if stack else 0, before))
+        open_tags[tag] += 1
+
     at, html = 0, html or ""
-    ends: dict[str, list[int]] = {}  # where skipped elements are closed, last first
-    for m in SKIPPED.finditer(html):
-        ends.setdefault(m[1].lower(), []).append(m.end())
-    for places in ends.values():
-        places.reverse()
-    while m := _MARK.search(html, at):
-        if m.start() > at:
-            add(html[at : m.start()])
-        at = m.end()
-        tag = m["tag"] and m["tag"].lower()
-        if not tag:
+    while (found := html.find("<", at)) >= 0:
+        after = html[found + 1 : found + 3]
+        if after[:1] in "!?" or after[:1] == "/" and not after[1:].isalpha():
+            m = _COMMENT.match(html, found)
+        elif after[:1].isascii() and after[:1].isalpha() or after[:1] == "/":
+            m = _TAG.match(html, found)
+        else:
+            m = None if after else False
+        if not after or m is None and not (after[0].isascii() and after[0].isalpha() or after[0] == "/"):
+            add(html[at : found + 1])  # the character itself
+            at = found + 1
+            continue
+        if found > at:
+            add(html[at:found])
+        at = m.end() if m else len(html)
+        if m is None or m.re is _COMMENT:
             continue
+        tag, ends = m["tag"].lower(), m["end"]
         if tag in INLINE:
             if tag == "br":
                 text.append(" ")
             elif tag == "a":
-                in_link = 0 if m["end"] else 1
+                in_link = 0 if ends else 1
             continue
-        if tag == "svg" and m["attrs"].endswith("/"):
+        if tag in _RAW and not ends:
+            closed = _RAW[tag].search(html, at)
+            at = closed.end() if closed else len(html)
+            continue
+        if tag in SKIPPED:
+            if not ends and not m["attrs"].endswith("/"):
+                before = len(out), text, linked, in_link
+                close_block()
+                text, in_link = [], 0
+                push(tag, m["attrs"], before)
+            elif ends and open_tags[tag]:
+                i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag)
+                size, text, linked, in_link = stack[i].before
+                del out[size:]
+                cut(i)
             continue
-        if not m["end"] and tag in ends:
-            places = ends[tag]
-            while places and places[-1] <= at:
-                places.pop()
-            if places:
-                at = places.pop()
-                continue
         close_block()
         in_link = 0
-        if m["end"]:
+        if ends:
             if open_tags[tag]:
                 cut(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
@@ -151,17 +170,13 @@ def blocks(html: str | None) -> list[Block]:
                     break
         elif tag == "body":
             cut(1 if stack and stack[0].tag == "html" else 0)
-        if tag in VOID:
-            continue
-        if len(stack) >= MOST_DEPTH:
-            cut(len(stack) - 1)
-        names = " ".join(next(filter(None, n), "") for n in _NAMES.findall(m["attrs"])).lower() if m["attrs"] else ""
-        stack.append(Element(tag, names, stack[-1].slots if stack else 0))
-        open_tags[tag] += 1
+        if tag not in VOID:
+            push(tag, m["attrs"])
     if at < len(html):
         add(html[at:])
     close_block()
-    return out
+    joined = ((" ".join(unescape("".join(parts)).split()), *rest) for parts, *rest in out)
+    return [Block(t, *rest) for t, *rest in joined if t]
 
 
 def features(found: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
