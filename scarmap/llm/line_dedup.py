@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scarmap.llm.similar_sets import BLOCK, BLOCK_ELEMENTS, crowds, similar_components
+from scarmap.llm.tables import column
 from scarmap.shared import discard, written
 
 #: Shorter lines (code points, normalised) stay where a caller of the functions names no other bound.
@@ -231,7 +232,7 @@ def dedup_lines(docs: DataFrame, similar: float = SIMILAR, least_chars: int = LE
     input are replaced.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    whole = docs.select(F.struct(*columns).alias("r"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("row"), docs["text"].alias("text"))
+    whole = docs.select(F.struct(*[column(docs, c) for c in columns]).alias("r"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("row"), docs["text"].alias("text"))
     drops = _dropped(whole.select("doc_id", "row", "text"), similar, least_chars)
     mine = drops.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), "places")
     joined = whole.join(mine, whole["doc_id"].eqNullSafe(F.col("_d")) & (whole["row"] == F.col("_r")), "left")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scarmap.llm.tables import whole_row
 from scarmap.operators.ranking import with_place, with_running
 from scarmap.shared import written
 
@@ -100,7 +101,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
     inside = F.col("before") + F.col("size") / 2 <= F.col("rest")
     cuts = placed.groupBy("sid").agg(F.max(F.when(inside & (F.col("rest") > 0), F.col("key"))).alias("cut"))
     plan = written(sources.join(cuts, "sid").select(F.col("source").alias("_source"), "epochs", "cut"), "cuts")
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["source"].alias("_of"), order_key(docs).alias("_key"))
+    keyed = docs.select(whole_row(docs).alias("row"), docs["source"].alias("_of"), order_key(docs).alias("_key"))
     joined = keyed.join(plan, keyed["_of"].eqNullSafe(plan["_source"]))
     copies = (F.col("epochs") + F.coalesce((F.col("_key") <= F.col("cut")).cast("int"), F.lit(0))).cast("int")
     return joined.where(copies > 0).select("row", F.explode(F.array_repeat(F.lit(0), copies))).select("row.*")

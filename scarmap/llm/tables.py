@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -10,11 +10,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def column(df: DataFrame, name: str) -> Column:
+    """The column of exactly this name; dots and backquotes in it are no path."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct."""
+    return F.struct(*[column(df, c) for c in df.columns])
+
+
 def row_keys(docs: DataFrame) -> DataFrame:
     """``(row, doc_id, t, r)`` for each row: the whole of it, its id, and hashes of its text and of
     the whole. What the columns of ``docs`` are called doesn't matter."""
-    plain = [F.to_json(docs[c]) if "map<" in kind else docs[c] for c, kind in docs.dtypes]
-    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), F.xxhash64(*plain).alias("r"))
+    plain = [F.to_json(column(docs, c)) if "map<" in kind else column(docs, c) for c, kind in docs.dtypes]
+    return docs.select(whole_row(docs).alias("row"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("t"), F.xxhash64(*plain).alias("r"))
 
 
 def first_rows(docs: DataFrame, placed: DataFrame) -> DataFrame:
