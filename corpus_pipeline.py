@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scarmap.llm import bpe, langid, line_dedup, mixing, simhash
 from scarmap.llm.registry import tokenizer_path
-from scarmap.llm.tables import table
+from scarmap.llm.tables import table, whole_row
 from scarmap.shared import discard, written
 
 #: Texts less like every language than this (cosine) are none.
@@ -23,14 +23,16 @@ LEAST_SCORE = 0.05
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without a letter, or like no language, go."""
     labels, profiles = langid.train_profiles(docs.where(~langid.held_out(docs["doc_id"])))
-    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), langid.predictor(labels, profiles)(docs["text"]).alias("p"))
+    marked = docs.select(whole_row(docs).alias("row"), langid.predictor(labels, profiles)(docs["text"]).alias("p"))
     return marked.where((F.col("p.lang_pred") != langid.UNDETERMINED) & (F.col("p.score") >= LEAST_SCORE)).select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents rid of lines that repeat an earlier one; those left without a word go."""
-    out = line_dedup.dedup_lines(docs, least_chars=line_dedup.EVERY_LINE).select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast("long")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    packed = docs.select("doc_id", "text", whole_row(docs).alias("row"))
+    out = line_dedup.dedup_lines(packed, least_chars=line_dedup.EVERY_LINE).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
