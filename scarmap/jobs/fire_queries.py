@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scarmap.functions import geo
 from scarmap.jobs import detect
 from scarmap.jobs.inputs import cte, view
-from scarmap.operators import burn, hotspots, outlines, publish, scenes, validate
+from scarmap.operators import burn, hotspots, outlines, publish, scenes, validate, zones
 from scarmap.shared import written
 
 QUERIES, ORACLE = {}, {}
@@ -498,4 +498,4 @@ def u3_rasterise(spark, sf_dir):
     x, y, w, h = (k * 7 % 400) * 20, (k * 13 % 300) * 20, (F.col("p_size") % 9 + 1) * 20, (k % 5 + 2) * 20
     box = lambda x0, y0, x1, y1: F.array(*[F.array(a.cast("double"), b.cast("double")) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))])
     rings = spark.read.parquet(f"{sf_dir}/part.parquet").select(k.alias("geom_id"), F.explode(F.array(box(x, y, x + w, y + h), box(x, y, x + 20, y + 20))).alias("ring"))
-    return burn.rasterise(rings).groupBy("geom_id").agg(F.count("*").alias("n_cells"))
+    return zones.rasterise(rings).groupBy("geom_id").agg(F.count("*").alias("n_cells"))

@@ -55,6 +55,15 @@ INPUTS = {
                CAST(floor(z.p_partkey / 3000) AS BIGINT) * 40 + z.p_partkey * 5 % 6 + dy.i AS cy
         FROM part z JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 12) dx ON dx.i < z.p_size % 9 + 3
                     JOIN (SELECT DISTINCT p_size - 1 AS i FROM part WHERE p_size <= 12) dy ON dy.i < z.p_partkey % 5 + 3""",
+    # corners of a slanted quadrilateral with a triangular hole in each square of 400 m
+    "corners": """
+        SELECT z.p_partkey AS geom_id, v.ring, v.i,
+               z.p_partkey % 60 * 400 + CASE v.ring * 10 + v.i WHEN 0 THEN 10 + z.p_size % 7 * 3 WHEN 1 THEN 380 - z.p_partkey % 13 WHEN 2 THEN 330 - z.p_size WHEN 3 THEN 30 + z.p_partkey % 19 WHEN 10 THEN 150 + z.p_size % 9 WHEN 11 THEN 240 - z.p_partkey % 7 ELSE 190 END AS x,
+               CAST(floor(z.p_partkey / 60) AS BIGINT) * 400 + CASE v.ring * 10 + v.i WHEN 0 THEN 5 + z.p_partkey % 11 WHEN 1 THEN 40 + z.p_size WHEN 2 THEN 370 - z.p_partkey % 17 WHEN 3 THEN 300 - z.p_size % 5 * 4 WHEN 10 THEN 150 + z.p_partkey % 23 WHEN 11 THEN 160 + z.p_size % 3 ELSE 230 - z.p_size % 11 END AS y
+        FROM part z JOIN (VALUES (0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1), (1, 2)) AS v(ring, i) ON v.i <= z.p_partkey + 3""",
+    # points all over those squares, many on whole metres of sides and corners
+    "spread": """
+        SELECT event_id AS point_id, event_id * 7919 % 24000 AS x_m, event_id * 613 % (CAST(floor((SELECT count(*) FROM part) / 60) AS BIGINT) * 400 + 400) AS y_m FROM events""",
     # the communes that hot spots are in, but for some abroad
     "communes": """
         SELECT DISTINCT CAST(floor(x_m / 50000) AS BIGINT) AS cx, CAST(floor(y_m / 50000) AS BIGINT) AS cy, CONCAT('Commune ', CAST(CAST(floor(x_m / 50000) AS BIGINT) * 100 + CAST(floor(y_m / 50000) AS BIGINT) AS STRING)) AS commune, '33' AS departement

@@ -7,9 +7,9 @@ FLAGSHIP = "k1_top_fires"
 
 
 def _modules() -> list:
-    from scarmap.jobs import file_queries, fire_queries, record_queries
+    from scarmap.jobs import file_queries, fire_queries, record_queries, zone_queries
 
-    return [fire_queries, record_queries, file_queries]
+    return [fire_queries, record_queries, file_queries, zone_queries]
 
 
 def queries() -> dict:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -200,29 +199,3 @@ def split_main(labels: DataFrame, near_m: float = MAIN_M) -> DataFrame:
     core = boundary(labels).join(largest, ["fire", "comp_id"]).select("fire", "row", "col")
     near = attach_components(labels, core, near_m).select("fire", "comp_id", F.lit(True).alias("main"))
     return sizes.select("fire", "comp_id").join(near, ["fire", "comp_id"], "left").withColumn("main", F.coalesce("main", F.lit(False)))
-
-
-def rasterise(rings: DataFrame, cell_m: int = PIXEL_M) -> DataFrame:
-    """OP-U3: ``(geom_id, cx, cy)``: cells whose centre is inside, by the even-odd rule, of
-    ``rings(geom_id, ring)`` in metres, all rings of a geometry taken together (holes included)."""
-    def crossings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for geom_id, ring in zip(batch["geom_id"], batch["ring"], strict=True):
-                xy = np.array([list(p) for p in ring], float) if ring is not None and len(ring) > 2 else np.zeros((0, 2))
-                out_y, out_x = [], []
-                for (x0, y0), (x1, y1) in zip(xy, np.roll(xy, -1, axis=0), strict=True):
-                    lo, hi = sorted((y0, y1))
-                    rows = np.arange(math.ceil(lo / cell_m - 0.5), math.ceil(hi / cell_m - 0.5))
-                    if len(rows):
-                        out_y.append(rows)
-                        out_x.append(x0 + ((rows + 0.5) * cell_m - y0) * (x1 - x0) / (y1 - y0))
-                if out_y:
-                    yield pd.DataFrame({"geom_id": geom_id, "cy": np.concatenate(out_y), "x": np.concatenate(out_x)})
-
-    kind = dict(rings.dtypes)["geom_id"]
-    cuts = rings.select("geom_id", "ring").mapInPandas(crossings, f"geom_id {kind}, cy long, x double")
-    spans = cuts.groupBy("geom_id", "cy").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("xs") / 2).cast("int") - 1), lambda i: F.struct(F.get("xs", 2 * i).alias("a"), F.get("xs", 2 * i + 1).alias("b")))
-    spans = spans.select("geom_id", "cy", F.explode(pairs).alias("s"))
-    first, last = F.ceil(F.col("s.a") / cell_m - 0.5), F.ceil(F.col("s.b") / cell_m - 0.5) - 1
-    return spans.where(first <= last).select("geom_id", F.explode(F.sequence(first, last)).alias("cx"), "cy")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scarmap.functions import geo, labels
-from scarmap.operators import burn, hotspots, publish, records, scenes, textjobs
+from scarmap.operators import burn, hotspots, publish, records, scenes, textjobs, zones
 from scarmap.operators.components import connected_components
 from scarmap.sources import files
 
@@ -100,7 +100,7 @@ def test_merge_duplicates_strict_and_status(spark):
 def test_rasterise_square_with_hole(spark):
     ring = lambda a, b: [[float(a), float(a)], [float(b), float(a)], [float(b), float(b)], [float(a), float(b)]]
     rings = spark.createDataFrame([(1, ring(0, 100)), (1, ring(40, 60)), (2, None)], "geom_id long, ring array<array<double>>")
-    got = {(r.cx, r.cy) for r in burn.rasterise(rings).collect()}
+    got = {(r.cx, r.cy) for r in zones.rasterise(rings).collect()}
     assert got == {(x, y) for x in range(5) for y in range(5)} - {(2, 2)}
 
 
