@@ -61,6 +61,10 @@ INPUTS = {
                z.p_partkey % 60 * 400 + CASE v.ring * 10 + v.i WHEN 0 THEN 10 + z.p_size % 7 * 3 WHEN 1 THEN 380 - z.p_partkey % 13 WHEN 2 THEN 330 - z.p_size WHEN 3 THEN 30 + z.p_partkey % 19 WHEN 10 THEN 150 + z.p_size % 9 WHEN 11 THEN 240 - z.p_partkey % 7 ELSE 190 END AS x,
                CAST(floor(z.p_partkey / 60) AS BIGINT) * 400 + CASE v.ring * 10 + v.i WHEN 0 THEN 5 + z.p_partkey % 11 WHEN 1 THEN 40 + z.p_size WHEN 2 THEN 370 - z.p_partkey % 17 WHEN 3 THEN 300 - z.p_size % 5 * 4 WHEN 10 THEN 150 + z.p_partkey % 23 WHEN 11 THEN 160 + z.p_size % 3 ELSE 230 - z.p_size % 11 END AS y
         FROM part z JOIN (VALUES (0, 0), (0, 1), (0, 2), (0, 3), (1, 0), (1, 1), (1, 2)) AS v(ring, i) ON v.i <= z.p_partkey + 3""",
+    # three diamonds a site, which overlap or don't: centre and half diagonal
+    "diamonds": """
+        SELECT p_partkey AS geom_id, CAST(floor(p_partkey / 3) AS BIGINT) AS site, p_partkey % 3 AS nth, CAST(floor(p_partkey / 3) AS BIGINT) % 100 * 500 + p_partkey * 37 % 90 AS x, CAST(floor(p_partkey / 300) AS BIGINT) * 500 + p_partkey * 53 % 80 AS y, 5 + p_size AS r
+        FROM part""",
     # points all over those squares, many on whole metres of sides and corners
     "spread": """
         SELECT event_id AS point_id, event_id * 7919 % 24000 AS x_m, event_id * 613 % (CAST(floor((SELECT count(*) FROM part) / 60) AS BIGINT) * 400 + 400) AS y_m FROM events""",

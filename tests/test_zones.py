@@ -62,3 +62,39 @@ def test_odd_inputs(spark):
     got = zones.points_in_rings(points, rings).collect()
     assert sorted((r.point_id is None, r.geom_id) for r in got) == [(False, 5), (True, 5)]
     assert zones.points_in_rings(points.limit(0), rings).count() == zones.points_in_rings(points, rings.limit(0)).count() == 0
+
+
+def area_by_hand(geoms):
+    """Slab by slab over all pairs of sides, in plain Python."""
+    sides = [(g, p, q) for g, rs in geoms.items() for r in rs for p, q in zip(r, r[1:] + r[:1], strict=True)]
+    ys = {p[1] for _, p, _ in sides}
+    for i, (_, a, b) in enumerate(sides):
+        for _, c, d in sides[:i]:
+            den = (b[0] - a[0]) * (d[1] - c[1]) - (b[1] - a[1]) * (d[0] - c[0])
+            if den:
+                t = ((c[0] - a[0]) * (d[1] - c[1]) - (c[1] - a[1]) * (d[0] - c[0])) / den
+                if 0 <= t <= 1:
+                    ys.add(a[1] + t * (b[1] - a[1]))
+    total, ys = 0.0, sorted(ys)
+    for lo, hi in zip(ys[:-1], ys[1:], strict=True):
+        y = (lo + hi) / 2
+        cuts = sorted((p[0] + (y - p[1]) * (q[0] - p[0]) / (q[1] - p[1]), g) for g, p, q in sides if (p[1] > y) != (q[1] > y))
+        inside = set()
+        for (x, g), (after, _) in zip(cuts[:-1], cuts[1:], strict=True):
+            inside ^= {g}
+            total += (after - x) * (hi - lo) * bool(inside)
+    return total
+
+
+def test_union_area_of_overlapping_rings(spark):
+    rng = random.Random(4)
+    fires = {f: {g: [star(rng, rng.uniform(0, 300), rng.uniform(-200, 200), rng.uniform(50, 250), rng.randint(3, 9))] + ([star(rng, 0, 0, 60, 4)] if g % 2 else []) for g in range(rng.randint(1, 5))} for f in range(8)}
+    fires[8] = {0: [[[0.0, 0.0], [100.0, 0.0], [100.0, 100.0], [0.0, 100.0]]], 1: [[[100.0, 0.0], [200.0, 0.0], [200.0, 100.0], [100.0, 100.0]]], 2: [[[0.0, 0.0], [100.0, 0.0], [100.0, 100.0], [0.0, 100.0]]]}
+    rows = [(f, g, r) for f, gs in fires.items() for g, rs in gs.items() for r in rs] + [(9, 0, [[1.0, 1.0], [2.0, 1.0]]), (None, 1, [[0.0, 0.0], [1.0, 1.0], [1.0, 0.0]]), (8, 3, None)]
+    rings = spark.createDataFrame(rows, "fire long, geom_id long, ring array<array<double>>")
+    for band in (30.0, 100.0, 10_000.0):
+        got = {r.fire: r.area_m2 for r in zones.union_area(rings, "fire", band).collect()}
+        assert got.keys() == fires.keys()
+        for f, gs in fires.items():
+            assert abs(got[f] - area_by_hand(gs)) <= 1e-6 * got[f]
+    assert abs(got[8] - 20_000) < 1e-6
