@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scarmap.operators.components import connected_components
 from scarmap.operators.groups import map_groups
+from scarmap.operators.ranking import medians
 from scarmap.operators.scenes import UNUSABLE_SCL
 from scarmap.shared import written
 
@@ -120,7 +121,7 @@ def component_areas(labels: DataFrame, least_ha: float = LEAST_HA, keys: tuple[s
 def median_nbr(pairs: DataFrame) -> DataFrame:
     """OP-A4: ``(fire, nbr_median)`` before the fire over detected usable pixels; 0 if there are none."""
     value = F.when(F.col("usable") & F.col("detected"), F.col("nbr_pre").cast("double"))
-    return pairs.groupBy("fire").agg(F.coalesce(F.percentile(value, 0.5), F.lit(0.0)).alias("nbr_median"))
+    return medians(pairs.withColumn("_v", value), ["fire"], "_v").select("fire", F.coalesce("median", F.lit(0.0)).alias("nbr_median"))
 
 
 def vegetation_gate(medians: DataFrame, least: float = LEAST_NBR) -> DataFrame:

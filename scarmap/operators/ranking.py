@@ -1,4 +1,4 @@
-"""Places and running sums in a total order, without one task that holds all rows."""
+"""Places, running sums and medians, without one task that holds all rows."""
 
 from __future__ import annotations
 
@@ -6,7 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scarmap.shared import written
+from scarmap.shared import discard, written
+
+#: Values of a group whose median is taken in one buffer, at most.
+MOST_BUFFERED = 1 << 20
+#: Bins of a round of selection.
+BINS = 4096
 
 
 def with_running(df: DataFrame, order: list[Column], sums: dict[str, str], place: str | None = None) -> DataFrame:
@@ -31,3 +36,54 @@ def with_running(df: DataFrame, order: list[Column], sums: dict[str, str], place
 def with_place(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
     """``df`` with the number, from 1, of each row in ``order``; see :func:`with_running`."""
     return with_running(df, list(order), {}, name)
+
+
+def medians(df: DataFrame, keys: list[str], value: str, most: int = MOST_BUFFERED, bins: int = BINS) -> DataFrame:
+    """``(*keys, median)`` of every group of ``df``: the middle of its values, or the mean of the two
+    middle ones; null for a group without values. Nulls and NaNs are no values.
+
+    Groups of up to ``most`` values are buffered. In larger ones the middle is selected: the values
+    between two bounds are counted in equal bins, the bin that holds the wanted place gives the
+    next bounds, its own least and greatest value, until these are one. Bins are of magnitudes until
+    the bounds are within a factor of two, so about seven rounds do, however values are spread. A
+    group's rows are never gathered: a round exchanges a row for each bin and task.
+    """
+    v = df.select(*keys, F.col(value).cast("double").alias("v"))
+    v = v.withColumn("v", F.when(~F.isnan("v"), F.col("v")))
+    sizes = written(v.groupBy(*keys).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")), "sizes")
+    large = sizes.where(F.col("n") > most)
+    same = lambda a, b: _all(a[k].eqNullSafe(b[k]) for k in keys)
+    if not large.limit(1).count():
+        return v.groupBy(*keys).agg(F.percentile("v", 0.5).alias("median"))
+    small = v.join(large.select(*keys), same(v, large), "left_anti").groupBy(*keys).agg(F.percentile("v", 0.5).alias("median"))
+    held = written(v.where("v is not null").join(large.select(*keys), same(v, large), "left_semi"), "held")
+    place = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.floor((F.col("n") + 1) / 2).alias("place")), F.struct(F.lit(1).alias("which"), F.floor(F.col("n") / 2 + 1).alias("place"))))
+    state = written(large.select(*keys, "lo", "hi", place.alias("p")).select(*keys, "lo", "hi", "p.which", "p.place"), "bounds")
+    while state.where("lo < hi").limit(1).count():
+        open_ = state.where("lo < hi").select(*[F.col(k).alias(f"_{k}") for k in keys], "which", "place", "lo", "hi")
+        met = held.join(open_, _all(held[k].eqNullSafe(open_[f"_{k}"]) for k in keys) & held["v"].between(open_["lo"], open_["hi"]))
+        narrow = ((F.col("lo") > 0) & (F.col("hi") <= F.col("lo") * 2)) | ((F.col("hi") < 0) & (F.col("lo") >= F.col("hi") * 2))
+        share = lambda f: (f("v") - f("lo")) / (f("hi") - f("lo"))
+        at = F.least(F.lit(bins - 1), F.floor(F.when(narrow, share(F.col)).otherwise(share(_magnitude)) * bins))
+        counted = met.groupBy(*keys, "which", "place", at.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        upto = F.sum("n").over(W.partitionBy(*keys, "which").orderBy("bin").rowsBetween(W.unboundedPreceding, 0))
+        found = counted.withColumn("upto", upto).where((F.col("upto") >= F.col("place")) & (F.col("upto") - F.col("n") < F.col("place")))
+        found = found.select(*keys, "lo", "hi", "which", (F.col("place") - F.col("upto") + F.col("n")).alias("place"))
+        after = written(state.where("lo = hi").unionByName(found), "bounds")
+        discard(state)
+        state = after
+    return small.unionByName(state.groupBy(*keys).agg(F.avg("lo").alias("median")))
+
+
+def _magnitude(c: str) -> Column:
+    """Sign and logarithm of a number in one, in the order of the numbers: the logarithm of the
+    smallest double is over -745."""
+    v = F.col(c)
+    return F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.log(F.abs(v)) + 750))
+
+
+def _all(conditions) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
