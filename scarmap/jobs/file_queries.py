@@ -42,6 +42,25 @@ def s1_read_hotspots(spark, sf_dir):
     return got.select("capteur", hundredths("latitude").alias("lat"), hundredths("longitude").alias("lon"), "bright_ti4", "frp", "confidence", "acq_date", "acq_time")
 
 
+@query(
+    cte("hotspots") + """ SELECT DISTINCT CASE WHEN point_id % 2 = 0 THEN 'VIIRS_SNPP_NRT' ELSE 'VIIRS_NOAA20_NRT' END AS capteur, CAST(round(latitude * 100) AS BIGINT) AS lat, CAST(round(longitude * 100) AS BIGINT) AS lon,
+    epoch(acq_date) + CAST(floor((point_id % 1440) / 60) * 3600 + point_id % 1440 % 60 * 60 AS BIGINT) AS seconds FROM hotspots"""
+)
+def x1_sensor_files(spark, sf_dir):
+    """Files of two sensors that arrive in two drops, the second one over half of the first again;
+    the stream is started anew in between."""
+    h, at = view(spark, sf_dir, "hotspots"), fresh_path(spark, "sensors")
+    i = F.col("point_id")
+    rows = h.select("latitude", "longitude", (300 + i % 60).alias("bright_ti4"), F.col("frp_centi").alias("frp"), "confidence", "acq_date", F.lpad((F.floor(i % 1440 / 60) * 100 + i % 1440 % 60).cast("string"), 4, "0").alias("acq_time"), (i % 2).alias("sensor"), (i % 3).alias("third"))
+    rows = written(rows, "passes")
+    for drop in (rows.where("third < 2"), rows.where("third > 0")):
+        drop.drop("third").write.mode("append").partitionBy("sensor").csv(f"{at}/in", header=True)
+        stream = streams.distinct_hotspots(streams.hotspot_files(spark, {"VIIRS_SNPP_NRT": f"{at}/in/sensor=0", "VIIRS_NOAA20_NRT": f"{at}/in/sensor=1"}), "400 days")
+        stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+    hundredths = lambda c: F.round(F.col(c) * 100).cast("long")
+    return spark.read.parquet(f"{at}/out").select("capteur", hundredths("latitude").alias("lat"), hundredths("longitude").alias("lon"), F.unix_seconds("ts").alias("seconds"))
+
+
 @query(
     """SELECT concat('dossier=f-', s_suppkey) AS dossier, s_name AS id, DATE '2024-01-01' + CAST(s_suppkey % 90 AS INTEGER) AS premier,
     DATE '2024-01-01' + CAST(s_suppkey % 90 + CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE 4 END AS INTEGER) AS dernier, s_suppkey % 50 AS n_points_chauds, CASE WHEN s_suppkey % 2 = 0 THEN concat('S', s_suppkey) END AS image_id
@@ -117,13 +136,14 @@ def s5_upsert_archive(spark, sf_dir):
     SELECT * FROM e UNION ALL SELECT 'state', id, NULL, CAST(floor(s) AS BIGINT) FROM p"""
 )
 def x4_journal_upsert(spark, sf_dir):
-    """A stream of published records, applied to a stored journal batch by batch."""
+    """A stream of published records, of one publication in several batches, applied to a stored journal."""
     p, state, events = journal_inputs(spark, sf_dir)
     path, source = fresh_path(spark, "journal"), fresh_path(spark, "published")
     start = streams.joined(events, state.withColumn("vu_le", F.lit(NOW).cast("timestamp"))).withColumn("epoch", F.lit(-1).cast("long"))
     files.write_version(start, path)
-    p.write.parquet(source)
-    stream = spark.readStream.schema(p.schema).parquet(source)
+    p = p.withColumns({"publication": F.lit("2001-12-01"), "records": F.lit(p.count())})
+    p.repartition(3).write.parquet(source)
+    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", 2).parquet(source)
     upsert = streams.journal_upsert(path, NOW)
     stream.writeStream.foreachBatch(upsert).option("checkpointLocation", fresh_path(spark, "x4")).trigger(availableNow=True).start().awaitTermination()
-    return streams.journal(spark, path).select("kind", "id", "type", F.floor("surface_ha").alias("surface_ha"))
+    return streams.journal(spark, path).where("kind <> 'waiting'").select("kind", "id", "type", F.floor("surface_ha").alias("surface_ha"))

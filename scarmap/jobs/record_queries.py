@@ -413,3 +413,23 @@ def x3_stream_sessions(spark, sf_dir):
     spread = F.timestamp_seconds(F.lit(1704067200) + 12 * 86400 * (F.dayofmonth("ts") - 1))
     out = _drained(streams.fire_sessions(stream.withColumn("ts", F.when(F.col("lieu") % 3 == 0, spread).otherwise(F.col("ts")))), spark, "x3")
     return out.withColumns({"debut": F.col("debut").cast("date"), "fin": F.col("fin").cast("date")})
+
+
+@query(
+    """WITH e AS (SELECT user_id AS lieu, CASE WHEN user_id % 3 = 0 THEN DATE '2024-01-01' + CAST(12 * (day(ts) - 1) AS INTEGER) ELSE CAST(ts AS DATE) END AS d, CAST(round(value * 100) AS BIGINT) AS frp FROM events),
+    t AS (SELECT lieu, d, count(*) AS n, sum(frp) AS frp FROM e GROUP BY lieu, d), g AS (SELECT *, CASE WHEN date_diff('day', lag(d) OVER w, d) <= 10 THEN 0 ELSE 1 END AS nw FROM t WINDOW w AS (PARTITION BY lieu ORDER BY d)),
+    s AS (SELECT *, sum(nw) OVER (PARTITION BY lieu ORDER BY d) AS k FROM g),
+    c AS (SELECT lieu, k, d, nw, min(d) OVER w AS premier, sum(n) OVER w AS n, sum(frp) OVER w AS frp, lead(d) OVER (PARTITION BY lieu, k ORDER BY d) IS NULL AS final FROM s WINDOW w AS (PARTITION BY lieu, k ORDER BY d))
+    SELECT lieu, CASE WHEN nw = 1 THEN 'opened' ELSE 'grown' END AS type, premier, d AS dernier, CAST(n AS BIGINT) AS n_points, CAST(frp AS BIGINT) AS frp_total FROM c
+    UNION ALL SELECT lieu, 'closed', premier, d, CAST(n AS BIGINT), CAST(frp AS BIGINT) FROM c WHERE final AND (d + 10 < (SELECT max(d) - 1 FROM e) OR EXISTS (SELECT 1 FROM s WHERE s.lieu = c.lieu AND s.k > c.k))"""
+)
+def x3_fire_events(spark, sf_dir):
+    """Fires as they are opened, grow and are closed, with the places of x3_stream_sessions."""
+    stream = _event_stream(spark, sf_dir)
+    spread = F.timestamp_seconds(F.lit(1704067200) + 12 * 86400 * (F.dayofmonth("ts") - 1))
+    store, kept = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return _drained(streams.fire_events(stream.withColumn("ts", F.when(F.col("lieu") % 3 == 0, spread).otherwise(F.col("ts")))), spark, "x3e")
+    finally:
+        spark.conf.set(store, kept)

@@ -178,7 +178,7 @@ def test_journal_batches_are_applied_once(spark, tmp_path):
 
     at = str(tmp_path / "journal")
     apply = streams.journal_upsert(at, "2024-05-01 00:00:00")
-    batch = lambda *rows: spark.createDataFrame(list(rows), "id long, surface_ha double, image string")
+    batch = lambda *rows: spark.createDataFrame([(*r, r[2], 2) for r in rows], "id long, surface_ha double, image string, publication string, records long")
     apply(batch((1, 10.0, "a"), (2, 5.0, "a")), 0)
     apply(batch((1, 11.0, "b"), (3, 7.0, "b")), 1)
     once = sorted(map(str, streams.journal(spark, at).collect()))
