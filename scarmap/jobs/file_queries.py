@@ -44,7 +44,7 @@ def s1_read_hotspots(spark, sf_dir):
 
 @query(
     cte("hotspots") + """ SELECT DISTINCT CASE WHEN point_id % 2 = 0 THEN 'VIIRS_SNPP_NRT' ELSE 'VIIRS_NOAA20_NRT' END AS capteur, CAST(round(latitude * 100) AS BIGINT) AS lat, CAST(round(longitude * 100) AS BIGINT) AS lon,
-    epoch(acq_date) + CAST(floor((point_id % 1440) / 60) * 3600 + point_id % 1440 % 60 * 60 AS BIGINT) AS seconds FROM hotspots"""
+    CAST(epoch(acq_date) AS BIGINT) + CAST(floor((point_id % 1440) / 60) * 3600 + point_id % 1440 % 60 * 60 AS BIGINT) AS seconds FROM hotspots"""
 )
 def x1_sensor_files(spark, sf_dir):
     """Files of two sensors that arrive in two drops, the second one over half of the first again;

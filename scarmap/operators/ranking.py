@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,6 +40,33 @@ def with_place(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
     return with_running(df, list(order), {}, name)
 
 
+def with_running_in(df: DataFrame, group: str, order: list[Column], runs: dict[str, tuple[str, Callable[..., Column]]], own: bool = True) -> DataFrame:
+    """``df`` with aggregates that run on within each ``group`` in ``order``, whose first column is
+    the group: ``runs`` names for each new column the column that it is of, and ``F.max``, ``F.min`` or
+    ``F.sum``. With ``own`` a row counts its own value, else only those before it (null for the first).
+
+    Rows are dealt by ranges of the order, and run on within the part of a group that a range holds.
+    Only its first and last group can go on in other ranges; of these, ranges exchange a row each.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(df.repartitionByRange(ranges, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    bounds = dealt.groupBy("_part").agg(F.min(F.struct(F.col(group).alias("g"))).alias("_lo"), F.max(F.struct(F.col(group).alias("g"))).alias("_hi"))
+    at_ends = dealt.join(bounds, "_part").where(F.col(group).eqNullSafe(F.col("_lo.g")) | F.col(group).eqNullSafe(F.col("_hi.g")))
+    parts = at_ends.groupBy("_part", F.col(group).alias("_g")).agg(*[of(c).alias(f"_t_{n}") for n, (c, of) in runs.items()])
+    before = W.partitionBy("_g").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select(F.col("_part").alias("_p"), "_g", *[of(f"_t_{n}").over(before).alias(f"_b_{n}") for n, (_, of) in runs.items()])
+    within = W.partitionBy("_part", group).orderBy(*order[1:]).rowsBetween(W.unboundedPreceding, 0 if own else -1)
+    local = dealt.withColumns({f"_w_{n}": of(c).over(within) for n, (c, of) in runs.items()})
+    met = local.join(carried, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")), "left")
+
+    def both(n: str, of: Callable[..., Column]) -> Column:
+        a, b = F.col(f"_b_{n}"), F.col(f"_w_{n}")
+        joined = F.greatest(a, b) if of is F.max else F.least(a, b) if of is F.min else a + b
+        return F.coalesce(joined, a, b).alias(n)
+
+    return met.select(*df.columns, *[both(n, of) for n, (_, of) in runs.items()])
+
+
 def medians(df: DataFrame, keys: list[str], value: str, most: int = MOST_BUFFERED, bins: int = BINS) -> DataFrame:
     """``(*keys, median)`` of every group of ``df``: the middle of its values, or the mean of the two
     middle ones; null for a group without values. Nulls and NaNs are no values.

@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scarmap.operators.ranking import with_running_in
+
 GAP_DAYS, PENDING_DAYS, CHANGE, JOURNAL_MOST = 10, 21, 0.05, 200
 
 
 def chain_records(archive: DataFrame, gap_days: int = GAP_DAYS) -> DataFrame:
     """OP-W1: ``archive(id, lieu, premier, dernier, …)`` with ``chain``, a number within the place.
     A record goes on with the chain if it begins within ``gap_days`` whole days of the latest end so
-    far. Rows without a first date are left out, as unreadable records are."""
-    order = W.partitionBy("lieu").orderBy("premier", "id")
-    latest = F.max("dernier").over(order.rowsBetween(W.unboundedPreceding, -1))
-    new = F.when(F.datediff("premier", latest) <= gap_days, 0).otherwise(1)
-    return archive.where("premier is not null").withColumn("_new", new).withColumn("chain", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+    far. Rows without a first date are left out, as unreadable records are.
+
+    The latest end, and the number of chains, run on over ranges of the order, so a place of very
+    many records is split over tasks."""
+    order = [F.col("lieu").asc_nulls_first(), F.col("premier"), F.col("id").asc_nulls_first()]
+    dated = archive.where("premier is not null")
+    ends = with_running_in(dated, "lieu", order, {"_latest": ("dernier", F.max)}, own=False)
+    new = ends.withColumn("_new", F.when(F.datediff("premier", "_latest") <= gap_days, 0).otherwise(1))
+    return with_running_in(new, "lieu", order, {"chain": ("_new", F.sum)}).select(*archive.columns, "chain")
 
 
 def consolidate(chains: DataFrame) -> DataFrame:

@@ -56,3 +56,31 @@ def test_sweep_against_a_labelling_for_each_threshold(spark):
             n = sum(map(len, kept))
             both = sum(p in true for v in kept for p in v)
             assert got[f, t] == (sum(bool(v) for v in kept), n, round(both / n, 9) if n else 0)
+
+
+def test_chains_of_a_place_in_many_ranges(spark):
+    from datetime import date, timedelta
+
+    from scarmap.operators import records
+
+    rng = random.Random(3)
+    day = lambda n: date(2020, 1, 1) + timedelta(days=n)
+    rows = []
+    for i in range(600):
+        a = rng.randint(0, 2500)
+        rows.append((i, rng.choice([7, 7, 7, 7, None, 1, 9]), day(a) if rng.random() < 0.98 else None, day(a + rng.choice([0, 2, 30])) if rng.random() < 0.9 else None))
+    df = spark.createDataFrame(rows, "id long, lieu long, premier date, dernier date")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = {r.id: r.chain for r in records.chain_records(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    want = {}
+    for place in {r[1] for r in rows}:
+        latest, chain = None, 0
+        for i, _, a, b in sorted((r for r in rows if r[1] == place and r[2]), key=lambda r: (r[2], r[0])):
+            chain += latest is None or (a - latest).days > 10
+            latest = b if latest is None else max(latest, b or latest)
+            want[i] = chain
+    assert got == want
