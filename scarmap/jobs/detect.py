@@ -12,6 +12,8 @@ from scarmap.operators import burn, hotspots, publish, records, scenes
 from scarmap.shared import discard, written
 
 MARGIN_M = 6000
+#: Days of scenes that tell when the next one is due.
+RECENT_DAYS = 120
 
 #: Reads windows ``(scene_id, tile, row0, row1, col0, col1, …)`` of images: gives ``(scene_id, tile,
 #: row, col, b8a, b12, scl)`` of their pixels, once for each scene. Rows and columns are cells of the
@@ -121,9 +123,12 @@ def detect(
 
 
 def _passes(fires: DataFrame, catalogue: DataFrame, now) -> DataFrame:
-    """``(fire, next_pass)`` over the scenes whose box meets the fire's."""
-    f, s = fires.select("fire", "xmin", "xmax", "ymin", "ymax").alias("f"), catalogue.alias("s")
+    """``(fire, next_pass)`` over the scenes of the last RECENT_DAYS whose box meets the fire's: six
+    gaps between passes are wanted, so older scenes say nothing. Boxes meet by squares of 20 km."""
+    recent = catalogue.where(F.datediff(F.lit(now).cast("date"), F.col("datetime").cast("date")) <= RECENT_DAYS)
+    f, s = fires.select("fire", "xmin", "xmax", "ymin", "ymax"), recent
     meets = (F.col("f.xmin") <= F.col("s.xmax")) & (F.col("s.xmin") <= F.col("f.xmax")) & (F.col("f.ymin") <= F.col("s.ymax")) & (F.col("s.ymin") <= F.col("f.ymax"))
-    cut = lambda df: df.withColumn("_bx", F.explode(F.sequence(F.floor(F.col("xmin") / 20_000), F.floor(F.col("xmax") / 20_000))))
-    seen = cut(f).alias("f").join(cut(s).alias("s"), (F.col("f._bx") == F.col("s._bx")) & meets).select(F.col("f.fire").alias("place"), "s.datetime").distinct()
+    span = lambda c: F.explode(F.sequence(F.floor(F.col(f"{c}min") / 20_000), F.floor(F.col(f"{c}max") / 20_000)))
+    cut = lambda df: df.withColumn("_bx", span("x")).withColumn("_by", span("y"))
+    seen = cut(f).alias("f").join(cut(s).alias("s"), (F.col("f._bx") == F.col("s._bx")) & (F.col("f._by") == F.col("s._by")) & meets).select(F.col("f.fire").alias("place"), "s.datetime").distinct()
     return scenes.next_pass(seen, now).withColumnRenamed("place", "fire")

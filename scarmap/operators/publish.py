@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scarmap.functions.labels import day_month
 from scarmap.operators.components import connected_components
 from scarmap.operators.groups import map_groups
+from scarmap.operators.ranking import with_place
 from scarmap.shared import discard, written
 
 OVERLAP, MATCH_DAYS, ALERT_RATIO = 0.3, 10, 1.3
@@ -115,7 +116,8 @@ def _merge_rounds(fires: DataFrame, cells: DataFrame, over: float, kind: str) ->
     a task. In a round those are decided that no earlier open fire can bear upon: none is on one of
     their cells, nor on a cell of a home that they touch. They bear upon different homes, so one
     round of joins settles them as one after the other would. With sizes in no spatial order the
-    rounds grow with the logarithm of the component, not with its size."""
+    rounds grow with the logarithm of the component; where each fire touches just the next smaller
+    one, each waits for the one before, and the rounds are as many as the chain is long."""
     spark = fires.sparkSession
     open_ = written(cells.join(fires.select("id", "place", "measured"), "id"), "open")
     homes = spark.createDataFrame([], f"slot {kind}, slot_place long, under {kind}, home_measured boolean, cell long")
@@ -175,8 +177,7 @@ def merge_decisions(fires: DataFrame, cells: DataFrame, over: float = OVERLAP, g
     sizes = own.groupBy("id").agg(F.count("*").alias("n"))
     placed = written(placed.join(sizes, "id", "left"), "placed")
     whole = placed.groupBy("component").agg(F.sum("n").alias("total"))
-    placed = placed.join(whole, "component").withColumn("place", F.row_number().over(W.partitionBy("component").orderBy(F.desc("area"), "id")).cast("long"))
-    placed = written(placed, "ordered")
+    placed = written(with_place(placed.join(whole, "component"), F.desc("area"), F.col("id")), "ordered")
     small = placed.where(F.coalesce("total", F.lit(0)) <= group_cells)
     rows = small.join(own, "id", "left").groupBy("component", "id", "place", "measured").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
     out = map_groups(rows, ["component"], ["place"], lambda pdf, starts: _merge_groups(pdf, starts, over), _DECISION.format(kind))
@@ -217,6 +218,9 @@ def merge_duplicates(fires: DataFrame, cells: DataFrame, over: float = OVERLAP,
     return out.select("id", "feu", "statut", "n_points_chauds", "premier", "dernier", F.coalesce("area_ha", F.lit(0.0)).alias("area_ha"), "fusionnes", F.coalesce("alertes", F.array().cast("array<string>")).alias("alertes"))
 
 
+# The French texts of sides and reserves below, and of the alert above.
+
+
 def disambiguate(features: DataFrame) -> DataFrame:
     """OP-W6: ``feu`` with — nord/sud/est/ouest where several features ``(feu, x, y, …)`` share it."""
     group = W.partitionBy("feu")

@@ -52,6 +52,8 @@ SENSOR = (
 TABLE_ROW, TABLE_CELL = r"(?s)<tr[^>]*>(.*?)</tr>", r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
 #: Known secrets in one automaton.
 KNOWN_AT_ONCE = 100_000
+#: Characters of a piece of a long file.
+PIECE_CHARS = 4096
 OUTPUTS, MOST_BYTES = ("index.html", "data/feux.geojson"), 25_000_000
 
 
@@ -135,35 +137,41 @@ def scan_known(files: DataFrame, secrets: DataFrame, least: int = 8, at_once: in
     """OP-T6: ``(path, name)`` of files ``(path, content)`` that hold a known secret ``(name,
     value)`` of ``least`` characters or more.
 
-    Each file is read once by an Aho-Corasick automaton of all values, whatever their number. At
-    most ``at_once`` values go to the driver and into an automaton; more are dealt by their hash to
-    as many automata as it takes. Null contents and values match nothing; a value of several names
-    gives a row for each.
+    Up to ``at_once`` values are broadcast as one Aho-Corasick automaton for each task. More never
+    leave the executors: files and values meet by an equi-join on hashes of ``least`` characters,
+    those that a value begins with and those at each place of a file, and what meets is looked at.
+    Either way a file is read through once. Null contents and values match nothing; a value of
+    several names gives a row for each.
     """
     known = written(secrets.where(F.length("value") >= least).select("name", "value"), "known")
-    n = known.select("value").distinct().count()
-    dealt = known.select("value").distinct().withColumn("part", F.pmod(F.xxhash64("value"), F.lit(max(1, -(-2 * n // at_once) if n > at_once else 1))))
-
-    def matches(values: list[str]) -> DataFrame:
-        def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            automaton = ahocorasick.Automaton()
-            for v in values:
-                automaton.add_word(v, v)
-            automaton.make_automaton()
-            for batch in batches:
-                hits = [(p, v) for p, c in zip(batch["path"], batch["content"], strict=True) if c for v in {v for _, v in automaton.iter(c)}]
-                yield pd.DataFrame(hits, columns=["path", "value"])
-
-        return files.select("path", "content").mapInPandas(found, "path string, value string")
-
-    parts = [r["part"] for r in dealt.select("part").distinct().collect()] if n else []
-    out = None
-    for part in sorted(parts):
-        one = matches([r["value"] for r in dealt.where(F.col("part") == part).collect()])
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        return files.select("path", F.lit("").alias("name")).where("false")
-    return out.join(known, "value").select("path", "name")
+    values = known.select("value").distinct()
+    if values.limit(at_once + 1).count() > at_once:
+        return _met_by_anchor(files, values, least).join(known, "value").select("path", "name")
+    shared = files.sparkSession.sparkContext.broadcast([r["value"] for r in values.collect()])
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton = ahocorasick.Automaton()
+        for v in shared.value:
+            automaton.add_word(v, v)
+        automaton.make_automaton()
+        for batch in batches:
+            hits = [(p, v) for p, c in zip(batch["path"], batch["content"], strict=True) if c and shared.value for v in {v for _, v in automaton.iter(c)}]
+            yield pd.DataFrame(hits, columns=["path", "value"])
+
+    return files.select("path", "content").mapInPandas(found, "path string, value string").join(known, "value").select("path", "name")
+
+
+def _met_by_anchor(files: DataFrame, values: DataFrame, least: int) -> DataFrame:
+    """``(path, value)`` of files and the values that they hold, by hashes of ``least`` characters;
+    long contents are cut into pieces that overlap by one less."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length("content") - least + 1, F.lit(1)), F.lit(PIECE_CHARS))
+    pieces = files.where(F.length("content") >= least).select("path", F.explode(F.transform(starts, lambda i: F.col("content").substr(i, F.lit(PIECE_CHARS + least - 1)))).alias("piece"))
+    places = F.sequence(F.lit(1), F.length("piece") - least + 1)
+    anchors = F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.col("piece").substr(i, F.lit(least)))))
+    at = pieces.where(F.length("piece") >= least).select("path", F.explode(anchors).alias("anchor"))
+    begin = values.select("value", F.xxhash64(F.substring("value", 1, least)).alias("anchor"))
+    met = at.join(begin, "anchor").select("path", "value").distinct()
+    return files.select("path", "content").join(met, "path").where(F.col("content").contains(F.col("value"))).select("path", "value")
 
 
 def scan_loads(pages: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:

@@ -48,7 +48,8 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
     _ALIVE.discard(path)
@@ -58,11 +59,24 @@ def discard(*frames: DataFrame | None) -> None:
     """Delete tables of :func:`written` that nothing reads any more."""
     for df in frames:
         if (path := getattr(df, "_scarmap_path", None)) is not None:
-            _delete(df.sparkSession, path)
+            delete_folder(df.sparkSession, path)
 
 
 def discard_all(spark: SparkSession) -> None:
     """Delete every table that this process has written to the shared folder and that is still
     there. Results of queries are lazy and read such tables: call this once they are stored."""
     for path in list(_ALIVE):
-        _delete(spark, path)
+        delete_folder(spark, path)
+
+
+def put_in_place(spark: SparkSession, made: str, at: str) -> None:
+    """Let the folder ``made`` take the place of ``at``, which may be there. Renames only, so that no
+    reader sees a mixture; on a store whose renames are copies the change takes as long as these."""
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (made, at))
+    fs = old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{at}.old-{uuid.uuid4().hex}")
+    there = fs.exists(old)
+    if there and not fs.rename(old, aside) or not fs.rename(new, old):
+        raise OSError(f"{made} could not be put at {at}")
+    if there:
+        fs.delete(aside, True)

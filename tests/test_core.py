@@ -1,3 +1,4 @@
+import json
 import datetime as dt
 
 import numpy as np
@@ -212,3 +213,29 @@ def test_archive_and_geometry_files(spark, tmp_path):
     assert (table["a"].surface_ha, table["a"].statut, table["b"].surface_ha) == ("12.3", "mesure", None)
     back = {r.properties["id"]: r for r in files.read_geojson(spark, f"{out}/feux.geojsonl/*", lines=True).collect()}
     assert back["a"].multi == shape and set(back["a"].properties) == set(features.columns)
+
+
+def test_publication_is_ordered_and_put_in_place(spark, tmp_path):
+    raw = spark.createDataFrame([(f"f{i:03d}", ["mesure", "en_attente", "ecarte"][i % 3], float(i * 37 % 101) if i % 7 else None) for i in range(90)], "id string, statut string, surface_ha double")
+    features = publish.to_features(raw)
+    shapes = spark.createDataFrame([], "id string, multi array<array<array<array<double>>>>")
+    points = spark.createDataFrame([(2.0, 45.0, d("2024-01-02")), (1.0, 45.0, d("2024-01-01"))], "longitude double, latitude double, acq_date date")
+    out = str(tmp_path / "site")
+    for wanted in (features.limit(3), features):
+        files.write_publication(wanted, shapes, features.limit(0), shapes, points, out)
+    lines = lambda folder: [line for f in sorted((tmp_path / "site" / folder).glob("part-*")) for line in f.read_text().splitlines()]
+    ids = [r.id for r in publish.publication_order(features).collect()]
+    assert [line.split(",")[0] for line in lines("feux.csv") if not line.startswith("id,")] == ids
+    for statut in ("mesure", "en_attente", "ecarte"):
+        of = {r.id for r in features.where(F.col("statut") == statut).collect()}
+        assert [json.loads(x)["properties"]["id"] for x in lines(f"feux.geojsonl/statut={statut}")] == [i for i in ids if i in of]
+    assert ["2024-01-01" in x for x in lines("points_chauds.geojsonl")] == [True, False]
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["site"]
+
+
+def test_old_versions_are_deleted(spark, tmp_path):
+    at = str(tmp_path / "table")
+    for i in range(6):
+        files.write_version(spark.range(i), at)
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == [f"version-{n:09d}" for n in (4, 5, 6)]
+    assert files.read_version(spark, at).count() == 5
