@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scarmap.functions import geo
+from scarmap.jobs.fire_queries import _CLUSTERS
 from scarmap.jobs.inputs import cte, view
 from scarmap.jobs.record_queries import JOURNAL, MERGED, NOW, archive_and_today, journal_inputs, published
-from scarmap.operators import burn, outlines
+from scarmap.operators import burn, hotspots, outlines
 from scarmap.shared import fresh_path, written
 from scarmap.sources import files
 from scarmap.streaming import fires as streams
@@ -122,6 +123,17 @@ def s4_write_publication(spark, sf_dir):
     return table.join(shaped, "id").withColumns({"n_isolated": F.lit(n("isolees")).cast("long"), "n_points": F.lit(n("points_chauds")).cast("long")})
 
 
+@query(_CLUSTERS + "SELECT l.cluster_id, k.point_id FROM kept k JOIN pos p ON k.x_m = p.x_m AND k.y_m = p.y_m JOIN lab l ON l.a = p.pid")
+def j1_stream_clusters(spark, sf_dir):
+    """Hot spots that arrive in three batches, clustered as they come."""
+    path, source = fresh_path(spark, "clusters"), fresh_path(spark, "arriving")
+    kept = hotspots.filter_confidence(view(spark, sf_dir, "hotspots")).select("point_id", "x_m", "y_m", (F.col("point_id") % 3).alias("third"))
+    kept.repartition(3, "third").write.partitionBy("third").parquet(source)
+    stream = spark.readStream.schema("point_id long, x_m double, y_m double").option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    stream.writeStream.foreachBatch(streams.cluster_upsert(path)).option("checkpointLocation", fresh_path(spark, "j1")).trigger(availableNow=True).start().awaitTermination()
+    return files.read_version(spark, path).select("cluster_id", "point_id")
+
+
 @query(MERGED)
 def s5_upsert_archive(spark, sf_dir):
     """The archive written, brought up to date as a new version, and read back."""

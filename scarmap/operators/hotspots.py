@@ -75,6 +75,33 @@ def cluster_hotspots(points: DataFrame, distance_m: int = DISTANCE_M, parts: int
     return placed.join(named, ["cx", "cy"]).select("point_id", "cluster_id")
 
 
+def add_hotspots(clustered: DataFrame, points: DataFrame, distance_m: int = DISTANCE_M) -> DataFrame:
+    """OP-J1, incremental: ``(point_id, x_m, y_m, cluster_id)`` of the points of ``clustered``, same
+    columns, and those of ``points(point_id, x_m, y_m)`` that it doesn't have, as
+    :func:`cluster_hotspots` would cluster all of them.
+
+    Points only link clusters, never part them. So only the new points, and stored ones in cells
+    within reach of theirs, are clustered; a stored cluster that has a point in one of these goes with
+    it. Of the others not even the labels are looked at again, but for the join that finds them untouched.
+    """
+    side = int(distance_m / math.sqrt(2))
+    reach = math.ceil(distance_m / side) + 1
+    cell = [F.floor(F.col("x_m") / side).alias("cx"), F.floor(F.col("y_m") / side).alias("cy")]
+    placed = points.where("point_id is not null and x_m is not null and y_m is not null").select("point_id", "x_m", "y_m").dropDuplicates(["point_id"])
+    new = written(placed.join(clustered.select("point_id"), "point_id", "left_anti"), "new_points")
+    steps = F.sequence(F.lit(-reach), F.lit(reach))
+    around = new.select(*cell).distinct().withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).select((F.col("cx") + F.col("i")).alias("cx"), (F.col("cy") + F.col("j")).alias("cy")).distinct()
+    near = written(clustered.select("point_id", "x_m", "y_m", "cluster_id", *cell).join(around, ["cx", "cy"], "left_semi"), "near_points")
+    local = written(cluster_hotspots(near.select("point_id", "x_m", "y_m").unionByName(new), distance_m), "local_clusters")
+    # Clusters are named by their smallest point, stored and local ones alike, so the smallest name wins.
+    links = near.select("point_id", F.col("cluster_id").alias("dst")).join(local, "point_id").select(F.col("cluster_id").alias("src"), "dst").distinct()
+    joined = connected_components(links)
+    names = joined.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    fresh = new.join(local, "point_id")
+    both = clustered.select("point_id", "x_m", "y_m", "cluster_id").unionByName(fresh.select("point_id", "x_m", "y_m", "cluster_id"))
+    return both.join(names, both["cluster_id"] == names["_n"], "left").select("point_id", "x_m", "y_m", F.coalesce("_c", "cluster_id").alias("cluster_id"))
+
+
 def summarize_clusters(points: DataFrame, members: DataFrame) -> DataFrame:
     """OP-A1: one row a cluster, of ``points(point_id, acq_date, frp, …)`` and its members (OP-J2
     for clusters is that equi-join). A cluster without any frp has frp_total 0."""
