@@ -13,12 +13,13 @@ block of words, shorter than the lag, comes again at that lag, which every run o
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -28,6 +29,8 @@ LEAST_PERIODS, LEAST_WORDS = 4, 6
 DENSE = 64
 #: Planes looked at before a first try to rule a lag out.
 FIRST_PLANES = 3
+#: Characters of texts whose results are handed on together.
+CHARS_AT_ONCE = 1 << 20
 
 
 def _planes(ids: np.ndarray) -> list[int]:
@@ -129,55 +132,52 @@ def kept_words(words: list[str], runs: list[tuple[int, int, int]]) -> list[str]:
     return [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
 
 
-def periodic_runs(docs: DataFrame, text: Column | None = None) -> DataFrame:
+def periodic_runs(docs: DataFrame, changed: Callable[[int | None, list[str]], list[str]] | None = None) -> DataFrame:
     """``(doc_id, runs, collapsed)`` for every row of ``docs(doc_id, text, …)``: the runs, as
     ``array<struct<start long, length long, period long>>`` by start and period, and the text with
-    each run cut back to its first period, words joined by one space.
+    each run cut back to its first period, words joined by one space. ``changed``, if given, gives the
+    words to look at for a doc_id and its words.
 
     A map over the rows. Words are whatever stands between ASCII white space. Null and empty texts
     have no runs and collapse to the empty text. Texts of any length are taken whole. Repeated rows
     and null ids stay as they are; an empty table gives no rows; other columns are ignored.
     """
-
-    @F.pandas_udf("runs array<struct<start: long, length: long, period: long>>, collapsed string")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            runs, collapsed = [], []
-            for t in texts:
-                words = WORDS.findall(t or "")
+    run = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, runs, collapsed, held = [], [], [], 0
+            for i in range(batch.num_rows):
+                doc_id, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or ""
+                words = WORDS.findall(text)
+                words = changed(doc_id, words) if changed else words
                 r = find_runs(words)
+                ids.append(doc_id)
                 runs.append([{"start": s, "length": n, "period": q} for s, n, q in r])
                 collapsed.append(" ".join(kept_words(words, r)))
-            yield pd.DataFrame({"runs": pd.Series(runs, dtype=object), "collapsed": pd.Series(collapsed, dtype=object)})
-
-    return docs.select(docs["doc_id"].alias("doc_id"), found(docs["text"] if text is None else text).alias("p")).select("doc_id", "p.runs", "p.collapsed")
+                held += len(text)
+                if held >= CHARS_AT_ONCE or i == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, batch.column(0).type), pa.array(runs, pa.list_(run)), pa.array(collapsed, pa.string())], ["doc_id", "runs", "collapsed"])
+                    ids, runs, collapsed, held = [], [], [], 0
 
+    kind = dict(docs.dtypes)["doc_id"]
+    plain = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
+    return plain.mapInArrow(found, f"doc_id {kind}, runs array<struct<start: long, length: long, period: long>>, collapsed string")
 
-def with_planted_runs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` of every row, a tenth of them with a repeated part.
-
-    h is the crc32 of doc_id as text. Where h is a multiple of 10 and the text has n > 0 words,
-    those from place a = g % n on, g = h // 10, repeat the p = 1 + (n - a) // (3 + g % 8) words
-    that begin there, and words are joined by one space. Other texts, and those of a null doc_id, stay.
-    """
 
-    @F.pandas_udf("string")
-    def planted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for hashes, texts in batches:
-            yield pd.Series([_planted(int(h), t) for h, t in zip(hashes, texts, strict=True)], dtype=object)
+def planted_runs(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words of a document, a tenth of them with a repeated part.
 
-    h = F.coalesce(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(1))
-    return docs.select(docs["doc_id"].alias("doc_id"), F.when(h % 10 == 0, planted(h, docs["text"])).otherwise(docs["text"]).alias("text"))
-
-
-def _planted(h: int, text: str | None) -> str | None:
-    words = WORDS.findall(text or "")
+    h is the crc32 of doc_id as text. Where h is a multiple of 10 and there are n > 0 words, those
+    from place a = g % n on, g = h // 10, repeat the p = 1 + (n - a) // (3 + g % 8) words that begin
+    there. Others, and those of a null doc_id, stay."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
     if h % 10 or not words:
-        return text
+        return words
     g, n = h // 10, len(words)
     a = g % n
     p = 1 + (n - a) // (3 + g % 8)
-    return " ".join([w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)])
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
 
 
 def run_digest(found: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return periodic.run_digest(periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents"))))
+    return periodic.run_digest(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.planted_runs))
 
 
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_query_rows(spark):
     rng = random.Random(8)
     texts += [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(1, 90)))) for i in range(10, 130)]
     docs = spark.createDataFrame([(d, t, "other", 1) for d, t in texts], "doc_id long, text string, runs string, collapsed int")
-    rows = periodic.run_digest(periodic.periodic_runs(periodic.with_planted_runs(docs))).collect()
+    rows = periodic.run_digest(periodic.periodic_runs(docs, periodic.planted_runs)).collect()
     assert len(rows) == len(texts)
     got = sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id or 0))
     for r, (d, t) in zip(got, sorted(texts, key=lambda x: (x[0] is None, x[0] or 0)), strict=True):
