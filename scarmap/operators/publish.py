@@ -197,6 +197,12 @@ def merge_duplicates(fires: DataFrame, cells: DataFrame, over: float = OVERLAP,
     dates, the area of the union of their cells, and their names; a measure that stands for a much
     larger estimate has an alert for it.
     """
+    return merge_zones(fires, cells, over, cell_m, group_cells)[0]
+
+
+def merge_zones(fires: DataFrame, cells: DataFrame, over: float = OVERLAP, cell_m: int = 20, group_cells: int = GROUP_CELLS) -> tuple[DataFrame, DataFrame]:
+    """OP-G4: the result of :func:`merge_duplicates`, and the cells ``(id, cx, cy)`` of each fire
+    that stays, its own and those of the fires fused with it, which can be parted again (OP-J8)."""
     decisions = written(merge_decisions(fires, cells, over, group_cells), "decisions")
     holder = decisions.groupBy("slot").agg(F.max_by("under", "place").alias("holder"))
     mine = written(decisions.join(holder, "slot").where((F.col("under") == F.col("holder")) & (F.col("fate") != DROPPED) | F.col("signal").isNotNull() & (F.col("under") == F.col("holder"))), "parts")
@@ -213,9 +219,11 @@ def merge_duplicates(fires: DataFrame, cells: DataFrame, over: float = OVERLAP,
         F.max("dernier").alias("dernier"),
         F.transform(F.sort_array(F.collect_list(named)), lambda x: x["feu"]).alias("fusionnes"),
     )
-    area = counts.select("id", "holder").join(cells, "id").select("holder", "cx", "cy").distinct().groupBy("holder").agg((F.count("*") * (cell_m * cell_m) / 10_000).alias("area_ha"))
+    zone = written(counts.select("id", "holder").join(cells.select("id", "cx", "cy"), "id").select(F.col("holder").alias("id"), "cx", "cy").distinct(), "zones")
+    area = zone.groupBy(F.col("id").alias("holder")).agg((F.count("*") * (cell_m * cell_m) / 10_000).alias("area_ha"))
     out = sums.join(area.withColumnRenamed("holder", "id"), "id", "left").join(told.withColumnRenamed("holder", "id"), "id", "left")
-    return out.select("id", "feu", "statut", "n_points_chauds", "premier", "dernier", F.coalesce("area_ha", F.lit(0.0)).alias("area_ha"), "fusionnes", F.coalesce("alertes", F.array().cast("array<string>")).alias("alertes"))
+    out = out.select("id", "feu", "statut", "n_points_chauds", "premier", "dernier", F.coalesce("area_ha", F.lit(0.0)).alias("area_ha"), "fusionnes", F.coalesce("alertes", F.array().cast("array<string>")).alias("alertes"))
+    return out, zone
 
 
 # The French texts of sides and reserves below, and of the alert above.
