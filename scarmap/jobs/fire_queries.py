@@ -154,11 +154,11 @@ def j2_points_in_zones(spark, sf_dir):
     around AS (SELECT lieu, x_m, y_m, floor(x_m / 20) + i.s AS cx, floor(y_m / 20) + j.s AS cy FROM spot, steps i, steps j),
     d AS (SELECT *, (cx + 0.5) * 20 - x_m AS dx, (cy + 0.5) * 20 - y_m AS dy FROM around),
     hit AS (SELECT DISTINCT lieu, cx, cy FROM d WHERE greatest({_GON}) <= 187 * cos(radians(11.25)))
-    SELECT lieu AS fire, round(count(*) * 400 / 10000.0, 1) AS surface_estimee_ha FROM hit GROUP BY lieu"""
+    SELECT lieu AS fire, round(count(*) * 400 / 10000.0, 1) AS surface_estimee_ha, round(count(*) * 400 / 10000.0 * CAST(1 - CAST(0.35 AS DOUBLE) AS DOUBLE), 0) AS surface_min_ha, round(count(*) * 400 / 10000.0 * CAST(1 + CAST(0.35 AS DOUBLE) AS DOUBLE), 0) AS surface_max_ha FROM hit GROUP BY lieu"""
 )
 def a10_hot_footprint(spark, sf_dir):
     pts = view(spark, sf_dir, "hotspots").withColumnRenamed("lieu", "fire")
-    return hotspots.footprint_estimate(hotspots.hot_footprint(pts)).select("fire", "surface_estimee_ha")
+    return hotspots.footprint_estimate(hotspots.hot_footprint(pts))
 
 
 def _fires(spark, sf_dir):
