@@ -39,7 +39,12 @@ def ring_edges(rings: DataFrame, keys: tuple[str, ...] = ("geom_id",)) -> DataFr
 
 def rasterise(rings: DataFrame, cell_m: int = PIXEL_M) -> DataFrame:
     """OP-U3: ``(geom_id, cx, cy)``: cells whose centre is inside, by the even-odd rule, of
-    ``rings(geom_id, ring)`` in metres, all rings of a geometry taken together (holes included).
+    ``rings(geom_id, ring)`` in metres, all rings of a geometry taken together (holes included)."""
+    return ring_spans(rings, cell_m).select("geom_id", F.explode(F.sequence("first", "last")).alias("cx"), "cy")
+
+
+def ring_spans(rings: DataFrame, cell_m: int = PIXEL_M) -> DataFrame:
+    """``(geom_id, cy, first, last)``: the cells of OP-U3 as runs.
 
     Each side is cut by the centre lines of the rows that it crosses; in a row every second stretch
     between cuts is inside."""
@@ -52,7 +57,7 @@ def rasterise(rings: DataFrame, cell_m: int = PIXEL_M) -> DataFrame:
     pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("xs") / 2).cast("int") - 1), lambda i: F.struct(F.get("xs", 2 * i).alias("a"), F.get("xs", 2 * i + 1).alias("b")))
     spans = spans.select("geom_id", "cy", F.explode(pairs).alias("s"))
     first, last = F.ceil(F.col("s.a") / cell_m - 0.5), F.ceil(F.col("s.b") / cell_m - 0.5) - 1
-    return spans.where(first <= last).select("geom_id", F.explode(F.sequence(first, last)).alias("cx"), "cy")
+    return spans.select("geom_id", "cy", first.cast("long").alias("first"), last.cast("long").alias("last")).where("first <= last")
 
 
 def edge_cells(edges: DataFrame, cell_m: int = ZONE_CELL_M) -> DataFrame:
