@@ -80,15 +80,19 @@ def pick_pre(fires: DataFrame, scenes: DataFrame, coverage: Coverage, least: flo
     """OP-J5, OP-W4: as pick_post, of the scenes of the after image's tile in the ``days`` days up
     to the start, that day included unless ``strict_before``. ``fires(fire, tile, start)``.
 
-    They meet on the tile and a span of ``days`` days: a fire looks into two spans, whatever the
-    length of the archive.
+    The scenes of a tile in two spans of ``days`` days are one sorted array, as many as that time has,
+    so a fire meets one row, whatever the length of the archive, and takes its first ones from it.
     """
-    f = fires.withColumn("_bt", _span(_day("start") - days, _day("start"), days)).alias("f")
-    s = scenes.dropDuplicates(["scene_id", "tile"]).withColumn("_bt", F.floor(_day("datetime") / days)).alias("s")
-    end = F.col("s.datetime") < F.col("f.start") if strict_before else F.col("s.datetime").cast("date") <= F.col("f.start").cast("date")
-    within = (F.col("f.tile") == F.col("s.tile")) & (F.col("f._bt") == F.col("s._bt")) & end & (F.col("s.datetime").cast("date") >= F.date_sub(F.col("f.start").cast("date"), days))
-    found = f.join(s, within).select("f.fire", "s.scene_id", "s.tile", "s.datetime")
-    return _pick(_ranked(found, tried), coverage, least)
+    span = F.floor(_day("datetime") / days)
+    newest = F.struct((-F.unix_micros(F.col("datetime").cast("timestamp"))).alias("order"), "scene_id", "datetime")
+    held = scenes.where("datetime is not null").dropDuplicates(["scene_id", "tile"]).select("tile", F.explode(F.array(span, span + 1)).alias("_bt"), newest.alias("s"))
+    held = held.groupBy("tile", "_bt").agg(F.sort_array(F.collect_list("s")).alias("held"))
+    met = fires.select("fire", "tile", "start", F.floor(_day("start") / days).alias("_bt")).join(held, ["tile", "_bt"])
+    first = F.date_sub(F.col("start").cast("date"), days)
+    until = (lambda s: s["datetime"] < F.col("start")) if strict_before else (lambda s: s["datetime"].cast("date") <= F.col("start").cast("date"))
+    within = F.filter("held", lambda s: until(s) & (s["datetime"].cast("date") >= first))
+    found = met.select("fire", "tile", F.posexplode(F.slice(within, 1, tried)).alias("rank", "s"))
+    return _pick(found.select("fire", "s.scene_id", "tile", "s.datetime", (F.col("rank") + 1).alias("rank")), coverage, least)
 
 
 def attach_commune(clusters: DataFrame, communes: DataFrame) -> DataFrame:
