@@ -1,12 +1,14 @@
 """Document fingerprints by Order MinHash, with expressions only.
 
-A text is read as letters: words, or where there are few of them for its length (or at all) its
-characters. A k-mer that occurs again gets the number of its occurrence, so a text is a set of
-numbered k-mers. One hash order, a circle, serves all entries of a signature: each entry has a point
-of its own on it, and selects the ``LEAST`` numbered k-mers that follow that point first. They are
-put back into the order in which they stand in the text, and hashed as a tuple. Two texts agree in
-an entry where they share those k-mers *and* their order, which is what makes the likeness follow
-edit distance. A text of two numbered k-mers or more has an ordered tuple in each entry.
+A text is read as letters: its words, where a longer word (a line without white space, a script that
+doesn't part words) gives one letter for each ``PIECE`` characters in a row, so one letter more for each
+character more. That is said of each word alone: a text has the letters of its parts whatever stands beside
+them, and no text is read in another alphabet than the others. A
+k-mer that occurs again gets the number of its occurrence, so a text is a set of numbered k-mers. Each
+entry of a signature has a hash order of its own, and selects the two numbered k-mers that come
+first in it. They are put back into the order in which they stand in the text, and hashed as a tuple.
+Two texts agree in an entry where they share those k-mers *and* their order, which is what makes the
+likeness follow edit distance. A text of two numbered k-mers or more has an ordered tuple in each entry.
 """
 
 from __future__ import annotations
@@ -17,81 +19,78 @@ from pyspark.sql import functions as F
 
 from scarmap.shared import written
 
-#: Words, or else characters, in a k-mer; k-mers in a tuple; entries (2 ** RANGE_BITS).
-KMER, CHAR_KMER, LEAST, RANGE_BITS = 2, 8, 2, 5
-#: A text's letters are its characters if it has fewer words than this, or words longer than that
-#: on average: names, lines without white space, scripts that don't part words.
-FEW_WORDS, LONG_WORDS = 8, 24
+#: Letters in a k-mer; entries, each a tuple of two k-mers.
+KMER, ENTRIES = 2, 32
+#: Characters of a letter at most.
+PIECE = 12
 #: Low bits that hold a k-mer's place in the text; the others hold its hash.
 PLACE_BITS = 28
-_PLACE = (1 << PLACE_BITS) - 1
+_PLACE, _HASH = (1 << PLACE_BITS) - 1, (1 << (64 - PLACE_BITS)) - 1
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
-    """``df`` with column ``name``: the signature of column ``text``, an array of 2 ** RANGE_BITS
-    longs. Linear in the text but for two sorts of plain longs.
+    """``df`` with column ``name``: the signature of column ``text``, an array of ENTRIES longs.
+    Linear in the text but for two sorts of plain longs.
 
-    A text of fewer letters than a k-mer is one k-mer, and each of its entries a tuple of one; one
-    without words has an empty signature.
+    A text of one letter is one k-mer, and each of its entries a tuple of one; one without words has
+    an empty signature. Of a text of two or three letters few k-mers outlive an edit, and seldom a tuple.
     """
     keep = [c for c in df.columns if c != name]
     given = F.coalesce(F.col(text), F.lit(""))
-    step = df.select(*keep, given.alias("_t"), F.filter(F.split(given, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_w"))
-    by_char = (F.size("_w") < FEW_WORDS) | (F.length("_t") > LONG_WORDS * F.size("_w"))
-    letters = F.when(F.size("_w") == 0, F.array().cast("array<string>")).when(by_char, F.filter(F.split("_t", ""), lambda c: c != "")).otherwise(F.col("_w"))
-    step = step.select(*keep, letters.alias("_w"), by_char.alias("_b"))
-
-    def grams_of(k: int) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.size("_w") - k),
-            lambda i: F.shiftleft(F.xxhash64(*[F.get("_w", i + j) for j in range(k)]), PLACE_BITS).bitwiseOR(i.cast("long")),
-        )
-
-    short = F.array(F.shiftleft(F.xxhash64(F.array_join("_w", " ")), PLACE_BITS))
+    step = df.select(*keep, F.filter(F.split(given, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_w"))
+
+    def pieces(word: Column) -> Column:
+        # the characters stand in an array of their own, to be split once a word and not once a piece
+        of = lambda ch: F.transform(F.sequence(F.lit(0), F.size(ch) - PIECE), lambda i: F.xxhash64(*[F.get(ch, i + j) for j in range(PIECE)]))
+        return _bound(F.filter(F.split(word, ""), lambda c: c != ""), of)
+
+    parted = F.flatten(F.transform("_w", lambda w: F.when(F.length(w) > PIECE, pieces(w)).otherwise(F.array(F.xxhash64(w)))))
+    letters = F.when(F.exists("_w", lambda w: F.length(w) > PIECE), parted).otherwise(F.transform("_w", lambda w: F.xxhash64(w)))
+    step = step.select(*keep, letters.alias("_w"))
+    grams = F.transform(
+        F.sequence(F.lit(0), F.size("_w") - KMER),
+        lambda i: F.shiftleft(F.xxhash64(*[F.get("_w", i + j) for j in range(KMER)]), PLACE_BITS).bitwiseOR(i.cast("long")),
+    )
     none = F.array().cast("array<long>")
-    grams = F.when(F.size("_w") == 0, none).when(F.col("_b") & (F.size("_w") >= CHAR_KMER), grams_of(CHAR_KMER)).when(F.col("_b"), short).otherwise(grams_of(KMER))
-    step = step.select(*keep, F.sort_array(grams).alias("_s"))
-
-    def changes(array: str, bits: int) -> Column:
-        """Places (from 0) where the part above ``bits`` low bits differs from the one before."""
-        return F.filter(
-            F.sequence(F.lit(0), F.size(array) - 1),
-            lambda i: (i == 0) | (F.shiftright(F.get(array, i), bits) != F.shiftright(F.get(array, F.greatest(i - 1, F.lit(0))), bits)),
-        )
-
-    def or_none(array: str, e: Column) -> Column:
-        return F.when(F.size(array) > 0, e).otherwise(F.array().cast("array<int>"))
-
-    step = step.select(*keep, "_s", or_none("_s", changes("_s", PLACE_BITS)).alias("_c"))
+    single = F.transform("_w", lambda x: F.shiftleft(x, PLACE_BITS))
+    step = step.select(*keep, F.sort_array(F.when(F.size("_w") >= KMER, grams).otherwise(single)).alias("_s"))
+    # where k-mers begin that differ from the one before
+    changes = F.filter(
+        F.sequence(F.lit(0), F.size("_s") - 1),
+        lambda i: (i == 0) | (F.shiftright(F.get("_s", i), PLACE_BITS) != F.shiftright(F.get("_s", F.greatest(i - 1, F.lit(0))), PLACE_BITS)),
+    )
+    step = step.select(*keep, "_s", F.when(F.size("_s") > 0, changes).otherwise(F.array().cast("array<int>")).alias("_c"))
+    # numbered k-mers, place above hash, so that sorting puts them back into text order
     numbered = F.flatten(
         F.transform(
             "_c",
             lambda b, j: F.transform(
                 F.slice("_s", b + 1, F.coalesce(F.get("_c", j + 1), F.size("_s")) - b),
-                lambda x, o: F.shiftleft(F.xxhash64(F.shiftright(x, PLACE_BITS), o), PLACE_BITS).bitwiseOR(x.bitwiseAND(F.lit(_PLACE))),
+                lambda x, o: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - PLACE_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.shiftright(x, PLACE_BITS), o), PLACE_BITS)),
             ),
         )
     )
-    step = step.select(*keep, F.sort_array(numbered).alias("_s"))
-    # the ranges of the circle that hold k-mers, with where each begins
-    begins = F.transform(or_none("_s", changes("_s", 64 - RANGE_BITS)), lambda b: F.struct(F.shiftright(F.get("_s", b), 64 - RANGE_BITS).alias("r"), b.alias("b")))
-    step = step.select(*keep, "_s", begins.alias("_c"))
-
-    half = 1 << (RANGE_BITS - 1)
+    step = step.select(*keep, F.transform(F.sort_array(numbered), lambda x: x.bitwiseAND(F.lit(_HASH))).alias("_s"))
 
     def entry(j: Column) -> Column:
-        """The tuple that follows the beginning of range j; past the last range comes the first."""
-        own = F.get("_c", j + half)  # range j itself, where no range is empty
-        first = F.when(own["r"] == j, own["b"]).otherwise(F.coalesce(F.get(F.filter("_c", lambda c: c["r"] >= j), F.lit(0))["b"], F.lit(0)))
-        chosen = F.transform(F.sequence(F.lit(0), F.least(F.lit(LEAST), F.size("_s")) - 1), lambda o: F.get("_s", (first + o) % F.size("_s")))
-        # place above hash, so that sorting puts them back into text order
-        placed = F.sort_array(F.transform(chosen, lambda x: F.shiftleft(x.bitwiseAND(F.lit(_PLACE)), 64 - PLACE_BITS).bitwiseOR(F.shiftrightunsigned(x, PLACE_BITS))))
-        return F.xxhash64(F.transform(placed, lambda x: x.bitwiseAND(F.lit((1 << (64 - PLACE_BITS)) - 1))))
-
-    whole = F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), entry)
-    # _c is asked for twice, for the optimizer would put a column that is used once where it is used:
+        """The two that come first in order j, as they stand in the text."""
+        return _bound(F.transform("_s", lambda x: F.xxhash64(x, j)), first_two)
+
+    def first_two(of: Column) -> Column:
+        return _bound(F.array_min(of), lambda m: _bound(F.array_min(F.filter(of, lambda x: x > m)), lambda n: in_order(of, m, n)))
+
+    def in_order(of: Column, m: Column, n: Column) -> Column:
+        return F.when(n.isNull(), F.xxhash64(m)).when(F.array_position(of, m) < F.array_position(of, n), F.xxhash64(m, n)).otherwise(F.xxhash64(n, m))
+
+    whole = F.transform(F.sequence(F.lit(0), F.lit(ENTRIES - 1)), entry)
+    # _s is asked for twice, for the optimizer would put a column that is used once where it is used:
     # in the lambda, to be worked out anew for each entry
-    return step.select(*keep, F.when(F.size("_c") > 0, whole).otherwise(none).alias(name))
+    return step.select(*keep, F.when(F.size("_s") > 0, whole).otherwise(none).alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:

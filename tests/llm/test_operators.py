@@ -181,22 +181,18 @@ def brute_signature(text):
     w = [x for x in __import__("re").split("[\x20\x09-\x0d]+", text or "") if x]
     if not w:
         return []
-    k = 2
-    if len(w) < 8 or len(text) > 24 * len(w):
-        w, k = list(text), 8
     as_long = lambda x: struct.pack("<q", x)
-    grams = [(spark_hash(w[i : i + k]) << 28 >> 0, i) for i in range(len(w) - k + 1)] or [(spark_hash([" ".join(w)]) << 28, 0)]
+    letters = [as_long(spark_hash(p)) for x in w for p in ([list(x[i : i + 12]) for i in range(len(x) - 11)] if len(x) > 12 else [[x]])]
+    grams = [(spark_hash(letters[i : i + 2]) << 28, i) for i in range(len(letters) - 1)] or [(struct.unpack("<q", letters[0])[0] << 28, 0)]
     seen, numbered = {}, []
     for h, i in sorted(((signed(h) >> 28, i) for h, i in grams)):
         seen[h] = seen.get(h, -1) + 1
-        numbered.append(signed((spark_hash([as_long(h), struct.pack("<i", seen[h])]) << 28) | i))
-    numbered.sort()
+        numbered.append((i, spark_hash([as_long(h), struct.pack("<i", seen[h])]) % (1 << 64) >> 28))
     out = []
-    for j in range(-16, 16):
-        first = next((n for n, x in enumerate(numbered) if x >> 59 >= j), 0)
-        chosen = [numbered[(first + o) % len(numbered)] for o in range(min(2, len(numbered)))]
-        chosen.sort(key=lambda x: x & ((1 << 28) - 1))
-        out.append(spark_hash([as_long((x % (1 << 64)) >> 28) for x in chosen]))
+    for j in range(32):
+        ordered = [(spark_hash([as_long(x), struct.pack("<i", j)]), i) for i, x in numbered]
+        chosen = sorted(sorted(ordered)[:2], key=lambda x: x[1])
+        out.append(spark_hash([as_long(x) for x, _ in chosen]))
     return out
 
 
@@ -215,6 +211,21 @@ def test_order_minhash_against_plain_lists(spark):
     assert like[0] > 0.5 and like[1] > 0.8 and like[2] < 0.2 and like[3] == 1 and like[4] == 0 and like[6] == 1
 
 
+def test_order_minhash_of_edits_on_both_sides_of_word_limits(spark):
+    """Texts of six to nine words, words of 11 to 14 and 23 to 26 characters: an edited text stays alike."""
+    rng = random.Random(23)
+    few = [words(rng, n) for n in (6, 7, 8, 9) for _ in range(6)]
+    long = [" ".join("".join(rng.choice("abcdefgh") for _ in range(n)) for _ in range(10)) for n in (11, 12, 13, 14, 23, 24, 25, 26)]
+    long += ["".join(rng.choice("的一是在不了有和人这中大") for _ in range(n)) for n in (40, 200)]
+    # as the query edits: the last quarter is the beginning of another text of its sort
+    rows = [(t, t[: len(t) - len(t) // 4] + after[: len(t) // 4]) for of in (few, long[:8], long[8:]) for t, after in zip(of, of[1:] + of[:1], strict=True)]
+    # a word that crosses the limit changes its own letters only
+    rows += [(t, t[:100] + "yy" + t[100:]) for t in long[:8]]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = [r[0] for r in order_minhash.with_signature(order_minhash.with_signature(df, "a", "sa"), "b", "sb").select(order_minhash.likeness(F.col("sa"), F.col("sb"))).collect()]
+    assert min(got) > 0, got
+
+
 def test_order_minhash_sees_order_and_repeats(spark):
     rng = random.Random(4)
     a = words(rng, 400).split()
