@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scarmap.functions import geo
 from scarmap.jobs import detect
 from scarmap.jobs.inputs import cte, view
-from scarmap.operators import burn, hotspots, outlines, publish, scenes, validate, zones
+from scarmap.operators import burn, hotspots, outlines, publish, records, scenes, validate, zones
 from scarmap.shared import written
 
 QUERIES, ORACLE = {}, {}
@@ -88,7 +88,8 @@ _SCL = f"CASE WHEN {_CLOUDY} AND (r + c) % 10 < 7 THEN 9 WHEN (r * 7 + c * 3) %
 _BURNT = "(day >= 19732 AND CAST(floor(r / 6) AS BIGINT) % 2 = 0 AND CAST(floor(c / 8) AS BIGINT) % 2 = 0)"
 _B8A = f"CASE WHEN {_BURNT} THEN 1500 + (r * 7 + c * 11) % 400 ELSE 3000 + (r * 7 + c * 11) % 500 END"
 _B12 = f"CASE WHEN {_BURNT} THEN 1700 + (r * 5 + c) % 500 ELSE 900 + (r * 5 + c) % 300 END"
-_DETECTED = (
+_F = "f AS (SELECT s.*, t.*, m.commune, m.departement FROM shape s JOIN top t ON t.cluster_id = s.fire JOIN communes m ON m.cx = floor(s.x / 50000) AND m.cy = floor(s.y / 50000))"
+_CHAIN = (
     _CLUSTERS.replace(cte("hotspots"), cte("hotspots", "communes", "passes"))
     + f""", top AS (SELECT * FROM clusters WHERE n_points >= 5 ORDER BY frp_total DESC, cluster_id LIMIT 10),
     spot AS (SELECT DISTINCT t.cluster_id AS fire, k.x_m, k.y_m FROM kept k JOIN pos p ON k.x_m = p.x_m AND k.y_m = p.y_m JOIN lab l ON l.a = p.pid JOIN top t ON t.cluster_id = l.cluster_id),
@@ -96,7 +97,7 @@ _DETECTED = (
     off AS (SELECT *, (c + 0.5) * 20 - x_m AS dx, (r + 0.5) * 20 - y_m AS dy FROM around),
     cell AS (SELECT DISTINCT fire, r, c FROM off WHERE greatest({_GON}) <= 187 * cos(radians(11.25))),
     shape AS (SELECT fire, count(*) AS n, (avg(c) + 0.5) * 20 AS x, (avg(r) + 0.5) * 20 AS y, min(c) * 20 - 6000 AS x0, (max(c) + 1) * 20 + 6000 AS x1, min(c) AS c0, max(c) AS c1, min(r) AS r0, max(r) AS r1 FROM cell GROUP BY fire),
-    f AS (SELECT s.*, t.*, m.commune FROM shape s JOIN top t ON t.cluster_id = s.fire JOIN communes m ON m.cx = floor(s.x / 50000) AND m.cy = floor(s.y / 50000)),
+    {_F},
     ca AS (SELECT f.fire, p.*, row_number() OVER (PARTITION BY f.fire ORDER BY p.datetime DESC, p.scene_id) AS rk FROM f JOIN passes p ON f.x0 <= p.xmax AND p.xmin <= f.x1 AND p.datetime >= f.date_debut AND p.datetime <= DATE '2024-02-11'),
     va AS (SELECT fire, scene_id, any_value(tile) AS tile, any_value(day) AS day, any_value(rk) AS rk, avg(CASE WHEN {_SCL} IN {_BAD} THEN 0.0 ELSE 1.0 END) AS p FROM ca JOIN cell USING (fire) WHERE rk <= 6 GROUP BY fire, scene_id),
     post AS (SELECT fire, arg_min(scene_id, rk) AS scene_id, arg_min(tile, rk) AS tile, arg_min(day, rk) AS day FROM va WHERE p >= 0.55 GROUP BY fire),
@@ -114,13 +115,45 @@ _DETECTED = (
     part AS (SELECT fire, a, min(b) AS comp FROM far GROUP BY fire, a), big AS (SELECT fire, comp FROM part GROUP BY fire, comp HAVING count(*) >= 25),
     px AS (SELECT h.fire, h.r, h.c, p.comp FROM hit h JOIN part p ON p.fire = h.fire AND p.a = h.id JOIN big ON big.fire = p.fire AND big.comp = p.comp),
     nr AS (SELECT px.fire, px.comp FROM px JOIN cell z ON z.fire = px.fire AND abs(px.r - z.r) <= 151 AND abs(px.c - z.c) <= 151 AND pow(greatest(abs(px.r - z.r) - 1, 0), 2) + pow(greatest(abs(px.c - z.c) - 1, 0), 2) <= 22500 GROUP BY px.fire, px.comp),
-    total AS (SELECT px.fire, count(*) AS n_px, count(DISTINCT px.comp) AS n_polygones FROM px JOIN nr ON nr.fire = px.fire AND nr.comp = px.comp GROUP BY px.fire)
-    SELECT f.fire AS cluster_id, f.commune, f.n_points AS n_points_chauds, CASE WHEN post.fire IS NULL OR pre.fire IS NULL THEN 'en_attente' WHEN total.fire IS NULL THEN 'ecarte' ELSE 'mesure' END AS statut,
-           CASE WHEN pre.fire IS NOT NULL THEN round(n_px * 0.04, 1) END AS surface_ha, CASE WHEN pre.fire IS NOT NULL THEN n_polygones END AS n_polygones, CASE WHEN total.fire IS NOT NULL THEN post.scene_id END AS image_apres, CASE WHEN total.fire IS NOT NULL THEN pre.scene_id END AS image_avant,
-           CASE WHEN total.fire IS NULL THEN round(f.n * 0.04, 1) END AS surface_estimee_ha FROM f LEFT JOIN post USING (fire) LEFT JOIN pre USING (fire) LEFT JOIN total USING (fire)"""
+    total AS (SELECT px.fire, count(*) AS n_px, count(DISTINCT px.comp) AS n_polygones FROM px JOIN nr ON nr.fire = px.fire AND nr.comp = px.comp GROUP BY px.fire)"""
 )
 
 
+def _said(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TOLD = f"""SELECT f.*, CASE WHEN post.fire IS NULL OR pre.fire IS NULL THEN 'en_attente' WHEN total.fire IS NULL THEN 'ecarte' ELSE 'mesure' END AS statut,
+    CASE WHEN f.fire NOT IN (SELECT fire FROM ca) THEN {_said(records.NO_AFTER)} WHEN post.fire IS NULL THEN {_said(records.CLOUDY_AFTER)} WHEN pre.fire IS NULL THEN {_said(records.NO_BEFORE)}
+         WHEN f.fire NOT IN (SELECT fire FROM big) THEN {_said(records.NO_TRACE)} WHEN total.fire IS NULL THEN {_said(records.TOO_FAR)} END AS motif,
+    total.n_px, total.n_polygones, post.scene_id AS image_apres, pre.scene_id AS image_avant, post.tile AS tuile, post.day - date_diff('day', DATE '1970-01-01', f.date_debut) AS latence_jours
+    FROM f LEFT JOIN post USING (fire) LEFT JOIN pre USING (fire) LEFT JOIN total USING (fire)"""
+_ESTIMATE = "n * 400 / 10000.0"
+_DETECTED = (
+    _CHAIN
+    + f""", told AS ({_TOLD}), hidden AS (SELECT z.fire, avg(CASE WHEN coalesce(p.usable, false) THEN 0.0 ELSE 1.0 END) AS part FROM cell z LEFT JOIN prs p ON p.fire = z.fire AND p.r = z.r AND p.c = z.c GROUP BY z.fire)
+    SELECT cluster_id, commune, departement, n_points AS n_points_chauds, CAST(frp_total AS DOUBLE) AS frp_total, date_debut AS premier, date_fin AS dernier, statut, motif,
+           CASE WHEN statut = 'mesure' THEN round(n_px * 0.04, 1) END AS surface_ha, CASE WHEN statut = 'mesure' THEN n_polygones END AS n_polygones, CASE WHEN statut = 'mesure' THEN image_apres END AS image_apres,
+           CASE WHEN statut = 'mesure' THEN image_avant END AS image_avant, CASE WHEN statut = 'mesure' THEN tuile END AS tuile, CASE WHEN statut = 'mesure' THEN latence_jours END AS latence_jours,
+           CASE WHEN statut = 'mesure' THEN round(part, 3) END AS part_masquee, CASE WHEN statut <> 'mesure' THEN round({_ESTIMATE}, 1) END AS surface_estimee_ha,
+           CASE WHEN statut <> 'mesure' THEN round({_ESTIMATE} * CAST(1 - CAST(0.35 AS DOUBLE) AS DOUBLE), 0) END AS surface_min_ha, CASE WHEN statut <> 'mesure' THEN round({_ESTIMATE} * CAST(1 + CAST(0.35 AS DOUBLE) AS DOUBLE), 0) END AS surface_max_ha
+    FROM told LEFT JOIN hidden USING (fire)"""
+)
+# the same chain over today's fires and the ten strongest of the archive that wait
+_DAY = (
+    _CHAIN.replace(cte("hotspots", "communes", "passes"), cte("hotspots", "communes", "passes", "waited"))
+    .replace("    cell AS (", "    pend AS (SELECT * FROM waited WHERE statut = 'en_attente' AND DATE '2024-02-10' - dernier <= 21 ORDER BY frp_total DESC, id LIMIT 10),\n    hotcell AS (")
+    .replace("    shape AS (", "    edge4 AS (SELECT unnest(generate_series(0, 3)) AS s), cell AS (SELECT fire, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c FROM hotcell UNION ALL SELECT k, cy0 + i.s, cx0 + j.s FROM pend, edge4 i, edge4 j),\n    shape AS (")
+)
+_DAY = _DAY.replace(_F, _F[:-1] + " UNION ALL BY NAME SELECT s.*, p.k AS cluster_id, p.premier AS date_debut, p.dernier AS date_fin, p.frp_total, p.n_points_chauds AS n_points FROM shape s JOIN pend p ON p.k = s.fire)")
+_DAY += f""", told AS ({_TOLD})
+    SELECT coalesce(w.id, CONCAT('C', CAST(t.fire AS VARCHAR))) AS fiche, coalesce(t.statut, w.statut) AS statut, coalesce(w.premier, t.date_debut) AS premier, coalesce(t.date_fin, w.dernier) AS dernier,
+           CASE WHEN t.statut = 'mesure' THEN round(t.n_px * 0.04, 1) WHEN t.statut = 'en_attente' THEN NULL ELSE w.surface_ha END AS surface_ha,
+           CASE WHEN t.statut = 'mesure' THEN NULL WHEN t.statut = 'en_attente' THEN round({_ESTIMATE}, 1) ELSE w.surface_estimee_ha END AS surface_estimee_ha, t.motif,
+           CAST(coalesce(w.frp_total, t.frp_total) AS DOUBLE) AS frp_total, coalesce(w.n_points_chauds, t.n_points) AS n_points_chauds, CASE WHEN t.statut = 'mesure' THEN t.n_px WHEN t.statut = 'en_attente' THEN t.n ELSE 16 END AS n_cells
+    FROM waited w FULL JOIN told t ON t.fire = w.k WHERE w.id IS NOT NULL OR t.statut <> 'ecarte'"""
+
+
 def _drawn(windows, passes):
     """The pixels of windows of the images of ``passes``, drawn rather than read."""
     w = windows.select("scene_id", "tile", "row0", "row1", "col0", "col1").distinct()
@@ -136,7 +169,24 @@ def wa_detect(spark, sf_dir):
     passes = view(spark, sf_dir, "passes")
     wide = {"ymin": F.lit(0), "ymax": F.lit(10_000_000)}
     out = detect.detect(_points(spark, sf_dir), view(spark, sf_dir, "communes"), passes.withColumns(wide), lambda w: _drawn(w, passes), "2024-02-10", commune_m=50_000)
-    return out.select("cluster_id", "commune", "n_points_chauds", "statut", "surface_ha", "n_polygones", "image_apres", "image_avant", "surface_estimee_ha")
+    return out.withColumn("part_masquee", F.round("part_masquee", 3)).drop("id", "nbr_avant_median", "prochain_passage")
+
+
+@query(_DAY)
+def wa_daily(spark, sf_dir):
+    """A day's run with an archive: today's fires, those that waited, the records and zones after it."""
+    passes, waited = view(spark, sf_dir, "passes"), view(spark, sf_dir, "waited")
+    wide = {"ymin": F.lit(0), "ymax": F.lit(10_000_000)}
+    text = F.lit(None).cast("string")
+    archive = waited.drop("k", "cx0", "cy0").withColumns({"motif": text, "prochain_passage": F.lit(None).cast("date"), "commune": text, "departement": text})
+    steps = F.sequence(F.lit(0), F.lit(3))
+    cells = waited.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).select("id", (F.col("cx0") + F.col("i")).alias("cx"), (F.col("cy0") + F.col("j")).alias("cy"))
+    points, communes = _points(spark, sf_dir), view(spark, sf_dir, "communes")
+    day = detect.daily(points, communes, passes.withColumns(wide), lambda w: _drawn(w, passes), "2024-02-10", archive, cells, commune_m=50_000)
+    sizes = day.cells.groupBy("id").agg(F.count("*").alias("n_cells"))
+    name = F.coalesce(F.concat(F.lit("C"), F.col("cluster_id").cast("string")), F.col("id"))
+    out = day.archive.join(day.records.select("id", "cluster_id"), "id", "left").join(sizes, "id")
+    return out.select(name.alias("fiche"), "statut", "premier", "dernier", "surface_ha", "surface_estimee_ha", "motif", "frp_total", "n_points_chauds", "n_cells")
 
 
 @query(

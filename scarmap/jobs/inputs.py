@@ -78,6 +78,13 @@ INPUTS = {
                19711 + CAST(floor(s_suppkey / 10) AS BIGINT) % 12 * 5 + s_suppkey % 5 AS day, CAST(DATE '2023-12-20' + INTERVAL '1' DAY * (CAST(floor(s_suppkey / 10) AS BIGINT) % 12 * 5 + s_suppkey % 5) AS DATE) AS datetime,
                590000 + (s_suppkey % 10) * 40000 AS xmin, 631000 + (s_suppkey % 10) * 40000 AS xmax
         FROM supplier""",
+    # records of an archive, half of them waiting; their zones are squares of 16 cells between the places of hot spots
+    "waited": """
+        SELECT CONCAT('A', CAST(s_suppkey AS STRING)) AS id, -CAST(s_suppkey AS BIGINT) AS k, CASE WHEN s_suppkey % 4 = 0 THEN 'mesure' WHEN s_suppkey % 4 < 3 THEN 'en_attente' ELSE 'ecarte' END AS statut,
+               CAST(DATE '2024-01-05' + INTERVAL '1' DAY * (s_suppkey % 20) AS DATE) AS premier, CAST(DATE '2024-01-05' + INTERVAL '1' DAY * (s_suppkey % 20 + s_suppkey % 6) AS DATE) AS dernier,
+               CAST((s_suppkey * 37) % 1009 AS BIGINT) AS frp_total, CAST(5 + s_suppkey % 9 AS BIGINT) AS n_points_chauds, CASE WHEN s_suppkey % 4 = 0 THEN 12.5 END AS surface_ha, CASE WHEN s_suppkey % 4 IN (1, 2) THEN 0.6 END AS surface_estimee_ha,
+               30000 + (CAST(s_suppkey AS BIGINT) * 131) % 18000 AS cx0, 315200 + (CAST(s_suppkey AS BIGINT) * 7) % 20 * 350 AS cy0
+        FROM supplier""",
     # documents with what an audit looks for
     "audited": """
         SELECT CONCAT('doc/', CAST(doc_id AS STRING)) AS path, length(text) AS bytes,
