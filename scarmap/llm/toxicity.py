@@ -10,10 +10,12 @@ The difference of the two log-likelihoods of a word, normalised by its length, i
 a document goes by its strongest word: a mean over the whole text would drown one word in a long
 one. A logistic curve, fitted to labelled documents, makes a score of it.
 
-Class counts come from a bounded sample of labelled documents; the shared counts are a table that
-grows with the corpus and is never gathered in one place. Where neither class has more of some five
-letters than the discount takes away, the shared probability cancels, so the tasks only need the
-five letters that a class has often, and one number for each four letters before them.
+Class counts are those of every labelled document that isn't held out, the shared counts those of the
+whole corpus; both are tables that are never gathered in one place. Where neither class has more of
+some five letters than the discount takes away, the shared probability cancels, so only the five
+letters that a class has often have an entry, and one number for each four letters before them.
+Entries are whole numbers, whose sums are the same in any order: a table of few of them goes to the
+tasks, a larger one is joined with the corpus's words, and either way gives the same evidence.
 """
 
 from __future__ import annotations
@@ -35,16 +37,16 @@ ORDER = 5
 #: The edge of a word, before and after it.
 EDGE = "\n"
 WORDS = re.compile(r"[^\W\d_]+")
-#: Labelled documents of a class that are learned from, about; those of the smallest hashes of doc_id.
-TRAINED_ON = 100_000
-#: Labelled documents of a class to which the curve is fitted, about; a part of those.
-FITTED_ON = 20_000
 #: What is taken from each class count for the shared backoff, and from shared counts.
 CLASS_DISCOUNT, SHARED_DISCOUNT = 3.0, 0.75
-#: Entries of the model that go to the tasks, at most; the class discount is doubled until they are so few.
+#: Entries that go to the tasks, at most; more of them stay a table. The evidence is the same.
 MOST_ENTRIES = 1 << 20
+#: Parts of one that entries are rounded to.
+UNITS = 1 << 32
 #: Words a task counts, and five-letter counts it holds, before it hands them on.
 COUNTED_WORDS, COUNTED_GRAMS = 1 << 17, 1 << 18
+#: Documents whose words a task hands on at a time, and grams.
+HANDED_DOCS, HANDED_GRAMS = 256, 1 << 16
 #: Words of up to so many letters are remembered, so many of them.
 REMEMBERED_CHARS, REMEMBERED = 48, 1 << 17
 #: Steps of evidence in which labelled documents are counted for the curve.
@@ -58,16 +60,11 @@ def grams(word: str, order: int = ORDER) -> list[str]:
     return [padded[i : i + order] for i in range(len(word) + 1)]
 
 
-def labelled_sample(labels: DataFrame, most: int = TRAINED_ON, fitted: int = FITTED_ON) -> DataFrame:
-    """``(doc_id, class, fits)`` of about ``most`` documents of each class that are not held out
-    (all, where there are fewer); ``fits`` marks about ``fitted`` of them. A document that any label
+def learned_labels(labels: DataFrame) -> DataFrame:
+    """``(doc_id, class)`` of every labelled document that isn't held out. A document that any label
     calls toxic is toxic; other labels than 0 and 1 say nothing."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(TOXIC, ORDINARY) & ~held_out(F.col("doc_id")))
-    each = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("class"))
-    n = {r["class"]: r["n"] for r in each.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    limit = lambda m: F.when(F.col("class") == TOXIC, m / n.get(TOXIC, 1)).otherwise(m / n.get(ORDINARY, 1))
-    return each.where(at < limit(most)).withColumn("fits", at < limit(fitted))
+    return known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("class"))
 
 
 def class_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -154,10 +151,19 @@ def evidence_entries(counts: DataFrame, shared: DataFrame, discount: float, orde
     return own.unionByName(rest)
 
 
+def evidence_of(total: int, letters: int) -> float:
+    """The evidence of a word of so many letters whose entries add up to ``total``: for each letter and edge."""
+    return float(total) / float((letters + 1) * UNITS)
+
+
+def words_of(text: str | None) -> set[str]:
+    return set(WORDS.findall((text or "").lower()))
+
+
 class Evidence:
     """The evidence of words, and of documents by their strongest word."""
 
-    def __init__(self, entries: dict[str, float], order: int = ORDER) -> None:
+    def __init__(self, entries: dict[str, int], order: int = ORDER) -> None:
         self.entries, self.order = entries, order
         self.known: dict[str, float] = {}
 
@@ -165,11 +171,11 @@ class Evidence:
         """The difference of both log-likelihoods for each letter and edge."""
         get, known = self.entries.get, self.known.get(word)
         if known is None:
-            total = 0.0
+            total = 0
             for g in grams(word, self.order):
                 own = get(g)
-                total += get(g[:-1], 0.0) if own is None else own
-            known = total / (len(word) + 1)
+                total += get(g[:-1], 0) if own is None else own
+            known = evidence_of(total, len(word))
             if len(word) <= REMEMBERED_CHARS:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
@@ -178,28 +184,60 @@ class Evidence:
 
     def document(self, text: str | None) -> float:
         """0 at least: a text without words, or with no toxic word, says nothing."""
-        return max(map(self.word, set(WORDS.findall((text or "").lower()))), default=0.0)
-
+        return max(0.0, max(map(self.word, words_of(text)), default=0.0))
 
-class Model:
-    """Evidence and the curve that makes a score of it."""
 
-    def __init__(self, entries: dict[str, float], slope: float, middle: float) -> None:
-        self.entries, self.slope, self.middle = entries, slope, middle
-
-
-def with_evidence(docs: DataFrame, entries: dict[str, float], key: str, kind: str) -> DataFrame:
-    """``(key, evidence)`` of every row of ``docs(key, text)``, whose key has the type ``kind``; the
-    entries (bounded by MOST_ENTRIES) are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(entries)
+def evidence_in_tasks(docs: DataFrame, entries: DataFrame, kind: str) -> DataFrame:
+    """``(doc_id, evidence)`` of every row of ``docs(doc_id, text)``, with the entries (few) in each task."""
+    shared = docs.sparkSession.sparkContext.broadcast({r["gram"]: r["units"] for r in entries.collect()})
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence(shared.value)
         for batch in batches:
             values = pa.array([evidence.document(t.as_py()) for t in batch.column(1)], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], [key, "evidence"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "evidence"])
 
-    return docs.select(key, "text").mapInArrow(found, f"{key} {kind}, evidence double")
+    return written(docs.select("doc_id", "text").mapInArrow(found, f"doc_id {kind}, evidence double"), "evidence")
+
+
+def evidence_by_tables(docs: DataFrame, entries: DataFrame, kind: str, order: int = ORDER) -> DataFrame:
+    """What :func:`evidence_in_tasks` gives, of entries that may be as many as they like: each different
+    word of the corpus meets its entries once, then documents their words."""
+
+    def spoken_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, HANDED_DOCS):
+                part = batch.slice(at, HANDED_DOCS)
+                own = pa.array([list(words_of(t.as_py())) for t in part.column(1)], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(0), own], ["doc_id", "words"])
+
+    def word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, letters, of = [], [], []
+        handed = lambda: pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int64()), "letters": pa.array(letters, pa.int64()), "gram": pa.array(of, pa.string())})
+        for batch in batches:
+            for i, w in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                word = w.as_py()
+                own = grams(word, order)
+                at += [i] * len(own)
+                letters += [len(word)] * len(own)
+                of += own
+                if len(of) > HANDED_GRAMS:
+                    yield handed()
+                    at, letters, of = [], [], []
+        yield handed()
+
+    spoken = written(docs.select("doc_id", "text").mapInArrow(spoken_words, f"doc_id {kind}, words array<string>").withColumn("row", F.monotonically_increasing_id()), "spoken")
+    words = written(spoken.select(F.explode("words").alias("word")).distinct().withColumn("at", F.monotonically_increasing_id()), "words")
+    parts = words.select("at", "word").mapInArrow(word_grams, "at long, letters long, gram string").withColumn("before", F.expr(f"substring(gram, 1, {order - 1})"))
+    back = entries.select(F.col("gram").alias("before"), F.col("units").alias("back"))
+    met = parts.join(entries, "gram", "left").join(back, "before", "left")
+    totals = met.groupBy("at").agg(F.sum(F.coalesce("units", "back", F.lit(0))).alias("total"), F.first("letters").alias("letters"))
+    value = F.col("total").cast("double") / ((F.col("letters") + 1) * F.lit(UNITS)).cast("double")
+    strong = words.join(totals.where("total > 0"), "at").select("word", value.alias("evidence"))
+    best = spoken.select("row", F.explode("words").alias("word")).join(strong, "word").groupBy("row").agg(F.max("evidence").alias("evidence"))
+    out = written(spoken.select("row", "doc_id").join(best, "row", "left").select("doc_id", F.coalesce("evidence", F.lit(0.0)).alias("evidence")), "evidence")
+    discard(spoken, words)
+    return out
 
 
 def fitted_curve(steps: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -224,37 +262,35 @@ def fitted_curve(steps: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(slope), float(middle - w[0] / w[1] * spread) if w[1] > 1e-9 else 0.0
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAINED_ON) -> Model:
-    """A model from the texts of ``docs(doc_id, text)`` and the labels of a bounded sample of those
-    that are not held out."""
-    sample = written(labelled_sample(labels, most), "sample")
-    plain = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    counts = written(class_counts(plain.join(F.broadcast(sample), "doc_id", "left")), "gram_counts")
+def train(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``(gram, units)``: the entries learned from the texts of ``docs(doc_id, text)`` and the classes
+    of ``known(doc_id, class)``, in whole UNITS-th parts."""
+    # labels are as many as the documents, so texts go to them by a shuffle at any size
+    counts = written(class_counts(docs.join(known.hint("shuffle_hash"), "doc_id", "left")), "gram_counts")
     shared = written(shared_probabilities(counts), "shared")
-    discount = CLASS_DISCOUNT
-    while (entries := written(evidence_entries(counts, shared, discount), "entries")).count() > MOST_ENTRIES:
-        discard(entries)
-        discount *= 2
-    held = {r["gram"]: r["llr"] for r in entries.collect()}
-    learned = with_evidence(plain.join(F.broadcast(sample.where("fits")), "doc_id"), held, "class", "int")
-    steps = learned.withColumn("step", F.floor(F.col("evidence") * STEPS)).groupBy("step").agg(F.sum("class").alias("t"), F.sum(1 - F.col("class")).alias("o")).collect()
-    slope, middle = fitted_curve([((r["step"] + 0.5) / STEPS, r["t"], r["o"]) for r in sorted(steps, key=lambda r: r["step"])])
-    discard(sample, counts, shared, entries)
-    return Model(held, slope, middle)
+    entries = written(evidence_entries(counts, shared, CLASS_DISCOUNT).select("gram", F.floor(F.col("llr") * UNITS + 0.5).cast("long").alias("units")), "entries")
+    discard(counts, shared)
+    return entries
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAINED_ON) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, most_entries: int = MOST_ENTRIES) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs(doc_id, text, …)``.
 
-    Labels, ``labels(doc_id, toxic, …)``, are only learned from rows that are not held out; a score
-    looks at the whole text and nothing else.
+    Labels, ``labels(doc_id, toxic, …)``, are only learned from rows that are not held out, from all
+    of those; a score looks at the whole text and nothing else. ``most_entries`` decides where the
+    entries stand while documents are read, and nothing of the result.
 
     Null and empty texts, and texts without a letter, have no evidence and the score of that. Where
     nothing was learned (an empty table, no label, one class only) all scores are 0. Repeated rows
     are scored alike; a null doc_id is not held out and has no label; a document that one label
     calls toxic and another doesn't is toxic; other columns are ignored.
     """
-    model = train(docs, labels, most)
-    found = with_evidence(docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")), model.entries, "doc_id", dict(docs.dtypes)["doc_id"])
-    score = F.lit(0.0) if not model.slope else 1 / (1 + F.exp(F.least(F.lit(500.0), -model.slope * (F.col("evidence") - model.middle))))
+    plain, kind = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")), dict(docs.dtypes)["doc_id"]
+    known = written(learned_labels(labels), "known")
+    entries = train(plain, known)
+    found = (evidence_in_tasks if entries.count() <= most_entries else evidence_by_tables)(plain, entries, kind)
+    steps = found.join(known, "doc_id").groupBy(F.floor(F.col("evidence") * STEPS).alias("step")).agg(F.sum("class").alias("t"), F.sum(1 - F.col("class")).alias("o")).collect()
+    slope, middle = fitted_curve([((r["step"] + 0.5) / STEPS, r["t"], r["o"]) for r in sorted(steps, key=lambda r: r["step"])])
+    discard(known, entries)
+    score = F.lit(0.0) if not slope else 1 / (1 + F.exp(F.least(F.lit(500.0), -slope * (F.col("evidence") - middle))))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -107,3 +107,21 @@ def test_odd_rows(spark):
     assert {r.score for r in got if r.doc_id == 5003} == {by[5003].score} and by[5003].predicted == 1
     for d, lab in ((docs, labels.limit(0)), (docs, labels.where("toxic = 0")), (docs.limit(0), labels)):
         assert all(r.score == 0 and r.predicted == 0 for r in tx.toxicity(d, lab).collect())
+
+
+def test_model_does_not_switch_with_its_size(spark, monkeypatch):
+    """A model of more entries than go to the tasks has the same scores, to the last bit."""
+    rows = made_up(300) + [(5000, None, 0), (5001, "", 0), (5002, "x" * 5000 + " ozzig", 0), (5002, "ÖzZig ∂ 的一", 0)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(None, "wuxxle")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, c) for i, _, c in rows], "doc_id long, toxic int")
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.score)
+    whole = sorted(tx.toxicity(docs, labels).collect(), key=key)
+    monkeypatch.setattr(tx, "MOST_ENTRIES", 5)
+    bounded = sorted(tx.toxicity(docs, labels, 5).collect(), key=key)
+    assert bounded == whole and len(whole) == len(rows) + 1 and len({r.score for r in whole}) > 20
+
+
+def test_every_label_that_is_not_held_out_is_learned(spark):
+    labels = spark.range(300_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("toxic"))
+    kept = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(300_000))
+    assert kept > 200_000 and tx.learned_labels(labels).count() == kept
