@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ ORDER = 5
 #: The edge of a word, before and after it.
 EDGE = "\n"
 WORDS = re.compile(r"[^\W\d_]+")
+_BLANKED = {i: " " for i in range(128) if not chr(i).isalpha()}
+_STRETCHES = re.compile(r"[a-z\x80-\U0010ffff]+")
 #: What is taken from each class count for the shared backoff, and from shared counts.
 CLASS_DISCOUNT, SHARED_DISCOUNT = 3.0, 0.75
 #: Entries that go to the tasks, at most; more of them stay a table. The evidence is the same.
@@ -60,6 +63,21 @@ def grams(word: str, order: int = ORDER) -> list[str]:
     return [padded[i : i + order] for i in range(len(word) + 1)]
 
 
+def words_of(text: str | None) -> set[str]:
+    """The different words of a text in lower case, as WORDS finds them: in ASCII what is left of it without
+    other characters; else stretches that can hold words are looked at once each."""
+    lower = (text or "").lower()
+    if lower.isascii():
+        return set(lower.translate(_BLANKED).split())
+    out = set()
+    for piece in set(_STRETCHES.findall(lower)):
+        if piece.isalpha():
+            out.add(piece)
+        else:
+            out.update(WORDS.findall(piece))
+    return out
+
+
 def learned_labels(labels: DataFrame) -> DataFrame:
     """``(doc_id, class)`` of every labelled document that isn't held out. A document that any label
     calls toxic is toxic; other labels than 0 and 1 say nothing."""
@@ -81,9 +99,11 @@ def class_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
         def settle() -> None:
             for of, into in zip(words[:2], found[:2], strict=True):
+                into.update(chain.from_iterable(grams(w, order) for w, n in of.items() if n == 1))
                 for w, n in of.items():
-                    for g in grams(w, order):
-                        into[g] += n
+                    if n > 1:
+                        for g in grams(w, order):
+                            into[g] += n
             for w in words[2]:
                 found[2].update(grams(w, order))
             for x in words:
@@ -98,7 +118,7 @@ def class_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
         for batch in batches:
             for text, kind in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                own = set(WORDS.findall((text.as_py() or "").lower()))
+                own = words_of(text.as_py())
                 words[2 if kind is None else 0 if kind == TOXIC else 1].update(own)
                 if sum(map(len, words)) > COUNTED_WORDS:
                     settle()
@@ -156,35 +176,41 @@ def evidence_of(total: int, letters: int) -> float:
     return float(total) / float((letters + 1) * UNITS)
 
 
-def words_of(text: str | None) -> set[str]:
-    return set(WORDS.findall((text or "").lower()))
-
-
 class Evidence:
     """The evidence of words, and of documents by their strongest word."""
 
     def __init__(self, entries: dict[str, int], order: int = ORDER) -> None:
         self.entries, self.order = entries, order
-        self.known: dict[str, float] = {}
+        # letters before which nothing is known end a look, so those of each entry must be known
+        for g in [g for g in entries if len(g) == order and g[:-1] not in entries]:
+            entries[g[:-1]] = 0
+        # words that were looked at, and the evidence of those that speak for the toxic class
+        self.seen: set[str] = set()
+        self.strong: dict[str, float] = {}
 
     def word(self, word: str) -> float:
         """The difference of both log-likelihoods for each letter and edge."""
-        get, known = self.entries.get, self.known.get(word)
-        if known is None:
-            total = 0
-            for g in grams(word, self.order):
-                own = get(g)
-                total += get(g[:-1], 0) if own is None else own
-            known = evidence_of(total, len(word))
-            if len(word) <= REMEMBERED_CHARS:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = known
-        return known
+        get, k, total = self.entries.get, self.order - 1, 0
+        padded = EDGE * k + word + EDGE
+        for i in range(len(word) + 1):
+            back = get(padded[i : i + k])
+            if back is not None:
+                total += get(padded[i : i + k + 1], back)
+        found = evidence_of(total, len(word))
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self.seen) >= REMEMBERED:
+                self.seen.clear()
+                self.strong.clear()
+            self.seen.add(word)
+            if found > 0:
+                self.strong[word] = found
+        return found
 
     def document(self, text: str | None) -> float:
         """0 at least: a text without words, or with no toxic word, says nothing."""
-        return max(0.0, max(map(self.word, words_of(text)), default=0.0))
+        own = words_of(text)
+        strongest = max(map(self.strong.__getitem__, self.strong.keys() & own), default=0.0)
+        return max(strongest, max(map(self.word, own - self.seen), default=0.0))
 
 
 def evidence_in_tasks(docs: DataFrame, entries: DataFrame, kind: str) -> DataFrame:

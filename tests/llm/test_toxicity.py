@@ -125,3 +125,26 @@ def test_every_label_that_is_not_held_out_is_learned(spark):
     labels = spark.range(300_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("toxic"))
     kept = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(300_000))
     assert kept > 200_000 and tx.learned_labels(labels).count() == kept
+
+
+def test_words_are_those_of_the_plain_pattern():
+    rng = random.Random(8)
+    signs = "abzABZ09_ -.,\n\x1c\x7f\x85\u00a0éßİΣσ½²٣的一\u0301\u200bǅ"
+    texts = ["".join(rng.choice(signs[:n]) for _ in range(rng.randint(0, 40))) for n in (16, len(signs)) for _ in range(1500)] + [None, ""]
+    assert all(tx.words_of(t) == set(tx.WORDS.findall((t or "").lower())) for t in texts)
+
+
+def test_words_seen_before_are_not_looked_at_again(monkeypatch):
+    """Neither words that say nothing nor others are; and forgetting them changes no evidence."""
+    rows = [t for _, t, _ in made_up(120)] + ["word", "", None, "x" * 100]
+    entries = {g: rng for i, g in enumerate(sorted({g for t in rows for w in tx.words_of(t) for g in tx.grams(w)})) if (rng := (i * 7919) % 2001 - 1000)}
+    plain = tx.Evidence(entries)
+    want = [max([0.0, *(plain.word(w) for w in tx.words_of(t))]) for t in rows]
+    looked = tx.Evidence(entries)
+    assert [looked.document(t) for t in rows] == want and looked.document("x" * 100) == want[-1]
+    monkeypatch.setattr(looked, "word", lambda w: 1 / 0)
+    assert [looked.document(t) for t in rows[:-1]] == want[:-1]
+    monkeypatch.undo()
+    monkeypatch.setattr(tx, "REMEMBERED", 7)
+    small = tx.Evidence(entries)
+    assert [small.document(t) for t in rows] == want and len(small.seen) <= 7
