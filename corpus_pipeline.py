@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scarmap.llm import bpe, langid, line_dedup, mixing, simhash
 from scarmap.llm.registry import tokenizer_path
-from scarmap.llm.tables import table, whole_row
+from scarmap.llm.tables import column, table, whole_row
 from scarmap.shared import discard, written
 
 #: Texts less like every language than this (cosine) are none.
@@ -29,10 +29,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents rid of lines that repeat an earlier one; those left without a word go."""
-    packed = docs.select("doc_id", "text", whole_row(docs).alias("row"))
+    others = F.struct(*[column(docs, c) for c in docs.columns if c != "text"])
+    packed = docs.select("doc_id", "text", others.alias("row"))
     out = line_dedup.dedup_lines(packed, least_chars=line_dedup.EVERY_LINE).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return out.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+    return out.select(*[(changed[c] if c in changed else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

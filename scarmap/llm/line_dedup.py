@@ -31,6 +31,8 @@ SHINGLE, SIMILAR = 10, 0.8
 BANDS, ROWS = 8, 4
 #: Code points hashed at a time.
 AT_ONCE = 1 << 18
+#: Documents whose lines are taken out of a batch at a time.
+ROWS_AT_ONCE = 256
 #: A component of over one in so many lines is hot.
 HOT = 2000
 _SEEDS = np.random.default_rng(97).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -45,18 +47,29 @@ def line_key(line: str) -> int:
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(33))
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def _run_hashes(points: np.ndarray) -> np.ndarray:
     """A hash of each run of SHINGLE (ten) code points: the polynomial of the run, built by doubling."""
-    p = points.astype(np.uint64) + np.uint64(1)
     c, c2, c4 = (np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 4))
-    h2 = p[:-1] * c + p[1:]
-    h4 = h2[:-2] * c2 + h2[2:]
-    h8 = h4[:-4] * c4 + h4[4:]
-    return _mixed(h8[:-2] * c2 + h2[8:])
+
+    def joined(left: np.ndarray, by: np.uint64, right: np.ndarray) -> np.ndarray:
+        out = left * by
+        out += right
+        return out
+
+    h = points.astype(np.uint64)
+    h += np.uint64(1)
+    h2 = joined(h[:-1], c, h[1:])
+    h = joined(h2[:-2], c2, h2[2:])
+    h = joined(h[:-4], c4, h[4:])
+    h = joined(h[:-2], c2, h2[8:])
+    del h2
+    return _mixed(h)
 
 
 def _points(text: str) -> np.ndarray:
@@ -116,6 +129,13 @@ def shingle_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _run_hashes(points)[inside], sizes - SHINGLE + 1
 
 
+def rows_in_parts(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The batch's rows as tuples; Python values are made for ROWS_AT_ONCE of them at a time."""
+    for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+        part = batch.slice(lo, ROWS_AT_ONCE)
+        yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
+
+
 _PLACES = "doc_id long, row long, place int, line_id long, size int, keys array<long>"
 
 
@@ -139,7 +159,7 @@ def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
             columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel()), mask=pa.array(nulls)))
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "place", "line_id", "size", "keys"])
 
-        for doc_id, row, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text")), strict=True):
+        for doc_id, row, text in rows_in_parts(batch, "doc_id", "row", "text"):
             for place, line in enumerate((text or "").lower().split("\n")):
                 line = " ".join(line.split())
                 size = len(line)
@@ -166,20 +186,37 @@ def line_places(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(places, _PLACES)
 
 
-def lines_of(docs: DataFrame, wanted: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``(line_id, line)``: the normalised text of each line in ``wanted(line_id)``, once."""
+def _texts(least_chars: int):
+    """For mapInArrow over ``(text)``: each line and its key, once a batch; no more than about
+    AT_ONCE code points of them are held."""
+
+    def made(out: dict[int, str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.string())], ["line_id", "line"])
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {}
-            for text in batch.column("text").to_pylist():
+            known: set[int] = set()
+            out: dict[int, str] = {}
+            held = 0
+            for (text,) in rows_in_parts(batch, "text"):
                 for line in (text or "").lower().split("\n"):
                     line = " ".join(line.split())
-                    if len(line) >= least_chars:
-                        out[line_key(line)] = line
-            yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.string())], ["line_id", "line"])
+                    if len(line) < least_chars or (key := line_key(line)) in known:
+                        continue
+                    known.add(key)
+                    out[key] = line
+                    held += len(line)
+                    if held >= AT_ONCE:
+                        yield made(out)
+                        out, held = {}, 0
+            yield made(out)
+
+    return texts
 
-    found = docs.select("text").mapInArrow(texts, "line_id long, line string")
+
+def lines_of(docs: DataFrame, wanted: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """``(line_id, line)``: the normalised text of each line in ``wanted(line_id)``, once."""
+    found = docs.select("text").mapInArrow(_texts(least_chars), "line_id long, line string")
     return found.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.min("line").alias("line"))
 
 
@@ -191,7 +228,6 @@ def similar_lines(
     members = crowds(places.where("keys is not null").select(F.col("line_id").alias("id"), "size", "keys"))
     texts = written(lines_of(docs, members.select(F.col("id").alias("line_id")).distinct(), least_chars), "lines")
     out = similar_components(members, texts.select(F.col("line_id").alias("id"), F.col("line").alias("load")), shingle_sets, similar, block, elements)
-    out = written(out, "components")
     discard(members, texts)
     return out
 
@@ -232,15 +268,16 @@ def dedup_lines(docs: DataFrame, similar: float = SIMILAR, least_chars: int = LE
     input are replaced.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    whole = docs.select(F.struct(*[column(docs, c) for c in columns]).alias("r"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("row"), docs["text"].alias("text"))
+    others = F.struct(*[column(docs, c) for c in columns if c != "text"])  # texts go through the join once
+    whole = docs.select(others.alias("r"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("row"), docs["text"].alias("text"))
     drops = _dropped(whole.select("doc_id", "row", "text"), similar, least_chars)
     mine = drops.select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), "places")
     joined = whole.join(mine, whole["doc_id"].eqNullSafe(F.col("_d")) & (whole["row"] == F.col("_r")), "left")
-    joined = joined.select("r", "places", F.split("text", "\n").alias("lines"))
+    joined = joined.select("r", "places", "text", F.split("text", "\n").alias("lines"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "places")
     kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
     return joined.select(
-        *[(F.when(F.col("places").isNull(), F.col("r.text")).otherwise(kept).alias("text") if c == "text" else F.col("r")[c].alias(c)) for c in columns],
+        *[(F.when(F.col("places").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col("r")[c].alias(c)) for c in columns],
         F.coalesce(F.size("lines"), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("places"), F.lit(0)).alias("n_dropped"),
     )

@@ -31,6 +31,8 @@ BITS = 64
 #: Buckets of up to so many different fingerprints are joined with themselves; larger ones are
 #: linked through neighbourhood keys, which takes no pairs.
 PAIR_BUCKET = 128
+#: Texts whose sets are made at a time.
+TEXTS_AT_ONCE = 512
 #: Shingles whose bits are counted at a time, so that a very long text takes bounded memory.
 COUNT_AT_ONCE = 1 << 16
 
@@ -178,12 +180,19 @@ def set_fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+def in_parts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The batches in parts of TEXTS_AT_ONCE, so that few results are held."""
+    for texts in batches:
+        for lo in range(0, max(1, len(texts)), TEXTS_AT_ONCE):
+            yield texts.iloc[lo : lo + TEXTS_AT_ONCE]
+
+
 def _signed_sets(text: str, radius: int) -> Column:
     masks = np.array(covering_masks(radius), np.int64).view(np.uint64)
 
     @F.pandas_udf("node long, size int, keys array<long>")
     def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in in_parts(batches):
             nodes, sizes, keys = [], [], []
             for t in texts:
                 hashes = shingle_set(t)
@@ -198,7 +207,7 @@ def _signed_sets(text: str, radius: int) -> Column:
 def _set_of(text: str) -> Column:
     @F.pandas_udf("array<long>")
     def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in in_parts(batches):
             yield pd.Series([shingle_set(t).view(np.int64) for t in texts], dtype=object)
 
     return of_texts(F.col(text))
@@ -223,7 +232,7 @@ def near_components(docs: DataFrame, similar: float = SIMILAR, radius: int = 3,
     wanted = nodes.select("id", "t").join(members.select("id").distinct(), "id", "left_semi")
     texts = docs.select(F.xxhash64("text").alias("t"), "text").join(wanted, "t").groupBy("id").agg(F.min("text").alias("text"))
     sets = written(texts.select("id", _set_of("text").alias("load")), "sets")
-    joined = written(similar_components(members, sets, _arrays, similar, block, elements), "near")
+    joined = similar_components(members, sets, _arrays, similar, block, elements)
     discard(members, sets)
     flat = marked.select("doc_id", "t", "r", F.col("s.node").alias("id"))
     return flat.join(joined, flat["id"] == joined["node"], "left").select("doc_id", "t", "r", F.coalesce("component", "id").alias("component"))

@@ -25,6 +25,8 @@ BLOCK, BLOCK_ELEMENTS = 512, 1 << 20
 #: Elements hashed, and entries of an incidence matrix, that are held at a time: a worker takes about
 #: a hundred bytes for each element.
 HELD, MATRIX = 1 << 20, 1 << 21
+#: Elements of pairs of sets that are sorted at a time.
+SORTED = 1 << 18
 #: Sets of one element that are joined in a task; more are dealt over several.
 DEALT = 512
 #: Keeps rounding from making a bound too tight.
@@ -65,7 +67,7 @@ def likenesses(values: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.nda
     """The Jaccard likeness of the sets a[i] and b[i], by one sort for all pairs: a pair's number is
     put above an element's hash, and below it which of the two has it. Two empty sets are alike."""
     starts, out = np.cumsum(lengths) - lengths, []
-    held = np.cumsum(lengths[a] + lengths[b]) // HELD
+    held = np.cumsum(lengths[a] + lengths[b]) // min(HELD, SORTED)
     for part in np.split(np.arange(len(a)), np.flatnonzero(np.diff(held)) + 1) if len(a) else []:
         bits = np.uint64(int(len(part)).bit_length() + 1)
         keys = []
@@ -223,7 +225,8 @@ def _verified(pairs: DataFrame, loads: DataFrame, hashed: Hashed, similar: float
 
 def similar_components(members: DataFrame, loads: DataFrame, hashed: Hashed, similar: float, block: int = BLOCK, elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """``(node, component)`` of the ids linked to another: the components of all pairs of
-    likeness ``similar`` or more that meet in a bucket of :func:`crowds`.
+    likeness ``similar`` or more that meet in a bucket of :func:`crowds`, as a table of
+    :func:`written`.
 
     ``loads(id, load)`` has what the sets are made of, once for each id, and ``hashed`` makes them.
     """
@@ -233,6 +236,7 @@ def similar_components(members: DataFrame, loads: DataFrame, hashed: Hashed, sim
     apart = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = written(placed.join(apart.select("key").hint("shuffle_hash"), "key").select("id", "component").distinct(), "apart")
     if open_.isEmpty():
+        discard(open_)
         return joined
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,4 +249,6 @@ def similar_components(members: DataFrame, loads: DataFrame, hashed: Hashed, sim
 
     sets = open_.join(loads, "id").mapInPandas(grams, "id long, component long, grams array<long>")
     more = _verified(prefix_pairs(sets, similar), loads, hashed, similar)
-    return connected_components(joined.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
+    out = written(connected_components(joined.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more)), "joined")
+    discard(joined, open_)
+    return out
