@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scarmap.operators.burn import PIXEL_M
+from scarmap.operators.overlap import overlapping_words, words_of_runs
 from scarmap.operators.zones import ring_spans
 
 
@@ -78,16 +79,5 @@ def runs_area_ha(runs: DataFrame, key: str = "fire", cell_m: int = PIXEL_M) -> D
 
 def overlapping(a: DataFrame, b: DataFrame, over: float) -> DataFrame:
     """OP-J7: ``(a_id, b_id, ratio)`` of zones given as runs by ``geom_id`` that share more than
-    ``over`` of the smaller one. Runs of one row meet where they overlap."""
-    a, b = (union_runs(z, keys=("geom_id",)).select(F.col("geom_id").alias(f"{n}_id"), "cy", F.col("first").alias(f"{n}0"), F.col("last").alias(f"{n}1")) for z, n in ((a, "a"), (b, "b")))
-    size = lambda z, n: z.groupBy(f"{n}_id").agg(F.sum(F.col(f"{n}1") - F.col(f"{n}0") + 1).alias(f"n{n}"))
-    tiles = lambda z, n: z.withColumn("_t", F.explode(F.sequence(F.floor(F.col(f"{n}0") / TILE), F.floor(F.col(f"{n}1") / TILE))))
-    met = tiles(a, "a").join(tiles(b, "b"), ["cy", "_t"])
-    first, last = F.greatest("a0", "b0", F.col("_t") * TILE), F.least("a1", "b1", (F.col("_t") + 1) * TILE - 1)
-    shared = met.where(first <= last).groupBy("a_id", "b_id").agg(F.sum(last - first + 1).alias("n"))
-    out = shared.join(size(a, "a"), "a_id").join(size(b, "b"), "b_id").withColumn("ratio", F.col("n") / F.least("na", "nb"))
-    return out.where(F.col("ratio") > over).select("a_id", "b_id", "ratio")
-
-
-#: Cells of a row that runs meet by; longer runs are listed in several.
-TILE = 64
+    ``over`` of the smaller one; see :func:`scarmap.operators.overlap.overlapping_words`."""
+    return overlapping_words(words_of_runs(a), words_of_runs(b), over)
