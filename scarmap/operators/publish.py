@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scarmap.functions.labels import day_month
 from scarmap.operators.components import connected_components
 from scarmap.operators.groups import map_groups
+from scarmap.operators.overlap import overlapping_words, words_of_cells
 from scarmap.operators.ranking import with_place
 from scarmap.shared import discard, written
 
@@ -24,22 +25,21 @@ CSV_COLUMNS = (
 
 def overlaps(a: DataFrame, b: DataFrame, over: float = OVERLAP) -> DataFrame:
     """``(a_id, b_id, ratio)`` of zones ``(geom_id, cx, cy)`` that share more than ``over`` of the
-    smaller one: an equi-join on cells, then counts."""
-    a, b = a.select(F.col("geom_id").alias("a_id"), "cx", "cy").distinct(), b.select(F.col("geom_id").alias("b_id"), "cx", "cy").distinct()
-    na, nb = a.groupBy("a_id").agg(F.count("*").alias("na")), b.groupBy("b_id").agg(F.count("*").alias("nb"))
-    shared = a.join(b, ["cx", "cy"]).groupBy("a_id", "b_id").agg(F.count("*").alias("n"))
-    return shared.join(na, "a_id").join(nb, "b_id").withColumn("ratio", F.col("n") / F.least("na", "nb")).where(F.col("ratio") > over).select("a_id", "b_id", "ratio")
+    smaller one."""
+    return overlapping_words(words_of_cells(a), words_of_cells(b), over)
 
 
 def match_archive(clusters: DataFrame, cluster_cells: DataFrame, archive: DataFrame, archive_cells: DataFrame, days: int = MATCH_DAYS) -> DataFrame:
     """OP-J7, OP-W5: ``(cluster_id, id, ratio)``: the record that a cluster continues: it overlaps
     enough, and its last heat is at most ``days`` before the cluster's start (a later one matches);
-    the largest overlap wins, then the earliest record, then the smaller id."""
-    pairs = overlaps(cluster_cells.withColumnRenamed("cluster_id", "geom_id"), archive_cells.withColumnRenamed("id", "geom_id"))
-    dated = pairs.join(clusters.select(F.col("cluster_id").alias("a_id"), "date_debut"), "a_id").join(archive.select(F.col("id").alias("b_id"), "premier", "dernier"), "b_id")
-    near = dated.where(F.datediff("date_debut", "dernier") <= days)
+    the largest overlap wins, then the earliest record, then the smaller id. Pairs are ranked where
+    they are counted, so few of a cluster's are exchanged, however many records it meets."""
+    day = lambda c: F.unix_date(F.col(c).cast("date")).cast("long")
+    starts = clusters.select(F.col("cluster_id").alias("id"), (day("date_debut") - days).alias("since")).where("since is not null")
+    ends = archive.select("id", "premier", day("dernier").alias("until")).where("until is not null")
+    pairs = overlapping_words(words_of_cells(cluster_cells, "cluster_id"), words_of_cells(archive_cells, "id"), OVERLAP, starts, ends, ("since", "until"), ("premier", "b_id"))
     best = W.partitionBy("a_id").orderBy(F.desc("ratio"), "premier", "b_id")
-    return near.withColumn("_n", F.row_number().over(best)).where("_n = 1").select(F.col("a_id").alias("cluster_id"), F.col("b_id").alias("id"), "ratio")
+    return pairs.withColumn("_n", F.row_number().over(best)).where("_n = 1").select(F.col("a_id").alias("cluster_id"), F.col("b_id").alias("id"), "ratio")
 
 
 def union_cells(*zones: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Overlaps of crowds of zones: every pair is found, and none is exchanged."""
 
+import datetime
 import random
 
 from scarmap.operators import publish, runs
@@ -54,12 +55,34 @@ def test_a_crowded_tile_is_dealt_to_groups(spark, monkeypatch):
     discard_all(spark)
 
 
+def test_archive_matches_of_a_crowd(spark):
+    rng = random.Random(13)
+    a, b = _zones(rng, 200, "a"), _zones(rng, 180, "b")
+    day = lambda n: None if n == 3 else datetime.date(2024, 1, 1) + datetime.timedelta(n)
+    starts = {i: day(rng.randint(0, 30)) for i in a}
+    dates = {j: (day(rng.randint(0, 4)), day(rng.randint(0, 12))) for j in b}
+    clusters = spark.createDataFrame(list(starts.items()), "cluster_id string, date_debut date")
+    archive = spark.createDataFrame([(j, *d) for j, d in dates.items()], "id string, premier date, dernier date")
+    want = {}
+    for (i, j), ratio in _ratios(a, b).items():
+        if starts[i] and dates[j][1] and (starts[i] - dates[j][1]).days <= 10:
+            mine = (-ratio, dates[j][0] is not None, dates[j][0] or datetime.date.min, j)
+            want[i] = min(want.get(i, mine), mine)
+    got = publish.match_archive(clusters, _cells(spark, a, "cluster_id"), archive, _cells(spark, b, "id")).collect()
+    assert len(got) == len(want) and {r.cluster_id: (r.id, r.ratio) for r in got} == {i: (w[3], -w[0]) for i, w in want.items()}
+    discard_all(spark)
+
+
 def test_pairs_are_not_exchanged(spark):
     n = 700  # ids are hashes, which don't compress
     cells = lambda key: spark.range(n).selectExpr(f"xxhash64(id) as {key}", "explode(sequence(0L, 3 + id % 3)) as cx", "id % 2 as cy")
+    dates = lambda key, *names: spark.range(n).selectExpr(f"xxhash64(id) as {key}", *[f"date'2024-01-01' as {c}" for c in names])
     before = _written(spark)
     spans = runs.runs_of_cells(cells("geom_id"), ("geom_id",))
     assert runs.overlapping(spans, spans, 0.3).count() == n * n // 2
-    size = _written(spark) - before
-    assert size < 2 * n * n, size  # less than four bytes a pair
+    middle = _written(spark)
+    assert publish.match_archive(dates("cluster_id", "date_debut"), cells("cluster_id"), dates("id", "premier", "dernier"), cells("id")).count() == n
+    after = _written(spark)
+    sizes = middle - before, after - middle
+    assert max(sizes) < 2 * n * n, sizes  # less than four bytes a pair
     discard_all(spark)
